@@ -24,6 +24,14 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .byte_bpe import round_trip_digests
+
+    return round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -32,6 +40,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_codes": op1_token_codes,
+    "op4_byte_bpe": op4_byte_bpe,
     "op7_packing": op7_packing,
 }
 
