@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import filesystem, partitions_of, put_file, text_of, work_dir, written
+from .pretokens import in_order
 from .wordcache import word_cache
 
 MAGIC = b"DACIDS01"
@@ -153,25 +154,24 @@ def write_codes(docs: DataFrame, tokenizer: str, end_id: int, folder: str, file_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, shard, segment = word_cache(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], cache.dtype).tobytes()
+        end = np.array([end_id], cache.dtype)
         doc_ids: list = []
-        coded: list[bytes] = []
+        coded: list[np.ndarray] = []
         held = 0
 
         def flush() -> dict:
-            ids = np.frombuffer(b"".join(coded), cache.dtype)
-            starts = np.cumsum([0, *map(len, coded)]) // cache.dtype.itemsize
+            ids = np.concatenate(coded)
+            starts = np.cumsum([0, *map(len, coded[::2])]) + np.arange(len(doc_ids) + 1)  # each document has its end id
             path = f"{folder}/ids-{shard:06d}-{segment:06d}.dac"
             size = put_file(path, dump(doc_ids, starts, ids))
             return {"shard": shard, "segment": segment, "path": path, "n_docs": len(doc_ids), "n_tokens": len(ids), "n_bytes": size}
 
         out = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = cache.encode(text.as_py()) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), in_order(cache, batch.column(1).to_pylist()), strict=True):
                 doc_ids.append(doc_id)
-                coded.append(data)
-                held += len(data) // cache.dtype.itemsize
+                coded += [ids, end]
+                held += len(ids) + 1
                 if held >= file_tokens:
                     out.append(flush())
                     segment, held = segment + 1, 0

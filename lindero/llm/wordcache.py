@@ -1,100 +1,75 @@
-"""Encoding of whole texts by a ``tokenizers`` file, with the ids of pre-tokens kept between texts.
+"""Encoding of whole texts by a ``tokenizers`` file.
 
 The merges of these tokenizers never cross a pre-token, so a text's ids are the ids of its pre-tokens in order. Each
-pre-token is encoded once by the library and then looked up. Texts for which splitting here could differ from the
-library (letters of scripts whose class depends on the Unicode version) and tokenizers of another build go through
-the library as a whole.
+pre-token is encoded by the library and then looked up (see :mod:`.pretokens`). Tokenizers of a build other than those
+two known here go through the library text by text.
 """
 
 from __future__ import annotations
 
 import json
-from array import array
 from functools import lru_cache
 from unicodedata import is_normalized, normalize
 
 import numpy as np
-import regex
 
-#: The split that a ByteLevel pre-tokenizer with its own regex makes (fixed value of that format).
-BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from .pretokens import VectorEncoder
 
-#: Texts with characters from here on go to the library.
-FAMILIAR = chr(0x530)
+#: Splits that are made here (fixed values of the file format).
+WORDS_AND_DIGITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: A character that sends a text to the library.
+UNFAMILIAR = chr(0xFFFF)
 
 
-def _same(text: str) -> str:
-    return text
-
-
-def _composed_lower(text: str) -> str | None:
-    """NFC, then lower case letter by letter. None where Python's lower case looks at a letter's neighbours."""
-    if "\u03a3" in text:
-        return None
+def _composed_lower(text: str) -> str:
+    """NFC, then lower case letter by letter. Text where Python's lower case looks at a letter's neighbours stays as it
+    is, with a mark that sends it to the library."""
+    if "Σ" in text:
+        return text + UNFAMILIAR
     return (text if is_normalized("NFC", text) else normalize("NFC", text)).lower()
 
 
 class WordCache:
-    """``encode(text)`` gives the ids as little-endian bytes of ``dtype``. At most ``limit`` pre-tokens are kept."""
-
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
-        self.limit = limit
-        self.known: dict[str, bytes] = {}
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        split = self._split(spec)
-        self.normalize = {"": _same, "NFC Replace Lowercase": _composed_lower}.get(" ".join(x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [spec["normalizer"]] if spec.get("normalizer") else [])))
-        self.find = regex.compile(split).findall if split and self.normalize else None
+            self.kind = self._kind(json.load(f))
+        self.vector = VectorEncoder(self.kind == "byte level", self._encode, None, self.dtype) if self.kind else None
 
     @staticmethod
-    def _split(spec: dict) -> str | None:
-        """The pattern of the pre-tokens, or None if this build is not one whose pre-tokens are matches of a pattern."""
-        pre = spec.get("pre_tokenizer") or {}
-        if (spec.get("model") or {}).get("dropout") or (spec.get("model") or {}).get("type") != "BPE":
+    def _kind(spec: dict) -> str | None:
+        pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+        if model.get("dropout") or model.get("type") != "BPE":
             return None
-        if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
-            return BYTE_LEVEL_SPLIT
+        if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec.get("normalizer"):
+            return "byte level"
         if pre.get("type") == "Sequence" and [x.get("type") for x in pre["pretokenizers"]] == ["Split", "ByteLevel"]:
             split, level = pre["pretokenizers"]
-            if split.get("behavior") == "Removed" and split.get("invert") and not level.get("use_regex") and not level.get("add_prefix_space"):
-                return split["pattern"].get("Regex")
+            steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+            if steps == ["NFC", "Replace", "Lowercase"] and split["pattern"].get("Regex") == WORDS_AND_DIGITS and split.get("behavior") == "Removed" and split.get("invert") and not level.get("use_regex") and not level.get("add_prefix_space"):
+                return "lower-case words"
         return None
 
-    def _pack(self, ids: list[int]) -> bytes:
-        return array(self.code, ids).tobytes()
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> dict[str, bytes] | None:
-        """A look-up that holds all ``words``; None if one of them is of an unfamiliar script."""
-        new = [w for w in words if w not in self.known]
-        if any(max(w) >= FAMILIAR for w in new):
-            return None
-        pack = self._pack
-        learned = {w: pack(code.ids) for w, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        if len(self.known) + len(new) <= self.limit:
-            self.known.update(learned)
-            return self.known
-        return learned | {w: self.known[w] for w in words if w in self.known}  # full: rare pre-tokens are not kept
-
-    def encode(self, text: str) -> bytes:
-        if self.find is not None and (plain := self.normalize(text)) is not None:
-            words = self.find(plain)
-            try:
-                return b"".join(map(self.known.__getitem__, words))
-            except KeyError:
-                if (look_up := self._learn(set(words))) is not None:
-                    return b"".join(map(look_up.__getitem__, words))
-        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.encode(text), self.dtype)
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, as ``dtype``."""
+        if self.vector is None:
+            return [np.array(self._whole(t), self.dtype) for t in texts]
+        plain = texts if self.kind == "byte level" else [_composed_lower(t) for t in texts]
+        originals = dict(zip(plain, texts, strict=True))
+        self.vector.encode_whole = lambda t: self._whole(originals[t])
+        return self.vector.encode_many(plain)
 
 
 @lru_cache(maxsize=4)
