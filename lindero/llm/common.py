@@ -72,21 +72,12 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def salted_lookup(rows: DataFrame, groups: DataFrame, key: str, spread: Column, hot: int = 4096, salts: int = 64) -> DataFrame:
-    """Left join of ``rows`` with one row per ``key`` in ``groups`` (which has ``group_size``), without a hot task.
-
-    Groups of over ``hot`` rows are copied under ``salts`` salts and their rows dealt over those by ``spread``,
-    so that a key with a third of all rows meets its group in many tasks. No row is dropped or repeated:
-    every row has one salt, and a small group carries salt 0 only. Rows of hot groups are told apart from the
-    groups' size, which the caller must have put on neither side; the size is found by a first join on the
-    hot keys alone, of which there are at most rows / hot.
+def salted_lookup(rows: DataFrame, groups: DataFrame, keys: list[str], spread: Column, salts: int = 8) -> DataFrame:
+    """Left join of ``rows`` with ``groups`` (one row per key), every key met in ``salts`` tasks instead of one.
+
+    The rows of a key are dealt over salts by ``spread`` and each group is there under every salt, so that a key with a
+    third of all rows is a third / ``salts`` of them in a task at most, before adaptive execution splits it further.
     """
-    hot_keys = groups.filter(F.col("group_size") > hot).select(key).withColumn("_hot", F.lit(True))
-    # One row per hot key: a fraction 1/hot of the rows at most. Without a proof that they fit, the join stays a shuffle;
-    # adaptive execution turns it into a broadcast when the measured size is under the session's threshold.
-    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    keyed = rows.withColumn("_salt", salt)
-    left = groups.withColumn("_salts", F.when(F.col("group_size") > hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(-1))))
-    left = left.withColumn("_salt", F.explode("_salts")).drop("_salts")
-    flagged = keyed.join(hot_keys, key, "left").withColumn("_salt", F.when(F.col("_hot"), F.col("_salt")).otherwise(F.lit(-1))).drop("_hot")
-    return flagged.join(left, [key, "_salt"], "left").drop("_salt")
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [*keys, "_salt"], "left").drop("_salt")

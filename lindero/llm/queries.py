@@ -38,10 +38,22 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2, capacity=4096)
 
 
+def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chunk_dedup import exact_groups
+
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_codes": op1_token_codes,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_packing": op7_packing,
+    "op10_chunk_dedup": op10_chunk_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_chunk_dedup": r"""
+        WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
+        FROM t WINDOW w AS (PARTITION BY text_sha256)""",
+}
