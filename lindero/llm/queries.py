@@ -38,6 +38,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2, capacity=4096)
 
 
+def op9_warc_zst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc_zst import op9
+
+    return op9(table(spark, sf_dir, "pages"))
+
+
 def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chunk_dedup import exact_groups
 
@@ -48,6 +54,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_codes": op1_token_codes,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_packing": op7_packing,
+    "op9_warc_zst": op9_warc_zst,
     "op10_chunk_dedup": op10_chunk_dedup,
 }
 
