@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .common import text_of
+from .pretokens import in_order
 from .wordcache import word_cache
 
 #: Ids in remainders after which a window is packed: bounds a task's memory.
@@ -137,8 +138,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096,
             return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, kinds, strict=True)], names=[n for n, _ in kinds])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.concatenate([cache.ids(text.as_py()), end])
+            for doc_id, ids in zip(batch.column(0).to_pylist(), in_order(cache, batch.column(1).to_pylist()), strict=True):
+                ids = np.concatenate([ids, end])
                 for start in range(0, len(ids) - capacity + 1, capacity):
                     put((doc_id, start, ids[start : start + capacity], len(ids)), 0)
                     sequence += 1
