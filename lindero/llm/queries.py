@@ -24,6 +24,12 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
 
 
+def op2_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .tiff import store_texts, stored_digests
+
+    return stored_digests(store_texts(table(spark, sf_dir, "documents")))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,6 +58,7 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_codes": op1_token_codes,
+    "op2_tiff": op2_tiff,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_packing": op7_packing,
     "op9_warc_zst": op9_warc_zst,
