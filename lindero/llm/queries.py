@@ -38,6 +38,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import op6
+
+    return op6(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -60,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_codes": op1_token_codes,
     "op2_tiff": op2_tiff,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op9_warc_zst": op9_warc_zst,
     "op10_chunk_dedup": op10_chunk_dedup,
