@@ -50,6 +50,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2, capacity=4096)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import op8
+
+    return op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_warc_zst(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc_zst import op9
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_warc_zst": op9_warc_zst,
     "op10_chunk_dedup": op10_chunk_dedup,
 }
