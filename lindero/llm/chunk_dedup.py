@@ -149,7 +149,7 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
     candidates = written(salted_lookup(rows, shared, ["recipe"], F.col("row")).filter("n is not null").select("row", "doc_id", "recipe", "text_sha256"), "candidates")
 
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    texts = docs.select(key.alias("key"), text_of().alias("text")).join(candidates.select(key.alias("key")).distinct(), "key", "left_semi").select("text")
+    texts = docs.select(key.alias("key"), text_of().alias("text")).join(candidates.select(key.alias("key")).distinct().hint("merge"), "key", "left_semi").select("text")
     once = _occurrences(texts, digest_bytes, every=False).select("digest", "data")
     collided = written(once.repartition(partitions_of(docs), "digest").sortWithinPartitions("digest", "data").mapInArrow(_collisions, _COLLIDED), "collided")
 
