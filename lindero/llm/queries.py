@@ -38,6 +38,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_groups import similarity_components
+
+    return similarity_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import op6
 
@@ -72,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_codes": op1_token_codes,
     "op2_tiff": op2_tiff,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_jaccard_groups": op5_jaccard_groups,
     "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
