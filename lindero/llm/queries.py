@@ -30,6 +30,12 @@ def op2_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_digests(store_texts(table(spark, sf_dir, "documents")))
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .surrogates import with_surrogates
+
+    return with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -77,6 +83,7 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_codes": op1_token_codes,
     "op2_tiff": op2_tiff,
+    "op3_surrogates": op3_surrogates,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_jaccard_groups": op5_jaccard_groups,
     "op6_language_id": op6_language_id,
