@@ -32,7 +32,7 @@ FAMILY_OF = {lang: name for name, langs in FAMILIES.items() for lang in langs.sp
 UNDETERMINED = "und"
 
 #: Hashed features, and the most labelled rows a classifier is fitted on: so many of each language, so many in all.
-DIMENSIONS, ROWS_PER_LANGUAGE, ROWS_IN_ALL = 1 << 13, 800, 6400
+DIMENSIONS, ROWS_PER_LANGUAGE, ROWS_IN_ALL = 1 << 13, 500, 3000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -62,9 +62,10 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
 def svm(x: np.ndarray, y: np.ndarray, penalty: float = 10.0, rounds: int = 60) -> np.ndarray:
     """Weights (the last is the bias) of a linear machine with squared hinge loss for labels -1 and 1, by conjugate
     gradients on the rows inside the margin (a Newton method; each round solves for the rows that count now)."""
-    n, d = x.shape
-    w = np.zeros(d + 1)
-    cost = np.where(y > 0, penalty / max(1, (y > 0).sum()), penalty / max(1, (y < 0).sum())) * 100
+    d = x.shape[1]
+    w = np.zeros(d + 1, x.dtype)  # all in the precision of x, so that no step copies x into another
+    y = y.astype(x.dtype)
+    cost = (np.where(y > 0, penalty / max(1, (y > 0).sum()), penalty / max(1, (y < 0).sum())) * 100).astype(x.dtype)
 
     def margins(w: np.ndarray) -> np.ndarray:
         return y * (x @ w[:-1] + w[-1])
@@ -77,7 +78,7 @@ def svm(x: np.ndarray, y: np.ndarray, penalty: float = 10.0, rounds: int = 60) -
         xa, ya, ca = x[active], y[active], cost[active]
         error = ca * (xa @ w[:-1] + w[-1] - ya)
         gradient = w + np.append(xa.T @ error, error.sum())
-        step = np.zeros(d + 1)
+        step = np.zeros(d + 1, x.dtype)
         residual = -gradient
         direction, norm = residual.copy(), residual @ residual
         if norm < 1e-6:
@@ -93,11 +94,11 @@ def svm(x: np.ndarray, y: np.ndarray, penalty: float = 10.0, rounds: int = 60) -
                 break
             direction, norm = residual + after / norm * direction, after
         scale, before = 1.0, loss(w)
-        while scale > 1e-4 and loss(w + scale * step) > before:
+        while scale > 1e-4 and loss(w + x.dtype.type(scale) * step) > before:
             scale /= 2
         if scale <= 1e-4:
             break
-        w = w + scale * step
+        w = w + x.dtype.type(scale) * step
     return w
 
 
