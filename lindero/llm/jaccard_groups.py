@@ -24,7 +24,13 @@ from pyspark.sql import functions as F
 from .common import partitions_of, salted_lookup, text_of, written
 
 #: Sets in a part of a group, queries against a part in one task.
-PART, QUERIES = 64, 512
+PART, QUERIES = 256, 1024
+#: Min-hashes in a group's sketch; tokens that two sets must share among their first ones (fewer at low thresholds).
+SKETCH, SHARED = 2, 4
+#: Members from which a group counts as large.
+LARGE = 16
+#: Min-hashes by which a group's center is found.
+CENTER = 16
 #: Frequent tokens are counted in blocks of so many tokens, from so many texts of a block on; the most frequent ones, at
 #: most this many, come last in the order. The order changes only the cost, never the result; its size is bounded.
 COUNT_BLOCK, COUNT_LEAST, FREQUENT = 1 << 20, 6, 150_000
@@ -87,8 +93,14 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def shared_tokens(percent: int) -> int:
+    """Tokens that any two different sets within the threshold share among their first ones: as many more come into
+    the prefix, so that at least so many of it are common; two such sets have percent / (100 - percent) in common."""
+    return max(1, min(SHARED, -(-percent // (100 - percent)))) if percent < 100 else 1
+
+
 def prefix_length(n: int, percent: int) -> int:
-    return n - least_overlap(n, percent) + 1
+    return n - least_overlap(n, percent) + shared_tokens(percent)
 
 
 def similar(common: np.ndarray | int, n: int, m: np.ndarray | int, percent: int):
@@ -107,7 +119,10 @@ def _prefix(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarra
 
 def _sketch(s: np.ndarray) -> int:
     with np.errstate(over="ignore"):
-        return int(_mixed(np.array([_mixed(s * _M2).min() ^ (_mixed(s * _M1 + _M2).min() * _M1)], np.uint64)).view(np.int64)[0])
+        out = np.zeros(1, np.uint64)
+        for k in range(1, SKETCH + 1):
+            out = _mixed(out * _M1 + _mixed(s * _M2 + np.uint64(k) * _M1).min())
+        return int(out.view(np.int64)[0])
 
 
 _PROFILE = [("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()), ("g", pa.int64()), ("text_key", pa.int64()), ("token", pa.int64()), ("texts", pa.int64())]
@@ -145,83 +160,94 @@ def _profiles(docs: DataFrame, size: int) -> DataFrame:
         if block:
             yield counted()
 
-    source = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
+    source = docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", text_of()).alias("text_key"), text_of().alias("text"))
     return source.mapInArrow(run, "doc_id long, n long, set_id binary, g long, text_key long, token long, texts long")
 
 
+_MATRIX = [("token", pa.int64()), ("n", pa.int32()), ("g", pa.int64()), ("place", pa.int32())]
+
+
 def _matrix(docs: DataFrame, size: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(token, g): the groups that hold a token among the first ones of a member."""
+    """(token, n, g, place): the groups that hold a token, for its place among the first tokens of a member with ``n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+
+        def rows(held: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
+            lengths = [len(h[0]) for h in held]
+            columns = (np.concatenate([h[0] for h in held]).view(np.int64), np.repeat(np.array([h[1] for h in held], np.int32), lengths), np.repeat(np.array([h[2] for h in held], np.int64), lengths), np.concatenate([np.arange(n, dtype=np.int32) for n in lengths]))
+            return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=[x for x, _ in _MATRIX])
+
         for batch in batches:
-            tokens, groups, held = [], [], 0
+            held: list[tuple[np.ndarray, int, int]] = []
+            size_held = 0
             for text in batch.column(0):
                 s = shingles(text.as_py(), size)
-                digest = s.tobytes() if len(s) < 3 else hashlib.blake2b(s, digest_size=16).digest()
+                digest = hashlib.blake2b(s, digest_size=16).digest()
                 if not len(s) or digest in seen:
                     continue
                 if len(seen) >= 100_000:
                     seen.clear()
                 seen.add(digest)
                 first = _prefix(s, frequent, percent)
-                tokens.append(first)
-                groups.append(np.full(len(first), _sketch(s)))
-                held += len(first)
-                if held > 500_000:
-                    yield _pairs(np.concatenate(tokens).view(np.int64), np.concatenate(groups), ["token", "g"])
-                    tokens, groups, held = [], [], 0
+                held.append((first, len(s), _sketch(s)))
+                size_held += len(first)
+                if size_held > 500_000:
+                    yield rows(held)
+                    held, size_held = [], 0
             if held:
-                yield _pairs(np.concatenate(tokens).view(np.int64), np.concatenate(groups), ["token", "g"])
-
-    return docs.select(text_of().alias("text")).mapInArrow(run, "token long, g long")
+                yield rows(held)
 
+    return docs.select(text_of().alias("text")).mapInArrow(run, "token long, n int, g long, place int")
 
-def _pairs(a: np.ndarray, b: np.ndarray, names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=names)
 
+def _meetings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of rows of the matrix sorted by token and n: pairs of groups and how many tokens they share in members that can
+    be similar.
 
-def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (token, g) sorted by both: pairs of different groups that hold one token, about once each."""
-    rest = np.zeros((2, 0), np.int64)
-
-    def pairs(run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for i in range(1, len(run)):
-            yield np.full(i, run[i]), run[:i]
-
-    def batch_of(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        both = np.unique(np.stack([np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])]), axis=1)
-        return _pairs(both.max(0), both.min(0), ["a", "b"])
-
-    def met(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        keep = np.ones(rows.shape[1], bool)
-        keep[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)
-        rows = rows[:, keep]
-        edges = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1], [True]]))
-        lengths = np.diff(edges)
-        two = edges[:-1][lengths == 2]
-        held = [(rows[1, two], rows[1, two + 1])] if len(two) else []
-        size = len(two)
-        for first, n in zip(edges[:-1][lengths > 2].tolist(), lengths[lengths > 2].tolist(), strict=True):
-            for pair in pairs(rows[1, first : first + n]):
-                held.append(pair)
-                size += len(pair[0])
-                if size > 200_000:
-                    yield batch_of(held)
-                    held, size = [], 0
-        if size:
-            yield batch_of(held)
-
+    Their sizes must fit, and with that token as one of the first that they share, what stands behind its places in
+    both must be enough for the least overlap. Rows of a token are kept only as long as a later one can fit their size.
+    """
+    rest = np.zeros((4, 0), np.int64)
+    slack = shared_tokens(percent) - 1
     for batch in batches:
-        rows = np.concatenate([rest, np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])], axis=1)
-        if not rows.shape[1]:
+        rows = np.concatenate([rest, np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])], axis=1)
+        token, n, g, place = rows
+        old, total = rest.shape[1], rows.shape[1]
+        if not total:
             continue
-        last = int(np.searchsorted(rows[0], rows[0, -1]))  # the last token may go on in the next batch
-        if last:
-            yield from met(rows[:, :last])
-        rest = rows[:, last:]
-    if rest.shape[1]:
-        yield from met(rest)
+        first, found, size = np.arange(total - 1), [], 0
+        for step in range(1, total):
+            first = first[first + step < total]
+            second = first + step
+            fits = (token[first] == token[second]) & (100 * n[first] >= percent * n[second])
+            first = first[fits]  # sizes only grow with the step
+            if not len(first):
+                break
+            second = first + step
+            least = -(-percent * (n[first] + n[second]) // (100 + percent))
+            good = (second >= old) & (g[first] != g[second]) & (np.minimum(n[first] - place[first], n[second] - place[second]) >= least - slack)
+            if good.any():
+                a, b = g[first[good]], g[second[good]]
+                found.append(np.stack([np.maximum(a, b), np.minimum(a, b), token[first[good]]]))
+                size += int(good.sum())
+                if size > 200_000:
+                    yield _unique_pairs(found)
+                    found, size = [], 0
+        if found:
+            yield _unique_pairs(found)
+        rest = rows[:, (token == token[-1]) & (100 * n >= percent * n[-1])]
+
+
+def _unique_pairs(found: list[np.ndarray]) -> pa.RecordBatch:
+    """Pairs and their numbers of tokens; a token that several members bring counts once, unless it comes in pieces
+    (then the number is too high, which lets a pair through that a closer look drops)."""
+    rows = np.concatenate(found, axis=1)
+    rows = rows[:, np.lexsort(rows[::-1])]
+    new = np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(0)])
+    rows = rows[:2, new]
+    edge = np.flatnonzero(np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(0), [True]]))
+    return pa.RecordBatch.from_arrays([pa.array(rows[0, edge[:-1]]), pa.array(rows[1, edge[:-1]]), pa.array(np.diff(edge))], names=["a", "b", "shared"])
 
 
 def _tokens(texts: DataFrame, size: int) -> DataFrame:
@@ -293,6 +319,28 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
+def _centers(sets: DataFrame) -> DataFrame:
+    """(g, center): the member whose min-hashes most members of its group share; its other tokens are few."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                found = []
+                with np.errstate(over="ignore"):
+                    for data in part.column(2):
+                        s = np.frombuffer(data.as_py(), np.uint64)
+                        found.append([_mixed(s * _M2 + np.uint64(k + 100) * _M1).min() for k in range(CENTER)])
+                values = np.array(found, np.uint64).reshape(-1).view(np.int64)
+                each = np.repeat(np.arange(part.num_rows), CENTER)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(each)), part.column(1).take(pa.array(each)), pa.array(np.tile(np.arange(CENTER, dtype=np.int32), part.num_rows)), pa.array(values)], names=["sid", "g", "k", "v"])
+
+    hashes = written(sets.select("sid", "g", "tokens").mapInArrow(run, "sid long, g long, k int, v long"), "center-hashes")
+    popular = hashes.groupBy("g", "k", "v").agg(F.count("*").alias("times")).filter("times > 1")
+    scores = salted_lookup(hashes, popular, ["g", "k", "v"], F.col("sid")).groupBy("g", "sid").agg(F.sum(F.coalesce("times", F.lit(1))).alias("score"))
+    return scores.groupBy("g").agg(F.max(F.struct("score", (-F.col("sid")).alias("neg"))).alias("m")).select("g", (-F.col("m.neg")).alias("center"))
+
+
 def _opened(queries: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """Links of ``queries`` (part_id, chunk, sid, label, tokens) with members of ``parts`` (part_id, chunk, sid, label, tokens)."""
 
@@ -301,17 +349,23 @@ def _opened(queries: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
         members = [(sid, label, np.frombuffer(t, np.uint64)) for sid, label, t in zip(*(right.column(c).to_pylist() for c in ("sid", "label", "tokens")), strict=True)]
         union = np.unique(np.concatenate([m[2] for m in members])) if members else np.zeros(0, np.uint64)
         sizes = np.array([len(m[2]) for m in members])
+        roots: dict[int, int] = {}  # labels that links found here have joined
+
+        def root(x: int) -> int:
+            while (up := roots.get(x, x)) != x:
+                roots[x] = x = roots.get(up, up)
+            return x
+
         for sid, label, data in zip(*(left.column(c).to_pylist() for c in ("sid", "label", "tokens")), strict=True):
             q = np.frombuffer(data, np.uint64)
             bound = _common(q, union)  # no member shares more
             if bound < least_overlap(len(q), percent):
                 continue
-            done: set[int] = {label}
             for k in np.flatnonzero(np.minimum(sizes, len(q)) * 100 >= np.maximum(sizes, len(q)) * percent).tolist():
                 other, its, tokens = members[k]
-                if its not in done and similar(_common(q, tokens), len(q), len(tokens), percent):
+                if root(its) != root(label) and similar(_common(q, tokens), len(q), len(tokens), percent):
                     found.append((sid, other))
-                    done.add(its)
+                    roots[root(its)] = root(label)
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
     queries = queries.select([F.col(c).alias(c) for c in queries.columns])  # both sides may stem from one table
@@ -333,20 +387,22 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
 
     sets = rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("g").alias("g"), F.min("text_key").alias("text_key"))
     sets = written(sets.withColumn("sid", F.monotonically_increasing_id()), "sets")
-    groups = sets.groupBy("g").agg(F.count("*").alias("members"), F.min("sid").alias("pivot"))
+    groups = sets.groupBy("g").agg(F.count("*").alias("members"), F.min("sid").alias("least"))
 
     matrix = _matrix(docs, size, percent, frequent)
-    meetings = matrix.repartition(max(partitions_of(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "token").sortWithinPartitions("token", "g").mapInArrow(_meetings, "a long, b long")
-    meetings = written(meetings.distinct(), "meetings")
+    meetings = matrix.repartition(max(partitions_of(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "token").sortWithinPartitions("token", "n").mapInArrow(lambda batches: _meetings(batches, percent), "a long, b long, shared long")
+    meetings = written(meetings.groupBy("a", "b").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= shared_tokens(percent)).select("a", "b"), "meetings")
 
     many = groups.filter("members > 1")
     needed = many.select("g").unionByName(meetings.select(F.col("a").alias("g"))).unionByName(meetings.select(F.col("b").alias("g"))).distinct()
     wanted = written(salted_lookup(sets, needed.withColumn("_in", F.lit(True)), ["g"], F.col("sid")).filter("_in").drop("_in", "first"), "wanted")
-    texts = docs.select(F.xxhash64(text_of()).alias("text_key"), text_of().alias("text")).join(wanted.select("text_key").distinct().hint("merge"), "text_key", "left_semi").select("text")
-    # A set with many texts comes once for each of the texts' spellings at most; one row a set stays.
-    tokens = _tokens(texts.dropDuplicates(["text"]), size)
+    # One text a set moves: that of the row with the smallest key.
+    texts = docs.select(F.xxhash64("doc_id", text_of()).alias("text_key"), text_of().alias("text")).join(wanted.select("text_key").distinct().hint("merge"), "text_key", "left_semi").select("text")
+    tokens = _tokens(texts, size)
     held = written(wanted.select("set_id", "sid", "g", "n").join(tokens.hint("merge"), "set_id").dropDuplicates(["sid"]).select("sid", "g", "n", "tokens"), "tokens")
 
+    groups = written(groups.join(_centers(salted_lookup(held, many.select("g", "members"), ["g"], F.col("sid")).filter("members > 1")), "g", "left").select("g", "members", F.coalesce("center", "least").alias("pivot")), "groups")
+    many = groups.filter("members > 1")
     to_pivot = salted_lookup(held.select("sid", "g"), many.select("g", "pivot"), ["g"], F.col("sid")).filter("pivot <> sid").select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
     pivots = groups.select("g", "pivot")
     between = salted_lookup(meetings, pivots.select(F.col("g").alias("a"), F.col("pivot").alias("x")), ["a"], F.col("b"))
@@ -354,12 +410,27 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     links = written(_verified(to_pivot.unionByName(between), held.select("sid", "n", "tokens"), percent), "pivot-links")
     label = components(links)
 
-    # What pivots did not connect: queries of one group against the parts of another, or of its own.
-    labelled = held.select("sid", "g", "n").join(label.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "g", F.coalesce("component", "sid").alias("label"))
-    members = salted_lookup(labelled, groups.select("g", "members"), ["g"], F.col("sid"))
+    # Members against the pivot of the largest group that theirs meets.
+    met = meetings.unionByName(meetings.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    hubs = salted_lookup(met, groups.select(F.col("g").alias("b"), "members", "pivot"), ["b"], F.col("a")).groupBy("a").agg(F.max(F.struct("members", "pivot", "b")).alias("hub")).select("a", "hub.*")
+    labels = held.select("sid", "g").join(label.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "g", F.coalesce("component", "sid").alias("label"))
+    to_hub = salted_lookup(labels, hubs.select(F.col("a").alias("g"), "pivot"), ["g"], F.col("sid")).filter("pivot is not null")
+    to_hub = salted_lookup(to_hub, labels.select(F.col("sid").alias("pivot"), F.col("label").alias("its")), ["pivot"], F.col("sid")).filter("label <> its").select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
+    links = links.unionByName(written(_verified(to_hub, held.select("sid", "n", "tokens"), percent), "hub-links"))
+    label = components(links)
+
+    # What pivots did not connect: queries of one group against the parts of another, or of its own. Small groups that
+    # meet a large one count as part of it here, which makes fewer parts.
+    large = hubs.filter(F.col("members") >= LARGE).select(F.col("a").alias("g"), F.col("b").alias("to"), F.col("members").alias("hub_members"))
+    home = groups.select("g", "members").join(large, "g", "left").select("g", F.when(F.col("hub_members") > F.col("members"), F.col("to")).otherwise(F.col("g")).alias("home"))
+    labelled = held.select("sid", "g").join(label.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "g", F.coalesce("component", "sid").alias("label"))
+    labelled = salted_lookup(labelled, home, ["g"], F.col("sid")).select("sid", F.col("home").alias("g"), "label")
+    members = salted_lookup(labelled, labelled.groupBy("g").agg(F.count("*").alias("members")), ["g"], F.col("sid"))
     members = written(members.withColumn("part_id", F.xxhash64("g", F.pmod(F.xxhash64(F.lit(5), "sid"), F.ceil(F.col("members") / PART)))), "members")
     spans = members.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.first("members").alias("members"))
-    ways = meetings.unionByName(meetings.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(many.select(F.col("g").alias("a"), F.col("g").alias("b")))
+    ways = salted_lookup(met, home.toDF("a", "home_a"), ["a"], F.col("b"))
+    ways = salted_lookup(ways, home.toDF("b", "home_b"), ["b"], F.col("a")).select(F.col("home_a").alias("a"), F.col("home_b").alias("b"))
+    ways = ways.unionByName(spans.filter("members > 1").select(F.col("g").alias("a"), F.col("g").alias("b"))).distinct()
     ways = salted_lookup(ways, spans.toDF("a", "low_a", "high_a", "members_a"), ["a"], F.col("b"))
     ways = salted_lookup(ways, spans.toDF("b", "low_b", "high_b", "members_b"), ["b"], F.col("a"))
     ways = ways.filter("(members_a > 1 or members_b > 1) and (low_a <> high_a or low_b <> high_b or low_a <> low_b)").select("a", "b")
