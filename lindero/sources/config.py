@@ -16,7 +16,7 @@ SOURCE_DEFAULTS = {"timeout_seconds": 20.0, "archiver_enabled": True, "harvest_e
 
 
 def with_defaults(sources: DataFrame) -> DataFrame:
-    return sources.na.fill(SOURCE_DEFAULTS)
+    return sources.na.fill({k: v for k, v in SOURCE_DEFAULTS.items() if k in sources.columns})
 
 
 def validated(df: DataFrame, required: tuple[str, ...]) -> DataFrame:
