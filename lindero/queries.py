@@ -145,14 +145,14 @@ def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", urls.domain_name(u).alias("domain"), urls.on_domain(u, F.lit("example.com")).alias("on_domain"))
 
 
-@query(r"""WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1)) AS link, generate_subscripts(regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1), 1) - 1 AS place FROM pages)
+@query(r"""WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1)) AS link, CAST(generate_subscripts(regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1), 1) - 1 AS INTEGER) AS place FROM pages)
     SELECT page_id, place, trim(link, ' ') AS link FROM l WHERE trim(link, ' ') <> ''""")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.links_of(table(spark, sf_dir, "pages").select("page_id", "url", "html"), markdown=None).select("page_id", "place", "link")
 
 
 _SQL_LINKS = r"""
-    l AS (SELECT page_id, url, trim(unnest(regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1)), ' ') AS link, generate_subscripts(regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1), 1) - 1 AS place FROM pages),
+    l AS (SELECT page_id, url, trim(unnest(regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1)), ' ') AS link, CAST(generate_subscripts(regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1), 1) - 1 AS INTEGER) AS place FROM pages),
     a AS (SELECT *, CASE WHEN regexp_matches(link, '^[^:/?#]+:') THEN link WHEN starts_with(link, '//') THEN regexp_extract(url, '^([^:/?#]+):', 1) || ':' || link
           WHEN starts_with(link, '/') THEN regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) || link
           WHEN starts_with(link, '?') THEN regexp_extract(url, '^([^?#]*)', 1) || link WHEN starts_with(link, '#') THEN regexp_extract(url, '^([^#]*)', 1) || link
@@ -483,7 +483,7 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.try_element_at(m, F.lit("k")).cast("int").alias("k"), F.try_element_at(m, F.lit("name")).alias("name"))
 
 
-@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_size * 1000 + 200 WHEN 1 THEN p_size ELSE NULL END AS m2, CASE p_partkey % 3 WHEN 0 THEN p_size * 1000.0 + 500.5 WHEN 1 THEN 50.0 ELSE NULL END AS price FROM part")
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_size * 1000 + 200 WHEN 1 THEN p_size ELSE NULL END AS m2, CAST(CASE p_partkey % 3 WHEN 0 THEN p_size * 1000.0 + 500.5 WHEN 1 THEN 50.0 ELSE NULL END AS DOUBLE) AS price FROM part")
 def legacy_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("p_size").cast("string")
     t = F.element_at(F.array(F.concat(n, F.lit(".200 m² "), n, F.lit(".500,50 €")), F.concat(n, F.lit(",7 m2 por 50 €")), F.lit("a consultar")), (F.col("p_partkey") % 3 + 1).cast("int"))
