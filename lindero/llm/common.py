@@ -47,6 +47,22 @@ def partitions_of(df: DataFrame) -> int:
     return max(1, df.rdd.getNumPartitions())
 
 
+#: Rows and bytes of the Arrow batches that texts are handed to Python in. Spark's default is 10,000 rows, however long.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def limit_batches(df: DataFrame) -> DataFrame:
+    """``df``; the session's Arrow batches are limited to BATCH_ROWS and BATCH_BYTES unless they are smaller already, so
+    that a batch of very long texts does not outgrow a worker."""
+    conf = df.sparkSession.conf
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(name, None)
+        number = int(now) if now and now.lstrip("-").isdigit() else 0
+        if not 0 < number <= most:
+            conf.set(name, str(most))
+    return df
+
+
 def filesystem(uri: str):
     """(pyarrow file system, path in it) for any store that pyarrow knows."""
     from pyarrow import fs

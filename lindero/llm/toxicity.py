@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import limit_batches, text_of, written
 
 #: Most toxic rows (of clean ones twice as many) and most unlabelled rows a model is fitted on, and most terms in its lexicons.
 LABELLED_ROWS, UNLABELLED_ROWS, TERMS = 6000, 6000, 2000
 STEMS = (4, 5, 6)
+#: Terms that a task counts before it hands them on: bounds its memory.
+COUNTED_TERMS = 100_000
 WORD_LISTS, STEM_LISTS = 8, 4
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -145,8 +147,11 @@ class Model:
 
 
 def _smallest(rows: DataFrame, n: int, spread: Column) -> DataFrame:
-    """The ``n`` rows with the smallest hash."""
-    return rows.withColumn("_h", F.xxhash64(F.lit(11), spread)).orderBy("_h").limit(n).drop("_h")
+    """The ``n`` rows with the smallest hash. Only rows in the part of the hash range that holds about so many are sorted."""
+    total = max(1, rows.count())
+    share = min(1.0, (1.3 * n + 100) / total)
+    place = F.pmod(F.xxhash64(F.lit(11), spread), F.lit(1 << 40))
+    return rows.withColumn("_h", place).filter(F.col("_h") < int(share * (1 << 40))).orderBy("_h").limit(n).drop("_h")
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, labelled: int = LABELLED_ROWS, unlabelled: int = UNLABELLED_ROWS, max_terms: int = TERMS) -> Model:
@@ -158,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, labelled: int = LABEL
     """
     own = labels.filter(learn & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     picked = _smallest(own.filter("toxic = 1"), labelled, F.col("doc_id")).unionByName(_smallest(own.filter("toxic = 0"), 2 * labelled, F.col("doc_id")))
-    texts = docs.select("doc_id", text_of().alias("text"))
+    texts = limit_batches(docs).select("doc_id", text_of().alias("text"))
     # The picked labels are three times ``labelled`` rows at most: that bound makes the broadcast safe.
     sample = texts.join(F.broadcast(picked), "doc_id").select("text", "toxic").dropDuplicates(["text", "toxic"])
     others = _smallest(docs.filter(learn).select(text_of().alias("text")), unlabelled, F.col("text")).withColumn("toxic", F.lit(-1))
@@ -166,16 +171,22 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, labelled: int = LABEL
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies = (Counter(), Counter())
+
+        def told() -> pa.RecordBatch:
+            terms = list({**tallies[0], **tallies[1]})
+            out = pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([t[x] for x in terms], pa.int64()) for t in tallies)], names=["term", "clean", "toxic"])
+            for t in tallies:
+                t.clear()
+            return out
+
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if toxic >= 0:
                     tallies[toxic].update(terms_of(words_of(text)))
-        terms = list(tallies[1])
-        if terms:
-            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array([tallies[0][t] for t in terms], pa.int64()), pa.array([tallies[1][t] for t in terms], pa.int64())], names=["term", "clean", "toxic"])
-        rest = [t for t in tallies[0] if t not in tallies[1] and tallies[0][t] > 1]
-        if rest:
-            yield pa.RecordBatch.from_arrays([pa.array(rest), pa.array([tallies[0][t] for t in rest], pa.int64()), pa.array([0] * len(rest), pa.int64())], names=["term", "clean", "toxic"])
+                    if len(tallies[0]) + len(tallies[1]) > COUNTED_TERMS:
+                        yield told()
+        if tallies[0] or tallies[1]:
+            yield told()
 
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
@@ -214,7 +225,7 @@ def score(docs: DataFrame, model: Model, held_out: Column | None = None, keep: b
     """
     held = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
     others = [c for c in docs.columns if c not in ("held_out", "score", "predicted")] if keep else ["doc_id"]
-    source = docs.select(*others, held.alias("held_out"), text_of().alias("_text"))
+    source = limit_batches(docs).select(*others, held.alias("held_out"), text_of().alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
