@@ -20,7 +20,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import filesystem, text_of
+from .common import filesystem, limit_batches, text_of
 from .pretokens import BYTE_LEVEL_SPLIT, VectorEncoder, in_order
 
 _MIX, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -148,7 +148,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids = [x.astype(np.int32) for x in in_order(bpe, part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    return limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -160,7 +160,7 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
             data = [bpe.decode(np.array(x.as_py() or [], np.int64)) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["doc_id", "bytes"])
 
-    return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
+    return limit_batches(coded).select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
 
 
 def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -176,4 +176,4 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 decoded.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

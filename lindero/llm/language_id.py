@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_of
+from .common import limit_batches, schema_of
 
 #: Families of languages by code (fixed values); any other language is a family of its own.
 FAMILIES = {
@@ -156,7 +156,7 @@ def fit(docs: DataFrame, learn: Column, per_language: int = ROWS_PER_LANGUAGE, i
     Of each language at most ``per_language`` rows are used (fewer if there are many languages: ``in_all`` in all),
     those with the smallest hash of their text; only they are gathered. Without labelled rows every text is ``und``.
     """
-    own = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    own = limit_batches(docs).filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     sizes = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(in_all // 2).collect()
     if not sizes:
         return Hierarchy(Votes([]), {})
@@ -194,7 +194,7 @@ def predict(docs: DataFrame, model: Hierarchy, held_out: Column) -> DataFrame:
             found = [model.predict(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return limit_batches(docs).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def op6(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import limit_batches, text_of, written
 
 #: Tags and values of the format (fixed values).
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279
@@ -302,7 +302,7 @@ def tiff_pages(media: DataFrame, column: str = "media") -> DataFrame:
     come; an empty table gives no rows. Other columns whose names clash with the page columns are left out.
     """
     kept = [c for c in media.columns if c != column and c not in dict(_PAGES)]
-    source = media.select(*kept, column)
+    source = limit_batches(media).select(*kept, column)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,7 +375,7 @@ def store_texts(docs: DataFrame) -> DataFrame:
                 media = [media_of(payload_of(t)) for t in texts]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    return written(docs.select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary"), "tiff")
+    return written(limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary"), "tiff")
 
 
 def stored_digests(media: DataFrame) -> DataFrame:
@@ -393,4 +393,4 @@ def stored_digests(media: DataFrame) -> DataFrame:
             names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_pages"]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True))], names=["doc_id", "n_bytes", *names])
 
-    return media.select("doc_id", "n_bytes", F.col("media")).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_pages int")
+    return limit_batches(media).select("doc_id", "n_bytes", F.col("media")).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_pages int")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import filesystem, partitions_of, put_file, text_of, work_dir, written
+from .common import filesystem, limit_batches, partitions_of, put_file, text_of, work_dir, written
 from .pretokens import in_order
 from .wordcache import word_cache
 
@@ -148,7 +148,7 @@ def write_codes(docs: DataFrame, tokenizer: str, end_id: int, folder: str, file_
     one task. A null text is empty and has the end id alone; a null doc_id comes first and is read back as null; rows
     that repeat are all written; an empty table has no files. Other columns are not read.
     """
-    n = partitions_of(docs)
+    n = partitions_of(limit_batches(docs))
     rows = docs.select("doc_id", text_of().alias("text")).withColumn("_tie", F.xxhash64("text"))
     rows = rows.repartitionByRange(n, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
 

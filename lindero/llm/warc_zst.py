@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filesystem, partitions_of, put_file, salted_lookup, work_dir, written
+from .common import filesystem, limit_batches, partitions_of, put_file, salted_lookup, work_dir, written
 
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
 #: Records that a file's dictionary is made from, the dictionary's size, and uncompressed bytes after which a file ends.
@@ -175,7 +175,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, date: str = "1
     rows without page_id are, too, unless a row with one has their payload. An empty table has no files. Digests are
     counted before pages move; a payload that many pages share is met under salts.
     """
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"))
+    rows = limit_batches(pages).select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
     groups = rows.filter(F.col("size") >= least).groupBy("sha", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     dealt = salted_lookup(rows, groups, ["sha", "size"], F.col("page_id"))
