@@ -18,12 +18,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions_of, salted_lookup, text_of, written
+from .common import limit_batches, partitions_of, salted_lookup, text_of, written
 
 #: Chunks have at least LEAST bytes (but the last) and at most MOST; a cut comes once in 2**CUT_BITS bytes on average.
 LEAST, MOST, CUT_BITS = 1024, 32768, 12
 #: Bytes of chunks that a task keeps to skip those it has already sent.
-KEPT_BYTES = 32 << 20
+KEPT_BYTES = 8 << 20
 _SPACES = bytes(0x20 if 9 <= c <= 13 else c for c in range(256))
 _GEAR = np.array([xxhash.xxh32_intdigest(bytes([c]), seed=7) for c in range(256)], np.uint32)
 
@@ -73,7 +73,7 @@ def recipes(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
                 recipe.append(b"".join(_digests(chunks(data), digest_bytes)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sha, pa.string()), pa.array(recipe, pa.binary())], names=["doc_id", "text_sha256", "recipe"])
 
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, text_sha256 string, recipe binary")
+    return limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, text_sha256 string, recipe binary")
 
 
 _CHUNKS = "text_sha256 string, place int, digest binary, data binary"

@@ -6,14 +6,13 @@ in it: sets are ordered by one order of all tokens (those that many texts hold l
 share one of the first n - ceil(t n) + 1 tokens of each. First the groups' pivots are compared with their members and
 with the pivots of groups that meet in the matrix; what is connected by then needs no further look. For the rest, each
 query set's overlap with the token union of a part bounds its overlap with any member, and the part is opened for it
-only if the bound reaches the least overlap. All of this is exact: no link between two texts that would join two
-components is dropped.
+only if the bound reaches the least overlap. No link between two texts that would join two components is dropped.
+Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions_of, salted_lookup, text_of, written
+from .common import limit_batches, partitions_of, salted_lookup, text_of, written
 
 #: Sets in a part of a group, queries against a part in one task.
 PART, QUERIES = 256, 1024
@@ -34,7 +33,6 @@ CENTER = 16
 #: Frequent tokens are counted in blocks of so many tokens, from so many texts of a block on; the most frequent ones, at
 #: most this many, come last in the order. The order changes only the cost, never the result; its size is bounded.
 COUNT_BLOCK, COUNT_LEAST, FREQUENT = 1 << 20, 6, 150_000
-_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _UPPER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -55,7 +53,7 @@ def _word_hashes(data: bytes) -> np.ndarray:
         return np.zeros(0, np.uint64)
     # Polynomials modulo 2**64 by sums over words, each from its own first byte.
     length = last - first
-    place = np.arange(len(codes)) - np.repeat(first, np.diff(np.append(first, len(codes)))) if first[0] == 0 else np.concatenate([np.zeros(first[0], np.int64), np.arange(first[0], len(codes)) - np.repeat(first, np.diff(np.append(first, len(codes))))])
+    place = np.arange(len(codes)) - np.repeat(np.append(0, first), np.diff(np.concatenate([[0], first, [len(codes)]])))
     powers = _powers(int(length.max()) + 1)
     terms = _BYTES[codes] * powers[np.minimum(place, len(powers) - 1)]
     terms[~solid] = 0
@@ -160,7 +158,7 @@ def _profiles(docs: DataFrame, size: int) -> DataFrame:
         if block:
             yield counted()
 
-    source = docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", text_of()).alias("text_key"), text_of().alias("text"))
+    source = limit_batches(docs).select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", text_of()).alias("text_key"), text_of().alias("text"))
     return source.mapInArrow(run, "doc_id long, n long, set_id binary, g long, text_key long, token long, texts long")
 
 
@@ -342,7 +340,7 @@ def _centers(sets: DataFrame) -> DataFrame:
 
 
 def _opened(queries: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Links of ``queries`` (part_id, chunk, sid, label, tokens) with members of ``parts`` (part_id, chunk, sid, label, tokens)."""
+    """Labels that links of ``queries`` with members of ``parts`` (part_id, chunk, sid, label, tokens) join."""
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
@@ -362,9 +360,9 @@ def _opened(queries: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
             if bound < least_overlap(len(q), percent):
                 continue
             for k in np.flatnonzero(np.minimum(sizes, len(q)) * 100 >= np.maximum(sizes, len(q)) * percent).tolist():
-                other, its, tokens = members[k]
+                _, its, tokens = members[k]
                 if root(its) != root(label) and similar(_common(q, tokens), len(q), len(tokens), percent):
-                    found.append((sid, other))
+                    found.append((label, its))
                     roots[root(its)] = root(label)
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
@@ -407,16 +405,12 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     pivots = groups.select("g", "pivot")
     between = salted_lookup(meetings, pivots.select(F.col("g").alias("a"), F.col("pivot").alias("x")), ["a"], F.col("b"))
     between = salted_lookup(between, pivots.select(F.col("g").alias("b"), F.col("pivot").alias("y")), ["b"], F.col("a")).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    links = written(_verified(to_pivot.unionByName(between), held.select("sid", "n", "tokens"), percent), "pivot-links")
-    label = components(links)
-
     # Members against the pivot of the largest group that theirs meets.
     met = meetings.unionByName(meetings.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    hubs = salted_lookup(met, groups.select(F.col("g").alias("b"), "members", "pivot"), ["b"], F.col("a")).groupBy("a").agg(F.max(F.struct("members", "pivot", "b")).alias("hub")).select("a", "hub.*")
-    labels = held.select("sid", "g").join(label.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "g", F.coalesce("component", "sid").alias("label"))
-    to_hub = salted_lookup(labels, hubs.select(F.col("a").alias("g"), "pivot"), ["g"], F.col("sid")).filter("pivot is not null")
-    to_hub = salted_lookup(to_hub, labels.select(F.col("sid").alias("pivot"), F.col("label").alias("its")), ["pivot"], F.col("sid")).filter("label <> its").select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
-    links = links.unionByName(written(_verified(to_hub, held.select("sid", "n", "tokens"), percent), "hub-links"))
+    hubs = written(salted_lookup(met, groups.select(F.col("g").alias("b"), "members", "pivot"), ["b"], F.col("a")).groupBy("a").agg(F.max(F.struct("members", "pivot", "b")).alias("hub")).select("a", "hub.*"), "hubs")
+    to_hub = salted_lookup(held.select("sid", "g"), hubs.select(F.col("a").alias("g"), "pivot"), ["g"], F.col("sid")).filter("pivot is not null").select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
+    asked = to_pivot.unionByName(between).unionByName(to_hub).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    links = written(_verified(asked, held.select("sid", "n", "tokens"), percent), "pivot-links")
     label = components(links)
 
     # What pivots did not connect: queries of one group against the parts of another, or of its own. Small groups that
@@ -444,7 +438,10 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
         opened = members.join(chunks, "part_id").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).join(full, "sid").select("part_id", "chunk", "sid", "label", "tokens")
         more = written(_opened(queries, opened, percent), "opened-links")
         if not more.isEmpty():
-            label = components(links.unionByName(more))
+            joined = components(more).toDF("component", "joined")
+            label = salted_lookup(label, joined, ["component"], F.col("node")).select("node", F.coalesce("joined", "component").alias("component"))
+            # Sets that had no link before are labels of their own.
+            label = label.unionByName(joined.join(label.select(F.col("node").alias("component")), "component", "left_anti").toDF("node", "component"))
 
     found = sets.select("set_id", "sid", "first").join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     smallest = found.groupBy("component").agg(F.min("first").alias("component_id"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_lookup, text_of, written
+from .common import limit_batches, salted_lookup, text_of, written
 
 DEFAULT_KEY = b"lindero-surrogates"
 #: Attempts after which a replacement may be longer than its original (its format has too few free strings).
@@ -269,7 +269,7 @@ def _entities(docs: DataFrame, key: bytes) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string(), pa.string()), strict=True)], names=["text_key", "kind", "canon", "made"])
 
-    return docs.select(F.xxhash64(text_of()).alias("text_key"), text_of().alias("text")).mapInArrow(run, "text_key long, kind string, canon string, made string")
+    return limit_batches(docs).select(F.xxhash64(text_of()).alias("text_key"), text_of().alias("text")).mapInArrow(run, "text_key long, kind string, canon string, made string")
 
 
 def _redrawn(batches: Iterator[pa.RecordBatch], key: bytes, attempt: int) -> Iterator[pa.RecordBatch]:
