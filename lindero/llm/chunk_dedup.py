@@ -146,12 +146,12 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
     """
     rows = written(recipes(docs, digest_bytes).withColumn("row", F.monotonically_increasing_id()), "recipes")
     shared = rows.groupBy("recipe").agg(F.count("*").alias("n")).filter("n > 1")
-    candidates = written(salted_lookup(rows, shared, ["recipe"], F.col("row")).filter("n is not null").select("row", "doc_id", "recipe", "text_sha256"), "candidates")
+    candidates = written(salted_lookup(rows, shared, ["recipe"], F.col("row")).filter("n is not null").select("row", "doc_id", "recipe", "text_sha256"), "candidates", narrow=True)
 
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
     texts = docs.select(key.alias("key"), text_of().alias("text")).join(candidates.select(key.alias("key")).distinct().hint("merge"), "key", "left_semi").select("text")
     once = _occurrences(texts, digest_bytes, every=False).select("digest", "data")
-    collided = written(once.repartition(partitions_of(docs), "digest").sortWithinPartitions("digest", "data").mapInArrow(_collisions, _COLLIDED), "collided")
+    collided = written(once.repartition(partitions_of(docs), "digest").sortWithinPartitions("digest", "data").mapInArrow(_collisions, _COLLIDED), "collided", narrow=True)
 
     if collided.isEmpty():
         marked = candidates.withColumn("marks", F.lit(""))

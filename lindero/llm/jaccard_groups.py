@@ -28,6 +28,8 @@ PART, QUERIES = 256, 1024
 SKETCH, SHARED = 2, 4
 #: Members from which a group counts as large.
 LARGE = 16
+#: Links that a task writes to one file.
+ROWS_PER_FILE = 500_000
 #: Min-hashes by which a group's center is found.
 CENTER = 16
 #: Frequent tokens are counted in blocks of so many tokens, from so many texts of a block on; the most frequent ones, at
@@ -296,7 +298,7 @@ def components(links: DataFrame) -> DataFrame:
     changes; every step is a table in the shared folder. A node with very many neighbours is pre-aggregated and met
     under salts.
     """
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links", narrow=True)
 
     def mark(e: DataFrame) -> list:
         return e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v") % 1_000_000_007), F.lit(0))).collect()
@@ -309,7 +311,7 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = salted_lookup(large, least, ["u"], F.col("v"))
         small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = written(small, "links")
+        edges = written(small.coalesce(1 + before[0][0] // ROWS_PER_FILE), "links")
         after = mark(edges)
         if after == before:
             break
@@ -333,7 +335,7 @@ def _centers(sets: DataFrame) -> DataFrame:
                 each = np.repeat(np.arange(part.num_rows), CENTER)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(each)), part.column(1).take(pa.array(each)), pa.array(np.tile(np.arange(CENTER, dtype=np.int32), part.num_rows)), pa.array(values)], names=["sid", "g", "k", "v"])
 
-    hashes = written(sets.select("sid", "g", "tokens").mapInArrow(run, "sid long, g long, k int, v long"), "center-hashes")
+    hashes = written(sets.select("sid", "g", "tokens").mapInArrow(run, "sid long, g long, k int, v long"), "center-hashes", narrow=True)
     popular = hashes.groupBy("g", "k", "v").agg(F.count("*").alias("times")).filter("times > 1")
     scores = salted_lookup(hashes, popular, ["g", "k", "v"], F.col("sid")).groupBy("g", "sid").agg(F.sum(F.coalesce("times", F.lit(1))).alias("score"))
     return scores.groupBy("g").agg(F.max(F.struct("score", (-F.col("sid")).alias("neg"))).alias("m")).select("g", (-F.col("m.neg")).alias("center"))
@@ -384,22 +386,22 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     frequent = np.sort(top.select("token").toArrow().column(0).to_numpy().view(np.uint64))  # at most FREQUENT numbers
 
     sets = rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("g").alias("g"), F.min("text_key").alias("text_key"))
-    sets = written(sets.withColumn("sid", F.monotonically_increasing_id()), "sets")
+    sets = written(sets.withColumn("sid", F.monotonically_increasing_id()), "sets", narrow=True)
     groups = sets.groupBy("g").agg(F.count("*").alias("members"), F.min("sid").alias("least"))
 
     matrix = _matrix(docs, size, percent, frequent)
     meetings = matrix.repartition(max(partitions_of(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "token").sortWithinPartitions("token", "n").mapInArrow(lambda batches: _meetings(batches, percent), "a long, b long, shared long")
-    meetings = written(meetings.groupBy("a", "b").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= shared_tokens(percent)).select("a", "b"), "meetings")
+    meetings = written(meetings.groupBy("a", "b").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= shared_tokens(percent)).select("a", "b"), "meetings", narrow=True)
 
     many = groups.filter("members > 1")
     needed = many.select("g").unionByName(meetings.select(F.col("a").alias("g"))).unionByName(meetings.select(F.col("b").alias("g"))).distinct()
-    wanted = written(salted_lookup(sets, needed.withColumn("_in", F.lit(True)), ["g"], F.col("sid")).filter("_in").drop("_in", "first"), "wanted")
+    wanted = written(salted_lookup(sets, needed.withColumn("_in", F.lit(True)), ["g"], F.col("sid")).filter("_in").drop("_in", "first"), "wanted", narrow=True)
     # One text a set moves: that of the row with the smallest key.
     texts = docs.select(F.xxhash64("doc_id", text_of()).alias("text_key"), text_of().alias("text")).join(wanted.select("text_key").distinct().hint("merge"), "text_key", "left_semi").select("text")
     tokens = _tokens(texts, size)
     held = written(wanted.select("set_id", "sid", "g", "n").join(tokens.hint("merge"), "set_id").dropDuplicates(["sid"]).select("sid", "g", "n", "tokens"), "tokens")
 
-    groups = written(groups.join(_centers(salted_lookup(held, many.select("g", "members"), ["g"], F.col("sid")).filter("members > 1")), "g", "left").select("g", "members", F.coalesce("center", "least").alias("pivot")), "groups")
+    groups = written(groups.join(_centers(salted_lookup(held, many.select("g", "members"), ["g"], F.col("sid")).filter("members > 1")), "g", "left").select("g", "members", F.coalesce("center", "least").alias("pivot")), "groups", narrow=True)
     many = groups.filter("members > 1")
     to_pivot = salted_lookup(held.select("sid", "g"), many.select("g", "pivot"), ["g"], F.col("sid")).filter("pivot <> sid").select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
     pivots = groups.select("g", "pivot")
@@ -407,10 +409,10 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     between = salted_lookup(between, pivots.select(F.col("g").alias("b"), F.col("pivot").alias("y")), ["b"], F.col("a")).select(F.col("x").alias("a"), F.col("y").alias("b"))
     # Members against the pivot of the largest group that theirs meets.
     met = meetings.unionByName(meetings.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    hubs = written(salted_lookup(met, groups.select(F.col("g").alias("b"), "members", "pivot"), ["b"], F.col("a")).groupBy("a").agg(F.max(F.struct("members", "pivot", "b")).alias("hub")).select("a", "hub.*"), "hubs")
+    hubs = written(salted_lookup(met, groups.select(F.col("g").alias("b"), "members", "pivot"), ["b"], F.col("a")).groupBy("a").agg(F.max(F.struct("members", "pivot", "b")).alias("hub")).select("a", "hub.*"), "hubs", narrow=True)
     to_hub = salted_lookup(held.select("sid", "g"), hubs.select(F.col("a").alias("g"), "pivot"), ["g"], F.col("sid")).filter("pivot is not null").select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
     asked = to_pivot.unionByName(between).unionByName(to_hub).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = written(_verified(asked, held.select("sid", "n", "tokens"), percent), "pivot-links")
+    links = written(_verified(asked, held.select("sid", "n", "tokens"), percent), "pivot-links", narrow=True)
     label = components(links)
 
     # What pivots did not connect: queries of one group against the parts of another, or of its own. Small groups that
@@ -420,7 +422,7 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     labelled = held.select("sid", "g").join(label.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "g", F.coalesce("component", "sid").alias("label"))
     labelled = salted_lookup(labelled, home, ["g"], F.col("sid")).select("sid", F.col("home").alias("g"), "label")
     members = salted_lookup(labelled, labelled.groupBy("g").agg(F.count("*").alias("members")), ["g"], F.col("sid"))
-    members = written(members.withColumn("part_id", F.xxhash64("g", F.pmod(F.xxhash64(F.lit(5), "sid"), F.ceil(F.col("members") / PART)))), "members")
+    members = written(members.withColumn("part_id", F.xxhash64("g", F.pmod(F.xxhash64(F.lit(5), "sid"), F.ceil(F.col("members") / PART)))), "members", narrow=True)
     spans = members.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.first("members").alias("members"))
     ways = salted_lookup(met, home.toDF("a", "home_a"), ["a"], F.col("b"))
     ways = salted_lookup(ways, home.toDF("b", "home_b"), ["b"], F.col("a")).select(F.col("home_a").alias("a"), F.col("home_b").alias("b"))
@@ -430,13 +432,13 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     ways = ways.filter("(members_a > 1 or members_b > 1) and (low_a <> high_a or low_b <> high_b or low_a <> low_b)").select("a", "b")
     parts = members.groupBy(F.col("g").alias("b"), "part_id").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     tried = ways.join(members.select(F.col("g").alias("a"), "sid", "label"), "a").join(parts, "b").filter("label <> low or label <> high").select("part_id", "sid", "label").distinct()
-    tried = written(tried, "queries")
+    tried = written(tried, "queries", narrow=True)
     if not tried.isEmpty():
         chunks = tried.groupBy("part_id").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks"))
         full = held.select("sid", "tokens")
         queries = salted_lookup(tried, chunks, ["part_id"], F.col("sid")).withColumn("chunk", F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int")).join(full, "sid").select("part_id", "chunk", "sid", "label", "tokens")
         opened = members.join(chunks, "part_id").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).join(full, "sid").select("part_id", "chunk", "sid", "label", "tokens")
-        more = written(_opened(queries, opened, percent), "opened-links")
+        more = written(_opened(queries, opened, percent), "opened-links", narrow=True)
         if not more.isEmpty():
             joined = components(more).toDF("component", "joined")
             label = salted_lookup(label, joined, ["component"], F.col("node")).select("node", F.coalesce("joined", "component").alias("component"))

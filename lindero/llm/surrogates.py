@@ -285,7 +285,7 @@ def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts:
     and no smaller one of its kind has it, too; the others draw again, against all that are taken, until none is left.
     """
     space = F.regexp_replace("kind", ":.:", ":").alias("space")
-    known = written(entities.groupBy("kind", "canon").agg(F.min("made").alias("made")).withColumn("space", space), "entities")
+    known = written(entities.groupBy("kind", "canon").agg(F.min("made").alias("made")).withColumn("space", space), "entities", narrow=True)
 
     def settled(drawn: DataFrame, taken: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         first = drawn.groupBy("space", "made").agg(F.min(F.struct("canon", "kind")).alias("owner"), F.count("*").alias("n"))
@@ -293,12 +293,12 @@ def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts:
         fine = (F.col("owner.canon") == F.col("canon")) & (F.col("owner.kind") == F.col("kind")) & (F.col("made") != F.col("canon"))
         if taken is not None:
             fine &= F.col("gone").isNull()
-        marked = written(marked.withColumn("fine", fine).select("kind", "canon", "made", "space", "fine"), "drawn")
+        marked = written(marked.withColumn("fine", fine).select("kind", "canon", "made", "space", "fine"), "drawn", narrow=True)
         return marked.filter("fine").drop("fine"), marked.filter("not fine").drop("fine")
 
     # Only replacements drawn twice or equal to their entity are looked at again; the rest stays where it is.
     twice = known.groupBy("space", "made").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    suspects = written(known.join(twice, ["space", "made"], "left_semi").unionByName(known.filter("made = canon")).distinct(), "suspects")
+    suspects = written(known.join(twice, ["space", "made"], "left_semi").unionByName(known.filter("made = canon")).distinct(), "suspects", narrow=True)
     kept, losers = settled(suspects, None)
     taken = known.select("space", "made")
     moved = None
@@ -321,7 +321,7 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
     gives no rows; texts are searched whole. Columns called n_entities or kinds are replaced.
     """
     entities = written(_entities(docs, key), "detected")
-    special = written(collisions_resolved(entities.select("kind", "canon", "made"), key), "special")
+    special = written(collisions_resolved(entities.select("kind", "canon", "made"), key), "special", narrow=True)
     others = [c for c in docs.columns if c not in ("text", "n_entities", "kinds")]
     source = docs.select(*others, F.col("text").cast("string").alias("text"))
     if special.isEmpty():
