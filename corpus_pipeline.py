@@ -30,7 +30,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal normalised texts the one with the smallest doc_id. Rows that repeat a whole document
     stay once."""
-    groups = written(chunk_dedup.exact_groups(docs).select("doc_id", "kept"), "exact-groups")
+    groups = written(chunk_dedup.exact_groups(docs).select("doc_id", "kept"), "exact-groups", narrow=True)
     ids = groups.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     out = _without(docs, ids.filter("not kept"))
     repeats = not ids.filter("n > 1 and doc_id is not null").isEmpty()
@@ -40,7 +40,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of similar texts connect, the one with the smallest doc_id."""
     groups = jaccard_groups.similarity_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    return _without(docs, written(groups.filter("doc_id <> component_id").select("doc_id"), "near-copies"))
+    return _without(docs, written(groups.filter("doc_id <> component_id").select("doc_id"), "near-copies", narrow=True))
 
 
 def with_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
