@@ -16,9 +16,19 @@ from lindero.llm.queries import tokenizer_path
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``gone``; one join strategy at every size. Rows without an id stay."""
-    return docs.join(gone.select("doc_id").distinct().hint("merge"), "doc_id", "left_anti").select(docs.columns)
+#: The column that tells rows apart within a stage: a doc_id may be null or stand on several rows.
+ROW = "_row"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a different number in each row, written so that every reader sees the same ones."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def _kept(rows: DataFrame, decided: DataFrame, name: str) -> DataFrame:
+    """``rows`` without those that ``decided`` does not keep; one join strategy at every size."""
+    gone = written(decided.filter("not kept").select(ROW), name, narrow=True)
+    return rows.join(gone.hint("merge"), ROW, "left_anti").drop(ROW)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,19 +38,16 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal normalised texts the one with the smallest doc_id. Rows that repeat a whole document
-    stay once."""
-    groups = written(chunk_dedup.exact_groups(docs).select("doc_id", "kept"), "exact-groups", narrow=True)
-    ids = groups.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    out = _without(docs, ids.filter("not kept"))
-    repeats = not ids.filter("n > 1 and doc_id is not null").isEmpty()
-    return out.dropDuplicates(["doc_id", "text"]) if repeats else out
+    """Of rows with equal normalised texts the one with the smallest doc_id, one without an id only if none has one."""
+    rows = _numbered(docs)
+    return _kept(rows, chunk_dedup.exact_groups(rows, row=ROW), "exact-copies").select(docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of similar texts connect, the one with the smallest doc_id."""
-    groups = jaccard_groups.similarity_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    return _without(docs, written(groups.filter("doc_id <> component_id").select("doc_id"), "near-copies", narrow=True))
+    """Of rows that links of similar texts connect, the one with the smallest doc_id, one without an id only if none has
+    one. Texts without words all stay."""
+    rows = _numbered(docs)
+    return _kept(rows, jaccard_groups.similarity_components(rows, SHINGLE_WORDS, SIMILAR_PERCENT, row=ROW), "near-copies").select(docs.columns)
 
 
 def with_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

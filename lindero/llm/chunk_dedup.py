@@ -61,8 +61,9 @@ def _digests(parts: list[bytes], size: int) -> list[bytes]:
     return [xxhash.xxh3_128_digest(p)[:size] for p in parts]
 
 
-def recipes(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
-    """doc_id, the normalised text's sha256, the recipe (digests one after another) for every row of ``docs``."""
+def recipes(docs: DataFrame, digest_bytes: int = 16, row: str | None = None) -> DataFrame:
+    """doc_id, the normalised text's sha256, the recipe (digests one after another) for every row of ``docs``, and a
+    number ``row`` that no other row has: that in the column of that name, if one is given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,9 +72,11 @@ def recipes(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
                 data = normalise(text.as_py())
                 sha.append(hashlib.sha256(data).hexdigest())
                 recipe.append(b"".join(_digests(chunks(data), digest_bytes)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sha, pa.string()), pa.array(recipe, pa.binary())], names=["doc_id", "text_sha256", "recipe"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sha, pa.string()), pa.array(recipe, pa.binary()), *batch.columns[2:]], names=["doc_id", "text_sha256", "recipe", *["row"] * (row is not None)])
 
-    return limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, text_sha256 string, recipe binary")
+    columns = ["doc_id", text_of().alias("text"), *([] if row is None else [F.col(row).alias("row")])]
+    out = limit_batches(docs).select(*columns).mapInArrow(run, "doc_id long, text_sha256 string, recipe binary" + (", row long" if row else ""))
+    return out if row else out.withColumn("row", F.monotonically_increasing_id())
 
 
 _CHUNKS = "text_sha256 string, place int, digest binary, data binary"
@@ -136,20 +139,21 @@ def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(found, _COLLIDED)
 
 
-def exact_groups(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
-    """One row for every row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
+def exact_groups(docs: DataFrame, digest_bytes: int = 16, row: str | None = None) -> DataFrame:
+    """One row for every row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256; and ``row``, if
+    a column of that name is given, which has a different number (long) in each row and tells whose decision it is.
 
     A null text counts as empty. Of equal texts the row with the smallest doc_id stays, a null doc_id only if the
     group has no other; of rows with the same doc_id and text one stays. Empty tables give no rows. Long texts move
     once more only if another text has the same recipe. Other columns are not read. A group of any size is
     pre-aggregated before the shuffle and met under salts.
     """
-    rows = written(recipes(docs, digest_bytes).withColumn("row", F.monotonically_increasing_id()), "recipes")
+    rows = written(recipes(docs, digest_bytes, row), "recipes")
     shared = rows.groupBy("recipe").agg(F.count("*").alias("n")).filter("n > 1")
     candidates = written(salted_lookup(rows, shared, ["recipe"], F.col("row")).filter("n is not null").select("row", "doc_id", "recipe", "text_sha256"), "candidates", narrow=True)
 
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    texts = docs.select(key.alias("key"), text_of().alias("text")).join(candidates.select(key.alias("key")).distinct().hint("merge"), "key", "left_semi").select("text")
+    null = F.lit(-(1 << 63))
+    texts = docs.select(F.coalesce(row or "doc_id", null).alias("key"), text_of().alias("text")).join(candidates.select(F.coalesce("row" if row else "doc_id", null).alias("key")).distinct().hint("merge"), "key", "left_semi").select("text")
     once = _occurrences(texts, digest_bytes, every=False).select("digest", "data")
     collided = written(once.repartition(partitions_of(docs), "digest").sortWithinPartitions("digest", "data").mapInArrow(_collisions, _COLLIDED), "collided", narrow=True)
 
@@ -169,4 +173,5 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (F.coalesce("first_row", "row") == F.col("row")).alias("kept"),
         "text_sha256",
+        *([] if row is None else [F.col("row").alias(row)]),
     )

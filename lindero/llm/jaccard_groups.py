@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import limit_batches, partitions_of, salted_lookup, text_of, written
@@ -128,7 +128,12 @@ def _sketch(s: np.ndarray) -> int:
 _PROFILE = [("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()), ("g", pa.int64()), ("text_key", pa.int64()), ("token", pa.int64()), ("texts", pa.int64())]
 
 
-def _profiles(docs: DataFrame, size: int) -> DataFrame:
+def _text_key(row: str | None) -> Column:
+    """The key that a text is found again by: its row's number, if there is one."""
+    return F.col(row) if row else F.xxhash64("doc_id", text_of())
+
+
+def _profiles(docs: DataFrame, size: int, row: str | None = None) -> DataFrame:
     """A row per text: its set's size, digest and group; and rows with the frequent tokens of each block (n is null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +165,7 @@ def _profiles(docs: DataFrame, size: int) -> DataFrame:
         if block:
             yield counted()
 
-    source = limit_batches(docs).select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", text_of()).alias("text_key"), text_of().alias("text"))
+    source = limit_batches(docs).select(F.col("doc_id").cast("long"), _text_key(row).alias("text_key"), text_of().alias("text"))
     return source.mapInArrow(run, "doc_id long, n long, set_id binary, g long, text_key long, token long, texts long")
 
 
@@ -372,20 +377,24 @@ def _opened(queries: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return queries.groupBy("part_id", "chunk").cogroup(parts.groupBy("part_id", "chunk")).applyInArrow(run, "a long, b long")
 
 
-def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
 
+    ``row``: a column with a different number (long) in each row. It is handed on, with ``kept``: true for the one row of a
+    component with the smallest doc_id (a null only if there is no other) and the smallest number, and for empty sets.
+
     Two texts link when their sets of distinct ``size``-word shingles have a Jaccard similarity of ``percent``/100 or
     more; component_id is the smallest doc_id that links reach (null if none of them has one). A text with fewer words
     is one shingle; a null text or one without words has the empty set and links with nothing. Rows that repeat share
     a component; an empty table gives no rows; texts are read whole. Other columns are not read.
     """
-    both = written(_profiles(docs, size), "profiles")
+    both = written(_profiles(docs, size, row), "profiles")
     rows = both.filter("n is not null").select("doc_id", "n", "set_id", "g", "text_key")
     top = both.filter("n is null").groupBy("token").agg(F.sum("texts").alias("texts")).filter(F.col("texts") >= 2 * COUNT_LEAST).orderBy(F.desc("texts"), "token").limit(FREQUENT)
     frequent = np.sort(top.select("token").toArrow().column(0).to_numpy().view(np.uint64))  # at most FREQUENT numbers
 
-    sets = rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("g").alias("g"), F.min("text_key").alias("text_key"))
+    lead = [F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_key")).alias("lead")] if row else []
+    sets = rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("g").alias("g"), F.min("text_key").alias("text_key"), *lead)
     sets = written(sets.withColumn("sid", F.monotonically_increasing_id()), "sets", narrow=True)
     groups = sets.groupBy("g").agg(F.count("*").alias("members"), F.min("sid").alias("least"))
 
@@ -395,9 +404,9 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
 
     many = groups.filter("members > 1")
     needed = many.select("g").unionByName(meetings.select(F.col("a").alias("g"))).unionByName(meetings.select(F.col("b").alias("g"))).distinct()
-    wanted = written(salted_lookup(sets, needed.withColumn("_in", F.lit(True)), ["g"], F.col("sid")).filter("_in").drop("_in", "first"), "wanted", narrow=True)
+    wanted = written(salted_lookup(sets, needed.withColumn("_in", F.lit(True)), ["g"], F.col("sid")).filter("_in").drop("_in", "first", "lead"), "wanted", narrow=True)
     # One text a set moves: that of the row with the smallest key.
-    texts = docs.select(F.xxhash64("doc_id", text_of()).alias("text_key"), text_of().alias("text")).join(wanted.select("text_key").distinct().hint("merge"), "text_key", "left_semi").select("text")
+    texts = docs.select(_text_key(row).alias("text_key"), text_of().alias("text")).join(wanted.select("text_key").distinct().hint("merge"), "text_key", "left_semi").select("text")
     tokens = _tokens(texts, size)
     held = written(wanted.select("set_id", "sid", "g", "n").join(tokens.hint("merge"), "set_id").dropDuplicates(["sid"]).select("sid", "g", "n", "tokens"), "tokens")
 
@@ -445,7 +454,9 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
             # Sets that had no link before are labels of their own.
             label = label.unionByName(joined.join(label.select(F.col("node").alias("component")), "component", "left_anti").toDF("node", "component"))
 
-    found = sets.select("set_id", "sid", "first").join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    smallest = found.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_set = salted_lookup(found, smallest, ["component"], F.col("sid")).select("set_id", "component_id")
-    return salted_lookup(rows, of_set, ["set_id"], F.coalesce("doc_id", "text_key")).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    leads = ["lead"] if row else []
+    found = sets.select("set_id", "sid", "first", *leads).join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    smallest = found.groupBy("component").agg(F.min("first").alias("component_id"), *(F.min(c)["text_key"].alias("first_row") for c in leads))
+    of_set = salted_lookup(found.drop("lead"), smallest, ["component"], F.col("sid")).select("set_id", "component_id", *["first_row"] * len(leads))
+    decided = [F.col("text_key").alias(row), F.coalesce(F.col("first_row") == F.col("text_key"), F.lit(True)).alias("kept")] if row else []
+    return salted_lookup(rows, of_set, ["set_id"], F.coalesce("doc_id", "text_key")).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *decided)

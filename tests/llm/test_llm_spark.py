@@ -287,3 +287,23 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert all(texts[i][0] == t for i, t, *_ in kept if i in ids[3] and i != 600)
     a = sorted(tuple(r)[:5] for r in pipeline.run(spark, sf).collect())
     assert a == sorted(tuple(r)[:5] for r in steps[4].collect())
+
+
+def test_dedup_stages_decide_row_by_row(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(21)
+    some = [[f"{w}{i}{k}" for i, w in enumerate(rng.choices(WORDS, k=80))] for k in range(6)]
+    near = [" ".join([*w[:40], "otra", *w[41:]]) for w in some]
+    a, b, c, d, e, f = map(" ".join, some)
+    rows = [(3, a), (7, near[0]), (7, b), (9, near[1]), (None, c), (None, near[2]), (None, d), (12, near[3]), (20, e), (20, e), (21, f), (5, f.replace(" ", "  ")), (21, near[4]), (None, "x y"), (None, "x  y"), (30, ""), (None, None), (None, " ")]
+    df = spark.createDataFrame([(i, t, "es", "s", k) for k, (i, t) in enumerate(rows)], DOCS).repartition(3)
+    once = pipeline.without_copies(spark, df, "")
+    got = sorted(((r["doc_id"], r["text"]) for r in once.collect()), key=str)
+    left = [r for r in rows if r not in [(20, e), (21, f), (None, "x y"), (None, "x  y"), (None, None)]] + [(20, e)]
+    assert [x for x in got if x[1] not in ("x y", "x  y")] == sorted(left, key=str) and len(got) == len(left) + 1
+    assert once.columns == df.columns
+    apart = sorted(((r["doc_id"], r["text"]) for r in pipeline.without_near_copies(spark, once, "").collect()), key=str)
+    # 7 stays for b although its other row is near 3; of rows without an id that are alike one stays.
+    first = [x for x in apart if x[1] not in ("x y", "x  y", c, near[2])]
+    assert first == sorted([(3, a), (7, b), (12, near[3]), (20, e), (5, f.replace(" ", "  ")), (30, ""), (None, " ")], key=str)
+    assert len(apart) == len(first) + 2 and sum(x[1] in (c, near[2]) for x in apart) == 1
