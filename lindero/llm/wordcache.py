@@ -1,8 +1,8 @@
 """Encoding of whole texts by a ``tokenizers`` file.
 
 The merges of these tokenizers never cross a pre-token, so a text's ids are the ids of its pre-tokens in order. Each
-pre-token is encoded by the library and then looked up (see :mod:`.pretokens`). Tokenizers of a build other than those
-two known here go through the library text by text.
+pre-token is encoded by the library and then looked up (see :mod:`.pretokens`). Texts that hold an added token (such as
+``<|endoftext|>``) and tokenizers of a build other than those two known here go through the library text by text.
 """
 
 from __future__ import annotations
@@ -34,12 +34,14 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         with open(path, encoding="utf-8") as f:
-            self.kind = self._kind(json.load(f))
+            spec = json.load(f)
+        self.kind = self._kind(spec)
+        #: What the library looks for in a text before it splits it.
+        self.added = [x["content"] for x in spec.get("added_tokens") or [] if x["content"]]
         self.vector = VectorEncoder(self.kind == "byte level", self._encode, None, self.dtype) if self.kind else None
 
     @staticmethod
@@ -47,6 +49,8 @@ class WordCache:
         pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
         if model.get("dropout") or model.get("type") != "BPE":
             return None
+        if spec.get("normalizer") and any(x.get("normalized") for x in spec.get("added_tokens") or []):
+            return None  # such a token is found in the normalised text
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec.get("normalizer"):
             return "byte level"
         if pre.get("type") == "Sequence" and [x.get("type") for x in pre["pretokenizers"]] == ["Split", "ByteLevel"]:
@@ -64,8 +68,10 @@ class WordCache:
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as ``dtype``."""
-        if self.vector is None:
-            return [np.array(self._whole(t), self.dtype) for t in texts]
+        whole = [self.vector is None or any(x in t for x in self.added) for t in texts]
+        if any(whole):
+            rest = iter(self.encode_many([t for t, w in zip(texts, whole, strict=True) if not w]) if not all(whole) else ())
+            return [np.array(self._whole(t), self.dtype) if w else next(rest) for t, w in zip(texts, whole, strict=True)]
         plain = texts if self.kind == "byte level" else [_composed_lower(t) for t in texts]
         originals = dict(zip(plain, texts, strict=True))
         self.vector.encode_whole = lambda t: self._whole(originals[t])

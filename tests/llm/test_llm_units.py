@@ -235,3 +235,15 @@ def test_warc_archive():
 
 def test_crc_of_little_endian_ids():
     assert zlib.crc32(np.array([1, 2], "<u4")) == zlib.crc32(b"\1\0\0\0\2\0\0\0") and base64.b32encode(b"") == b""
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_in_texts_are_the_librarys(name):
+    from tokenizers import Tokenizer
+
+    plain, rng = Tokenizer.from_file(P.path(name)), random.Random(4)
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "Σ"]
+    texts = ["end <|endoftext|> of text", "<|endoftext|>", "", "a<|endoftext|><|endoftext|>  b", "<|startoftext|>Uno dos<|endoftext|>"]
+    texts += ["".join(rng.choice([*marks, noise(rng, 12)]) for _ in range(rng.randint(1, 5))) for _ in range(600)]
+    for got, text in zip(pretokens.in_order(wordcache.WordCache(P.path(name)), texts), texts, strict=True):
+        assert got.tolist() == plain.encode(text, add_special_tokens=False).ids
