@@ -3,7 +3,9 @@
 Entities are found by their format and checked where the format allows it (Luhn, IBAN remainder, octets). Each gets a
 keyed replacement of its own type: numbers, addresses and keys are permuted within all strings of their format (a
 Feistel network over mixed radices, so no two meet), names are composed for their gender and script. The same entity
-has the same replacement everywhere, however it is spelled. All distinct entities of the corpus are then compared:
+has the same replacement everywhere, however it is spelled. A name is the whole run of capitalised words and particles
+behind a title; its words are then replaced wherever else the text has them. A given name's gender is the one most texts
+give it by their titles. All distinct entities of the corpus are then compared:
 where two have one replacement, or one is its own, further attempts are drawn until all differ.
 """
 
@@ -32,6 +34,9 @@ RELAXED = 16
 MALE = "Mr Mister Herr Hr Monsieur Señor Sr Don Signor Господин Κύριος".split()
 FEMALE = "Mrs Ms Miss Frau Madame Mme Mademoiselle Mlle Señora Sra Doña Signora Госпожа Κυρία".split()
 NEUTRAL = "Dr Prof".split()
+#: After these, two of three or more names are surnames.
+TWO_SURNAMES = set("Señor Señora Sr Sra Don Doña".split())
+PARTICLES = set("af al av bin da das de del della dem den der des di do dos du e el ibn la las le los ten ter van von y zu zum zur".split())
 SYLLABLES = {
     "latin": "ba bel bri ca cor da del dor e fen fi ga hal i ja ka len li lo ma mar mi na nor o pa per ra ri ro sa sel ta tor u va ver vi wen ya zo".split(),
     "cyrillic": "ба бо ва ве га го да де жа за зо и ка ки ко ла ле ли ма ми на не по ра ро са се та ти фе ша".split(),
@@ -42,7 +47,11 @@ ENDINGS = {"latin": ("n ro s do k".split(), "na la ra ne ta".split(), "son ley m
 _LOCAL = [ip_network(x) for x in ("0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.168.0.0/16", "224.0.0.0/3")]
 
 _TITLE = "|".join(sorted(map(re.escape, [*MALE, *FEMALE, *NEUTRAL]), key=len, reverse=True))
-_NAME = re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.? (?P<names>[^\W\d_a-zß-öø-ÿа-яα-ω][\w'’-]+(?: [^\W\d_a-zß-öø-ÿа-яα-ω][\w'’-]+)?)")
+_CAPITAL = r"[^\W\d_a-zß-öø-ÿа-яѐ-џά-ώ]"
+_WORD = rf"(?!(?:{_TITLE})(?!\w))(?:{_CAPITAL}[\w'’-]+|{_CAPITAL}\.?(?![\w'’-]))"
+_PARTICLE = rf"(?:(?:{'|'.join(sorted(PARTICLES))})[ \xa0]+)*"
+_NAME = re.compile(rf"(?<!\w)(?P<titles>(?:(?:{_TITLE})\.?[ \xa0]+)+)(?P<names>{_PARTICLE}{_WORD}(?:[ \xa0]+{_PARTICLE}{_WORD})*)")
+_POSSESSIVE = re.compile(r"['’]s?$|-+$")
 _EMAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9_][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])")
 _DIGITS = [
     ("ip", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)")),
@@ -78,6 +87,10 @@ def _iban_rest(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def _two_series(digits: str) -> bool:
+    return len(digits) == 16 and 2221 <= int(digits[:4]) <= 2720
+
+
 def _canon(kind: str, raw: str) -> str | None:
     """One spelling for all of an entity's; None if ``raw`` is not of that kind after all."""
     if kind == "email":
@@ -87,7 +100,7 @@ def _canon(kind: str, raw: str) -> str | None:
     if kind in ("phone", "card", "ssn"):
         digits = re.sub(r"\D", "", raw)
         if kind == "card":
-            return digits if digits[0] in "3456" and not luhn(digits) and len(set(digits)) > 1 else None
+            return digits if (digits[0] in "3456" or _two_series(digits)) and not luhn(digits) and len(set(digits)) > 1 else None
         if kind == "phone":
             return ("+" + re.match(r"\+(\d{1,3})", raw)[1] + "-" if raw[0] == "+" else "") + (digits[len(re.match(r"\+(\d{1,3})", raw)[1]) :] if raw[0] == "+" else digits) if len(digits) >= 8 else None
         return digits
@@ -103,6 +116,55 @@ def _script(name: str) -> str:
     return next((s for c in name if (s := "cyrillic" if "а" <= c.lower() <= "я" else "greek" if "ά" <= c.lower() <= "ώ" else "latin" if c.isalpha() else None)), "latin")
 
 
+def _names(text: str) -> list[Entity]:
+    """The words of titled names, and further mentions of those words with a capital; a word is one entity in a text."""
+    words: list[tuple[int, str]] = []
+    role: dict[str, tuple[bool, str]] = {}  # whether it stood beside other words, part of the name
+    votes: Counter = Counter()
+    for m in _NAME.finditer(text):
+        titles = re.findall(r"\w+", m["titles"])
+        gender = next(("m" if t in MALE else "f" for t in titles if t not in NEUTRAL), None)
+        run: list[tuple[int, str]] = []
+        behind = None  # names from here on stand behind a particle
+        for part in re.finditer(r"[^ \xa0]+", m["names"]):
+            if part[0] in PARTICLES:
+                behind = len(run) if behind is None else behind
+                continue
+            word = _POSSESSIVE.sub("", part[0])
+            run.append((m.start("names") + part.start(), word.rstrip(".")))
+            if word != part[0]:
+                break
+        whole = [k for k, (_, word) in enumerate(run) if len(word) > 1]
+        if not whole:
+            continue
+        surnames = whole[-2 if len(whole) > 2 and TWO_SURNAMES & set(titles) else -1]
+        surnames = surnames if behind is None else min(surnames, behind)
+        for k, (start, word) in enumerate(run):
+            mine = (len(run) > 1, "surname" if k >= surnames and len(word) > 1 else "given")
+            canon = word.lower()
+            if canon not in role or mine[0] > role[canon][0]:
+                role[canon] = mine
+            if mine[1] == "given" and gender:
+                votes[canon, gender] += 1
+            words.append((start, word))
+    if not words:
+        return []
+    seen = {start for start, _ in words}
+    known = sorted({re.escape(word) for _, word in words if len(word) > 1}, key=len, reverse=True)
+    for m in re.finditer(rf"(?i)(?<!\w)(?:{'|'.join(known)})(?!\w)", text):
+        if m.start() not in seen and not m[0][0].islower() and m[0].lower() in role:
+            words.append((m.start(), m[0]))
+    out: list[Entity] = []
+    for start, word in sorted(words):
+        if out and start < out[-1].end:
+            continue  # within a longer name
+        canon, script = word.lower(), _script(word)
+        m, f = votes[canon, "m"], votes[canon, "f"]
+        kind = f"given:{'n' if not m + f else 'f' if f > m else 'm'}:{script}" if role[canon][1] == "given" else f"surname:n:{script}"
+        out.append(Entity(start, start + len(word), kind, canon))
+    return out
+
+
 def detect(text: str) -> list[Entity]:
     """The entities of ``text`` in order, none within another; an earlier kind in the list of kinds has precedence."""
     found: list[Entity] = []
@@ -119,15 +181,7 @@ def detect(text: str) -> list[Entity]:
         for kind, pattern in _DIGITS:
             for m in pattern.finditer(text):
                 take(*m.span("value" if kind == "secret" else 0), kind)
-    for m in _NAME.finditer(text):
-        gender = "m" if m["title"] in MALE else "f" if m["title"] in FEMALE else "n"
-        at = m.start("names")
-        parts = m["names"].split(" ")
-        for k, part in enumerate(parts):
-            script = _script(part)
-            kind = f"given:{gender}:{script}" if k == 0 and len(parts) == 2 else f"surname:n:{script}"
-            found.append(Entity(at, at + len(part), kind, part.lower()))
-            at += len(part) + 1
+    found += [n for n in _names(text) if all(e.end <= n.start or n.end <= e.start for e in found)]
     return sorted(found)
 
 
@@ -207,7 +261,11 @@ def surrogate(kind: str, canon: str, key: bytes = DEFAULT_KEY, attempt: int = 0)
         head, dash, rest = canon.rpartition("-")
         return head + dash + permuted_text(rest, key, tweak + head) + extra
     if kind == "card":
-        inner = permuted_text(canon[1:-1], key, tweak + canon[0]) + extra
+        if _two_series(canon):  # stays in its range of prefixes
+            low = 2221 * 10**11
+            inner = str(low + permuted(int(canon[:-1]) - low, 500 * 10**11, key, tweak + canon[0]))[1:] + extra
+        else:
+            inner = permuted_text(canon[1:-1], key, tweak + canon[0]) + extra
         return canon[0] + inner + str(-luhn(canon[0] + inner + "0") % 10)
     if kind == "ip":
         value = int(ip_address(canon))
@@ -231,13 +289,13 @@ def surrogate(kind: str, canon: str, key: bytes = DEFAULT_KEY, attempt: int = 0)
 def rendered(kind: str, raw: str, canon: str) -> str:
     """A replacement in the spelling of ``raw``: its punctuation, spaces and capitals."""
     if ":" in kind or kind == "email":
-        if raw.isupper():
+        if raw.isupper() and (kind == "email" or len(raw) > 1):
             return canon.upper()
         if kind == "email":
             if raw == raw.lower() or len(raw) != len(canon):
                 return canon
             return "".join(c.upper() if r.isupper() else c for r, c in zip(raw, canon, strict=True))
-        return canon[:1].upper() + canon[1:]
+        return canon[:1].upper() + (canon[1:] if len(raw) > 1 else "")  # of an initial, an initial
     if kind in ("phone", "card", "ssn", "iban"):
         fill = iter(c for c in canon if c.isalnum())
         out = "".join(next(fill, "") if c.isalnum() else c for c in raw)
@@ -314,6 +372,23 @@ def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts:
     return (moved if moved is not None else kept.limit(0)).select("kind", "canon", "made")
 
 
+def _one_gender(entities: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame | None]:
+    """``entities`` (kind, canon, made) with each given name under one gender, that of most texts; and (kind, canon,
+    resolved, made) of the given names that some text has under another one (None if there are no given names)."""
+    given = F.col("kind").startswith("given:")
+    named = entities.filter(given).groupBy("kind", "canon").agg(F.count("*").alias("texts"))
+    named = written(named.withColumn("gender", F.split("kind", ":")[1]).withColumn("script", F.split("kind", ":")[2]), "given", narrow=True)
+    if named.isEmpty():
+        return entities, None
+    votes = [F.sum(F.when(F.col("gender") == g, F.col("texts")).otherwise(0)).alias(g) for g in "mf"]
+    gender = F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > 0, "m").otherwise("n")
+    resolved = named.groupBy("script", "canon").agg(*votes).select("script", "canon", F.concat_ws(":", F.lit("given"), gender, "script").alias("kind"))
+    made = written(resolved.select("kind", "canon").mapInArrow(lambda b: _redrawn(b, key, 0), "kind string, canon string, made string"), "given-resolved", narrow=True)
+    to = made.select(F.split("kind", ":")[2].alias("script"), "canon", F.col("kind").alias("resolved"), "made")
+    changed = named.select("script", "canon", "kind").join(to, ["script", "canon"]).filter("kind <> resolved").select("kind", "canon", "resolved", "made")
+    return entities.filter(~given).unionByName(made), written(changed, "given-changed", narrow=True)
+
+
 def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
     """``docs`` with ``text`` replaced, and n_entities and kinds (such as ``card:1,email:2``) behind the other columns.
 
@@ -321,7 +396,12 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
     gives no rows; texts are searched whole. Columns called n_entities or kinds are replaced.
     """
     entities = written(_entities(docs, key), "detected")
-    special = written(collisions_resolved(entities.select("kind", "canon", "made"), key), "special", narrow=True)
+    resolved, changed = _one_gender(entities.select("kind", "canon", "made"), key)
+    special = written(collisions_resolved(resolved, key), "special", narrow=True)
+    if changed is not None:
+        other = special.select(F.col("kind").alias("resolved"), "canon", F.col("made").alias("again"))
+        moved = changed.join(other, ["resolved", "canon"], "left").select("kind", "canon", F.coalesce("again", "made").alias("made"))
+        special = written(special.unionByName(moved), "special-given", narrow=True)
     others = [c for c in docs.columns if c not in ("text", "n_entities", "kinds")]
     source = docs.select(*others, F.col("text").cast("string").alias("text"))
     if special.isEmpty():

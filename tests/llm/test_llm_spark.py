@@ -307,3 +307,11 @@ def test_dedup_stages_decide_row_by_row(spark):
     first = [x for x in apart if x[1] not in ("x y", "x  y", c, near[2])]
     assert first == sorted([(3, a), (7, b), (12, near[3]), (20, e), (5, f.replace(" ", "  ")), (30, ""), (None, " ")], key=str)
     assert len(apart) == len(first) + 2 and sum(x[1] in (c, near[2]) for x in apart) == 1
+
+
+def test_a_given_name_has_one_gender_in_all_texts(spark):
+    texts = ["Dr Maria Keller", "Mrs Maria Keller", "Frau Maria Huber", "Mr Maria Rilke", "Mr John Keller", "Dr John Huber"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r["text"].split() for r in surrogates.with_surrogates(df).collect()}
+    assert len({got[i][1] for i in range(4)}) == 1 and got[4][1] == got[5][1] != got[0][1]
+    assert got[0][2] == got[1][2] == got[4][2] and got[2][2] == got[5][2] and "Maria" not in str(got)

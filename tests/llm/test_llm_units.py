@@ -247,3 +247,32 @@ def test_added_tokens_in_texts_are_the_librarys(name):
     texts += ["".join(rng.choice([*marks, noise(rng, 12)]) for _ in range(rng.randint(1, 5))) for _ in range(600)]
     for got, text in zip(pretokens.in_order(wordcache.WordCache(P.path(name)), texts), texts, strict=True):
         assert got.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_whole_names_and_their_later_mentions_are_replaced():
+    for text, words in (
+        ("vino Señora María García López ayer", "María García López"),
+        ("saw Mr John Quincy Adams there", "John Quincy Adams"),
+        ("Herr Prof. Dr. Ludwig van der Rohe sprach", "Ludwig Rohe"),
+        ("Mr John Q. Smith and Mrs Keller's dog; later Smith and KELLER said, as Smith's aunt", "John Smith Keller KELLER"),
+    ):
+        new, done = surrogates.replace(text)
+        assert not any(w in new for w in words.split()), new
+        assert all(w in new for w in text.split() if w.islower() and w.isalpha())
+    new, done = surrogates.replace("Mr John Smith met Mr Quincy Smith. Smith said: a smith works")
+    assert [e.kind.split(":")[0] for e, _ in done] == ["given", "surname"] * 2 + ["surname"]
+    assert len({x for e, x in done if e.canon == "smith"}) == 1 and new.endswith("said: a smith works")
+    kinds = [e.kind.split(":")[0] for e in surrogates.detect("Mr John Quincy Adams")]
+    assert kinds == ["given", "given", "surname"]
+    both = surrogates.replace("Dr Maria Keller, Mrs Maria Keller")[1]
+    assert both[0][1] == both[2][1] and both[0][0].kind == "given:f:latin"
+
+
+def test_cards_of_the_two_series():
+    cards = [c + str(-surrogates.luhn(c + "0") % 10) for c in ("222100000000000", "272099999999999", "250012345678901")]
+    for card in cards:
+        new, done = surrogates.replace(f"card {card} ok")
+        assert [e.kind for e, _ in done] == ["card"] and card not in new
+        made = new.split()[1]
+        assert surrogates.luhn(made) == 0 and len(made) == 16 and 2221 <= int(made[:4]) <= 2720
+    assert surrogates.detect("2220000000000000") == []
