@@ -4,8 +4,9 @@ A document's ids are cut into pieces of a whole sequence and a remainder. The re
 packed bin by bin: the longest remaining one opens the bin, then dynamic programming over a bitset (bit s is set if
 some multiset of remaining lengths sums to s) finds the fill closest to the capacity, and walking back through the
 bitsets gives how many pieces of each length it takes. A pattern is used as often as the counts allow. What a window
-leaves in bins that are not full goes to the next window; the last such bin of a partition is cut into powers of two,
-which need no padding.
+leaves in bins that are not full goes to the next window. Where that is most of a window, and at the end of a partition,
+such bins keep the pieces that were chosen for them and are topped up by one cut piece, whose rest is cut further before
+another piece is; what is less than a sequence is cut into powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -99,9 +100,32 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096,
             rows.append((doc_id, start + first, len(part), zlib.crc32(part), total, sequence, at, *([part.tolist()] if with_ids else [])))
             return at + len(part)
 
+        def topped_up() -> None:
+            """Bins of what is kept, while it fills one: the closest fill, then a cut piece."""
+            nonlocal sequence, held
+            rest = 0  # length of the piece that a bin before this one was topped up from
+            while held >= capacity:
+                counts = {k: len(v) for k, v in kept.items() if v}
+                top = max(counts)
+                counts[top] -= 1
+                pattern = best_fill({k: v for k, v in counts.items() if v and k <= capacity - top}, capacity - top)
+                pattern[top] = pattern.get(top, 0) + 1
+                at = 0
+                for k, n in pattern.items():
+                    for _ in range(n):
+                        at = put(kept[k].popleft(), at)
+                if slack := capacity - at:  # every piece that is left is longer
+                    k = rest if kept[rest] else max(k for k, v in kept.items() if v)
+                    doc_id, start, ids, total = doc = kept[k].pop()
+                    put(doc, at, 0, slack)
+                    rest = k - slack
+                    kept[rest].append((doc_id, start + slack, ids[slack:], total))
+                held -= capacity
+                sequence += 1
+
         def window(final: bool) -> None:
             nonlocal sequence, held
-            over: list[tuple] = []
+            before, over = held, []
             for pattern, times in minimum_slack({k: len(v) for k, v in kept.items() if v}, capacity):
                 if sum(k * n for k, n in pattern.items()) < capacity:
                     over += [kept[k].popleft() for k, n in pattern.items() for _ in range(n * times)]
@@ -114,11 +138,16 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096,
                     sequence += 1
             kept.clear()
             held = 0
+            for doc in over:
+                kept[len(doc[2])].append(doc)
+                held += len(doc[2])
+            if final or held > before // 2:  # lengths that never fill a sequence
+                topped_up()
             if not final:
-                for doc in over:
-                    kept[len(doc[2])].append(doc)
-                    held += len(doc[2])
                 return
+            over = [doc for k in sorted(kept, reverse=True) for doc in kept[k]]
+            kept.clear()
+            held = 0
             room, at = _sizes(sum(len(doc[2]) for doc in over), capacity), 0
             size = next(room, 0)
             for doc in over:  # cut where a sequence ends
@@ -147,10 +176,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096,
                     kept[rest].append((doc_id, len(ids) - rest, ids[len(ids) - rest :].copy(), len(ids)))
                     held += rest
                 if held >= window_tokens:
-                    left = held
                     window(final=False)
-                    if held > left // 2:  # lengths that never fill a sequence
-                        window(final=True)
             if len(rows) >= (500 if with_ids else 20_000):
                 yield batch_of()
         window(final=True)

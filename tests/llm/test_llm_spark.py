@@ -315,3 +315,20 @@ def test_a_given_name_has_one_gender_in_all_texts(spark):
     got = {r["doc_id"]: r["text"].split() for r in surrogates.with_surrogates(df).collect()}
     assert len({got[i][1] for i in range(4)}) == 1 and got[4][1] == got[5][1] != got[0][1]
     assert got[0][2] == got[1][2] == got[4][2] and got[2][2] == got[5][2] and "Maria" not in str(got)
+
+
+def test_equal_lengths_that_fill_no_sequence_stay_mostly_whole(spark):
+    path = P.path("word_bpe_49k.json")
+    for words, most in ((44, 0.5), (34, 0.5)):  # two of them are more than a sequence
+        rows = [(i, "the " * words, "es", "s", 1) for i in range(400)]
+        got = packing.pack(spark.createDataFrame(rows, DOCS).coalesce(1), path, capacity=64, window_tokens=5000).collect()
+        pieces = {}
+        for r in got:
+            pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+        assert len(pieces) == 400 and all(sum(n for _, n in p) == words + 1 for p in pieces.values())
+        assert all(s == sum(n for _, n in sorted(p)[:k]) for p in pieces.values() for k, (s, _) in enumerate(sorted(p)))
+        filled = {}
+        for r in got:
+            filled[r["sequence_id"]] = filled.get(r["sequence_id"], 0) + r["length"]
+        assert sum(n < 64 for n in filled.values()) <= 6
+        assert sum(len(p) > 1 for p in pieces.values()) <= 400 * most
