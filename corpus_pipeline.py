@@ -22,7 +22,7 @@ ROW = "_row"
 
 def _numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with a different number in each row, written so that every reader sees the same ones."""
-    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered", compression="zstd")
 
 
 def _kept(rows: DataFrame, decided: DataFrame, name: str) -> DataFrame:

@@ -25,17 +25,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, narrow: bool = False, compression: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage and outlives executors.
 
     ``narrow``: rows of a few numbers. An eighth of the shuffle partitions (and no fewer tasks than cores) write it, as
-    each file costs the store several calls and each executor a few processes.
+    each file costs the store several calls and each executor a few processes. ``compression``: the session's, if none.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
     if narrow:
         df = df.coalesce(max(spark.sparkContext.defaultParallelism, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)))
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
