@@ -35,9 +35,9 @@ def _files(urls: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
     if not there:
         return urls.select("url", none.alias("html"), none.alias("markdown"))
-    tail = F.regexp_extract("path", r"([^/]+)$", 1)
-    got = spark.read.format("binaryFile").load(there).select(tail.alias("_name"), F.decode("content", "UTF-8").alias("html"))
-    return urls.select("url", F.regexp_extract("url", r"([^/]+)$", 1).alias("_name")).join(got, "_name", "left").select("url", "html", F.nullif(F.lit(""), F.lit("")).alias("markdown"))
+    plain = F.regexp_replace(F.col("path"), "^file:/*", "/")
+    got = spark.read.format("binaryFile").load(there).select(plain.alias("_path"), F.decode("content", "UTF-8").alias("html"))
+    return urls.select("url", F.regexp_replace("url", "^file:/*", "/").alias("_path")).join(got, "_path", "left").select("url", "html", none.alias("markdown"))
 
 
 def parser() -> argparse.ArgumentParser:

@@ -125,6 +125,29 @@ def is_detail(url: Column, domain: Column) -> Column:
     return out
 
 
+def on_host(url: Column, domain: Column) -> Column:
+    """A web URL's host is the domain or below it; without a domain, and for what is no web URL, that is not asked."""
+    host = F.regexp_extract(F.lower(url), "^https?://([^/]+)", 1)
+    return (host == "") | (F.coalesce(domain, F.lit("")) == "") | (host == domain) | host.endswith(F.concat(F.lit("."), domain))
+
+
+def is_detail_of(url: Column, domain: Column, detail: Column, reject: Column) -> Column:
+    """The URL is on the source's host and is a listing's own page: not by the patterns ``reject`` of its document (or, if
+    that has none, of its portal), and by those of its portal, or of ``detail`` for a portal that is not known."""
+    low = F.lower(F.coalesce(url, F.lit("")))
+    none = F.array().cast("array<string>")
+
+    def listed(patterns: Column) -> Column:
+        return F.filter(F.coalesce(patterns, none), lambda p: F.trim(p) != "")
+
+    def matches(patterns: Column) -> Column:
+        return F.exists(listed(patterns), lambda p: F.regexp_like(low, p))
+
+    known = domain.isin(*BY_DOMAIN)
+    rejected = F.when(F.size(listed(reject)) > 0, matches(reject)).otherwise(is_rejected(url, domain))
+    return (low != "") & on_host(low, domain) & ~rejected & F.when(known, is_detail(url, domain)).otherwise(matches(detail))
+
+
 def is_rejected(url: Column, domain: Column) -> Column:
     low = F.lower(F.coalesce(url, F.lit("")))
     out = F.lit(False)

@@ -14,21 +14,23 @@ SCORED = ("title_text", "price_text", "location_text", "surface_text", "rooms_te
 def merged_in_order(rows: pd.DataFrame, aliases: Sequence[str] = ALIASES, scored: Sequence[str] = SCORED) -> pd.DataFrame:
     """One pass over rows in order: a row joins the group of its first key that is known, else opens one under its own
     first key; the richest row of a group stays (the first of equals), at the group's place; all of a row's keys then
-    lead to its group. Groups that are apart stay apart."""
+    lead to its group, also those that led to another one before. Groups that are apart stay apart; keys are stripped,
+    a row without any goes."""
+
     def text(value: object) -> str:
         return "" if value is None or value is pd.NA or value != value else str(value)
 
     group_of: dict[str, str] = {}
     best: dict[str, tuple[int, int]] = {}
     for place, row in enumerate(rows.itertuples(index=False)):
-        keys = [k for k in (text(getattr(row, a, None)) for a in aliases) if k]
+        keys = [k for k in (text(getattr(row, a, None)).strip() for a in aliases) if k]
         if not keys:
             continue
         group = next((group_of[k] for k in keys if k in group_of), keys[0])
         score = sum(bool(text(getattr(row, c, None))) for c in scored)
         if group not in best or score > best[group][0]:
             best[group] = (score, place)
-        group_of.update({k: group for k in keys if k not in group_of})
+        group_of.update(dict.fromkeys(keys, group))
     return rows.iloc[[place for _, place in best.values()]]
 
 

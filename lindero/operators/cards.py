@@ -7,7 +7,8 @@ expressions on its rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
+from typing import NamedTuple
 from urllib.parse import parse_qsl, urlencode, urljoin, urlsplit, urlunsplit
 
 import pyarrow as pa
@@ -31,6 +32,35 @@ PRICE = re.compile(r"(?:€|eur|euro|euros)\s?\d[\d.,\s]*|\d[\d.,\s]*(?:€|eur|
 SURFACE = re.compile(r"\b\d[\d.,\s]{0,8}\s?(?:m2|m²|metros cuadrados|metros|sqm)\b", re.IGNORECASE)
 ROOMS = re.compile(r"\b\d{1,2}\s?(?:hab(?:itaciones)?\.?|dormitorios|rooms?)\b", re.IGNORECASE)
 
+#: What a source's document may set of its portal's strategy.
+OVERLAID = ("listing_card_selectors", "listing_detail_link_selectors", "listing_detail_url_patterns", "listing_reject_url_patterns")
+
+
+class Strategy(NamedTuple):
+    """How a source's listing pages are read: that of its portal, if it is known, under what its document sets."""
+
+    portal: Portal | None
+    cards: tuple[str, ...]
+    links: tuple[str, ...]
+    detail: tuple[str, ...]
+    reject: tuple[str, ...]
+
+    def is_detail(self, url: str) -> bool:
+        """By the portal's own patterns; those of a document count for portals that are not known."""
+        low = url.lower()
+        if self.portal:
+            return not re.search(any_of(self.portal.reject), low) and bool(re.search(any_of(self.portal.detail), low))
+        return any(re.search(p, low) for p in self.detail)
+
+
+def strategy_of(domain: str, document: Mapping[str, Sequence[str] | None] | None = None) -> Strategy:
+    """The strategy of a domain. Values of the document that are empty leave the portal's as they are."""
+    portal = BY_DOMAIN.get(domain)
+    own = (portal.cards, portal.links, portal.detail, portal.reject) if portal else (CARD_SELECTORS, (), (), ())
+    set_ = [tuple(x for x in (document or {}).get(k) or () if x and x.strip()) for k in OVERLAID]
+    return Strategy(portal, *(s or o for s, o in zip(set_, own, strict=True)))
+
+
 FIELDS = ("candidate_url", "title_text", "price_text", "location_text", "surface_text", "rooms_text", "card_external_id", "raw_text")
 
 
@@ -131,20 +161,17 @@ def _match(pattern: re.Pattern[str], text: str) -> str | None:
     return _clean(m[0]) if m else None
 
 
-def read_card(card: Node, anchor: Node, portal: Portal | None, base: str) -> tuple[dict[str, str | None] | None, str | None]:
+def read_card(card: Node, anchor: Node, strategy: Strategy, base: str) -> tuple[dict[str, str | None] | None, str | None]:
     """(the fields of an accepted card, none) or (none, why not)."""
     link = _clean(anchor.get("href"))
     if not link:
         return None, "missing_href"
     own = card_around(anchor) if card.tag == "a" else card
-    url = candidate_url(portal, link, base)
+    url = candidate_url(strategy.portal, link, base)
     if not url:
         return None, "invalid_candidate_url"
-    low = url.lower()
-    if portal and re.search(any_of(portal.reject), low):
-        return None, "rejected_by_url_rules"
-    if portal is None or not re.search(any_of(portal.detail), low):
-        return None, "non_detail_url"
+    if not strategy.is_detail(url):
+        return None, "rejected_by_url_rules" if strategy.reject and re.search(any_of(strategy.reject), url.lower()) else "non_detail_url"
     text = _clean(own.text())
     if not text or len(text) < 12:
         return None, "card_text_too_short"
@@ -160,19 +187,19 @@ def read_card(card: Node, anchor: Node, portal: Portal | None, base: str) -> tup
     }, None
 
 
-def read_page(html: str | None, domain: str, base: str, selectors: tuple[str, ...] | None = None) -> list[tuple[int, str | None, dict[str, str | None]]]:
+def read_page(html: str | None, domain: str, base: str, document: Mapping[str, Sequence[str] | None] | None = None) -> list[tuple[int, str | None, dict[str, str | None]]]:
     """(position from 1, rejection reason, fields) of each card; one row ``blocked_listing_page`` at position 0 for a page
     that turns readers away. Of a card the first accepted link counts, else its last reason."""
-    portal = BY_DOMAIN.get(domain)
+    strategy = strategy_of(domain, document)
     if not html:
         return []
     if domain == "milanuncios.com" and re.search(any_of(BLOCKED), html.lower()):
         return [(0, "blocked_listing_page", {})]
     out = []
-    for position, card in enumerate(cards_of(parse(html), selectors or (portal.cards if portal else CARD_SELECTORS)), 1):
+    for position, card in enumerate(cards_of(parse(html), strategy.cards), 1):
         reason, fields = "missing_anchor", None
-        for anchor in anchors_of(card, portal.links if portal else ()):
-            fields, why = read_card(card, anchor, portal, base)
+        for anchor in anchors_of(card, strategy.links):
+            fields, why = read_card(card, anchor, strategy, base)
             if fields:
                 break
             reason = why or "non_detail_url"
@@ -182,15 +209,17 @@ def read_page(html: str | None, domain: str, base: str, selectors: tuple[str, ..
 
 def cards(pages: DataFrame) -> DataFrame:
     """(page_id, source_domain, card_position, rejection_reason, fields…) of ``pages`` (page_id, source_domain, base_url,
-    html). Null HTML has no cards; a page that can't be read is one row with the error as its reason."""
+    html, and of OVERLAID what the sources' documents set). Null HTML has no cards; a page that can't be read is one row
+    with the error as its reason."""
+    set_ = [c for c in OVERLAID if c in pages.columns]
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for page, domain, base, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page, domain, base, html, *values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 try:
-                    found = read_page(html, domain or "", base or "")
+                    found = read_page(html, domain or "", base or "", dict(zip(set_, values, strict=True)))
                 except Exception as e:  # one page's fault stays with it
                     found = [(0, f"error: {type(e).__name__}", {})]
                 rows += [(page, domain, position, reason, *(fields.get(f) for f in FIELDS)) for position, reason, fields in found]
@@ -198,11 +227,11 @@ def cards(pages: DataFrame) -> DataFrame:
                 kinds = [batch.column(0).type, pa.string(), pa.int32(), *[pa.string()] * (1 + len(FIELDS))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["page_id", "source_domain", "card_position", "rejection_reason", *FIELDS])
 
-    return pages.select("page_id", "source_domain", "base_url", "html").mapInArrow(run, f"page_id {kind}, source_domain string, card_position int, rejection_reason string, " + ", ".join(f"{f} string" for f in FIELDS))
+    return pages.select("page_id", "source_domain", "base_url", "html", *set_).mapInArrow(run, f"page_id {kind}, source_domain string, card_position int, rejection_reason string, " + ", ".join(f"{f} string" for f in FIELDS))
 
 
-def candidates(read: DataFrame) -> DataFrame:
-    """Accepted cards with identity: external_id, canonical_url, listing_key, dedupe_key, dedupe_method."""
+def candidates(read: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Accepted cards with identity: external_id, canonical_url, listing_key, dedupe_key, dedupe_method; and ``keep``."""
     found = read.filter("rejection_reason is null")
     own = F.coalesce(filled(F.col("card_external_id")), ids.external_id(F.col("source_domain"), F.col("candidate_url")))
     value = numbers.price(F.col("price_text"), F.col("raw_text"))["value"]
@@ -225,6 +254,7 @@ def candidates(read: DataFrame) -> DataFrame:
         F.coalesce(filled(F.col("external_id")), filled(F.col("_id.canonical_url")), F.col("_id.listing_key")).alias("dedupe_key"),
         F.when(filled(F.col("external_id")).isNotNull(), F.lit("external_id")).otherwise(F.col("_id.dedupe_method")).alias("dedupe_method"),
         F.substring("raw_text", 1, 600).alias("raw_text"),
+        *keep,
     )
 
 

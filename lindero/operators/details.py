@@ -6,7 +6,8 @@ A page's tree is read once into texts; values, kinds, status and confidence are
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -110,45 +111,70 @@ def read_detail(html: str | None, markdown: str | None, url: str, key: str) -> t
     return out, links
 
 
-def read_details(snapshots: DataFrame) -> DataFrame:
-    """(snapshot_id, texts…, links) of ``snapshots`` (snapshot_id, url_final, html, markdown, parser_key)."""
-    kind = snapshots.schema["snapshot_id"].dataType.simpleString()
+READ = ("snapshot_id", "domain", "url_final", "html", "markdown", "parser_key")
+
+
+Reader = Callable[[str | None, str | None, str], tuple[Mapping[str, str | None], list[str]]]
+
+
+class Parser(NamedTuple):
+    """A parser that a caller adds: its key, its domains, and how it reads (html, markdown, url) into TEXTS and links."""
+
+    key: str
+    domains: tuple[str, ...]
+    read: Reader
+
+
+def read_details(snapshots: DataFrame, parsers: Sequence[Parser] = ()) -> DataFrame:
+    """``snapshots`` (READ) with _title and the other texts, _links, and _error for a page that could not be read."""
+    readers = {p.key: p.read for p in parsers}
+    source = snapshots.select(*READ)
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for sid, url, html, markdown, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                texts, links = read_detail(html, markdown, url or "", key or "generic")
-                rows.append((sid, *(texts.get(t) for t in TEXTS), links))
+            for url, html, markdown, key in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+                error = None
+                try:
+                    texts, links = readers[key](html, markdown, url or "") if key in readers else read_detail(html, markdown, url or "", key or "generic")
+                except Exception as e:  # one page's fault stays with it
+                    texts, links, error = {}, [], f"{type(e).__name__}: {str(e)[:300]}"
+                rows.append((*(texts.get(t) for t in TEXTS), links, error))
             if rows:
-                kinds = [batch.column(0).type, *[pa.string()] * len(TEXTS), pa.list_(pa.string())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["_sid", *(f"_{t}" for t in TEXTS), "_links"])
+                types = [*[pa.string()] * len(TEXTS), pa.list_(pa.string()), pa.string()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=[*READ, *(f"_{t}" for t in TEXTS), "_links", "_error"])
 
-    return snapshots.select("snapshot_id", "url_final", "html", "markdown", "parser_key").mapInArrow(run, f"_sid {kind}, " + ", ".join(f"_{t} string" for t in TEXTS) + ", _links array<string>")
+    return source.mapInArrow(run, ", ".join([*kinds, *(f"_{t} string" for t in TEXTS), "_links array<string>", "_error string"]))
 
 
-def parser_key(domain: Column) -> Column:
-    """The parser of a domain, ``generic`` for any other."""
-    return F.coalesce(*[F.when(domain == d, F.lit(k)) for d, k in PARSER_KEYS.items()], F.lit("generic"))
+def parser_key(domain: Column, parsers: Sequence[Parser] = ()) -> Column:
+    """The parser of a domain, an added one before those known here; ``generic`` for any other."""
+    own = [F.when(domain.isin(*p.domains), F.lit(p.key)) for p in parsers if p.domains]
+    return F.coalesce(*own, *[F.when(domain == d, F.lit(k)) for d, k in PARSER_KEYS.items()], F.lit("generic"))
 
 
-def parsed(snapshots: DataFrame) -> DataFrame:
+def parsed(snapshots: DataFrame, faults: bool = False, parsers: Sequence[Parser] = ()) -> DataFrame:
     """``snapshots`` (snapshot_id, domain, url_final, html, markdown) as records: texts, values, kind, status, confidence.
 
-    snapshot_id names a row. Null HTML and Markdown give status ``error``; links are distinct, at most 200.
+    Null HTML and Markdown give status ``error``; links are distinct, at most 200. A page whose reading fails is no record;
+    with ``faults`` it is a row with ``read_error``, which is null in records. ``parsers`` read their domains' pages; what
+    they leave out is found as for any other page.
     """
-    keyed = snapshots.withColumn("parser_key", parser_key(F.col("domain")))
-    texts = read_details(keyed)
+    keyed = snapshots.withColumn("parser_key", parser_key(F.col("domain"), parsers))
     both = F.concat_ws("\n", filled(F.col("markdown")), filled(F.col("html")))
-    t = keyed.join(texts, F.col("snapshot_id") == F.col("_sid")).withColumn("_both", both)
-    generic, pisos, fotocasa = (F.col("parser_key") == k for k in ("generic", "pisos_detail", "fotocasa_detail"))
+    t = read_details(keyed, parsers).withColumn("_both", both)
+    if not faults:
+        t = t.filter("_error is null")
+    pisos, fotocasa = (F.col("parser_key") == k for k in ("pisos_detail", "fotocasa_detail"))
+    generic = ~pisos & ~fotocasa
     info = F.coalesce("_info_text", "_both")
     t = t.select(
         "*",
-        F.when(generic, pages.found(pages.GENERIC_PRICE, F.col("_both"))).otherwise(F.coalesce("_price_text", pages.found(pages.DETAIL_PRICE, F.col("_both")))).alias("price_text"),
+        F.when(generic, F.coalesce("_price_text", pages.found(pages.GENERIC_PRICE, F.col("_both")))).otherwise(F.coalesce("_price_text", pages.found(pages.DETAIL_PRICE, F.col("_both")))).alias("price_text"),
         F.when(generic, pages.found(pages.GENERIC_SURFACE, F.col("_both"))).otherwise(F.coalesce(pages.found(pages.DETAIL_SURFACE, info), pages.found(pages.DETAIL_SURFACE, F.col("_both")))).alias("surface_text"),
         F.when(generic, pages.found(pages.GENERIC_ROOMS, F.col("_both"))).otherwise(F.coalesce(pages.found(pages.DETAIL_ROOMS, info), pages.found(pages.DETAIL_ROOMS, F.col("_both")))).alias("rooms_text"),
-        F.when(generic, pages.found(pages.GENERIC_PLACE, F.col("_both"))).otherwise(F.col("_location_text")).alias("location_text"),
+        F.when(generic, F.coalesce("_location_text", pages.found(pages.GENERIC_PLACE, F.col("_both")))).otherwise(F.col("_location_text")).alias("location_text"),
         F.col("_title").alias("title"),
         F.col("_description_text").alias("description_text"),
         F.slice(F.array_distinct(F.filter("_links", lambda x: x != "")), 1, 200).alias("extracted_links"),
@@ -174,5 +200,5 @@ def parsed(snapshots: DataFrame) -> DataFrame:
     errors = F.filter(F.array(F.when(F.col("_empty"), F.lit("missing_html_and_markdown")), F.when(~pisos & (of_kind != "detail") & ~(fotocasa & F.col("_empty")), F.lit("non_detail_page_kind"))), lambda e: e.isNotNull())
     return t.select(
         "parser_key", F.col("domain").alias("source_domain"), "snapshot_id", "url_final", "page_kind", "title", "price_text", "price_value", "price_currency", "location_text",
-        "surface_text", "surface_sqm", "rooms_text", "rooms_count", "description_text", "extracted_links", "parse_status", errors.alias("parse_errors"), confidence.alias("confidence_score"),
+        "surface_text", "surface_sqm", "rooms_text", "rooms_count", "description_text", "extracted_links", "parse_status", errors.alias("parse_errors"), confidence.alias("confidence_score"), *[F.col("_error").alias("read_error")] * faults,
     )

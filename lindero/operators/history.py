@@ -21,8 +21,9 @@ def column_or_null(df: DataFrame, name: str, kind: str = "string") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(kind)
 
 
-def normalized(records: DataFrame) -> DataFrame:
-    """The 15 columns of a publishable listing from records of any subset of the business columns (and ``seq``)."""
+def normalized(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The 15 columns of a publishable listing from records of any subset of the business columns (and ``seq``); further
+    columns that are to stay are named in ``keep``."""
 
     def text(name: str) -> Column:
         return clean(column_or_null(records, name))
@@ -47,6 +48,7 @@ def normalized(records: DataFrame) -> DataFrame:
         text("parser_key").alias("parser_key"),
         text("parse_status").alias("parse_status"),
         F.col("seq"),
+        *keep,
     )
 
 
@@ -95,6 +97,11 @@ def new_on(day: Column) -> Column:
     return F.col("in_batch") & (F.col("first_seen_date") == day)
 
 
+def first_seen_on(day: Column) -> Column:
+    """The listing was first seen on that day, in whichever of its batches."""
+    return (F.col("first_seen_date") == day) & (F.col("last_seen_date") == day)
+
+
 def status_after(status: DataFrame, current: DataFrame) -> DataFrame:
     """The status store with a row for every current key: its resolved workflow replaces what was there."""
     return status.join(current.select("listing_key"), "listing_key", "left_anti").select("listing_key", *WORKFLOW).unionByName(current.select("listing_key", *WORKFLOW))

@@ -79,9 +79,8 @@ def ld_json(html: Column) -> Column:
     """map<string,string> of the page's JSON-LD objects, later keys over earlier ones; what is not JSON goes."""
     blocks = F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*type=[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"), 1)
     objects = F.flatten(F.transform(blocks, lambda b: F.when(F.trim(b).startswith("["), F.coalesce(F.from_json(b, "array<map<string,string>>"), F.array().cast("array<map<string,string>>"))).otherwise(F.array(F.from_json(b, "map<string,string>")))))
-    entries = F.flatten(F.transform(F.filter(objects, lambda m: m.isNotNull()), F.map_entries))
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    return F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value"))))
+    known = F.filter(objects, lambda m: m.isNotNull())
+    return F.aggregate(known, F.create_map().cast("map<string,string>"), lambda found, m: F.map_concat(F.map_filter(found, lambda k, v: ~F.map_contains_key(m, k)), m))
 
 
 def state_json(html: Column) -> Column:
@@ -105,7 +104,7 @@ def _walked(node: object) -> Iterator[dict]:
 def json_items(blobs: DataFrame, key: str, column: str) -> DataFrame:
     """(key, place, link, detalles, text): every object at any depth that links to a known site, outer ones first.
 
-    Null text, and text that is not JSON, has none. Price, surface, town and operation then come from ``text`` by
+    Null text, text that is not JSON, and JSON nested about a thousand levels deep have none. Price, surface, town and operation then come from ``text`` by
     :func:`with_fields`.
     """
     kind = blobs.schema[key].dataType.simpleString()
@@ -115,11 +114,10 @@ def json_items(blobs: DataFrame, key: str, column: str) -> DataFrame:
             rows = []
             for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
-                    tree = json.loads(blob) if blob else None
-                except ValueError:
+                    found = [(x, json.dumps(x, ensure_ascii=False)) for x in _walked(json.loads(blob) if blob else None)]
+                except (ValueError, RecursionError):  # no JSON, or nested deeper than the parser goes
                     continue
-                for place, x in enumerate(_walked(tree)):
-                    text = json.dumps(x, ensure_ascii=False)
+                for place, (x, text) in enumerate(found):
                     rows.append((k, place, x.get("url") or x.get("detailUrl"), str(x.get("title") or x.get("subtitle") or "")[:500] or text[:500], text))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (batch.column(0).type, pa.int32(), pa.string(), pa.string(), pa.string()), strict=True)], names=[key, "place", "link", "detalles", "text"])

@@ -29,7 +29,7 @@ def first_by_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
 
 def best_by_key(df: DataFrame, keys: Sequence[str], score: Column, seq: str) -> DataFrame:
     """The row with the highest score of each key, the first of equals."""
-    return df.groupBy(*keys).agg(F.max_by(_row(df), F.struct(score.alias("s"), (-F.col(seq)).alias("o"))).alias("_row")).select("_row.*")
+    return df.groupBy(*keys).agg(F.min_by(_row(df), F.struct((-score).alias("s"), F.col(seq).alias("o"))).alias("_row")).select("_row.*")
 
 
 def distinct_in_order(df: DataFrame, key: str, seq: str) -> DataFrame:
@@ -55,8 +55,9 @@ def upsert(index: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def latest_equal_before(df: DataFrame, keys: Sequence[str], seq: str, hashes: Sequence[tuple[str, str]]) -> DataFrame:
-    """For each row the latest earlier row of its key with an equal hash, by the first of ``hashes`` (column, reason)
-    for which there is one: ``is_duplicate``, ``match_reason``, ``matched_seq``, and how many rows of the key came before.
+    """For each row the latest earlier row of its key that has any hash in common with it: ``is_duplicate``,
+    ``match_reason`` (that of the first of ``hashes``, (column, reason), that the two have in common), ``matched_seq``, and
+    how many rows of the key came before. A null hash equals nothing.
 
     Each hash is its own window, (key, hash), so that rows of one key are split by their contents; the count before is
     by key and needs the keys' rows in order.
@@ -70,8 +71,10 @@ def latest_equal_before(df: DataFrame, keys: Sequence[str], seq: str, hashes: Se
         matches.append((name, reason))
     before = Window.partitionBy(*keys).orderBy(seq)
     out = out.withColumn("previous_count", (F.row_number().over(before) - 1).cast("long"))
+    found = [F.col(name) for name, _ in matches]
+    out = out.withColumn("_at", F.greatest(*found) if len(found) > 1 else found[0])
+    at = F.col("_at")
     reason = F.lit("none")
     for name, label in reversed(matches):
-        reason = F.when(F.col(name).isNotNull(), F.lit(label)).otherwise(reason)
-    at = F.coalesce(*[F.col(name) for name, _ in matches])
+        reason = F.when(F.col(name) == at, F.lit(label)).otherwise(reason)
     return out.select(*df.columns, at.isNotNull().alias("is_duplicate"), reason.alias("match_reason"), at.alias("matched_seq"), "previous_count")

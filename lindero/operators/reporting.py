@@ -28,6 +28,18 @@ def rolled_up(rows: DataFrame, by: str, metrics: list[str]) -> DataFrame:
     return rows.rollup(by).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in metrics], F.grouping(by).alias("_all")).select(F.when(F.col("_all") == 1, F.lit(TOTAL)).otherwise(F.col(by)).alias(by), *metrics)
 
 
+def harvested(pages: DataFrame, cards: DataFrame, candidates: DataFrame) -> DataFrame:
+    """source_domain and METRICS of a harvest: ``pages`` (source_domain, status), ``cards`` (source_domain, card_position,
+    rejection_reason; position 0 stands for a page that has none), ``candidates`` (source_domain, selected), which are those
+    that are left of the accepted cards once equal ones are one."""
+    ok, card = F.col("status").isin("ok", "partial"), F.col("card_position") > 0
+    fetched = pages.groupBy("source_domain").agg(F.count("*").alias("listing_pages_fetched"), F.count_if(F.coalesce(ok, F.lit(False))).alias("listing_pages_ok"))
+    read = cards.groupBy("source_domain").agg(F.count_if(card).alias("cards_detected"), F.count_if(F.col("rejection_reason").isNull()).alias("candidates_emitted"), F.count_if(card & F.col("rejection_reason").isNotNull()).alias("candidates_rejected_by_rules"))
+    left = candidates.groupBy("source_domain").agg(F.count("*").alias("_left"), F.count_if("selected").alias("candidates_sent_to_detail"), F.count_if(~F.col("selected")).alias("candidates_already_seen"))
+    every = fetched.join(read, "source_domain", "full_outer").join(left, "source_domain", "full_outer").na.fill(0)
+    return every.withColumn("candidates_deduped_out", F.greatest(F.col("candidates_emitted") - F.col("_left"), F.lit(0))).select("source_domain", *METRICS)
+
+
 def funnel(harvest: DataFrame, archived: DataFrame, parsed: DataFrame, errors: DataFrame) -> DataFrame:
     """One row per known portal and one in total: listing metrics, archived pages, parsed listings.
 

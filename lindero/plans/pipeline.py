@@ -17,7 +17,7 @@ from ..operators.ordered import latest_equal_before
 from ..sources import tables as t
 
 Fetch = Callable[[DataFrame], DataFrame]
-STEPS = ("archive", "discover", "harvest", "archive_discovered", "parse", "funnel")
+STEPS = ("archive", "discover", "listing_pages", "listing_cards", "harvest", "archive_discovered", "parse", "funnel")
 
 
 def archived(urls: DataFrame, fetch: Fetch) -> DataFrame:
@@ -79,38 +79,51 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
         pages = table("archive").filter("status <> 'error'").join(sources.select(F.col("domain").alias("source_domain"), "parser_key"), "source_domain")
         return discovery.discovered(pages.withColumn("base_url", F.col("url")).withColumn("allowed_domain", F.col("source_domain")).withColumn("run", F.lit(run_id)), distinct_in="run").select("run", "url", "seq", "place")
 
-    def found() -> DataFrame:
+    def listing_pages() -> DataFrame:
         plan = planning.page_plan(harvested).withColumnRenamed("listing_page_url", "url")
-        pages = archived(plan.select("url", F.col("domain").alias("source_domain"), F.struct("start_ordinal", "page_number").alias("seq"), today), fetch)
-        rows = pages.select(F.col("snapshot_id").alias("page_id"), "source_domain", F.col("url").alias("base_url"), "html")
-        best = cards.richest(cards.candidates(cards.cards(rows)), "card_position", ["source_domain"])
+        return archived(plan.select("url", F.col("domain").alias("source_domain"), F.struct("start_ordinal", "page_number").alias("seq"), today), fetch)
+
+    def listing_cards() -> DataFrame:
+        rows = table("listing_pages").filter("status in ('ok', 'partial')").select(F.col("snapshot_id").alias("page_id"), "seq", "source_domain", F.col("url").alias("base_url"), "html")
+        document = sources.select(F.col("domain").alias("source_domain"), *[c for c in cards.OVERLAID if c in sources.columns])
+        place = rows.select("page_id", F.concat_ws("/", F.lpad("seq.start_ordinal", 6, "0"), F.lpad("seq.page_number", 6, "0")).alias("page_place")).groupBy("page_id").agg(F.min("page_place").alias("page_place"))
+        return cards.cards(rows.join(document, "source_domain", "left")).join(place, "page_id")
+
+    def found() -> DataFrame:
+        each = table("listing_cards").withColumn("order", F.concat_ws("/", "source_domain", "page_place", F.lpad("card_position", 6, "0")))
+        best = cards.richest(cards.candidates(each, keep=("order",)), "order", ["source_domain"])
         master = t.read_versioned(spark, f"{root}/master", history.MASTER_DDL)
-        chosen = history.with_relevance(best, master, F.lit(day).cast("date")).withColumn("url", F.col("candidate_url")).withColumn("run", F.lit(run_id))
-        return aliases.merge_aliases(chosen.withColumn("order", F.concat_ws("/", "source_domain", "page_id", F.lpad("card_position", 6, "0"))), "run", "order")
+        return history.with_relevance(best, master, F.lit(day).cast("date")).withColumn("url", F.col("candidate_url")).withColumn("run", F.lit(run_id))
 
     def listings() -> DataFrame:
-        more = table("harvest").filter("selected").select("url", "source_domain")
+        more = aliases.merge_aliases(table("harvest").filter("selected"), "run", "order").select("url", "source_domain")
         linked = table("discover").join(table("archive").select("seq", "source_domain"), "seq").select("url", "source_domain")
         every = more.unionByName(linked).groupBy("url").agg(F.min("source_domain").alias("source_domain"))
         return archived(every.select("url", "source_domain", seq("url"), today), fetch)
 
     def records() -> DataFrame:
         rows = table("archive_discovered").filter("status in ('ok', 'partial')")
-        return details.parsed(rows.select(F.concat_ws(":", "snapshot_id", F.hash("url")).alias("snapshot_id"), F.col("source_domain").alias("domain"), F.col("url").alias("url_final"), "html", "markdown"))
+        return details.parsed(rows.select("snapshot_id", F.col("source_domain").alias("domain"), F.col("url").alias("url_final"), "html", "markdown"), faults=True)
 
     def report() -> DataFrame:
-        accepted = table("harvest").groupBy("source_domain").agg(F.count("*").alias("candidates_emitted"), F.count_if("selected").alias("candidates_sent_to_detail"), F.count_if(~F.col("selected")).alias("candidates_already_seen"))
-        zeros = [F.lit(0).cast("long").alias(m) for m in reporting.METRICS if m not in accepted.columns]
         gone = table("archive_discovered").select("source_domain", "status", F.col("url").alias("snapshot_path"))
-        return reporting.funnel(accepted.select("*", *zeros), gone, table("parse"), t.empty(spark, "snapshot_path string, error string"))
+        read = table("parse")
+        faults = read.filter("read_error is not null").select(F.col("url_final").alias("snapshot_path"), F.col("read_error").alias("error"))
+        return reporting.funnel(reporting.harvested(table("listing_pages"), table("listing_cards"), table("harvest")), gone, read.filter("read_error is null"), faults)
 
     step("archive", (), seeds)
     step("discover", ("archive",), links)
-    step("harvest", (), found)
+    step("listing_pages", (), listing_pages)
+    step("listing_cards", ("listing_pages",), listing_cards)
+    step("harvest", ("listing_cards",), found)
     step("archive_discovered", ("archive", "discover", "harvest"), listings)
     step("parse", ("archive_discovered",), records)
     step("funnel", ("harvest", "archive_discovered", "parse"), report)
-    failed = table("archive").filter("status = 'error'").count() if t.exists(spark, f"{base}/archive") else 0
-    status = overall(statuses, failed)
-    t.write_document(spark, f"{base}/manifest.json", {"pipeline_run_id": run_id, "job_name": job, "status": status, "step_statuses": statuses, "errors_summary": errors})
+    there = [s for s in ("archive", "archive_discovered") if t.exists(spark, f"{base}/{s}/_SUCCESS")]
+    pages = {s: table(s).agg(*reporting.status_counts(F.col("status"))).first().asDict() for s in there}
+    status = overall(statuses, pages.get("archive", {}).get("error", 0))
+    reasons = {}
+    if t.exists(spark, f"{base}/listing_cards/_SUCCESS"):
+        reasons = {r["source_domain"]: r["rejection_reasons"] for r in reporting.reason_map(table("listing_cards"), "source_domain", "rejection_reason").toLocalIterator()}
+    t.write_document(spark, f"{base}/manifest.json", {"pipeline_run_id": run_id, "job_name": job, "status": status, "step_statuses": statuses, "page_statuses": pages, "rejection_reasons": reasons, "errors_summary": errors})
     return Run(statuses, status, errors)

@@ -28,9 +28,10 @@ def publish(records: DataFrame, master: DataFrame, status: DataFrame, day: str,
     return Published(after, h.status_after(status, current), after.filter(h.new_on(on)).select(*PUBLISHED))
 
 
-def publish_to(records: DataFrame, root: str, day: str, now: str) -> dict:
+def publish_to(records: DataFrame, root: str, day: str, now: str, parts: bool = False) -> dict:
     """:func:`publish` on the tables below ``root``: history and status get new versions, the delta a CSV folder for every
-    known portal (even an empty one) and one for all; a summary document says how many there are."""
+    known portal (even an empty one) and one for all; a summary document says how many there are. ``parts``: the day
+    comes in several batches, and its list is that of all of them so far, not of the last one alone."""
     spark: SparkSession = records.sparkSession
     master = t.read_versioned(spark, f"{root}/master", h.MASTER_DDL)
     status = t.read_versioned(spark, f"{root}/status", h.STATUS_DDL)
@@ -38,7 +39,7 @@ def publish_to(records: DataFrame, root: str, day: str, now: str) -> dict:
     t.write_versioned(out.status.orderBy("listing_key"), f"{root}/status")
     t.write_versioned(out.master.orderBy(F.desc_nulls_last("portal"), F.desc_nulls_last("last_seen_date"), F.desc_nulls_last("title")), f"{root}/master")
     kept = t.read_versioned(spark, f"{root}/master", h.MASTER_DDL + ", in_batch boolean")
-    new = kept.filter(h.new_on(F.lit(day).cast("date")))
+    new = kept.filter((h.first_seen_on if parts else h.new_on)(F.lit(day).cast("date")))
     for slug in SLUGS:
         t.write_csv(new.filter(F.col("portal") == slug), f"{root}/published/{day}/{slug}.csv", PUBLISHED)
     t.write_csv(new, f"{root}/published/{day}/all.csv", PUBLISHED)

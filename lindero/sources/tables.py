@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -32,11 +33,18 @@ def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType, strict: bool = False) -> DataFrame:
-    """Objects of JSON lines. Blank lines, malformed ones and values that are no objects go; ``strict`` raises on them.
-    A missing file is an empty table."""
+    """Objects of JSON lines. Blank lines go; so do malformed ones and values that are no objects (numbers, arrays, also
+    arrays of objects), on which ``strict`` raises. A value of another type than its column's is null. A missing file is
+    an empty table."""
     if not exists(spark, path):
         return empty(spark, schema)
-    return spark.read.schema(schema_of(schema)).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
+    lines = spark.read.text(path).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("line")).filter("line <> ''")
+    is_object = F.col("line").startswith("{") & F.try_parse_json("line").isNotNull()
+    if strict:
+        lines = lines.select(F.when(is_object, F.col("line")).otherwise(F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("line", 1, 200)))).alias("line"))
+    else:
+        lines = lines.filter(is_object)
+    return lines.select(F.from_json("line", schema_of(schema)).alias("o")).select("o.*")
 
 
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -64,29 +72,32 @@ def read_pages(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").load(glob).select("path", F.decode("content", "UTF-8").alias("html"))
 
 
+def _pointers(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, version) of a table's pointers, the current one last. A pointer's name says both."""
+    if not exists(spark, root):
+        return []
+    names = [s.getPath().getName() for s in file_system(spark, root).listStatus(_path(spark, root))]
+    return sorted((int(m[1]), m[2]) for n in names if (m := re.fullmatch(r"CURRENT-(\d+)-(v-[0-9a-f]+)", n)))
+
+
 def read_versioned(spark: SparkSession, root: str, schema: str | T.StructType) -> DataFrame:
     """The current version of a table of :func:`write_versioned`; empty if there is none."""
-    at = f"{root}/CURRENT"
-    if not exists(spark, at):
+    found = _pointers(spark, root)
+    if not found:
         return empty(spark, schema)
-    name = spark.read.text(at).first()[0]
-    return spark.read.schema(schema_of(schema)).parquet(f"{root}/{name}")
+    return spark.read.schema(schema_of(schema)).parquet(f"{root}/{found[-1][1]}")
 
 
 def write_versioned(df: DataFrame, root: str) -> str:
-    """``df`` as a new version below ``root``; the pointer to the current version moves once it is whole. A table may so
-    be replaced by a plan that reads it, and a reader sees the old or the new one."""
+    """``df`` as a new version below ``root``; once it is whole, a pointer with the next number names it. A table may so be
+    replaced by a plan that reads it. Nothing that is current is ever moved or deleted: a reader, also one after a crash
+    at any point, sees the old or the new version."""
     spark = df.sparkSession
     name = f"v-{uuid.uuid4().hex}"
+    number = max((n for n, _ in _pointers(spark, root)), default=0) + 1
     df.write.parquet(f"{root}/{name}")
-    fs = file_system(spark, root)
-    part, final = _path(spark, f"{root}/_{name}"), _path(spark, f"{root}/CURRENT")
-    out = fs.create(part, True)
-    out.write(bytearray(name.encode()))
-    out.close()
-    fs.delete(final, False)
-    if not fs.rename(part, final):
-        raise OSError(f"{root}: the pointer could not be moved")
+    if not file_system(spark, root).createNewFile(_path(spark, f"{root}/CURRENT-{number:09d}-{name}")):
+        raise OSError(f"{root}: the pointer could not be written")
     return f"{root}/{name}"
 
 

@@ -11,12 +11,14 @@ from ..plans.publish import publish_to
 
 def publish_stream(records: DataFrame, root: str, checkpoint: str, day_column: str = "publish_date") -> DataStreamWriter:
     """A writer that publishes each micro-batch of ``records`` (business columns, ``seq`` and a date), one day after the
-    other. A batch that is delivered twice changes nothing: a second run of a day counts no listing again."""
+    other. A day may come in several batches: its list is that of all of them. A batch that is delivered twice changes
+    nothing: a second run of a day counts no listing again."""
+
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             for (day,) in batch.select(F.col(day_column).cast("string")).distinct().orderBy(day_column).collect():
-                publish_to(batch.filter(F.col(day_column).cast("string") == day).drop(day_column), root, day, now=f"{day}T00:00:00Z")
+                publish_to(batch.filter(F.col(day_column).cast("string") == day).drop(day_column), root, day, now=f"{day}T00:00:00Z", parts=True)
         finally:
             batch.unpersist()
 

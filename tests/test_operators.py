@@ -70,7 +70,108 @@ def test_ordered_against_a_model(spark):
 def test_latest_equal_before(spark):
     df = spark.createDataFrame([("u", 1, "x", None), ("u", 2, "y", "h"), ("u", 3, "x", "h"), ("u", 4, "z", "h"), ("v", 1, "x", None)], "u string, seq int, a string, b string")
     got = {(r["u"], r["seq"]): (r["is_duplicate"], r["match_reason"], r["matched_seq"], r["previous_count"]) for r in ordered.latest_equal_before(df, ["u"], "seq", [("a", "content"), ("b", "html")]).collect()}
-    assert got == {("u", 1): (False, "none", None, 0), ("u", 2): (False, "none", None, 1), ("u", 3): (True, "content", 1, 2), ("u", 4): (True, "html", 3, 3), ("v", 1): (False, "none", None, 0)}
+    assert got == {("u", 1): (False, "none", None, 0), ("u", 2): (False, "none", None, 1), ("u", 3): (True, "html", 2, 2), ("u", 4): (True, "html", 3, 3), ("v", 1): (False, "none", None, 0)}
+
+
+def test_latest_equal_before_against_a_model(spark):
+    rng = random.Random(8)
+    names = [("p", "content"), ("m", "markdown"), ("h", "html")]
+    rows = [(rng.choice("uv"), i, *(rng.choice(["a", "b", "c", None]) for _ in names)) for i in range(120)]
+    df = spark.createDataFrame(rows, "u string, seq int, p string, m string, h string").repartition(4)
+    got = {r["seq"]: (r["is_duplicate"], r["match_reason"], r["matched_seq"], r["previous_count"]) for r in ordered.latest_equal_before(df, ["u"], "seq", names).collect()}
+    for u, i, *hashes in rows:
+        before = [r for r in rows if r[0] == u and r[1] < i]
+        want = next(((True, names[k][1], r[1]) for r in reversed(before) for k in range(3) if hashes[k] and r[2 + k] == hashes[k]), (False, "none", None))
+        assert got[i] == (*want, len(before))
+
+
+def test_alias_groups_follow_the_last_row(spark):
+    def merged(rows):
+        """The rule, row by row: all keys of a row lead to the group that it joined."""
+        groups, leads = {}, {}
+        for i, keys, filled in rows:
+            keys = [k.strip() for k in keys if k.strip()]
+            if not keys:
+                continue
+            group = next((leads[k] for k in keys if k in leads), keys[0])
+            if group not in groups or filled > groups[group][0]:
+                groups[group] = (filled, i)
+            for k in keys:
+                leads[k] = group
+        return sorted(i for _, i in groups.values())
+
+    def run(rows):
+        cols = "r string, seq int, external_id string, listing_key string, canonical_url string, url string, title_text string, price_text string"
+        data = [("r", i, *keys, "t" if filled > 0 else "", "p" if filled > 1 else "") for i, keys, filled in rows]
+        df = spark.createDataFrame(data, cols)
+        return sorted(x["seq"] for x in aliases.merge_aliases(df, "r", "seq", scored=("title_text", "price_text")).collect())
+
+    joined = [(1, ("", "k1", "", ""), 1), (2, ("", "k2", "", ""), 1), (3, ("", "k1", "k2", ""), 0), (4, ("", "k2", "", ""), 2)]
+    assert run(joined) == merged(joined) == [2, 4]
+    rng = random.Random(5)
+    for _ in range(6):
+        rows = [(i, tuple(rng.choice(["", f" k{rng.randint(0, 9)}", f"k{rng.randint(0, 9)}"]) for _ in range(4)), rng.randint(0, 2)) for i in range(40)]
+        assert run(rows) == merged(rows)
+
+
+def test_json_lines_keep_objects_only(spark, tmp_path):
+    path = tmp_path / "a.jsonl"
+    path.write_text('{"a": "1", "n": 2}\n\n  {"a": "2"}  \n[{"a": "3"}]\n{"a": "4"\n7\n"x"\nnull\n{"a": "5", "n": "x"}\n')
+    assert [(r["a"], r["n"]) for r in t.read_json_lines(spark, f"file://{path}", "a string, n int").collect()] == [("1", 2), ("2", None), ("5", None)]
+    with pytest.raises(Exception, match="not a JSON object"):
+        t.read_json_lines(spark, f"file://{path}", "a string", strict=True).collect()
+    assert t.read_json_lines(spark, f"file://{tmp_path}/none", "a string").count() == 0
+
+
+def test_versions_survive_a_crash_at_any_point(spark, tmp_path):
+    root = f"file://{tmp_path}/v"
+    assert t.read_versioned(spark, root, "a int").count() == 0
+    t.write_versioned(spark.range(1).selectExpr("1 as a"), root)
+    one = {p.name for p in (tmp_path / "v").iterdir()}
+    t.write_versioned(t.read_versioned(spark, root, "a int").selectExpr("a + 1 as a"), root)
+    assert one <= {p.name for p in (tmp_path / "v").iterdir()}  # what was current is still there
+    assert [r["a"] for r in t.read_versioned(spark, root, "a int").collect()] == [2]
+    (tmp_path / "v" / "v-dead").mkdir()  # a version that was being written, without a pointer
+    assert [r["a"] for r in t.read_versioned(spark, root, "a int").collect()] == [2]
+
+
+def test_a_day_in_two_micro_batches(spark, tmp_path):
+    from lindero.streaming import publishing
+
+    data, root = f"{tmp_path}/in", f"file://{tmp_path}/root"
+    for k, rows in enumerate([DAY1[:1], DAY1[2:]]):
+        spark.createDataFrame(rows, RECORDS).withColumn("publish_date", F.lit("2026-03-21")).coalesce(1).write.mode("append").parquet(data)
+        stream = spark.readStream.schema(RECORDS + ", publish_date string").parquet(data)
+        publishing.publish_stream(stream, root, f"{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
+        assert t.read_csv(spark, f"{root}/published/2026-03-21/all.csv", publish.PUBLISHED).count() == k + 1
+
+
+def test_strategies_of_documents(spark):
+    html = "<section><a href='/oferta/12'>Nave industrial grande</a></section><section><a href='/ayuda/1'>Preguntas frecuentes aquí</a></section>"
+    p = spark.createDataFrame([(1, "nuevo.es", "https://nuevo.es/l", html, ["section"], [" "], ["/oferta/[0-9]+"], ["/ayuda"])], "page_id int, source_domain string, base_url string, html string, listing_card_selectors array<string>, listing_detail_link_selectors array<string>, listing_detail_url_patterns array<string>, listing_reject_url_patterns array<string>")
+    assert [(r["candidate_url"], r["rejection_reason"]) for r in cards.cards(p).orderBy("card_position").collect()] == [("https://nuevo.es/oferta/12", None), (None, "rejected_by_url_rules")]
+    assert {r["rejection_reason"] for r in cards.cards(p.drop(*cards.OVERLAID)).collect()} == {"non_detail_url"}
+    own = cards.strategy_of("pisos.com", {"listing_card_selectors": ["x", " "], "listing_reject_url_patterns": None})
+    assert own.cards == ("x",) and own.reject == own.portal.reject and own.detail == own.portal.detail
+
+
+def test_detail_urls_of_a_host(spark):
+    from lindero.functions import portals
+
+    rows = [
+        ("https://www.idealista.com/inmueble/1/", "idealista.com", None, None, True),
+        ("https://idealista.com/inmueble/1/", "idealista.com", None, None, True),
+        ("https://evil.com/inmueble/1/", "idealista.com", None, None, False),
+        ("https://notidealista.com/inmueble/1/", "idealista.com", None, None, False),
+        ("https://www.idealista.com/inmueble/1/", "idealista.com", None, ["/inmueble"], False),
+        ("https://www.idealista.com/otro/1/", "idealista.com", ["/otro"], None, False),
+        ("https://x.nuevo.es/oferta/1", "nuevo.es", ["/oferta/"], None, True),
+        ("https://x.nuevo.es/oferta/1", "nuevo.es", None, None, False),
+        ("", "nuevo.es", ["."], None, False),
+    ]
+    df = spark.createDataFrame(rows, "url string, domain string, detail array<string>, reject array<string>, want boolean")
+    got = df.select(portals.is_detail_of(F.col("url"), F.col("domain"), F.col("detail"), F.col("reject")).alias("got"), "want").collect()
+    assert [r["got"] for r in got] == [r["want"] for r in got]
 
 
 def test_upsert_and_null_keys(spark):
@@ -212,11 +313,47 @@ def test_pipeline_with_resume(spark, tmp_path):
     done = pipeline.run_job(spark, "j", jobs, sources, root, "r", "2026-03-22", fetch)
     assert done.errors == [] and done.status == "completed" and set(done.statuses.values()) == {"completed"}
     assert spark.read.parquet(f"{root}/r/parse").filter("parse_status <> 'error'").count() == 2
+    total = next(r for r in spark.read.parquet(f"{root}/r/funnel").collect() if r["portal"] == "total")
+    assert [total[m] for m in reporting.METRICS] == [1, 1, 4, 3, 1, 1, 0, 2]
+    manifest = t.read_document(spark, f"{root}/r/manifest.json")
+    assert manifest["rejection_reasons"] == {"fotocasa.es": {"rejected_by_url_rules": 1}} and manifest["page_statuses"]["archive"] == {"ok": 1, "partial": 0, "error": 0}
     again = pipeline.run_job(spark, "j", jobs, sources, root, "r", "2026-03-22", fetch, resume=True, force=("parse",))
     assert [k for k, v in again.statuses.items() if v == "completed"] == ["parse"]
     assert pipeline.overall({"archive": "failed", "parse": "skipped"}, 0) == "failed" and pipeline.overall({"archive": "completed"}, 2) == "partial"
 
 
+def test_added_parsers_and_pages_that_cannot_be_read(spark):
+    def read(html, markdown, url):
+        return {"title": html.upper(), "price_text": "7.000 €"}, ["/a", "/a"]
+
+    def broken(html, markdown, url):
+        raise RuntimeError("broken")
+
+    rows = [("a", "malo.es", "https://malo.es/1", "x", None), ("b", "otro.es", "https://otro.es/2", "<h1>Nave</h1>", None), ("c", "mio.es", "https://mio.es/3", "nave", None)]
+    p = spark.createDataFrame(rows, "snapshot_id string, domain string, url_final string, html string, markdown string")
+    parsers = [details.Parser("mine", ("mio.es",), read), details.Parser("broken", ("malo.es",), broken)]
+    got = {r["snapshot_id"]: r for r in details.parsed(p, faults=True, parsers=parsers).collect()}
+    assert got["a"]["read_error"] == "RuntimeError: broken" and got["b"]["read_error"] is None and got["b"]["title"] == "Nave"
+    assert (got["c"]["parser_key"], got["c"]["title"], got["c"]["price_value"], got["c"]["extracted_links"]) == ("mine", "NAVE", 7000.0, ["/a"])
+    assert sorted(r["snapshot_id"] for r in details.parsed(p, parsers=parsers).collect()) == ["b", "c"]
+
+
+def test_files_of_one_name_keep_their_own_pages(spark, tmp_path):
+    from lindero import cli
+
+    for k in "ab":
+        (tmp_path / k).mkdir()
+        (tmp_path / k / "page.html").write_text(f"<p>{k}</p>")
+    urls = spark.createDataFrame([(f"{tmp_path}/a/page.html",), (f"file://{tmp_path}/b/page.html",), (f"{tmp_path}/c/page.html",), ("https://x",)], "url string")
+    assert sorted((r["html"] or "") for r in cli._files(urls).collect()) == ["", "", "<p>a</p>", "<p>b</p>"]
+
+
+def test_deep_json_has_no_items(spark):
+    deep = '{"a":' * 30000 + "1" + "}" * 30000
+    df = spark.createDataFrame([(1, deep), (2, '{"url": "https://www.idealista.com/x"}')], "k int, blob string")
+    assert [r["k"] for r in legacy.json_items(df, "k", "blob").collect()] == [2]
+
+
 def test_stream_gives_what_batches_give(spark, tmp_path):
     from lindero.streaming.publishing import publish_stream
 
