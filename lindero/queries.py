@@ -22,7 +22,8 @@ from .operators.aliases import merge_aliases
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-DAY = "2024-01-15"
+#: Day of an empty table of events; else the batch day is the last one there.
+NO_DAY = "2024-01-01"
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -62,6 +63,7 @@ def _listing_url(user: Column, kind: Column) -> Column:
     return F.when((user % 11 == 0) & (kind == "view"), F.lit("")).otherwise(F.concat(F.lit("HTTPS://www."), F.initcap(_domain(user)), path))
 
 
+_SQL_DAY = "(SELECT max(CAST(ts AS DATE)) FROM events)"
 _SQL_DOMAIN = "(['fotocasa.es','idealista.com','milanuncios.com','pisos.com','yaencontre.com','naves.example'])[user_id % 6 + 1]"
 _SQL_N = "(100000 + user_id * 7 + length(event_type))"
 _SQL_URL = f"""CASE WHEN user_id % 11 = 0 AND event_type = 'view' THEN '' ELSE 'HTTPS://www.' || upper({_SQL_DOMAIN}[1]) || {_SQL_DOMAIN}[2:] || CASE user_id % 6
@@ -106,9 +108,15 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def last_day(spark: SparkSession, sf_dir: str) -> str:
+    """The last day of the events: one value."""
+    day = table(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).first()[0]
+    return str(day) if day else NO_DAY
+
+
 def history_before(records: DataFrame, day: str) -> DataFrame:
     """Master history of all days before ``day``, replayed at once."""
-    n = h.normalized(records.filter(F.col("day") < F.lit(day).cast("date"))).join(records.select("seq", "day"), "seq")
+    n = h.normalized(records.filter(F.col("day") < F.lit(day).cast("date")), keep=("day",))
     last = ordered.last_by_key(n, ["listing_key"], "seq").drop("first_seq", "day", "seq")
     days = n.groupBy("listing_key").agg(F.min("day").alias("first_seen_date"), F.max("day").alias("last_seen_date"), F.countDistinct("day").cast("int").alias("seen_count"))
     flow = F.when(F.crc32(F.col("listing_key").cast("binary")) % 4 == 0, "processed").when(F.crc32(F.col("listing_key").cast("binary")) % 4 == 1, "discarded").otherwise("pending")
@@ -167,11 +175,32 @@ def first_wins_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.distinct_in_order(web, "url", "page_id").withColumnRenamed("first_seq", "first_page")
 
 
-@query(f"""WITH {_SQL_LINKS} SELECT page_id, full_url AS url, min(place) AS place FROM w
-    WHERE NOT regexp_matches(lower(full_url), 'login|signin|register|contact|favorit|share|compart|whatsapp|mailto:|tel:|javascript:|#|/inmobiliaria|/agencia|/perfil')
-      AND NOT regexp_matches(lower(full_url), '/agencia|/obra-nueva|/mapa|/perfil') AND regexp_matches(lower(full_url), '/inmueble/|[0-9]{{6,}}') GROUP BY 1, 2""")
+#: How the pages' own links begin instead of with a slash, and the parser keys of pages, so that every rule meets links.
+LINK_STARTS = ("/", "/inmueble/", "/es/d/", "/ficha/x?from=a&k=", "/agencia/inmueble/", "/anuncio/123456/")
+PARSER_KEYS = (*portals.LINK_RULES, "other")
+
+
+def _sql_list(values: tuple[str, ...]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _sql_rules() -> str:
+    rules = {k: f"NOT regexp_matches(lower(url), '{portals.any_of(no)}') AND regexp_matches(lower(url), '{portals.any_of(yes)}')" for k, (yes, no) in portals.LINK_RULES.items()}
+    return "CASE parser_key " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in rules.items()) + f" ELSE {rules['generic']} END"
+
+
+@query(rf"""WITH m AS (SELECT page_id, url, regexp_replace(html, 'href="/', 'href="' || ({_sql_list(LINK_STARTS)})[page_id % 6 + 1], 'g') AS html FROM pages), {_SQL_LINKS.replace("FROM pages", "FROM m")},
+    q AS (SELECT w.page_id, w.url AS page, place, full_url, regexp_extract(full_url, '^[^?#]*\?([^#]*)', 1) AS query FROM w),
+    k AS (SELECT *, array_to_string(list_filter(string_split(query, '&'), lambda x: strpos(x, '=') > 0 AND length(x) > strpos(x, '=') AND NOT list_contains({_sql_list(portals.GALLERY_KEYS)}, lower(split_part(x, '=', 1)))), '&') AS kept FROM q),
+    u AS (SELECT page_id, place, page, ({_sql_list(PARSER_KEYS)})[page_id % 5 + 1] AS parser_key, CASE WHEN query = '' THEN full_url ELSE split_part(split_part(full_url, '#', 1), '?', 1) || CASE WHEN kept = '' THEN '' ELSE '?' || kept END END AS url FROM k)
+    SELECT page_id, url, min(place) AS place FROM u WHERE page_id % 7 <> 0 AND len(list_filter({_sql_list(portals.EXCLUDED_TOKENS)}, lambda t: contains(lower(url), t))) = 0 AND {_sql_rules()} GROUP BY 1, 2""")
 def discovered_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("seq"), F.col("url").alias("base_url"), "html", F.lit(None).cast("string").alias("markdown"), F.lit("idealista_listing").alias("parser_key"), F.lit(None).cast("string").alias("allowed_domain"))
+    """Links of all kinds under every parser key; a seventh of the pages allows only another domain."""
+    page = F.col("page_id")
+    start = F.element_at(F.array(*map(F.lit, LINK_STARTS)), (page % 6 + 1).cast("int"))
+    key = F.element_at(F.array(*map(F.lit, PARSER_KEYS)), (page % 5 + 1).cast("int"))
+    host = F.when(page % 7 == 0, "naves.invalid").when(page % 7 < 4, F.regexp_extract("url", "://([^/?#]*)", 1))
+    p = table(spark, sf_dir, "pages").select(page.alias("seq"), F.col("url").alias("base_url"), F.replace("html", F.lit('href="/'), F.concat(F.lit('href="'), start)).alias("html"), F.lit(None).cast("string").alias("markdown"), key.alias("parser_key"), host.alias("allowed_domain"))
     return discovery.discovered(p).select(F.col("seq").alias("page_id"), "url", "place")
 
 
@@ -256,11 +285,17 @@ def blocked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", portals.is_blocked(F.col("html"), F.lit("milanuncios.com")).alias("blocked"))
 
 
-@query("""WITH s AS (SELECT doc_id, lang, sha256(text) AS h FROM documents), w AS (SELECT doc_id, lag(doc_id) OVER (PARTITION BY lang, h ORDER BY doc_id) AS matched, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS previous_count FROM s)
-    SELECT doc_id, matched IS NOT NULL AS is_duplicate, CASE WHEN matched IS NULL THEN 'none' ELSE 'content_hash_match' END AS match_reason, matched AS matched_seq, previous_count FROM w""")
+_SQL_HASHES = "s AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, sha256(coalesce(text, '')) AS p, CASE WHEN doc_id % 3 <> 0 THEN sha256(substr(coalesce(text, ''), 1, 12)) END AS m, sha256(CAST(length(coalesce(text, '')) AS VARCHAR)) AS h FROM documents)"
+
+
+@query(f"""WITH {_SQL_HASHES}, w AS (SELECT *, lag(doc_id) OVER (PARTITION BY source, lang, p ORDER BY doc_id) AS by_p, CASE WHEN m IS NOT NULL THEN lag(doc_id) OVER (PARTITION BY source, lang, m ORDER BY doc_id) END AS by_m,
+    lag(doc_id) OVER (PARTITION BY source, lang, h ORDER BY doc_id) AS by_h, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) - 1 AS previous_count FROM s), g AS (SELECT *, greatest(by_p, by_m, by_h) AS matched FROM w)
+    SELECT doc_id, matched IS NOT NULL AS is_duplicate, CASE WHEN matched IS NULL THEN 'none' WHEN by_p = matched THEN 'content_hash_match' WHEN by_m = matched THEN 'markdown_hash_match' ELSE 'html_hash_match' END AS match_reason, matched AS matched_seq, previous_count FROM g""")
 def snapshot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("h"))
-    return ordered.latest_equal_before(d, ["lang"], "doc_id", [("h", "content_hash_match")]).drop("lang", "h")
+    """Three hashes that match at different rows: of the text, of its beginning (where there is one), of its length."""
+    t = F.coalesce("text", F.lit(""))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), F.sha2(t, 256).alias("p"), F.when(F.col("doc_id") % 3 != 0, F.sha2(F.substring(t, 1, 12), 256)).alias("m"), F.sha2(F.length(t).cast("string"), 256).alias("h"))
+    return ordered.latest_equal_before(d, ["source", "lang"], "doc_id", [("p", "content_hash_match"), ("m", "markdown_hash_match"), ("h", "html_hash_match")]).select("doc_id", "is_duplicate", "match_reason", "matched_seq", "previous_count")
 
 
 # --- order and state ------------------------------------------------------------------------------------------------
@@ -286,19 +321,22 @@ def richest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.best_by_key(d.select("doc_id", "source", score.alias("score")), ["source"], F.col("score"), "doc_id")
 
 
-@query("WITH k AS (SELECT user_id, event_type, value FROM events WHERE event_id % 10 = 0), o AS (SELECT user_id, event_type, value FROM events WHERE event_id % 3 = 0) SELECT * FROM k UNION ALL SELECT * FROM o WHERE user_id NOT IN (SELECT user_id FROM k)")
+@query("""WITH e AS (SELECT event_id, event_type || ':' || user_id AS k, value, CAST(ts AS DATE) AS day FROM events), last AS (SELECT max(day) AS day FROM e), n AS (SELECT event_id, k, value FROM e WHERE day = (SELECT day FROM last))
+    SELECT * FROM n UNION ALL SELECT event_id, k, value FROM e WHERE day < (SELECT day FROM last) AND k NOT IN (SELECT k FROM n)""")
 def index_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    cols = ["user_id", "event_type", "value"]
-    return ordered.upsert(e.filter("event_id % 3 = 0").select(cols), e.filter("event_id % 10 = 0").select(cols), "user_id")
+    """An index of all earlier days into which the last day's rows are put; the two are the whole table."""
+    e = table(spark, sf_dir, "events").select("event_id", F.concat_ws(":", "event_type", "user_id").alias("k"), "value", F.to_date("ts").alias("day"))
+    last = e.agg(F.max("day").alias("last"))  # one row
+    e = e.crossJoin(F.broadcast(last))
+    return ordered.upsert(e.filter("day < last").select("event_id", "k", "value"), e.filter("day = last").select("event_id", "k", "value"), "k")
 
 
 _SQL_FLOW = "CASE crc % 4 WHEN 0 THEN 'processed' WHEN 1 THEN 'discarded' ELSE 'pending' END"
 _SQL_STATE = f"""{_SQL_LISTINGS},
-    old AS (SELECT listing_key, min(day) AS first_seen_date, max(day) AS last_seen_date, count(DISTINCT day) AS seen_count, arg_max(portal, seq) AS portal, arg_max(struct_pack(v := location_text), seq).v AS location_text FROM listings WHERE day < DATE '{DAY}' GROUP BY 1),
-    cur AS (SELECT listing_key, arg_max(portal, seq) AS portal, arg_max(struct_pack(v := location_text), seq).v AS location_text FROM listings WHERE day = DATE '{DAY}' GROUP BY 1),
+    old AS (SELECT listing_key, min(day) AS first_seen_date, max(day) AS last_seen_date, count(DISTINCT day) AS seen_count, arg_max(portal, seq) AS portal, arg_max(struct_pack(v := location_text), seq).v AS location_text FROM listings WHERE day < {_SQL_DAY} GROUP BY 1),
+    cur AS (SELECT listing_key, arg_max(portal, seq) AS portal, arg_max(struct_pack(v := location_text), seq).v AS location_text FROM listings WHERE day = {_SQL_DAY} GROUP BY 1),
     mas AS (SELECT coalesce(c.listing_key, o.listing_key) AS listing_key, CASE WHEN c.listing_key IS NOT NULL THEN c.portal ELSE o.portal END AS portal, CASE WHEN c.listing_key IS NOT NULL THEN coalesce(c.location_text, '') ELSE coalesce(o.location_text, '') END AS location_text,
-            coalesce(o.first_seen_date, DATE '{DAY}') AS first_seen_date, CASE WHEN c.listing_key IS NOT NULL THEN DATE '{DAY}' ELSE o.last_seen_date END AS last_seen_date,
+            coalesce(o.first_seen_date, {_SQL_DAY}) AS first_seen_date, CASE WHEN c.listing_key IS NOT NULL THEN {_SQL_DAY} ELSE o.last_seen_date END AS last_seen_date,
             CAST(coalesce(o.seen_count, 0) + CASE WHEN c.listing_key IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS seen_count, c.listing_key IS NOT NULL AS in_batch FROM cur c FULL OUTER JOIN old o ON c.listing_key = o.listing_key)"""
 
 
@@ -306,8 +344,8 @@ def _state(spark: SparkSession, sf_dir: str):
     from .plans.publish import publish
     from .sources.tables import empty
 
-    records = listings(spark, sf_dir)
-    return publish(records.filter(F.col("day") == F.lit(DAY).cast("date")).drop("day"), history_before(records, DAY), empty(spark, h.STATUS_DDL), DAY, f"{DAY}T06:00:00Z")
+    records, day = listings(spark, sf_dir), last_day(spark, sf_dir)
+    return publish(records.filter(F.col("day") == F.lit(day).cast("date")).drop("day"), history_before(records, day), empty(spark, h.STATUS_DDL), day, f"{day}T06:00:00Z")
 
 
 @query(f"WITH {_SQL_STATE} SELECT * FROM mas")
@@ -315,16 +353,14 @@ def history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(spark, sf_dir).master.select("listing_key", "portal", "location_text", "first_seen_date", "last_seen_date", "seen_count", "in_batch")
 
 
-@query(f"WITH {_SQL_STATE} SELECT listing_key, portal, first_seen_date, last_seen_date, seen_count FROM mas WHERE in_batch AND first_seen_date = DATE '{DAY}'")
+@query(f"WITH {_SQL_STATE} SELECT listing_key, portal, first_seen_date, last_seen_date, seen_count FROM mas WHERE in_batch AND first_seen_date = {_SQL_DAY}")
 def new_today(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(spark, sf_dir).new.select("listing_key", "portal", "first_seen_date", "last_seen_date", "seen_count")
 
 
 @query(f"WITH {_SQL_LISTINGS} SELECT listing_key, min(day) AS first_seen_date, max(day) AS last_seen_date, count(DISTINCT day) AS seen_count, max(seq) AS last_seq FROM listings GROUP BY 1")
 def seen_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = listings(spark, sf_dir)
-    n = h.normalized(records).select("seq", "listing_key").join(records.select("seq", "day"), "seq")
-    return h.replayed(n, "day", "seq", ["listing_key"])
+    return h.replayed(h.normalized(listings(spark, sf_dir), keep=("day",)), "day", "seq", ["listing_key"])
 
 
 @query("""WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_custkey AS n FROM customer), s AS (SELECT k, CASE n % 3 WHEN 0 THEN 'processed' ELSE 'discarded' END AS st, CASE WHEN n % 5 = 0 THEN 'nota' END AS note FROM c WHERE n % 2 = 0),
@@ -338,22 +374,21 @@ def status_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.with_workflow(c, master, status, "2024-02-01T00:00:00Z").select("listing_key", "workflow_status", "workflow_note")
 
 
-@query("""WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_custkey AS n FROM customer), b AS (SELECT CASE WHEN n = 7 THEN 'processed' ELSE 'pending' END AS st, CASE WHEN n = 7 THEN 'visto' END AS note, k FROM c WHERE n <= 20)
+@query("""WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_custkey AS n FROM customer), b AS (SELECT CASE WHEN n = 7 THEN 'processed' ELSE 'pending' END AS st, CASE WHEN n = 7 THEN 'visto' END AS note, k FROM c)
     SELECT k AS listing_key, st AS workflow_status, note AS workflow_note FROM b UNION ALL SELECT 'nuevo', 'discarded', NULL""")
 def status_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").filter("c_custkey <= 20")
+    c = table(spark, sf_dir, "customer")
     status = c.select(F.col("c_custkey").cast("string").alias("listing_key"), F.lit("pending").alias("workflow_status"), F.lit("x").alias("workflow_updated_at"), F.lit(None).cast("string").alias("workflow_note"))
     out = h.status_set(h.status_set(h.status_set(status, "7", "pending", "y", "visto"), "7", "processed", "z"), "nuevo", "discarded", "z")
     return out.select("listing_key", "workflow_status", "workflow_note")
 
 
-@query(f"""WITH {_SQL_STATE} SELECT l.seq, r.listing_key IS NULL OR r.last_seen_date <> DATE '{DAY}' AS selected, CASE WHEN r.listing_key IS NULL THEN 'new_listing_key' WHEN r.last_seen_date = DATE '{DAY}' THEN 'already_seen_today' ELSE 'seen_previous_day' END AS selection_reason
-    FROM listings l LEFT JOIN (SELECT listing_key, max(day) AS last_seen_date FROM listings WHERE day <= DATE '{DAY}' AND user_id % 2 = 0 GROUP BY 1) r USING (listing_key)""")
+@query(f"""WITH {_SQL_STATE} SELECT l.seq, r.listing_key IS NULL OR r.last_seen_date <> {_SQL_DAY} AS selected, CASE WHEN r.listing_key IS NULL THEN 'new_listing_key' WHEN r.last_seen_date = {_SQL_DAY} THEN 'already_seen_today' ELSE 'seen_previous_day' END AS selection_reason
+    FROM listings l LEFT JOIN (SELECT listing_key, max(day) AS last_seen_date FROM listings WHERE user_id % 2 = 0 GROUP BY 1) r USING (listing_key)""")
 def relevance_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = listings(spark, sf_dir)
-    n = h.normalized(records).select("seq", "listing_key")
-    seen = n.join(records.filter(F.col("day") <= F.lit(DAY).cast("date")).filter("user_id % 2 = 0").select("seq", "day"), "seq")
-    return h.with_relevance(n, seen.groupBy("listing_key").agg(F.max("day").alias("last_seen_date")), F.lit(DAY).cast("date")).select("seq", "selected", "selection_reason")
+    n = h.normalized(listings(spark, sf_dir), keep=("day", "user_id")).select("seq", "listing_key", "day", "user_id")
+    seen, day = n.filter(F.col("user_id") % 2 == 0), F.lit(last_day(spark, sf_dir)).cast("date")
+    return h.with_relevance(n, seen.groupBy("listing_key").agg(F.max("day").alias("last_seen_date")), day).select("seq", "selected", "selection_reason")
 
 
 # --- reports and plans ----------------------------------------------------------------------------------------------
@@ -513,13 +548,19 @@ def detail_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return details.parsed(p).withColumn("extracted_links", F.size("extracted_links")).withColumn("parse_errors", F.array_join("parse_errors", ","))
 
 
-@query()
+@query(f"""WITH {_SQL_LISTINGS}, r AS (SELECT *, CASE WHEN external_id <> '' THEN external_id ELSE listing_key END AS grp, 1 + (location_text IS NOT NULL)::INT AS score FROM listings)
+    SELECT seq, portal, external_id, listing_key, canonical_url, trim(regexp_replace(url_final, '\\s+', ' ', 'g')) AS url, trim(regexp_replace(title, '\\s+', ' ', 'g')) AS title_text, coalesce(location_text, '') AS location_text FROM r QUALIFY row_number() OVER (PARTITION BY portal, day, grp ORDER BY score DESC, seq) = 1""")
 def alias_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = h.normalized(listings(spark, sf_dir)).select("seq", "portal", F.col("external_id"), "listing_key", "canonical_url", F.col("url_final").alias("url"), F.col("title").alias("title_text"), F.lit("").alias("price_text"), "location_text", F.lit("").alias("surface_text"), F.lit("").alias("rooms_text"))
-    return merge_aliases(n, "portal", "seq")
+    """A run is a portal's day. The keys of these rows never lead from one group to another, so SQL can name the groups."""
+    n = h.normalized(listings(spark, sf_dir), keep=("day",))
+    n = n.select(F.concat_ws("/", "portal", "day").alias("run"), "seq", "portal", "external_id", "listing_key", "canonical_url", F.col("url_final").alias("url"), F.col("title").alias("title_text"), F.lit("").alias("price_text"), "location_text", F.lit("").alias("surface_text"), F.lit("").alias("rooms_text"))
+    return merge_aliases(n, "run", "seq").select("seq", "portal", "external_id", "listing_key", "canonical_url", "url", "title_text", "location_text")
 
 
-@query()
+@query(r"""WITH b AS (SELECT event_id, json_extract_string(props, '$.k') AS k, props, 'https://www.idealista.com/inmueble/' || event_id AS url FROM events),
+    near AS (SELECT *, '{"detailUrl": "https://www.indomio.es/x", "title": "' || replace(props, '"', '\"') || '"}' AS inner_text FROM b),
+    i AS (SELECT event_id, 0 AS place, url AS link, '{"url": "' || url || '", "near": [' || inner_text || ']}' AS text, '' AS title FROM near UNION ALL SELECT event_id, 1, 'https://www.indomio.es/x', inner_text, props FROM near)
+    SELECT event_id, place, link, CASE WHEN title <> '' THEN substr(title, 1, 500) ELSE substr(text, 1, 500) END AS detalles, CAST(NULL AS INTEGER) AS m2, CAST(NULL AS DOUBLE) AS precio, CAST(NULL AS VARCHAR) AS localidad, 'N/D' AS operacion FROM i""")
 def json_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     blob = F.to_json(F.struct(F.struct(F.concat(F.lit("https://www.idealista.com/inmueble/"), F.col("event_id")).alias("url"), F.array(F.struct(F.lit("https://www.indomio.es/x").alias("detailUrl"), F.col("props").alias("title"))).alias("near")).alias("item")))
     items = legacy.json_items(table(spark, sf_dir, "events").select("event_id", blob.alias("blob")), "event_id", "blob")
