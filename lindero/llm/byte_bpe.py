@@ -2,7 +2,8 @@
 
 Tier one: a minimal perfect hash over the vocabulary gives the one place where a pre-token could stand; if its bytes
 stand there, its rank is its only id. Tier two: the pre-tokens that miss start as bytes in a linked list, and a heap
-yields the pair with the lowest rank, leftmost first, until no adjacent pair is in the vocabulary.
+yields the pair with the lowest rank, leftmost first, until no adjacent pair is in the vocabulary. A batch asks tier one
+for all its pre-tokens at once; what tier two gave for a pre-token is kept under its characters (bounded).
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import base64
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import suppress
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -21,14 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from .common import filesystem, limit_batches, text_of
-from .pretokens import BYTE_LEVEL_SPLIT, VectorEncoder, in_order
+from .pretokens import BYTE_LEVEL_SPLIT, FAMILIAR, VectorEncoder, in_order, same_characters
 
-_MIX, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+_MIX, _FOLD, _MASK = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
 
 
 def _slot(h: int, pilot: int, n: int) -> int:
     h = (h ^ pilot * _MIX) & _MASK
-    h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & _MASK
+    h = (h ^ h >> 32) * _FOLD & _MASK
     return (h >> 32) % n
 
 
@@ -37,11 +39,11 @@ class PerfectHash:
     keys land on free slots; a bucket with one key stores the slot itself (as a negative pilot). Of n slots none stays
     free. ``find`` gives the key's index in ``keys``, or -1 for what is not a key."""
 
-    def __init__(self, keys: list[bytes], load: int = 3):
+    def __init__(self, keys: list[bytes], load: int = 3, hashes: list[int] | None = None):
+        """``hashes``: 64-bit numbers of the keys, all different, if they are not to be the keys' XXH3."""
         self.n, self.m, self.keys = len(keys), len(keys) // load + 1, keys
         buckets: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for i, key in enumerate(keys):
-            h = xxhash.xxh3_64_intdigest(key)
+        for i, h in enumerate(map(xxhash.xxh3_64_intdigest, keys) if hashes is None else hashes):
             buckets[h % self.m].append((h, i))
         self.pilots, self.index = np.zeros(self.m, np.int32), np.full(self.n, -1, np.int32)
         free: list[int] | None = None
@@ -72,6 +74,38 @@ class PerfectHash:
         return i if self.keys[i] == key else -1
 
 
+class Vocabulary:
+    """Tier one for many pre-tokens at once: the entries that are text of familiar characters under a minimal perfect
+    hash of the hashes that ``encoder`` makes of pre-tokens. Entries whose hashes are equal stay out, all but one: tier
+    two finds their ids, too."""
+
+    def __init__(self, ranks: dict[bytes, int], encoder: VectorEncoder):
+        words: dict[str, int] = {}
+        for data, rank in ranks.items():
+            with suppress(UnicodeDecodeError):
+                word = data.decode()
+                if word and max(map(ord, word)) < FAMILIAR:
+                    words[word] = rank
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        at = np.cumsum(length) - length
+        chars = np.frombuffer("".join(words).encode("utf-16-le"), np.uint16)
+        h = encoder.hashed(chars, at, at + length)[0]
+        _, one = np.unique(h, return_index=True)
+        self.chars, self.at, self.length, self.rank = chars, at[one], length[one], np.fromiter(words.values(), np.int64, len(words))[one]
+        table = PerfectHash([b""] * len(one), hashes=h[one].tolist())
+        self.pilots, self.index, self.n, self.m = table.pilots.astype(np.int64), table.index, np.uint64(max(1, table.n)), np.uint64(table.m)
+
+    def __call__(self, h: np.ndarray, codes: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+        if not len(self.index):
+            return np.full(len(h), -1, np.int64)
+        pilot = self.pilots[(h % self.m).astype(np.int64)]
+        with np.errstate(over="ignore"):
+            x = h ^ pilot.astype(np.uint64) * np.uint64(_MIX)
+            x = (x ^ x >> np.uint64(32)) * np.uint64(_FOLD)
+        i = self.index[np.where(pilot < 0, -pilot - 1, ((x >> np.uint64(32)) % self.n).astype(np.int64))]
+        return np.where(same_characters(codes, first, length, self.chars, self.at[i], self.length[i]), self.rank[i], -1)
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of ``piece`` after all merges, by a heap over linked bytes."""
     n = len(piece)
@@ -111,6 +145,8 @@ class ByteBPE:
         self.find = regex.compile(pattern).findall
         self.dtype = np.dtype("<u2" if max(self.ids_of) < 1 << 16 else "<u4")
         self.vector = VectorEncoder(True, lambda words: [self.piece(w.encode()) for w in words], self.whole, self.dtype) if pattern == BYTE_LEVEL_SPLIT else None
+        if self.vector:
+            self.vector.direct = Vocabulary(self.ranks, self.vector)
 
     def piece(self, word: bytes) -> list[int]:
         """The ids of a pre-token: its own if it is in the vocabulary, else those that merging its bytes gives."""
@@ -124,6 +160,7 @@ class ByteBPE:
         return self.vector.encode_many(texts) if self.vector else [np.array(self.whole(t), self.dtype) for t in texts]
 
     def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of ``ids``; KeyError if one is not in the vocabulary."""
         return b"".join(map(self.vocabulary.__getitem__, ids.tolist()))
 
 
@@ -152,12 +189,19 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id and ``bytes binary`` for every row of ``coded`` (doc_id, ids); null ids are none."""
+    """doc_id and ``bytes binary`` for every row of ``coded`` (doc_id, ids).
+
+    Null ids are none and give no bytes; a row with an id that is null or not in the vocabulary gives null. Null and
+    repeated doc_ids are carried as they are; an empty table gives no rows; other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = codec(path, pattern)
+        words = codec(path, pattern).vocabulary
         for batch in batches:
-            data = [bpe.decode(np.array(x.as_py() or [], np.int64)) for x in batch.column(1)]
+            data = []
+            for row in batch.column(1).to_pylist():
+                parts = [words.get(i) for i in row or []]
+                data.append(None if None in parts else b"".join(parts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["doc_id", "bytes"])
 
     return limit_batches(coded).select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")

@@ -1,9 +1,10 @@
 """Splitting and encoding of many texts at once, with numpy.
 
 The pre-tokens of a batch of texts are found by comparing the classes of neighbouring characters, hashed by prefix
-sums, and looked up in an open-addressing table that holds the ids of the pre-tokens seen before. Only pre-tokens that
-are not there reach the encoder. Texts with contractions or with characters whose class depends on the Unicode version
-go to the encoder as a whole.
+sums, and looked up in an open-addressing table that holds the ids of the pre-tokens seen before. A hash only says where
+to look: what is found there counts if its characters are the pre-token's. Only pre-tokens that are not there reach the
+encoder. Texts with contractions or with characters whose class depends on the Unicode version go to the encoder as a
+whole.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]
 BATCH_CHARS = 1 << 19
 #: Texts with characters from here on are not split here.
 FAMILIAR = 0x530
+#: Longer pre-tokens are encoded each time they come.
+LONGEST = 64
 _LETTER, _NUMBER, _OTHER, _SPACE = range(4)
 _CONTRACTION = regex.compile(r"'(?:[stmd]|re|ve|ll)")
 _U = np.uint64
@@ -59,20 +62,37 @@ class _Powers:
         return _mixed((sums[last] - sums[first]) * self.down[first])
 
 
+def same_characters(codes: np.ndarray, first: np.ndarray, length: np.ndarray, chars: np.ndarray, at: np.ndarray, its: np.ndarray) -> np.ndarray:
+    """Whether ``length`` codes from ``first`` on are the ``its`` characters from ``at`` on, for each pair of them."""
+    out = length == its
+    rows = np.flatnonzero(out)
+    n = length[rows]
+    if not len(rows):
+        return out
+    begins = np.cumsum(n) - n
+    within = np.arange(int(n.sum())) - np.repeat(begins, n)
+    differ = codes[np.repeat(first[rows], n) + within] != chars[np.repeat(at[rows], n) + within]
+    out[rows] = ~np.logical_or.reduceat(differ, begins)
+    return out
+
+
 class VectorEncoder:
     """``encode_missing`` gives the ids of distinct pre-tokens, ``encode_whole`` those of a text that isn't split here.
 
     ``joined``: a space before a run belongs to it and white space is kept (byte-level split); else white space is
-    dropped and digits stand alone. At most ``limit`` pre-tokens are kept (about 50 bytes each); when that many are
-    known, further ones are encoded each time they come.
+    dropped and digits stand alone. At most ``limit`` pre-tokens are kept (about 80 bytes each); when that many are
+    known, further ones are encoded each time they come. ``direct``: gives the ids of the pre-tokens that have one id of
+    their own, -1 for others, from (hashes, codes, first positions, lengths), before the table is asked.
     """
 
-    def __init__(self, joined: bool, encode_missing: Callable[[list[str]], Sequence[Sequence[int]]], encode_whole: Callable[[str], Sequence[int]], dtype: np.dtype, limit: int = 1_000_000):
+    def __init__(self, joined: bool, encode_missing: Callable[[list[str]], Sequence[Sequence[int]]], encode_whole: Callable[[str], Sequence[int]], dtype: np.dtype, limit: int = 1_000_000, direct: Callable[..., np.ndarray] | None = None):
+        self.direct = direct
         self.joined, self.encode_missing, self.encode_whole, self.dtype, self.limit = joined, encode_missing, encode_whole, dtype, limit
         self.bits = max(8, int(2 * limit).bit_length())
         self.keys, self.checks, self.at = np.zeros(1 << self.bits, _U), np.zeros(1 << self.bits, _U), np.full(1 << self.bits, -1, np.int32)
         self.offsets, self.lengths, self.flat = np.zeros(1024, np.int64), np.zeros(1024, np.int32), np.zeros(4096, dtype)
-        self.n, self.used = 0, 0
+        self.char_at, self.char_n, self.chars = np.zeros(1024, np.int64), np.zeros(1024, np.int32), np.zeros(4096, np.uint16)
+        self.n, self.used, self.char_used = 0, 0, 0
         self.powers = (_Powers(0x9E3779B97F4A7C15, 1), _Powers(0xC2B2AE3D27D4EB4F, 1 << 32))
 
     def _spans(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,6 +116,13 @@ class VectorEncoder:
         solid = kind != _SPACE
         return np.flatnonzero(begins & solid), np.flatnonzero(ends & solid) + 1
 
+    def hashed(self, codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+        """Two hashes of the codes between each ``first`` and ``last``."""
+        with np.errstate(over="ignore"):
+            for p in self.powers:
+                p.grow(len(codes) + 1)
+            return [p.hashes(codes, first, last) for p in self.powers]
+
     def _find(self, h: np.ndarray, check: np.ndarray) -> np.ndarray:
         """Index of each known pre-token, or -1."""
         slot = (h >> _U(64 - self.bits)).astype(np.int64)
@@ -133,6 +160,50 @@ class VectorEncoder:
         self.flat[self.used : self.used + len(flat)] = flat
         return np.arange(self.n, self.n + len(ids), dtype=np.int32), self.n + len(ids), self.used + len(flat)
 
+    def _append_characters(self, words: list[str]) -> None:
+        """The characters of the ``words`` whose ids come behind the known ones."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        chars = np.frombuffer("".join(words).encode("utf-16-le"), np.uint16)
+        while self.n + len(words) > len(self.char_at):
+            self.char_at, self.char_n = np.concatenate([self.char_at, self.char_at]), np.concatenate([self.char_n, self.char_n])
+        while self.char_used + len(chars) > len(self.chars):
+            self.chars = np.concatenate([self.chars, self.chars])
+        self.char_at[self.n : self.n + len(words)] = self.char_used + np.cumsum(lengths) - lengths
+        self.char_n[self.n : self.n + len(words)] = lengths
+        self.chars[self.char_used : self.char_used + len(chars)] = chars
+        self.char_used += len(chars)
+
+    def _lookup(self, h: np.ndarray, check: np.ndarray, codes: np.ndarray, first: np.ndarray, length: np.ndarray, joined: str) -> np.ndarray:
+        """Where the ids of each pre-token stand, of new ones behind the known ones."""
+        index = self._find(h, check)
+        unknown = index < 0
+        known = np.flatnonzero(~unknown)
+        at = index[known]
+        index[known[~same_characters(codes, first[known], length[known], self.chars, self.char_at[at], self.char_n[at])]] = -1
+        missing = np.flatnonzero(index < 0)
+        if not len(missing):
+            return index
+        numbers: dict[str, int] = {}
+        back = [numbers.setdefault(joined[a : a + n], len(numbers)) for a, n in zip(first[missing].tolist(), length[missing].tolist(), strict=True)]
+        words, back = list(numbers), np.array(back)
+        # First those that the table can take: not too long, and no other pre-token with their hashes there.
+        one = np.full(len(words), len(h), np.int64)
+        np.minimum.at(one, back, missing)
+        fresh = unknown[one] & (length[one] <= LONGEST)
+        order = np.argsort(~fresh, kind="stable")
+        places, _, _ = self._append(self.encode_missing([words[i] for i in order.tolist()]))
+        place_of = np.empty(len(words), np.int32)
+        place_of[order] = places
+        index[missing] = place_of[back]
+        k = int(fresh.sum())
+        if k and self.n + k <= self.limit:
+            kept = order[:k]
+            self._append_characters([words[i] for i in kept.tolist()])
+            self._keep(h[one[kept]], check[one[kept]], places[:k])
+            last = places[k - 1]
+            self.n, self.used = self.n + k, int(self.offsets[last] + self.lengths[last])
+        return index
+
     def _familiar(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, str, list[int]]:
         """Codes of the texts that are split here, where they begin, their numbers, their text, and the others' numbers."""
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -159,27 +230,19 @@ class VectorEncoder:
         bounds = np.append(starts, len(codes))
         filled = bounds[:-1] < bounds[1:]
         first, last = self._spans(codes, starts[filled])
-        hashed = []
-        with np.errstate(over="ignore"):
-            for p in self.powers:
-                p.grow(len(codes) + 1)
-                hashed.append(p.hashes(codes, first, last))
-        h, check = hashed
-        index = self._find(h, check)
-        missing = np.flatnonzero(index < 0)
-        n, used = self.n, self.used
-        if len(missing):
-            _, one, back = np.unique(h[missing] ^ (check[missing] << _U(1)), return_index=True, return_inverse=True)
-            new = missing[one]
-            ids = self.encode_missing([joined[a:b] for a, b in zip(first[new].tolist(), last[new].tolist(), strict=True)])
-            places, n, used = self._append(ids)
-            index[missing] = places[back]
-            if n <= self.limit:
-                self._keep(h[new], check[new], places)
-                self.n, self.used = n, used
-        lengths = self.lengths[index].astype(np.int64)
+        h, check = self.hashed(codes, first, last)
+        codes, length = codes.astype(np.uint16), last - first
+        own = self.direct(h, codes, first, length) if self.direct else np.full(len(h), -1, np.int64)
+        rest = np.flatnonzero(own < 0)
+        index = self._lookup(h[rest], check[rest], codes, first[rest], length[rest], joined)
+        lengths = np.ones(len(h), np.int64)
+        lengths[rest] = self.lengths[index]
         ends = np.cumsum(lengths)
-        flat = self.flat[np.repeat(self.offsets[index] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        flat = np.empty(int(ends[-1]) if len(ends) else 0, self.dtype)
+        flat[(ends - lengths)[own >= 0]] = own[own >= 0]
+        n = lengths[rest]
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        flat[np.repeat((ends - lengths)[rest], n) + within] = self.flat[np.repeat(self.offsets[index], n) + within]
         cuts = np.concatenate([[0], ends])[np.searchsorted(first, bounds)].tolist()
         for i, a, b in zip(numbers.tolist(), cuts, cuts[1:], strict=False):
             out[i] = flat[a:b]

@@ -276,3 +276,56 @@ def test_cards_of_the_two_series():
         made = new.split()[1]
         assert surrogates.luhn(made) == 0 and len(made) == 16 and 2221 <= int(made[:4]) <= 2720
     assert surrogates.detect("2220000000000000") == []
+
+
+def thue_morse(n, zero, one):
+    """Two words that a polynomial modulo a power of two, of any base, takes for one."""
+    word = "".join((zero, one)[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans(zero + one, one + zero))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("limit", [10, 1000])
+def test_pre_tokens_with_equal_hashes_keep_their_ids(name, limit, monkeypatch):
+    from tokenizers import Tokenizer
+
+    library, cache = Tokenizer.from_file(P.path(name)), wordcache.WordCache(P.path(name))
+    cache.vector.limit = limit
+    for longest in (64, 4096):
+        monkeypatch.setattr(pretokens, "LONGEST", longest)
+        for n in (1024, 2048):
+            for text in (f"a {w} b {w}c" for w in thue_morse(n, "a", "b") * 2):
+                assert cache.encode_many([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_bpe_of_words_with_equal_hashes():
+    tiktoken = pytest.importorskip("tiktoken")
+    bpe = byte_bpe.ByteBPE(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    texts = [f"x {w} y" for w in thue_morse(1024, "a", "b") * 2]
+    for text, ids in zip(texts, bpe.encode_many(texts[:2]) + bpe.encode_many(texts[2:]), strict=True):
+        assert ids.tolist() == own.encode_ordinary(text) and bpe.decode(ids) == text.encode()
+
+
+def test_hashes_alone_decide_nothing(monkeypatch):
+    """With one hash for all pre-tokens of a length the ids are still right: characters are compared."""
+    monkeypatch.setattr(pretokens._Powers, "hashes", lambda self, codes, first, last: (last - first).astype(np.uint64))
+    tiktoken = pytest.importorskip("tiktoken")
+    path = P.path("byte_bpe_50k.json")
+    cache, bpe = wordcache.WordCache(path), byte_bpe.ByteBPE(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    own, rng = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={}), random.Random(9)
+    texts = [noise(rng, 60) for _ in range(300)] + ["the cat the dog the"] * 3
+    for k in range(0, len(texts), 50):
+        part = texts[k : k + 50]
+        assert [x.tolist() for x in cache.encode_many(part)] == [cache.tokenizer.encode(t, add_special_tokens=False).ids for t in part]
+        assert [x.tolist() for x in bpe.encode_many(part)] == [own.encode_ordinary(t) for t in part]
+
+
+def test_shingles_of_words_that_polynomials_take_for_one():
+    s, t = thue_morse(1024, "a", "b")
+    assert not set(jaccard_groups.shingles(f"x {s} y", 3).tolist()) & set(jaccard_groups.shingles(f"x {t} y", 3).tolist())
+    text = "A b\tc  D\x0be\x0cf\x1cg\x85h\xa0i" * 3
+    import re
+
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(str.maketrans("AD", "ad")))
+    assert len(jaccard_groups.shingles(text, 2)) == len({tuple(words[i : i + 2]) for i in range(len(words) - 1)})
