@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lindero.llm import chunk_dedup, jaccard_groups, packing, surrogates, toxicity
-from lindero.llm.common import table, written
+from lindero.llm.common import joined, numbered, table, written
 from lindero.llm.queries import tokenizer_path
 
 #: Near-duplicate stages take five-word shingles and a similarity of 0.8 or more.
@@ -20,15 +20,9 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 ROW = "_row"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a different number in each row, written so that every reader sees the same ones."""
-    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered", compression="zstd")
-
-
-def _kept(rows: DataFrame, decided: DataFrame, name: str) -> DataFrame:
+def _kept(rows: DataFrame, decided: DataFrame) -> DataFrame:
     """``rows`` without those that ``decided`` does not keep; one join strategy at every size."""
-    gone = written(decided.filter("not kept").select(ROW), name, narrow=True)
-    return rows.join(gone.hint("merge"), ROW, "left_anti").drop(ROW)
+    return joined(rows, decided.filter("not kept").select(ROW), [ROW], "left_anti").drop(ROW)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +33,15 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows with equal normalised texts the one with the smallest doc_id, one without an id only if none has one."""
-    rows = _numbered(docs)
-    return _kept(rows, chunk_dedup.exact_groups(rows, row=ROW), "exact-copies").select(docs.columns)
+    rows = numbered(docs, ROW)
+    return _kept(rows, chunk_dedup.exact_groups(rows, row=ROW)).select(docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows that links of similar texts connect, the one with the smallest doc_id, one without an id only if none has
     one. Texts without words all stay."""
-    rows = _numbered(docs)
-    return _kept(rows, jaccard_groups.similarity_components(rows, SHINGLE_WORDS, SIMILAR_PERCENT, row=ROW), "near-copies").select(docs.columns)
+    rows = numbered(docs, ROW)
+    return _kept(rows, jaccard_groups.similarity_components(rows, SHINGLE_WORDS, SIMILAR_PERCENT, row=ROW)).select(docs.columns)
 
 
 def with_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

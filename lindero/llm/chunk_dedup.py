@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import limit_batches, partitions_of, salted_lookup, text_of, written
+from .common import joined, limit_batches, partitions_of, salted_lookup, text_of, written
 
 #: Chunks have at least LEAST bytes (but the last) and at most MOST; a cut comes once in 2**CUT_BITS bytes on average.
 LEAST, MOST, CUT_BITS = 1024, 32768, 12
@@ -63,7 +63,7 @@ def _digests(parts: list[bytes], size: int) -> list[bytes]:
 
 def recipes(docs: DataFrame, digest_bytes: int = 16, row: str | None = None) -> DataFrame:
     """doc_id, the normalised text's sha256, the recipe (digests one after another) for every row of ``docs``, and a
-    number ``row`` that no other row has: that in the column of that name, if one is given."""
+    value ``row`` that no other row has: that in the column of that name, if one is given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,7 +75,8 @@ def recipes(docs: DataFrame, digest_bytes: int = 16, row: str | None = None) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sha, pa.string()), pa.array(recipe, pa.binary()), *batch.columns[2:]], names=["doc_id", "text_sha256", "recipe", *["row"] * (row is not None)])
 
     columns = ["doc_id", text_of().alias("text"), *([] if row is None else [F.col(row).alias("row")])]
-    out = limit_batches(docs).select(*columns).mapInArrow(run, "doc_id long, text_sha256 string, recipe binary" + (", row long" if row else ""))
+    source = limit_batches(docs).select(*columns)
+    out = source.mapInArrow(run, "doc_id long, text_sha256 string, recipe binary" + (f", row {source.schema['row'].dataType.simpleString()}" if row else ""))
     return out if row else out.withColumn("row", F.monotonically_increasing_id())
 
 
@@ -141,9 +142,9 @@ def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def exact_groups(docs: DataFrame, digest_bytes: int = 16, row: str | None = None) -> DataFrame:
     """One row for every row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256; and ``row``, if
-    a column of that name is given, which has a different number (long) in each row and tells whose decision it is.
+    a column of that name is given, which has a different value in each row and tells whose decision it is.
 
-    A null text counts as empty. Of equal texts the row with the smallest doc_id stays, a null doc_id only if the
+    A null text counts as empty; a text of spaces and line ends alone becomes one space, which differs from it. Of equal texts the row with the smallest doc_id stays, a null doc_id only if the
     group has no other; of rows with the same doc_id and text one stays. Empty tables give no rows. Long texts move
     once more only if another text has the same recipe. Other columns are not read. A group of any size is
     pre-aggregated before the shuffle and met under salts.
@@ -152,8 +153,11 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 16, row: str | None = None
     shared = rows.groupBy("recipe").agg(F.count("*").alias("n")).filter("n > 1")
     candidates = written(salted_lookup(rows, shared, ["recipe"], F.col("row")).filter("n is not null").select("row", "doc_id", "recipe", "text_sha256"), "candidates", narrow=True)
 
-    null = F.lit(-(1 << 63))
-    texts = docs.select(F.coalesce(row or "doc_id", null).alias("key"), text_of().alias("text")).join(candidates.select(F.coalesce("row" if row else "doc_id", null).alias("key")).distinct().hint("merge"), "key", "left_semi").select("text")
+    def key(column: str) -> Column:
+        """The row, or else the doc_id, which several rows may have: then all their texts are looked at."""
+        return F.col(column) if row else F.coalesce("doc_id", F.lit(-(1 << 63)))
+
+    texts = joined(docs.select(key(row).alias("key"), text_of().alias("text")), candidates.select(key("row").alias("key")).distinct(), ["key"], "left_semi").select("text")
     once = _occurrences(texts, digest_bytes, every=False).select("digest", "data")
     collided = written(once.repartition(partitions_of(docs), "digest").sortWithinPartitions("digest", "data").mapInArrow(_collisions, _COLLIDED), "collided", narrow=True)
 
@@ -166,8 +170,8 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 16, row: str | None = None
     id_ = ["recipe", "marks"]
     groups = marked.groupBy(*id_).agg(F.count("*").alias("group_size"), F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")).alias("first")).filter("group_size > 1")
     groups = groups.select(*id_, "group_size", F.col("first.doc_id").alias("first_id"), F.col("first.row").alias("first_row"))
-    of = salted_lookup(marked.select("row", *id_), groups, id_, F.col("row")).filter("group_size is not null").drop(*id_)
-    return rows.drop("recipe").join(of, "row", "left").select(
+    of = written(salted_lookup(marked.select("row", *id_), groups, id_, F.col("row")).filter("group_size is not null").drop(*id_), "copies", narrow=True)
+    return joined(rows.drop("recipe"), of, ["row"], "left").select(
         "doc_id",
         F.when(F.col("first_row").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),

@@ -2,41 +2,55 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``. Where it is unset (tests), one is made and set."""
+    """The folder every executor sees: ``spark.checkpoint.dir``. Where it is unset and all runs on one machine (tests),
+    one is made and set; on a cluster that is an error, as executors would not see it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors and the driver share")
         root = "file://" + tempfile.mkdtemp(prefix="lindero-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the application's part of the shared folder."""
+    return f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, narrow: bool = False, compression: str | None = None) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts the lineage and outlives executors.
+def clear_work(spark: SparkSession) -> None:
+    """Remove what the operators of this application have written below the shared folder. Results that were not
+    collected or written elsewhere can't be read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    ``narrow``: rows of a few numbers. An eighth of the shuffle partitions (and no fewer tasks than cores) write it, as
-    each file costs the store several calls and each executor a few processes. ``compression``: the session's, if none.
+
+def written(df: DataFrame, name: str, narrow: bool = False, compression: str | None = None, number: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder: cuts the lineage and outlives executors. ``compression``: the session's, if
+    none.
+
+    ``narrow``: rows of a few numbers, made by as many tasks as the session's shuffles have; one more exchange brings
+    them into an eighth of the files, as each file costs the store several calls. ``number``: a column to add, with
+    a different number in each row; the tasks that write give it, so that a task that runs again changes nothing.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    if narrow:
-        df = df.coalesce(max(spark.sparkContext.defaultParallelism, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)))
-    df.write.parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = df.repartition(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)) if narrow else df
+    rows = rows.withColumn(number, F.monotonically_increasing_id()) if number else rows
+    rows.write.parquet(path, compression=compression)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,12 +108,26 @@ def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def salted_lookup(rows: DataFrame, groups: DataFrame, keys: list[str], spread: Column, salts: int = 8) -> DataFrame:
-    """Left join of ``rows`` with ``groups`` (one row per key), every key met in ``salts`` tasks instead of one.
+def joined(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join by sorting both sides, at every size: no table that grows with the input is broadcast."""
+    return rows.join(groups.hint("merge"), keys, how)
+
+
+def salted_lookup(rows: DataFrame, groups: DataFrame, keys: list[str], spread: Column, salts: int = 8, how: str = "left") -> DataFrame:
+    """Join of ``rows`` with ``groups``, every key met in ``salts`` tasks instead of one.
 
     The rows of a key are dealt over salts by ``spread`` and each group is there under every salt, so that a key with a
     third of all rows is a third / ``salts`` of them in a task at most, before adaptive execution splits it further.
     """
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    return joined(dealt, copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def numbered(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with a different value in each row that every later read of them finds again: the file and the place in
+    it where they come from one folder of Parquet files, else a number in a table written for it."""
+    try:
+        return docs.select("*", F.concat_ws("#", "_metadata.file_path", F.lpad(F.col("_metadata.row_index").cast("string"), 12, "0")).alias(column))
+    except AnalysisException:
+        return written(docs, "numbered", compression="zstd", number=column)

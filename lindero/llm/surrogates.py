@@ -330,6 +330,11 @@ def _entities(docs: DataFrame, key: bytes) -> DataFrame:
     return limit_batches(docs).select(F.xxhash64(text_of()).alias("text_key"), text_of().alias("text")).mapInArrow(run, "text_key long, kind string, canon string, made string")
 
 
+def _held(entities: DataFrame) -> DataFrame:
+    """A table of entities, which several plans read."""
+    return written(entities, "entities", narrow=True)
+
+
 def _redrawn(batches: Iterator[pa.RecordBatch], key: bytes, attempt: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         made = [surrogate(k, c, key, attempt) for k, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
@@ -343,7 +348,7 @@ def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts:
     and no smaller one of its kind has it, too; the others draw again, against all that are taken, until none is left.
     """
     space = F.regexp_replace("kind", ":.:", ":").alias("space")
-    known = written(entities.groupBy("kind", "canon").agg(F.min("made").alias("made")).withColumn("space", space), "entities", narrow=True)
+    known = _held(entities.groupBy("kind", "canon").agg(F.min("made").alias("made")).withColumn("space", space))
 
     def settled(drawn: DataFrame, taken: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         first = drawn.groupBy("space", "made").agg(F.min(F.struct("canon", "kind")).alias("owner"), F.count("*").alias("n"))
@@ -351,12 +356,12 @@ def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts:
         fine = (F.col("owner.canon") == F.col("canon")) & (F.col("owner.kind") == F.col("kind")) & (F.col("made") != F.col("canon"))
         if taken is not None:
             fine &= F.col("gone").isNull()
-        marked = written(marked.withColumn("fine", fine).select("kind", "canon", "made", "space", "fine"), "drawn", narrow=True)
+        marked = _held(marked.withColumn("fine", fine).select("kind", "canon", "made", "space", "fine"))
         return marked.filter("fine").drop("fine"), marked.filter("not fine").drop("fine")
 
     # Only replacements drawn twice or equal to their entity are looked at again; the rest stays where it is.
     twice = known.groupBy("space", "made").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    suspects = written(known.join(twice, ["space", "made"], "left_semi").unionByName(known.filter("made = canon")).distinct(), "suspects", narrow=True)
+    suspects = _held(known.join(twice, ["space", "made"], "left_semi").unionByName(known.filter("made = canon")).distinct())
     kept, losers = settled(suspects, None)
     taken = known.select("space", "made")
     moved = None
@@ -377,16 +382,16 @@ def _one_gender(entities: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame |
     resolved, made) of the given names that some text has under another one (None if there are no given names)."""
     given = F.col("kind").startswith("given:")
     named = entities.filter(given).groupBy("kind", "canon").agg(F.count("*").alias("texts"))
-    named = written(named.withColumn("gender", F.split("kind", ":")[1]).withColumn("script", F.split("kind", ":")[2]), "given", narrow=True)
+    named = _held(named.withColumn("gender", F.split("kind", ":")[1]).withColumn("script", F.split("kind", ":")[2]))
     if named.isEmpty():
         return entities, None
     votes = [F.sum(F.when(F.col("gender") == g, F.col("texts")).otherwise(0)).alias(g) for g in "mf"]
     gender = F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > 0, "m").otherwise("n")
     resolved = named.groupBy("script", "canon").agg(*votes).select("script", "canon", F.concat_ws(":", F.lit("given"), gender, "script").alias("kind"))
-    made = written(resolved.select("kind", "canon").mapInArrow(lambda b: _redrawn(b, key, 0), "kind string, canon string, made string"), "given-resolved", narrow=True)
+    made = _held(resolved.select("kind", "canon").mapInArrow(lambda b: _redrawn(b, key, 0), "kind string, canon string, made string"))
     to = made.select(F.split("kind", ":")[2].alias("script"), "canon", F.col("kind").alias("resolved"), "made")
     changed = named.select("script", "canon", "kind").join(to, ["script", "canon"]).filter("kind <> resolved").select("kind", "canon", "resolved", "made")
-    return entities.filter(~given).unionByName(made), written(changed, "given-changed", narrow=True)
+    return entities.filter(~given).unionByName(made), _held(changed)
 
 
 def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
@@ -397,11 +402,11 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
     """
     entities = written(_entities(docs, key), "detected")
     resolved, changed = _one_gender(entities.select("kind", "canon", "made"), key)
-    special = written(collisions_resolved(resolved, key), "special", narrow=True)
+    special = _held(collisions_resolved(resolved, key))
     if changed is not None:
         other = special.select(F.col("kind").alias("resolved"), "canon", F.col("made").alias("again"))
         moved = changed.join(other, ["resolved", "canon"], "left").select("kind", "canon", F.coalesce("again", "made").alias("made"))
-        special = written(special.unionByName(moved), "special-given", narrow=True)
+        special = _held(special.unionByName(moved))
     others = [c for c in docs.columns if c not in ("text", "n_entities", "kinds")]
     source = docs.select(*others, F.col("text").cast("string").alias("text"))
     if special.isEmpty():
