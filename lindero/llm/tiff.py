@@ -1,7 +1,8 @@
 """TIFF media columns: a reader that gives one row per page, and a writer for lossless storage.
 
 The reader walks the chain of image directories (little or big endian), decodes strips or tiles that are plain,
-PackBits, LZW or deflate, undoes horizontal differences and byte order, and lays tiles into the page.
+PackBits, LZW or deflate, undoes predictors (differences, floating point) and byte order, unpacks samples of 1, 2 and 4
+bits, and lays tiles into the page.
 """
 
 from __future__ import annotations
@@ -18,13 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import limit_batches, text_of, written
+from .common import frugal, limit_batches, text_of, written
 
 #: Tags and values of the format (fixed values).
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279
 PLANAR, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS, SAMPLE_FORMAT = 284, 317, 322, 323, 324, 325, 339
+FILL_ORDER = 266
 PLAIN, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 _TYPES = {1: "B", 3: "H", 4: "I", 16: "Q"}
+#: Bytes of a page, or of a tile, from which on it is not read: what a few broken bytes in a directory can ask for is bounded.
+MOST_BYTES = 1 << 28
+_REVERSED = bytes(int(f"{c:08b}"[::-1], 2) for c in range(256))
 
 
 class Page(NamedTuple):
@@ -167,67 +172,116 @@ def _decode(data: bytes, compression: int, size: int) -> bytes:
 
 
 def directories(data: bytes) -> Iterator[tuple[str, dict[int, tuple[int, ...]]]]:
-    """(byte order, tags) of each image directory, in the order of the chain; ValueError for a loop or a cut file."""
+    """(byte order, tags) of each image directory, in the order of the chain; ValueError for a loop or a cut file. A tag
+    whose values lie outside of the file is left out."""
     order = {b"II": "<", b"MM": ">"}.get(data[:2])
     if order is None or len(data) < 8 or struct.unpack_from(order + "H", data, 2)[0] != 42:
         raise ValueError("not a TIFF file")
     at, seen = struct.unpack_from(order + "I", data, 4)[0], set()
     while at:
-        if at in seen or at + 2 > len(data):
+        n = struct.unpack_from(order + "H", data, at)[0] if at + 2 <= len(data) else 0
+        if at in seen or at + 6 + 12 * n > len(data):
             raise ValueError("the chain of directories is broken")
         seen.add(at)
-        n = struct.unpack_from(order + "H", data, at)[0]
         tags: dict[int, tuple[int, ...]] = {}
         for k in range(n):
             tag, kind, count = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
             if kind in _TYPES:
                 size = struct.calcsize(_TYPES[kind]) * count
                 place = at + 10 + 12 * k if size <= 4 else struct.unpack_from(order + "I", data, at + 10 + 12 * k)[0]
-                tags[tag] = struct.unpack_from(f"{order}{count}{_TYPES[kind]}", data, place)
+                if count and place + size <= len(data):
+                    tags[tag] = struct.unpack_from(f"{order}{count}{_TYPES[kind]}", data, place)
         yield order, tags
         at = struct.unpack_from(order + "I", data, at + 2 + 12 * n)[0]
 
 
+def _samples(raw: bytes, order: str, bits: int, rows: int, values: int) -> np.ndarray:
+    """(rows, values) of samples; rows of less than a byte a sample end at a byte's end."""
+    if bits >= 8:
+        return np.frombuffer(raw, f"{order}u{bits // 8}").astype(f"<u{bits // 8}").reshape(rows, values)
+    each = np.unpackbits(np.frombuffer(raw, np.uint8)).reshape(rows, -1)[:, : values * bits].reshape(rows, values, bits)
+    return (each << np.arange(bits - 1, -1, -1, dtype=np.uint8)).sum(2, dtype=np.uint8)
+
+
+def _float_rows(raw: bytes, bits: int, rows: int, columns: int, samples: int) -> np.ndarray:
+    """Predictor 3: bytes of a row differ from those a sample before and stand most significant first, plane by plane."""
+    size = bits // 8
+    steps = np.frombuffer(raw, np.uint8).reshape(rows, columns * size, samples)
+    planes = np.cumsum(steps, axis=1, dtype=np.uint8).reshape(rows, size, columns * samples)
+    return np.ascontiguousarray(planes[:, ::-1].transpose(0, 2, 1)).view(f"<u{size}").reshape(rows, columns, samples)
+
+
 def _block(data: bytes, order: str, tags: dict, offset: int, count: int, rows: int, columns: int, samples: int) -> np.ndarray:
     bits = tags.get(BITS, (1,))[0]
-    if bits not in (8, 16, 32):
-        raise ValueError(f"{bits} bits a sample are not read here")
     if offset + count > len(data):
         raise ValueError("a strip or tile lies outside the file")
-    compression = tags.get(COMPRESSION, (PLAIN,))[0]
-    raw = _decode(data[offset : offset + count], compression, rows * columns * samples * bits // 8)
-    pixels = np.frombuffer(raw, f"{order}u{bits // 8}").astype(f"<u{bits // 8}").reshape(rows, columns, samples)
+    part = data[offset : offset + count]
+    if tags.get(FILL_ORDER, (1,))[0] == 2:
+        part = part.translate(_REVERSED)
+    raw = _decode(part, tags.get(COMPRESSION, (PLAIN,))[0], rows * (-(-columns * samples * bits // 8)))
     predictor = tags.get(PREDICTOR, (1,))[0]
-    if predictor == 2:
-        pixels = np.cumsum(pixels, axis=1, dtype=pixels.dtype)
-    elif predictor != 1:
-        raise ValueError(f"predictor {predictor} is not known")
+    if predictor == 3 and bits in (16, 32):
+        return _float_rows(raw, bits, rows, columns, samples)
+    pixels = _samples(raw, order, bits, rows, columns * samples).reshape(rows, columns, samples)
+    if predictor == 2 and bits >= 8:
+        return np.cumsum(pixels, axis=1, dtype=pixels.dtype)
+    if predictor != 1:
+        raise ValueError(f"predictor {predictor} is not known for {bits} bits a sample")
     return pixels
 
 
+def _page(data: bytes, number: int, order: str, tags: dict[int, tuple[int, ...]]) -> Page:
+    width, height, samples = tags[WIDTH][0], tags[LENGTH][0], tags.get(SAMPLES, (1,))[0]
+    bits = tags.get(BITS, (1,))[0]
+    if bits not in (1, 2, 4, 8, 16, 32) or set(tags.get(BITS, (1,))) != {bits}:
+        raise ValueError(f"{'/'.join(map(str, tags[BITS]))} bits a sample are not read here")
+    if not (width and height and samples):
+        raise ValueError("a page without pixels")
+    if width * height * samples * max(8, bits) // 8 > MOST_BYTES:
+        raise ValueError(f"a page of {width} x {height} x {samples} samples is larger than {MOST_BYTES} bytes")
+    planes = samples if tags.get(PLANAR, (1,))[0] == 2 and samples > 1 else 1
+    inner = samples // planes
+    page = np.zeros((height, width, samples), f"<u{max(8, bits) // 8}")
+    if TILE_OFFSETS in tags:
+        w, h = tags[TILE_WIDTH][0], tags[TILE_LENGTH][0]
+        if not (w and h) or w * h * inner * max(8, bits) // 8 > MOST_BYTES:
+            raise ValueError(f"tiles of {w} x {h}")
+        across, down = -(-width // w), -(-height // h)
+        places = [(k % (across * down) // across * h, k % across * w, k // (across * down)) for k in range(across * down * planes)]
+        offsets, counts, size = tags[TILE_OFFSETS], tags[TILE_COUNTS], (h, w)
+    else:
+        step = min(height, tags.get(ROWS_PER_STRIP, (height,))[0]) or height
+        strips = -(-height // step)
+        places = [(k % strips * step, 0, k // strips) for k in range(strips * planes)]
+        offsets, counts, size = tags[STRIP_OFFSETS], tags[STRIP_COUNTS], (step, width)
+    for (y, x, plane), offset, count in zip(places, offsets, counts, strict=True):
+        rows = size[0] if TILE_OFFSETS in tags else min(size[0], height - y)
+        block = _block(data, order, tags, offset, count, rows, size[1], inner)[: height - y, : width - x]
+        page[y : y + size[0], x : x + size[1], plane * inner : (plane + 1) * inner] = block
+    return Page(number, width, height, samples, bits, tags.get(COMPRESSION, (PLAIN,))[0], page.tobytes())
+
+
+def pages_and_faults(data: bytes) -> Iterator[Page | tuple[int | None, Exception]]:
+    """The pages of a file in the order of its directories; (number, fault) for one that can't be read, and at the end
+    (none, fault) if the chain of directories is broken. Samples of less than a byte become bytes."""
+    number = 0
+    try:
+        for order, tags in directories(data):
+            try:
+                yield _page(data, number, order, tags)
+            except Exception as e:  # whatever a broken page leads to stays with it
+                yield number, e
+            number += 1
+    except (ValueError, struct.error) as e:
+        yield None, e
+
+
 def read_pages(data: bytes) -> Iterator[Page]:
-    """The pages of a file in the order of its directories."""
-    for number, (order, tags) in enumerate(directories(data)):
-        width, height, samples = tags[WIDTH][0], tags[LENGTH][0], tags.get(SAMPLES, (1,))[0]
-        bits = tags.get(BITS, (1,))[0]
-        planes = samples if tags.get(PLANAR, (1,))[0] == 2 and samples > 1 else 1
-        inner = samples // planes
-        page = np.zeros((height, width, samples), f"<u{max(8, bits) // 8}")
-        if TILE_OFFSETS in tags:
-            w, h = tags[TILE_WIDTH][0], tags[TILE_LENGTH][0]
-            across, down = -(-width // w), -(-height // h)
-            for k, (offset, count) in enumerate(zip(tags[TILE_OFFSETS], tags[TILE_COUNTS], strict=True)):
-                plane, place = divmod(k, across * down)
-                y, x = place // across * h, place % across * w
-                tile = _block(data, order, tags, offset, count, h, w, inner)[: height - y, : width - x]
-                page[y : y + h, x : x + w, plane * inner : (plane + 1) * inner] = tile
-        else:
-            step = min(height, tags.get(ROWS_PER_STRIP, (height,))[0]) or 1
-            strips = -(-height // step)
-            for k, (offset, count) in enumerate(zip(tags[STRIP_OFFSETS], tags[STRIP_COUNTS], strict=True)):
-                plane, y = k // strips, k % strips * step
-                page[y : y + step, :, plane * inner : (plane + 1) * inner] = _block(data, order, tags, offset, count, min(step, height - y), width, inner)
-        yield Page(number, width, height, samples, bits, tags.get(COMPRESSION, (PLAIN,))[0], page.tobytes())
+    """The pages of a file in the order of its directories; ValueError at the first that can't be read."""
+    for page in pages_and_faults(data):
+        if not isinstance(page, Page):
+            raise page[1] if isinstance(page[1], ValueError) else ValueError(f"{type(page[1]).__name__}: {page[1]}")
+        yield page
 
 
 # --- writer ---------------------------------------------------------------------------------------------------------
@@ -297,8 +351,9 @@ _PAGES = [("page", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), (
 def tiff_pages(media: DataFrame, column: str = "media") -> DataFrame:
     """One row per page of the TIFF file in ``column``, after the row's other columns.
 
-    A null file has no pages. A file that can't be read to its end gives the pages before the fault, then one row
-    whose ``error`` says what is wrong and whose page columns are null. Rows that repeat are read as often as they
+    A null file has no pages. A page that can't be read is a row with its number whose ``error`` says what is wrong and
+    whose other page columns are null; the pages behind it are read. Where the chain of directories is broken, such a
+    row without a number is the last. Rows that repeat are read as often as they
     come; an empty table gives no rows. Other columns whose names clash with the page columns are left out.
     """
     kept = [c for c in media.columns if c != column and c not in dict(_PAGES)]
@@ -319,21 +374,20 @@ def tiff_pages(media: DataFrame, column: str = "media") -> DataFrame:
                 return out
 
             for i, value in enumerate(batch.column(len(kept))):
-                try:
-                    for page in read_pages(value.as_py()) if value.is_valid else ():
+                for page in pages_and_faults(value.as_py()) if value.is_valid else ():
+                    if isinstance(page, Page):
                         rows.append((*page, None))
-                        which.append(i)
                         size += len(page.pixels)
-                except (ValueError, KeyError, struct.error, zlib.error) as e:
-                    rows.append((*[None] * 7, f"{type(e).__name__}: {e}"))
+                    else:
+                        rows.append((page[0], *[None] * 6, f"{type(page[1]).__name__}: {page[1]}"))
                     which.append(i)
-                if size > 16 << 20:
-                    yield flush()
-                    size = 0
+                    if size > 16 << 20:
+                        yield flush()
+                        size = 0
             if rows:
                 yield flush()
 
-    return source.mapInArrow(run, ", ".join(x for x in (fields, PAGES) if x))
+    return source.mapInArrow(frugal(run), ", ".join(x for x in (fields, PAGES) if x))
 
 
 #: How texts are stored: pixels of three samples, rows of 192 bytes, pages of at most 288 rows.
@@ -375,11 +429,15 @@ def store_texts(docs: DataFrame) -> DataFrame:
                 media = [media_of(payload_of(t)) for t in texts]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    return written(limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary"), "tiff")
+    return written(limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(frugal(run), "doc_id long, n_bytes long, media binary"), "tiff")
 
 
 def stored_digests(media: DataFrame) -> DataFrame:
-    """Digests and a feature of the payloads that the stored files give back: their pages one after another."""
+    """Digests and a feature of the payloads that the stored files give back: their pages one after another.
+
+    One row for every row of ``media`` (doc_id, n_bytes, media of :func:`store_texts`), repeated and null ids as they are;
+    an empty table gives no rows. A file that is not whole is an error: it was written here.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -393,4 +451,4 @@ def stored_digests(media: DataFrame) -> DataFrame:
             names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_pages"]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True))], names=["doc_id", "n_bytes", *names])
 
-    return limit_batches(media).select("doc_id", "n_bytes", F.col("media")).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_pages int")
+    return limit_batches(media).select("doc_id", "n_bytes", F.col("media")).mapInArrow(frugal(run), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_pages int")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filesystem, limit_batches, partitions_of, put_file, salted_lookup, work_dir, written
+from .common import filesystem, frugal, limit_batches, partitions_of, put_file, salted_lookup, work_dir, written
 
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
 #: Records that a file's dictionary is made from, the dictionary's size, and uncompressed bytes after which a file ends.
@@ -176,9 +176,10 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, date: str = "1
     counted before pages move; a payload that many pages share is met under salts.
     """
     rows = limit_batches(pages).select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("sha", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
-    groups = rows.filter(F.col("size") >= least).groupBy("sha", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    dealt = salted_lookup(rows, groups, ["sha", "size"], F.col("page_id"))
+    # The format's digest is SHA-1, of which different payloads with one value are known; SHA-256 tells payloads apart.
+    rows = rows.withColumn("sha", F.sha1("payload")).withColumn("size", F.octet_length("payload")).withColumn("content", F.unhex(F.sha2("payload", 256)))
+    groups = rows.filter(F.col("size") >= least).groupBy("content").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    dealt = salted_lookup(rows, groups, ["content"], F.col("page_id"))
     revisit = F.coalesce(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.lit(False))
     dealt = dealt.select("page_id", "url", "payload", F.unhex("sha").alias("sha"), "first", revisit.alias("revisit"))
 
@@ -202,14 +203,18 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, date: str = "1
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("path", pa.string()), ("n_records", pa.int64()), ("n_bytes", pa.int64())]))
 
-    return written(dealt.mapInArrow(run, "path string, n_records long, n_bytes long"), "warc-manifest")
+    return written(dealt.mapInArrow(frugal(run), "path string, n_records long, n_bytes long"), "warc-manifest")
 
 
 _PAGES = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
-    """One row per record of the files of ``manifest`` (path): page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """One row per record of the files of ``manifest`` (path): page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    Null and repeated ids are read as they were written; an empty manifest gives no rows; a file that is not whole, or
+    a record whose lengths or digests are wrong, is an error.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,8 +224,9 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                     rows = [page_of(r) for r in read_archive(f.read())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PAGES.types, strict=True)], schema=_PAGES)
 
-    return manifest.select("path").repartition(partitions_of(manifest)).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return manifest.select("path").repartition(partitions_of(manifest)).mapInArrow(frugal(run), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def op9(pages: DataFrame) -> DataFrame:
+    """Archive ``pages`` in the shared folder and read them back; nulls and repeats as in :func:`write_archives`."""
     return read_archives(write_archives(pages, work_dir(pages.sparkSession, "warc")))

@@ -66,6 +66,16 @@ def test_stored_texts(docs, none):
     got = tiff.stored_digests(tiff.store_texts(docs)).collect()
     want = sorted((len((t or "").encode()), hashlib.sha256(tiff.payload_of(t or "")).hexdigest()) for _, t, *_ in fixture())
     assert sorted((r["n_bytes"], r["payload_sha256"]) for r in got) == want
+    payloads = {}
+    for _, t, *_ in fixture():
+        data = (t or "").encode()
+        data += b"\xff" * ((-len(data)) % 576 or (0 if data else 576))
+        payloads[hashlib.sha256(data).hexdigest()] = data
+    for r in got:
+        data = payloads[r["payload_sha256"]]
+        assert (r["payload_bytes"], r["tail_crc32"]) == (len(data), zlib.crc32(data[-32:])) and r["feature"].startswith(f"{sum(data) / len(data):.3f}-")
+    stored = tiff.store_texts(docs).collect()
+    assert sorted((len(r["media"]), hashlib.sha256(r["media"]).hexdigest()) for r in stored) == sorted((r["media_bytes"], r["media_sha256"]) for r in got)
     by = {}
     for r in got:
         assert by.setdefault(r["payload_sha256"], (r["media_sha256"], r["feature"])) == (r["media_sha256"], r["feature"])
@@ -77,6 +87,8 @@ def test_tiff_rows(spark):
     df = spark.createDataFrame([(1, a, 9), (2, None, 9), (3, bytearray(b"bad"), 9), (1, a, 9)], "id int, media binary, page int")
     got = sorted((r["id"], -1 if r["page"] is None else r["page"], r["width"], r["error"] is None) for r in tiff.tiff_pages(df).collect())
     assert got == [(1, 0, 3, True), (1, 0, 3, True), (1, 1, 1, True), (1, 1, 1, True), (3, -1, None, False)]
+    cut = spark.createDataFrame([(k, bytearray(a[:k])) for k in range(len(a))], "id int, media binary")
+    assert {r["id"] for r in tiff.tiff_pages(cut).filter("error is not null").collect()} == set(range(len(a)))
     assert tiff.tiff_pages(df.limit(0)).count() == 0
 
 

@@ -94,17 +94,100 @@ def test_tiff_round_trips():
         assert tiff.lzw_decode(tiff.lzw_encode(data), n) == data and tiff.packbits_decode(tiff.packbits_encode(data), n) == data
 
 
+def directory(tags, data=b"", order="<"):
+    """A file of one page: ``data`` behind the header, then a directory with ``tags`` (tag, kind, values)."""
+    import struct
+
+    body, entries = bytearray(data), []
+    for tag, kind, values in sorted(tags):
+        packed = struct.pack(f"{order}{len(values)}{tiff._TYPES[kind]}", *values)
+        place = packed.ljust(4, b"\0")
+        if len(packed) > 4:
+            place = struct.pack(order + "I", 8 + len(body))
+            body += packed
+        entries.append(struct.pack(order + "HHI", tag, kind, len(values)) + place)
+    head = (b"II" if order == "<" else b"MM") + struct.pack(order + "HI", 42, 8 + len(body))
+    return head + bytes(body) + struct.pack(order + "H", len(entries)) + b"".join(entries) + b"\0" * 4
+
+
+def strip_tags(width, height, bits, size, samples=1, **more):
+    tags = [(tiff.WIDTH, 4, [width]), (tiff.LENGTH, 4, [height]), (tiff.BITS, 3, [bits] * samples), (tiff.SAMPLES, 3, [samples]), (tiff.STRIP_OFFSETS, 4, [8]), (tiff.STRIP_COUNTS, 4, [size])]
+    return tags + [(getattr(tiff, k), 3, [v]) for k, v in more.items()]
+
+
+@pytest.mark.parametrize("bits", [1, 2, 4])
+@pytest.mark.parametrize("fill", [1, 2])
+def test_tiff_samples_of_less_than_a_byte(bits, fill):
+    rng = random.Random(bits)
+    values = [[rng.randrange(1 << bits) for _ in range(13)] for _ in range(5)]
+    rows = ["".join(f"{v:0{bits}b}" for v in row) for row in values]
+    data = b"".join(int(r.ljust(-(-len(r) // 8) * 8, "0"), 2).to_bytes(-(-len(r) // 8)) for r in rows)
+    for kind, stored in ((tiff.PLAIN, data), (tiff.PACKBITS, tiff.packbits_encode(data))):
+        if fill == 2:
+            stored = bytes(int(f"{c:08b}"[::-1], 2) for c in stored)
+        (page,) = tiff.read_pages(directory(strip_tags(13, 5, bits, len(stored), COMPRESSION=kind, FILL_ORDER=fill), stored))
+        assert list(page.pixels) == [v for row in values for v in row] and page.bits == bits
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+@pytest.mark.parametrize("samples", [1, 3])
+def test_tiff_floating_point_predictor(order, samples):
+    rng = np.random.default_rng(4)
+    values = rng.standard_normal((4, 6, samples)).astype("<f4")
+    stored = b""
+    for row in values.astype(">f4"):
+        planes = row.reshape(-1).view(np.uint8).reshape(-1, 4).T.reshape(-1)  # most significant bytes first
+        steps = planes.copy()
+        steps[samples:] -= planes[:-samples]
+        stored += steps.tobytes()
+    (page,) = tiff.read_pages(directory(strip_tags(6, 4, 32, len(stored), samples, PREDICTOR=3, SAMPLE_FORMAT=3), stored, order))
+    assert page.pixels == values.tobytes()
+
+
 def test_tiff_faults():
     good = tiff.write_tiff([(np.zeros((4, 4, 1), np.uint8), tiff.Layout(tiff.LZW))])
     loop = bytearray(good)
     at = int.from_bytes(good[4:8], "little")
     n = int.from_bytes(good[at : at + 2], "little")
     loop[at + 2 + 12 * n : at + 6 + 12 * n] = at.to_bytes(4, "little")
-    for bad in (b"", b"II*\0", b"MM\0\x2b\0\0\0\x08", bytes(loop)):
+    lzw = (300 << 7).to_bytes(2)  # the first code is none that can come first
+    no_tile = [(tiff.WIDTH, 4, [4]), (tiff.LENGTH, 4, [4]), (tiff.BITS, 3, [8]), (tiff.TILE_WIDTH, 4, [0]), (tiff.TILE_LENGTH, 4, [16]), (tiff.TILE_OFFSETS, 4, [8]), (tiff.TILE_COUNTS, 4, [1])]
+    huge = strip_tags(1 << 30, 1 << 30, 8, 1)
+    none = [x if x[0] != tiff.WIDTH else (tiff.WIDTH, 4, []) for x in strip_tags(4, 4, 8, 16)]
+    for bad in (b"", b"II*\0", b"MM\0\x2b\0\0\0\x08", bytes(loop), directory(strip_tags(4, 4, 8, 2, COMPRESSION=tiff.LZW), lzw), directory(no_tile, b"x"), directory(huge, b"x"), directory(none, b"x" * 16), directory(strip_tags(4, 4, 7, 16), b"x" * 16), directory(strip_tags(4, 4, 8, 16, PREDICTOR=9), b"x" * 16)):
         with pytest.raises(ValueError):
             list(tiff.read_pages(bad))
 
 
+def test_a_broken_page_leaves_the_others():
+    pages = [(np.full((3, 3, 1), k, np.uint8), tiff.Layout(tiff.PLAIN)) for k in range(4)]
+    data = bytearray(tiff.write_tiff(pages))
+    at = int.from_bytes(data[4:8], "little")
+    n = int.from_bytes(data[at : at + 2], "little")
+    at = int.from_bytes(data[at + 2 + 12 * n : at + 6 + 12 * n], "little")  # the second directory
+    for k in range(n):
+        if int.from_bytes(data[at + 2 + 12 * k : at + 4 + 12 * k], "little") == tiff.COMPRESSION:
+            data[at + 10 + 12 * k] = 77
+    got = list(tiff.pages_and_faults(bytes(data)))
+    assert [p.pixels[0] if isinstance(p, tiff.Page) else p[0] for p in got] == [0, 1, 2, 3] and not isinstance(got[1], tiff.Page) and "compression 77" in str(got[1][1])
+
+
+def test_mutated_files_never_escape():
+    rng = random.Random(7)
+    files = []
+    for k in range(12):
+        layout = [tiff.Layout(c, p, t) for c in (tiff.PLAIN, tiff.LZW, tiff.DEFLATE, tiff.PACKBITS) for p in (1, 2) for t in (0, 16)][k]
+        files.append(tiff.write_tiff([(np.frombuffer(rng.randbytes(6 * 5 * 3), np.uint8).reshape(6, 5, 3), layout), (np.zeros((2, 2, 1), np.uint8), tiff.Layout())], "<>"[k % 2]))
+    for _ in range(10_000):
+        data = bytearray(rng.choice(files))
+        for _ in range(rng.randint(1, 6)):
+            data[rng.randrange(len(data))] = rng.choice([0, 1, 255, rng.randrange(256)])
+        if rng.random() < 0.3:
+            del data[rng.randrange(len(data)) :]
+        for page in tiff.pages_and_faults(bytes(data)):
+            assert isinstance(page, tiff.Page) or isinstance(page[1], Exception)
+
+
 @pytest.mark.parametrize("text", ["", "a", "x" * 576, "y" * 577, "ñ" * 40_000])
 def test_stored_text_comes_back(text):
     payload = tiff.payload_of(text)
