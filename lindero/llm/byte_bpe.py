@@ -22,7 +22,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import filesystem, limit_batches, text_of
+from .common import CACHES, filesystem, frugal, limit_batches, text_of
 from .pretokens import BYTE_LEVEL_SPLIT, FAMILIAR, VectorEncoder, in_order, same_characters
 
 _MIX, _FOLD, _MASK = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
@@ -170,6 +170,9 @@ def codec(path: str, pattern: str) -> ByteBPE:
     return ByteBPE(path, pattern)
 
 
+CACHES["codecs"] = codec.cache_clear
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and ``ids array<int>`` for every row of ``docs`` (doc_id, text).
 
@@ -185,7 +188,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids = [x.astype(np.int32) for x in in_order(bpe, part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    return limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(frugal(run), "doc_id long, ids array<int>")
 
 
 def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -204,7 +207,7 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
                 data.append(None if None in parts else b"".join(parts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["doc_id", "bytes"])
 
-    return limit_batches(coded).select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
+    return limit_batches(coded).select("doc_id", "ids").mapInArrow(frugal(run), "doc_id long, bytes binary")
 
 
 def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -220,4 +223,4 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 decoded.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(frugal(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined, limit_batches, partitions_of, salted_lookup, text_of, written
+from .common import frugal, joined, limit_batches, partitions_of, salted_lookup, text_of, written
 
 #: Chunks have at least LEAST bytes (but the last) and at most MOST; a cut comes once in 2**CUT_BITS bytes on average.
 LEAST, MOST, CUT_BITS = 1024, 32768, 12
@@ -62,8 +62,8 @@ def _digests(parts: list[bytes], size: int) -> list[bytes]:
 
 
 def recipes(docs: DataFrame, digest_bytes: int = 16, row: str | None = None) -> DataFrame:
-    """doc_id, the normalised text's sha256, the recipe (digests one after another) for every row of ``docs``, and a
-    value ``row`` that no other row has: that in the column of that name, if one is given."""
+    """doc_id, the normalised text's sha256, the recipe (digests one after another) for every row of ``docs``, and, if
+    the name of a column is given, that one as ``row``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,8 +76,8 @@ def recipes(docs: DataFrame, digest_bytes: int = 16, row: str | None = None) ->
 
     columns = ["doc_id", text_of().alias("text"), *([] if row is None else [F.col(row).alias("row")])]
     source = limit_batches(docs).select(*columns)
-    out = source.mapInArrow(run, "doc_id long, text_sha256 string, recipe binary" + (f", row {source.schema['row'].dataType.simpleString()}" if row else ""))
-    return out if row else out.withColumn("row", F.monotonically_increasing_id())
+    out = source.mapInArrow(frugal(run), "doc_id long, text_sha256 string, recipe binary" + (f", row {source.schema['row'].dataType.simpleString()}" if row else ""))
+    return out
 
 
 _CHUNKS = "text_sha256 string, place int, digest binary, data binary"
@@ -112,7 +112,7 @@ def _occurrences(texts: DataFrame, digest_bytes: int, every: bool) -> DataFrame:
             if rows:
                 yield _batch(rows, _CHUNKS)
 
-    return texts.mapInArrow(run, _CHUNKS)
+    return texts.mapInArrow(frugal(run), _CHUNKS)
 
 
 def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
@@ -149,7 +149,7 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 16, row: str | None = None
     once more only if another text has the same recipe. Other columns are not read. A group of any size is
     pre-aggregated before the shuffle and met under salts.
     """
-    rows = written(recipes(docs, digest_bytes, row), "recipes")
+    rows = written(recipes(docs, digest_bytes, row), "recipes", narrow=True, number=None if row else "row")
     shared = rows.groupBy("recipe").agg(F.count("*").alias("n")).filter("n > 1")
     candidates = written(salted_lookup(rows, shared, ["recipe"], F.col("row")).filter("n is not null").select("row", "doc_id", "recipe", "text_sha256"), "candidates", narrow=True)
 
@@ -159,7 +159,7 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 16, row: str | None = None
 
     texts = joined(docs.select(key(row).alias("key"), text_of().alias("text")), candidates.select(key("row").alias("key")).distinct(), ["key"], "left_semi").select("text")
     once = _occurrences(texts, digest_bytes, every=False).select("digest", "data")
-    collided = written(once.repartition(partitions_of(docs), "digest").sortWithinPartitions("digest", "data").mapInArrow(_collisions, _COLLIDED), "collided", narrow=True)
+    collided = written(once.repartition(partitions_of(docs), "digest").sortWithinPartitions("digest", "data").mapInArrow(frugal(_collisions), _COLLIDED), "collided", narrow=True)
 
     if collided.isEmpty():
         marked = candidates.withColumn("marks", F.lit(""))

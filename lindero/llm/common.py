@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,17 +39,22 @@ def clear_work(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Shuffle partitions to a file of a narrow table.
+NARROW = 16
+
+
 def written(df: DataFrame, name: str, narrow: bool = False, compression: str | None = None, number: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage and outlives executors. ``compression``: the session's, if
     none.
 
-    ``narrow``: rows of a few numbers, made by as many tasks as the session's shuffles have; one more exchange brings
-    them into an eighth of the files, as each file costs the store several calls. ``number``: a column to add, with
+    ``narrow``: rows of a few numbers. The plan's own tasks make them, and one more exchange brings them into fewer files
+    (a sixteenth of the session's shuffle partitions, so that they grow with it), as each file costs the store several
+    calls. ``number``: a column to add, with
     a different number in each row; the tasks that write give it, so that a task that runs again changes nothing.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    rows = df.repartition(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)) if narrow else df
+    rows = df.repartition(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // NARROW)) if narrow else df
     rows = rows.withColumn(number, F.monotonically_increasing_id()) if number else rows
     rows.write.parquet(path, compression=compression)
     return spark.read.schema(rows.schema).parquet(path)
@@ -83,6 +90,42 @@ def limit_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+#: How the caches of this worker process are emptied, by their names.
+CACHES: dict[str, Callable[[], object]] = {}
+_owner = [""]
+Batches = Iterator[pa.RecordBatch]
+
+
+def begin(owner: str) -> None:
+    """A task of the operator ``owner`` starts in this worker: what other operators have cached here goes."""
+    if _owner[0] != owner:
+        for clear in CACHES.values():
+            clear()
+        _owner[0] = owner
+
+
+def end() -> None:
+    """Buffers that a task no longer needs go back to the machine: workers live on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
+def frugal(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``, leaving a worker that is used again no larger than its own caches make it."""
+    owner = run.__module__
+
+    def all_of(batches: Batches) -> Batches:
+        begin(owner)
+        try:
+            yield from run(batches)
+        finally:
+            end()
+
+    return all_of
+
+
 def filesystem(uri: str):
     """(pyarrow file system, path in it) for any store that pyarrow knows."""
     from pyarrow import fs

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined, limit_batches, partitions_of, salted_lookup, text_of, written
+from .common import CACHES, frugal, joined, limit_batches, partitions_of, salted_lookup, text_of, written
 
 #: Sets and tokens in a part of a group, about; queries against a part in one task; tokens of a block of the matrix.
 PART, PART_TOKENS, QUERIES, BLOCK = 256, 1 << 22, 1024, 1 << 19
@@ -35,7 +35,7 @@ SKETCHES, SHARED = 4, 4
 #: most this many, come last in the order. The order changes only the cost, never the result; its size is bounded.
 COUNT_BLOCK, COUNT_LEAST, FREQUENT = 1 << 20, 6, 150_000
 #: Words whose digests a worker keeps, and the longest of them.
-WORDS_KEPT, WORD_BYTES = 200_000, 64
+WORDS_KEPT, WORD_BYTES = 100_000, 64
 _UPPER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _KEY = b"lindero-words"
@@ -60,6 +60,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+CACHES["words"] = _WORDS.clear
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -162,7 +163,7 @@ def _profiles(docs: DataFrame, size: int, row: str | None = None) -> DataFrame:
             yield counted()
 
     kind = source.schema["row_key"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id long, row_key {kind}, n long, set_id binary, {', '.join(f'{b} long' for b in _SKETCHES)}, token long, texts long")
+    return source.mapInArrow(frugal(run), f"doc_id long, row_key {kind}, n long, set_id binary, {', '.join(f'{b} long' for b in _SKETCHES)}, token long, texts long")
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -186,7 +187,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, frequent: np.ndarray) ->
                 offsets = np.cumsum([0, *map(len, held)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(held)))], names=["set_id", "tokens"])
 
-    return docs.select(text_of().alias("text")).mapInArrow(run, "set_id binary, tokens array<long>")
+    return docs.select(text_of().alias("text")).mapInArrow(frugal(run), "set_id binary, tokens array<long>")
 
 
 def _meetings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -311,7 +312,7 @@ def _tokens(texts: DataFrame, size: int) -> DataFrame:
                     data.append(tokens)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(data, pa.binary())], names=[*names, "tokens"]).filter(pa.array(keep, pa.bool_()))
 
-    return texts.select("set_id", "text", *names).mapInArrow(run, "sid long, g long, n long, own boolean, parts long, pivot long, tokens binary")
+    return texts.select("set_id", "text", *names).mapInArrow(frugal(run), "sid long, g long, n long, own boolean, parts long, pivot long, tokens binary")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -336,7 +337,7 @@ def _verified(pairs: DataFrame, percent: int) -> DataFrame:
 
     lengths = [F.octet_length("x"), F.octet_length("y")]
     fits = F.least(*lengths) * 100 >= F.greatest(*lengths) * percent
-    return pairs.filter(fits).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.filter(fits).select("a", "b", "x", "y").mapInArrow(frugal(run), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -438,8 +439,8 @@ def _met(docs: DataFrame, places: DataFrame, size: int, percent: int, frequent:
     sets = joined(_prefixes(docs, size, percent, frequent), places.select("set_id", "sid", "n", "g"), ["set_id"])
     tasks = max(partitions_of(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sets = sets.repartition(tasks, "g", F.pmod("sid", F.lit(32))).sortWithinPartitions("g", "sid")
-    matrix = sets.select("sid", "n", "g", "tokens").mapInArrow(_matrix, "token long, n long, g long, place long, several long")
-    found = matrix.repartition(tasks, "token").sortWithinPartitions("token", "n", "g").mapInArrow(lambda batches: _meetings(batches, percent), "a long, b long, shared long")
+    matrix = sets.select("sid", "n", "g", "tokens").mapInArrow(frugal(_matrix), "token long, n long, g long, place long, several long")
+    found = matrix.repartition(tasks, "token").sortWithinPartitions("token", "n", "g").mapInArrow(frugal(lambda batches: _meetings(batches, percent)), "a long, b long, shared long")
     return found.groupBy("a", "b").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= shared_tokens(percent)).select("a", "b")
 
 
@@ -457,7 +458,7 @@ def _first_links(held: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     each = held.filter("own and sid = pivot").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     each = each.select(F.xxhash64("g", "k").alias("part_id"), F.lit(0).alias("role"), "sid", "tokens")
     tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    within = own.unionByName(each).repartition(tasks, "part_id").sortWithinPartitions("part_id", "role", "sid").mapInArrow(lambda batches: _links_within(batches, percent), "a long, b long")
+    within = own.unionByName(each).repartition(tasks, "part_id").sortWithinPartitions("part_id", "role", "sid").mapInArrow(frugal(lambda batches: _links_within(batches, percent)), "a long, b long")
     pairs = salted_lookup(met.filter("a <> b"), sizes.toDF("a", "p", "n"), ["a"], F.col("b"))
     pairs = salted_lookup(pairs, sizes.toDF("b", "q", "m"), ["b"], F.col("a")).filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
     pairs = pairs.select(F.col("p").alias("a"), F.col("q").alias("b"))
@@ -498,7 +499,7 @@ def _links_in_parts(held: DataFrame, members: DataFrame, asked: DataFrame, perce
     both = salted_lookup(queries.select(columns).unionByName(opened.select(columns)), full, ["sid"], F.col("part_id"), how="inner", salts=2)
     tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = both.select(*columns, "tokens").repartition(tasks, "part_id", "chunk").sortWithinPartitions("part_id", "chunk", "role", "sid")
-    return both.mapInArrow(lambda batches: _opened(batches, percent), "a long, b long")
+    return both.mapInArrow(frugal(lambda batches: _opened(batches, percent)), "a long, b long")
 
 
 def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
@@ -512,7 +513,7 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80, row
     is one shingle; a null text or one without words has the empty set and links with nothing. Rows that repeat share
     a component; an empty table gives no rows; texts are read whole. Other columns are not read.
     """
-    both = written(_profiles(docs, size, row), "profiles")
+    both = written(_profiles(docs, size, row), "profiles", narrow=True)
     rows = both.filter("n is not null").select("doc_id", "n", "set_id", "row_key")
     top = both.filter("n is null").groupBy("token").agg(F.sum("texts").alias("texts")).filter(F.col("texts") >= 2 * COUNT_LEAST).orderBy(F.desc("texts"), "token").limit(FREQUENT)
     frequent = np.sort(top.select("token").toArrow().column(0).to_numpy().view(np.uint64))  # at most FREQUENT numbers

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import limit_batches, schema_of
+from .common import frugal, limit_batches, schema_of
 
 #: Families of languages by code (fixed values); any other language is a family of its own.
 FAMILIES = {
@@ -170,7 +170,7 @@ def fit(docs: DataFrame, learn: Column, per_language: int = ROWS_PER_LANGUAGE, i
             found = [features(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32()))], names=["lang", "place", "at", "weight"])
 
-    rows = own.select("lang", place, "text").filter(F.col("place") < share).dropDuplicates(["lang", "place"]).mapInArrow(run, schema_of("lang string, place double, at array<int>, weight array<float>")).toArrow()
+    rows = own.select("lang", place, "text").filter(F.col("place") < share).dropDuplicates(["lang", "place"]).mapInArrow(frugal(run), schema_of("lang string, place double, at array<int>, weight array<float>")).toArrow()
     rows = rows.sort_by([("lang", "ascending"), ("place", "ascending")])
     labels = rows.column("lang").to_pylist()
     number: dict[str, int] = {}
@@ -194,7 +194,7 @@ def predict(docs: DataFrame, model: Hierarchy, held_out: Column) -> DataFrame:
             found = [model.predict(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return limit_batches(docs).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return limit_batches(docs).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text")).mapInArrow(frugal(run), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def op6(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import limit_batches, text_of
+from .common import frugal, limit_batches, text_of
 from .pretokens import in_order
 from .wordcache import word_cache
 
@@ -183,7 +183,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096,
         if rows:
             yield batch_of()
 
-    return limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(run, PIECES + (", ids array<long>" if with_ids else ""))
+    return limit_batches(docs).select("doc_id", text_of().alias("text")).mapInArrow(frugal(run), PIECES + (", ids array<long>" if with_ids else ""))
 
 
 def _sizes(total: int, capacity: int) -> Iterator[int]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import limit_batches, salted_lookup, text_of, written
+from .common import CACHES, frugal, limit_batches, salted_lookup, text_of, written
 
 DEFAULT_KEY = b"lindero-surrogates"
 #: Attempts after which a replacement may be longer than its original (its format has too few free strings).
@@ -286,6 +286,9 @@ def surrogate(kind: str, canon: str, key: bytes = DEFAULT_KEY, attempt: int = 0)
     return permuted_text(canon, key, tweak) + extra
 
 
+CACHES["surrogates"] = surrogate.cache_clear
+
+
 def rendered(kind: str, raw: str, canon: str) -> str:
     """A replacement in the spelling of ``raw``: its punctuation, spaces and capitals."""
     if ":" in kind or kind == "email":
@@ -327,7 +330,7 @@ def _entities(docs: DataFrame, key: bytes) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string(), pa.string()), strict=True)], names=["text_key", "kind", "canon", "made"])
 
-    return limit_batches(docs).select(F.xxhash64(text_of()).alias("text_key"), text_of().alias("text")).mapInArrow(run, "text_key long, kind string, canon string, made string")
+    return limit_batches(docs).select(F.xxhash64(text_of()).alias("text_key"), text_of().alias("text")).mapInArrow(frugal(run), "text_key long, kind string, canon string, made string")
 
 
 def _held(entities: DataFrame) -> DataFrame:
@@ -368,7 +371,7 @@ def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts:
     for attempt in range(1, attempts + 1):
         if losers.isEmpty():
             break
-        drawn = losers.select("kind", "canon").mapInArrow(lambda b, a=attempt: _redrawn(b, key, a), "kind string, canon string, made string").withColumn("space", space)
+        drawn = losers.select("kind", "canon").mapInArrow(frugal(lambda b, a=attempt: _redrawn(b, key, a)), "kind string, canon string, made string").withColumn("space", space)
         won, losers = settled(drawn, taken.distinct())
         moved = won if moved is None else moved.unionByName(won)
         taken = taken.unionByName(won.select("space", "made"))
@@ -388,7 +391,7 @@ def _one_gender(entities: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame |
     votes = [F.sum(F.when(F.col("gender") == g, F.col("texts")).otherwise(0)).alias(g) for g in "mf"]
     gender = F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > 0, "m").otherwise("n")
     resolved = named.groupBy("script", "canon").agg(*votes).select("script", "canon", F.concat_ws(":", F.lit("given"), gender, "script").alias("kind"))
-    made = _held(resolved.select("kind", "canon").mapInArrow(lambda b: _redrawn(b, key, 0), "kind string, canon string, made string"))
+    made = _held(resolved.select("kind", "canon").mapInArrow(frugal(lambda b: _redrawn(b, key, 0)), "kind string, canon string, made string"))
     to = made.select(F.split("kind", ":")[2].alias("script"), "canon", F.col("kind").alias("resolved"), "made")
     changed = named.select("script", "canon", "kind").join(to, ["script", "canon"]).filter("kind <> resolved").select("kind", "canon", "resolved", "made")
     return entities.filter(~given).unionByName(made), _held(changed)
@@ -400,7 +403,7 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
     A null text stays null and an empty one empty, with no entities; rows that repeat get equal texts; an empty table
     gives no rows; texts are searched whole. Columns called n_entities or kinds are replaced.
     """
-    entities = written(_entities(docs, key), "detected")
+    entities = written(_entities(docs, key), "detected", narrow=True)
     resolved, changed = _one_gender(entities.select("kind", "canon", "made"), key)
     special = _held(collisions_resolved(resolved, key))
     if changed is not None:
@@ -427,4 +430,4 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
                 kinds.append(",".join(f"{k}:{v}" for k, v in sorted(Counter(e.kind.split(":")[0] for e, _ in done).items())))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(texts, pa.string()), pa.array(n, pa.int32()), pa.array(kinds, pa.string())], names=[*others, "text", "n_entities", "kinds"])
 
-    return source.mapInArrow(run, f"{fields}, n_entities int, kinds string").select(*[c for c in docs.columns if c not in ("n_entities", "kinds")], "n_entities", "kinds")
+    return source.mapInArrow(frugal(run), f"{fields}, n_entities int, kinds string").select(*[c for c in docs.columns if c not in ("n_entities", "kinds")], "n_entities", "kinds")

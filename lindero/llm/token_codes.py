@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import filesystem, limit_batches, partitions_of, put_file, text_of, work_dir, written
+from .common import filesystem, frugal, limit_batches, partitions_of, put_file, text_of, work_dir, written
 from .pretokens import in_order
 from .wordcache import word_cache
 
@@ -181,7 +181,7 @@ def write_codes(docs: DataFrame, tokenizer: str, end_id: int, folder: str, file_
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())]))
 
-    return written(rows.mapInArrow(run, MANIFEST), "dac-manifest")
+    return written(rows.mapInArrow(frugal(run), MANIFEST), "dac-manifest")
 
 
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long, path string, position long"
@@ -212,7 +212,7 @@ def read_codes(manifest: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(doc_ids[first:last], pa.int64()), pa.array(at + row["base"]), pa.array(np.diff(starts[first : last + 1])), pa.array(crc, pa.int64()), pa.array([row["path"]] * len(crc)), pa.array(at)], schema=_READ)
                     first = last
 
-    return files.mapInArrow(run, READ)
+    return files.mapInArrow(frugal(run), READ)
 
 
 def op1(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:

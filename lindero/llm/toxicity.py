@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import limit_batches, text_of, written
+from .common import frugal, limit_batches, text_of, written
 
 #: Most toxic rows (of clean ones twice as many) and most unlabelled rows a model is fitted on, and most terms in its lexicons.
 LABELLED_ROWS, UNLABELLED_ROWS, TERMS = 6000, 6000, 2000
@@ -167,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, labelled: int = LABEL
     # The picked labels are three times ``labelled`` rows at most: that bound makes the broadcast safe.
     sample = texts.join(F.broadcast(picked), "doc_id").select("text", "toxic").dropDuplicates(["text", "toxic"])
     others = _smallest(docs.filter(learn).select(text_of().alias("text")), unlabelled, F.col("text")).withColumn("toxic", F.lit(-1))
-    sample = written(sample.unionByName(others), "toxicity-sample").repartition(24)
+    sample = written(sample.unionByName(others).repartition(24), "toxicity-sample").repartition(24)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies = (Counter(), Counter())
@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, labelled: int = LABEL
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     terms: list[str] = []
     if n1:
-        tallies = sample.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        tallies = sample.mapInArrow(frugal(count), "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         rate1, rate0 = F.col("toxic") / n1, (F.col("clean") + 0.5) / max(1, n0)
         strong = tallies.filter((F.col("toxic") >= max(5, n1 // 40)) & (rate1 > 12 * rate0))
         terms = [r["term"] for r in strong.orderBy(F.desc(rate1 - rate0), "term").limit(max_terms).collect()]
@@ -203,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, labelled: int = LABEL
             found = [lexicons(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.int32())), batch.column(1)], names=["on", "votes", "toxic"])
 
-    seen = sample.mapInArrow(look, "on array<int>, votes array<int>, toxic int").toArrow()
+    seen = sample.mapInArrow(frugal(look), "on array<int>, votes array<int>, toxic int").toArrow()
     n, d = seen.num_rows, lexicons.n_features
     if not n:
         return Model(lexicons, np.append(np.zeros(d), -5.0))
@@ -233,7 +233,7 @@ def score(docs: DataFrame, model: Model, held_out: Column | None = None, keep: b
             scores = np.array([model.score(t.as_py()) for t in batch.columns[-1]], float)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=[*others, "held_out", "score", "predicted"])
 
-    return source.mapInArrow(run, f"{kinds}, score double, predicted int")
+    return source.mapInArrow(frugal(run), f"{kinds}, score double, predicted int")
 
 
 def op8(docs: DataFrame, labels: DataFrame) -> DataFrame:

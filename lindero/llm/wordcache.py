@@ -13,6 +13,7 @@ from unicodedata import is_normalized, normalize
 
 import numpy as np
 
+from .common import CACHES
 from .pretokens import VectorEncoder
 
 #: Splits that are made here (fixed values of the file format).
@@ -82,3 +83,6 @@ class WordCache:
 def word_cache(path: str) -> WordCache:
     """One cache in each worker process."""
     return WordCache(path)
+
+
+CACHES["word ids"] = word_cache.cache_clear
