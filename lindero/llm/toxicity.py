@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-Many voters look at a text: lexicons of words and of word stems (mined from a bounded sample of labelled rows and dealt
-into lists) and fixed patterns. A voter says "toxic" or abstains; one says "clean" where no lexicon has a word. A
+Many voters look at a text: lexicons of words and of word stems, once for those that occur and once for those that make
+up a hundredth of the text (mined from a bounded sample of labelled rows and dealt into lists), and fixed patterns. A voter says "toxic" or abstains; one says "clean" where no lexicon has a word. A
 generative label model estimates, by expectation maximisation over labelled and unlabelled rows, how often each voter
 fires on toxic and on clean texts, and from what the voters have in common beyond that, how much of each vote is new.
 Its posterior labels train a linear classifier over the terms and patterns, which scores every text.
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +24,9 @@ from .common import frugal, limit_batches, text_of, written
 #: Most toxic rows (of clean ones twice as many) and most unlabelled rows a model is fitted on, and most terms in its lexicons.
 LABELLED_ROWS, UNLABELLED_ROWS, TERMS = 6000, 6000, 2000
 STEMS = (4, 5, 6)
+#: How many times as often toxic texts must have a term as clean ones. Chosen among 6, 8, 12 and 20 by four-fold
+#: cross-validation inside the learning rows; see the README.
+RATIO = 8
 #: Terms that a task counts before it hands them on: bounds its memory.
 COUNTED_TERMS = 100_000
 WORD_LISTS, STEM_LISTS = 8, 4
@@ -36,42 +39,58 @@ _MASKED = re.compile(r"\b[A-Za-z]\*{2,}[A-Za-z]*")
 _SHOUTED = re.compile(r"\b[^\W\d_a-zß-öø-ÿ]{4,}\b")
 
 
-def words_of(text: str) -> set[str]:
-    return set(_WORD.findall(text.lower()))
+def words_of(text: str) -> Counter[str]:
+    return Counter(_WORD.findall(text.lower()))
 
 
-def terms_of(words: set[str]) -> set[str]:
-    """Words, and stems marked by a hyphen behind them."""
-    out = set(words)
-    for k in STEMS:
-        out.update(w[:k] + "-" for w in words if len(w) >= k)
+def stems_of(words: Counter[str], k: int, known: Container[str] | None = None) -> Counter[str]:
+    """Stems of ``k`` letters, marked by a hyphen behind them, and how often words have them; only ``known`` ones if given."""
+    out: Counter[str] = Counter()
+    for w, n in words.items():
+        if len(w) >= k and (known is None or w[:k] + "-" in known):
+            out[w[:k] + "-"] += n
     return out
 
 
-def patterns_of(text: str, words: set[str]) -> list[bool]:
+def frequent(counts: Counter[str], total: int) -> list[str]:
+    """The terms that come at least twice and are a hundredth of ``total`` words, marked by an accent behind them."""
+    return [t + "^" for t, n in counts.items() if n > 1 and 100 * n >= total]
+
+
+def terms_of(words: Counter[str]) -> list[str]:
+    """Each word and stem once, and again if it is frequent."""
+    total, out = words.total(), []
+    for counts in (words, *(stems_of(words, k) for k in STEMS)):
+        out += [*counts, *frequent(counts, total)]
+    return out
+
+
+def patterns_of(text: str, words: Counter[str]) -> list[bool]:
     return [not INSULTS.isdisjoint(words), "**" in text and bool(_MASKED.search(text)), text.count("!") >= 3 and len(_SHOUTED.findall(text)) >= 3, "!!" in text]
 
 
 @dataclass
 class Lexicons:
-    """The mined terms and the list that each was dealt to."""
+    """The mined terms, the list that each was dealt to, and the words and stems that are looked for."""
 
     index: dict[str, int]
     lists: dict[str, int]
     n_lists: int
+    bare: set[str]
 
     @classmethod
     def deal(cls, terms: list[str]) -> Lexicons:
         """``terms`` come strongest first; words and stems of each length go to lists of their own, in turn."""
-        kinds = {0: WORD_LISTS} | dict.fromkeys(STEMS, STEM_LISTS)
+        kinds = {(0, often): WORD_LISTS for often in (False, True)} | {(k, often): STEM_LISTS for k in STEMS for often in (False, True)}
         base = dict(zip(kinds, np.cumsum([0, *kinds.values()])[:-1].tolist(), strict=True))
-        dealt: Counter[int] = Counter()
+        dealt: Counter[tuple[int, bool]] = Counter()
         lists = {}
         for t in terms:
-            kind = len(t) - 1 if t.endswith("-") else 0
+            own = t.removesuffix("^")
+            kind = (len(own) - 1 if own.endswith("-") else 0, own != t)
             lists[t] = base[kind] + dealt[kind] % kinds[kind]
             dealt[kind] += 1
-        return cls({t: i for i, t in enumerate(terms)}, lists, sum(kinds.values()))
+        return cls({t: i for i, t in enumerate(terms)}, lists, sum(kinds.values()), {t.removesuffix("^") for t in terms})
 
     @property
     def n_features(self) -> int:
@@ -79,10 +98,10 @@ class Lexicons:
 
     def __call__(self, text: str) -> tuple[list[int], list[int]]:
         """(features, votes) that are on. The last vote says clean: no list has a word of the text."""
-        words = words_of(text)
-        found = [t for t in words if t in self.index]
-        for k in STEMS:
-            found += {s for s in {w[:k] + "-" for w in words if len(w) >= k} if s in self.index}
+        words, found = words_of(text), []
+        total = words.total()
+        for counts in (Counter({w: n for w, n in words.items() if w in self.bare}), *(stems_of(words, k, self.bare) for k in STEMS)):
+            found += [t for t in (*counts, *frequent(counts, total)) if t in self.index]
         on = [i for i, x in enumerate(patterns_of(text, words)) if x]
         votes = sorted({self.lists[t] for t in found}) + [self.n_lists + i for i in on]
         if not found:
@@ -146,27 +165,28 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.weights[on].sum() + self.weights[-1], -30, 30))))
 
 
-def _smallest(rows: DataFrame, n: int, spread: Column) -> DataFrame:
-    """The ``n`` rows with the smallest hash. Only rows in the part of the hash range that holds about so many are sorted."""
-    total = max(1, rows.count())
-    share = min(1.0, (1.3 * n + 100) / total)
+def _part(rows: DataFrame, n: int, spread: Column) -> DataFrame:
+    """Rows in the part of the range of ``spread``'s hash that holds about ``n`` of them, with the hash as ``_h``; nothing is
+    sorted or brought to one task."""
+    share = min(1.0, n / max(1, rows.count()))
     place = F.pmod(F.xxhash64(F.lit(11), spread), F.lit(1 << 40))
-    return rows.withColumn("_h", place).filter(F.col("_h") < int(share * (1 << 40))).orderBy("_h").limit(n).drop("_h")
+    return rows.withColumn("_h", place).filter(F.col("_h") < int(share * (1 << 40)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, labelled: int = LABELLED_ROWS, unlabelled: int = UNLABELLED_ROWS, max_terms: int = TERMS) -> Model:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) whose ids meet ``learn``.
 
-    At most ``labelled`` toxic, twice as many clean and ``unlabelled`` other rows are used, those with the smallest hash; only
-    they, with their terms, are gathered. Labels with a null doc_id or toxic are left out; of several labels of a
+    About ``labelled`` toxic, twice as many clean and ``unlabelled`` other texts are used at most, those in a part of the
+    hashes' range; equal texts count once. Only they, with their terms, are gathered, and ``max_terms`` terms at most are
+    looked for, the strongest ones. Labels with a null doc_id or toxic are left out; of several labels of a
     document the largest counts. Without toxic labels the fixed patterns alone vote.
     """
     own = labels.filter(learn & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    picked = _smallest(own.filter("toxic = 1"), labelled, F.col("doc_id")).unionByName(_smallest(own.filter("toxic = 0"), 2 * labelled, F.col("doc_id")))
+    picked = _part(own.filter("toxic = 1"), labelled, F.col("doc_id")).unionByName(_part(own.filter("toxic = 0"), 2 * labelled, F.col("doc_id"))).drop("_h")
     texts = limit_batches(docs).select("doc_id", text_of().alias("text"))
-    # The picked labels are three times ``labelled`` rows at most: that bound makes the broadcast safe.
+    # The picked labels are about three times ``labelled`` rows at most: that bound makes the broadcast safe.
     sample = texts.join(F.broadcast(picked), "doc_id").select("text", "toxic").dropDuplicates(["text", "toxic"])
-    others = _smallest(docs.filter(learn).select(text_of().alias("text")), unlabelled, F.col("text")).withColumn("toxic", F.lit(-1))
+    others = _part(docs.filter(learn).select(text_of().alias("text")), unlabelled, F.col("text")).groupBy("_h").agg(F.min("text").alias("text")).select("text", F.lit(-1).alias("toxic"))
     sample = written(sample.unionByName(others).repartition(24), "toxicity-sample").repartition(24)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, labelled: int = LABEL
     if n1:
         tallies = sample.mapInArrow(frugal(count), "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         rate1, rate0 = F.col("toxic") / n1, (F.col("clean") + 0.5) / max(1, n0)
-        strong = tallies.filter((F.col("toxic") >= max(5, n1 // 40)) & (rate1 > 12 * rate0))
+        strong = tallies.filter((F.col("toxic") >= max(5, n1 // 40)) & (rate1 > RATIO * rate0))
         terms = [r["term"] for r in strong.orderBy(F.desc(rate1 - rate0), "term").limit(max_terms).collect()]
     lexicons = Lexicons.deal(terms)
 
