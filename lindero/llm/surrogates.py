@@ -4,9 +4,10 @@ Entities are found by their format and checked where the format allows it (Luhn,
 keyed replacement of its own type: numbers, addresses and keys are permuted within all strings of their format (a
 Feistel network over mixed radices, so no two meet), names are composed for their gender and script. The same entity
 has the same replacement everywhere, however it is spelled. A name is the whole run of capitalised words and particles
-behind a title; its words are then replaced wherever else the text has them. A given name's gender is the one most texts
-give it by their titles. All distinct entities of the corpus are then compared:
-where two have one replacement, or one is its own, further attempts are drawn until all differ.
+behind a title; its words are then replaced wherever else the text has them. A word is one entity in all texts: whether
+it is a given name or a surname, and a given name's gender, is what most texts say by their titles. All distinct
+entities of the corpus are then compared: where two have one replacement, or one is an original, further attempts are
+drawn until all differ.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from ipaddress import ip_address, ip_network
+from ipaddress import IPv6Address, ip_address, ip_network
 from math import isqrt
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import CACHES, frugal, limit_batches, salted_lookup, text_of, written
@@ -44,6 +45,7 @@ SYLLABLES = {
 }
 ENDINGS = {"latin": ("n ro s do k".split(), "na la ra ne ta".split(), "son ley mann ez er".split()), "cyrillic": ("н р й м".split(), "на ля ра та".split(), "енко ский".split()), "greek": ("ς νος ρης".split(), "να ρα λια".split(), "ίδης όπουλος".split())}
 
+CONTROL_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
 _LOCAL = [ip_network(x) for x in ("0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.168.0.0/16", "224.0.0.0/3")]
 
 _TITLE = "|".join(sorted(map(re.escape, [*MALE, *FEMALE, *NEUTRAL]), key=len, reverse=True))
@@ -55,9 +57,11 @@ _POSSESSIVE = re.compile(r"['’]s?$|-+$")
 _EMAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9_][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])")
 _DIGITS = [
     ("ip", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)")),
-    ("phone", re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w|[.-]\d)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w]|[.-]\d)")),
+    ("phone", re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w|[.-]\d)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w]|[.-]\d)|(?<![\w.+,-])(?<!\d[ ])[6-9]\d{2}(?: \d{3} \d{3}|\.\d{3}\.\d{3}|-\d{3}-\d{3})(?!\w|[ .,-]\d)")),
     ("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
+    ("national", re.compile(r"(?<![\w-])(?:\d{8}|[XYZ]\d{7})[A-HJ-NP-TV-Z](?![\w-])")),
+    ("ip6", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d)")),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?!\w)")),
     ("key", re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)")),
     ("secret", re.compile(r"(?i)(?<!\w)(?:token|secret|api[_-]?key|password|passwd|pwd)\b[\"']?\s*[=:]\s*[\"']?(?P<value>[A-Za-z0-9+/_-]{8,})")),
@@ -87,6 +91,20 @@ def _iban_rest(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def _control_letter(number: str) -> str:
+    """Of a national number of eight digits, or of X, Y or Z and seven."""
+    return CONTROL_LETTERS[int(number.replace("X", "0").replace("Y", "1").replace("Z", "2")) % 23]
+
+
+def _address6(raw: str) -> str | None:
+    """The short form of an IPv6 address that says more than a few digits."""
+    try:
+        value = IPv6Address(raw)
+    except ValueError:
+        return None
+    return str(value) if int(value) > 0xFFFF else None
+
+
 def _two_series(digits: str) -> bool:
     return len(digits) == 16 and 2221 <= int(digits[:4]) <= 2720
 
@@ -104,6 +122,10 @@ def _canon(kind: str, raw: str) -> str | None:
         if kind == "phone":
             return ("+" + re.match(r"\+(\d{1,3})", raw)[1] + "-" if raw[0] == "+" else "") + (digits[len(re.match(r"\+(\d{1,3})", raw)[1]) :] if raw[0] == "+" else digits) if len(digits) >= 8 else None
         return digits
+    if kind == "national":
+        return raw if raw[-1] == _control_letter(raw[:-1]) else None
+    if kind == "ip6":
+        return _address6(raw)
     if kind == "iban":
         packed = raw.replace(" ", "")
         return packed if _iban_rest(packed) == 1 else None
@@ -275,6 +297,16 @@ def surrogate(kind: str, canon: str, key: bytes = DEFAULT_KEY, attempt: int = 0)
             x = x >> bits << bits | permuted(x & (1 << bits) - 1, 1 << bits, key, f"{tweak}{x >> bits}")
             if _host_bits(x) == bits:
                 return str(ip_address(x))
+    if kind == "national":
+        inner = permuted_text(canon[:-1], key, tweak, None) if canon[0].isdigit() else canon[0] + permuted_text(canon[1:-1], key, tweak + canon[0])
+        return inner + extra + _control_letter(inner)
+    if kind == "ip6":
+        value = int(IPv6Address(canon))
+        bits = 64 if value >> 120 in (0xFC, 0xFD, 0xFE) else 112  # a local network, or the first group, stays
+        while True:
+            value = value >> bits << bits | permuted(value & (1 << bits) - 1, 1 << bits, key, f"{tweak}{value >> bits}")
+            if value > 0xFFFF:
+                return str(IPv6Address(value))
     if kind == "iban":
         inner = permuted_text(canon[4:], key, tweak + canon[:2]) + extra
         return f"{canon[:2]}{98 - _iban_rest(canon[:2] + '00' + inner):02d}{inner}"
@@ -303,7 +335,7 @@ def rendered(kind: str, raw: str, canon: str) -> str:
         fill = iter(c for c in canon if c.isalnum())
         out = "".join(next(fill, "") if c.isalnum() else c for c in raw)
         return out + "".join(fill)
-    return canon
+    return canon.upper() if kind == "ip6" and raw.isupper() else canon
 
 
 def replace(text: str, key: bytes = DEFAULT_KEY, special: dict[str, str] | None = None) -> tuple[str, list[tuple[Entity, str]]]:
@@ -344,57 +376,65 @@ def _redrawn(batches: Iterator[pa.RecordBatch], key: bytes, attempt: int) -> Ite
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.string())], names=["kind", "canon", "made"])
 
 
+def _space() -> Column:
+    """What replacements must differ in: all names of a script are one space, whatever their role and gender."""
+    return F.when(F.col("kind").contains(":"), F.concat(F.lit("name:"), F.split("kind", ":")[2])).otherwise(F.col("kind")).alias("space")
+
+
 def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts: int = 64) -> DataFrame:
     """(kind, canon, made) of those ``entities`` (kind, canon, made) that need another replacement than their first.
 
-    Genders of a name share one space of replacements. An entity keeps its replacement if it is not the entity itself
-    and no smaller one of its kind has it, too; the others draw again, against all that are taken, until none is left.
+    An entity keeps its replacement if that is no original of its space and no smaller one of the space has it, too; the
+    others draw again, against all that are taken, until none is left. Where a format has no free string after
+    ``attempts`` draws (a small block of addresses, say), what is left keeps its last draw, which is its own at least.
     """
-    space = F.regexp_replace("kind", ":.:", ":").alias("space")
-    known = _held(entities.groupBy("kind", "canon").agg(F.min("made").alias("made")).withColumn("space", space))
-
-    def settled(drawn: DataFrame, taken: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        first = drawn.groupBy("space", "made").agg(F.min(F.struct("canon", "kind")).alias("owner"), F.count("*").alias("n"))
-        marked = drawn.join(first, ["space", "made"]) if taken is None else drawn.join(first, ["space", "made"]).join(taken.select("space", "made", F.lit(True).alias("gone")), ["space", "made"], "left")
-        fine = (F.col("owner.canon") == F.col("canon")) & (F.col("owner.kind") == F.col("kind")) & (F.col("made") != F.col("canon"))
-        if taken is not None:
-            fine &= F.col("gone").isNull()
+    known = _held(entities.groupBy("kind", "canon").agg(F.min("made").alias("made")).withColumn("space", _space()))
+    taken = known.select("space", F.col("canon").alias("made"))
+
+    def settled(drawn: DataFrame, taken: DataFrame) -> tuple[DataFrame, DataFrame]:
+        first = drawn.groupBy("space", "made").agg(F.min(F.struct("canon", "kind")).alias("owner"))
+        marked = drawn.join(first, ["space", "made"]).join(taken.distinct().withColumn("gone", F.lit(True)), ["space", "made"], "left")
+        fine = (F.col("owner.canon") == F.col("canon")) & (F.col("owner.kind") == F.col("kind")) & F.col("gone").isNull()
         marked = _held(marked.withColumn("fine", fine).select("kind", "canon", "made", "space", "fine"))
         return marked.filter("fine").drop("fine"), marked.filter("not fine").drop("fine")
 
-    # Only replacements drawn twice or equal to their entity are looked at again; the rest stays where it is.
-    twice = known.groupBy("space", "made").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    suspects = _held(known.join(twice, ["space", "made"], "left_semi").unionByName(known.filter("made = canon")).distinct())
-    kept, losers = settled(suspects, None)
-    taken = known.select("space", "made")
-    moved = None
+    # Only replacements drawn twice or equal to an original are looked at again; the rest stays where it is.
+    twice = known.groupBy("space", "made").agg(F.count("*").alias("n")).filter("n > 1").select("space", "made")
+    suspects = _held(known.join(twice.unionByName(taken).distinct(), ["space", "made"], "left_semi"))
+    _, losers = settled(suspects, taken)
+    taken = taken.unionByName(known.select("space", "made"))
+    moved: DataFrame | None = None
     for attempt in range(1, attempts + 1):
         if losers.isEmpty():
             break
-        drawn = losers.select("kind", "canon").mapInArrow(frugal(lambda b, a=attempt: _redrawn(b, key, a)), "kind string, canon string, made string").withColumn("space", space)
-        won, losers = settled(drawn, taken.distinct())
+        drawn = losers.select("kind", "canon").mapInArrow(frugal(lambda b, a=attempt: _redrawn(b, key, a)), "kind string, canon string, made string").withColumn("space", _space())
+        won, losers = settled(drawn, taken)
         moved = won if moved is None else moved.unionByName(won)
         taken = taken.unionByName(won.select("space", "made"))
     else:
-        raise RuntimeError("replacements collide after all attempts")
-    return (moved if moved is not None else kept.limit(0)).select("kind", "canon", "made")
+        left = losers.filter("made <> canon")
+        moved = left if moved is None else moved.unionByName(left)
+    return (moved if moved is not None else losers.limit(0)).select("kind", "canon", "made")
 
 
-def _one_gender(entities: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame | None]:
-    """``entities`` (kind, canon, made) with each given name under one gender, that of most texts; and (kind, canon,
-    resolved, made) of the given names that some text has under another one (None if there are no given names)."""
-    given = F.col("kind").startswith("given:")
-    named = entities.filter(given).groupBy("kind", "canon").agg(F.count("*").alias("texts"))
-    named = _held(named.withColumn("gender", F.split("kind", ":")[1]).withColumn("script", F.split("kind", ":")[2]))
+def _one_kind(entities: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame | None]:
+    """``entities`` (kind, canon, made) with each word of a name under one kind, that of most texts; and (kind, canon,
+    resolved, made) of the words that some text has under another one (None if there are no names)."""
+    of_name = F.col("kind").contains(":")
+    named = entities.filter(of_name).groupBy("kind", "canon").agg(F.count("*").alias("texts"))
+    named = _held(named.select("kind", "canon", "texts", *[F.split("kind", ":")[k].alias(c) for k, c in enumerate(("part", "gender", "script"))]))
     if named.isEmpty():
         return entities, None
-    votes = [F.sum(F.when(F.col("gender") == g, F.col("texts")).otherwise(0)).alias(g) for g in "mf"]
+    votes = [F.sum(F.when((F.col("part") == "given") & (F.col("gender") == g), F.col("texts")).otherwise(0)).alias(g) for g in "mfn"]
+    votes.append(F.sum(F.when(F.col("part") == "surname", F.col("texts")).otherwise(0)).alias("s"))
     gender = F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > 0, "m").otherwise("n")
-    resolved = named.groupBy("script", "canon").agg(*votes).select("script", "canon", F.concat_ws(":", F.lit("given"), gender, "script").alias("kind"))
+    given = F.col("m") + F.col("f") + F.col("n")
+    kind = F.when((given > 0) & (given >= F.col("s")), F.concat_ws(":", F.lit("given"), gender, "script")).otherwise(F.concat_ws(":", F.lit("surname:n"), "script"))
+    resolved = named.groupBy("script", "canon").agg(*votes).select("script", "canon", kind.alias("kind"))
     made = _held(resolved.select("kind", "canon").mapInArrow(frugal(lambda b: _redrawn(b, key, 0)), "kind string, canon string, made string"))
     to = made.select(F.split("kind", ":")[2].alias("script"), "canon", F.col("kind").alias("resolved"), "made")
     changed = named.select("script", "canon", "kind").join(to, ["script", "canon"]).filter("kind <> resolved").select("kind", "canon", "resolved", "made")
-    return entities.filter(~given).unionByName(made), _held(changed)
+    return entities.filter(~of_name).unionByName(made), _held(changed)
 
 
 def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
@@ -404,7 +444,7 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
     gives no rows; texts are searched whole. Columns called n_entities or kinds are replaced.
     """
     entities = written(_entities(docs, key), "detected", narrow=True)
-    resolved, changed = _one_gender(entities.select("kind", "canon", "made"), key)
+    resolved, changed = _one_kind(entities.select("kind", "canon", "made"), key)
     special = _held(collisions_resolved(resolved, key))
     if changed is not None:
         other = special.select(F.col("kind").alias("resolved"), "canon", F.col("made").alias("again"))

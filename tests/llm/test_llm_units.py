@@ -215,6 +215,23 @@ def test_surrogates_keep_type_format_gender_and_script():
     assert new.endswith("v 2.0.1 2023-01-02") and surrogates.replace(text, b"other")[0] != new and surrogates.replace("nothing here 12, 2.0")[1] == []
 
 
+@pytest.mark.parametrize(
+    ("text", "kinds"),
+    [
+        ("llama al 612 345 678 hoy", ["phone"]), ("612.345.678", ["phone"]), ("1 612 345 678", []), ("612 345 678 9", []), ("dni 12345678Z", ["national"]), ("dni 12345678A", []), ("nie X1234567L", ["national"]), ("fe80::1 y 2001:db8::ff00:42:8329", ["ip6", "ip6"]),
+        ("12:30:45 a las ::1 std::vector ::", []), ("FE80::ABCD", ["ip6"]), ("version 600 700 800,5", []),
+    ],
+)
+def test_national_formats(text, kinds):
+    new, done = surrogates.replace(text)
+    assert [e.kind for e, _ in done] == kinds
+    for (e, made) in done:
+        old = text[e.start : e.end]
+        assert made != old and [c.isdigit() for c in made] == [c.isdigit() for c in old] if e.kind in ("phone", "national") else ":" in made
+        assert e.kind != "national" or made[-1] == surrogates._control_letter(made[:-1])
+        assert e.kind != "ip6" or made.isupper() == old.isupper() and (not old.lower().startswith("fe80") or made.lower().startswith("fe80"))
+
+
 def test_best_fill_against_all_subsets():
     from itertools import product
 
