@@ -11,8 +11,9 @@ connected by then needs no further look. For the rest, each query set's overlap
 and the part is opened for it only if the bound reaches the least overlap. No link between two texts that would join two
 components is dropped.
 
-Words are known by keyed 64-bit BLAKE2b digests, shingles by a mix of their words' digests, sets by 128-bit digests of
-their shingles. Two different shingles are taken for one with a chance of 2**-64.
+Words are known by keyed 64-bit multilinear hashes (each byte's value times a random number for its place, modulo 2**64:
+not a polynomial, so no text fits all keys), shingles by a mix of their words' hashes, sets by 128-bit digests of their
+shingles. Two different words or shingles are taken for one with a chance of less than 2**-50.
 """
 
 from __future__ import annotations
@@ -25,20 +26,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHES, frugal, joined, limit_batches, partitions_of, salted_lookup, text_of, written
+from .common import frugal, joined, limit_batches, partitions_of, salted_lookup, text_of, written
 
 #: Sets and tokens in a part of a group, about; queries against a part in one task; tokens of a block of the matrix.
-PART, PART_TOKENS, QUERIES, BLOCK = 256, 1 << 22, 1024, 1 << 19
+PART, PART_TOKENS, QUERIES, BLOCK = 256, 1 << 22, 256, 1 << 19
 #: Sketches of a set, each of two min-hashes; tokens that two sets must share among their first ones (fewer at low thresholds).
 SKETCHES, SHARED = 4, 4
 #: Frequent tokens are counted in blocks of so many tokens, from so many texts of a block on; the most frequent ones, at
 #: most this many, come last in the order. The order changes only the cost, never the result; its size is bounded.
 COUNT_BLOCK, COUNT_LEAST, FREQUENT = 1 << 20, 6, 150_000
-#: Words whose digests a worker keeps, and the longest of them.
-WORDS_KEPT, WORD_BYTES = 100_000, 64
 _UPPER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_KEY = b"lindero-words"
+#: Of the words' hashes.
+KEY = 0x6C696E6465726F
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -47,30 +47,44 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Words(dict):
-    """Digests of words by the words themselves."""
+def _random(n: int, stream: int) -> np.ndarray:
+    """The first ``n`` numbers of a keyed stream; a longer part begins with the shorter one."""
+    return np.random.Philox(key=KEY + stream).random_raw(n)
 
-    def __missing__(self, word: bytes) -> int:
-        digest = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=_KEY).digest(), "little")
-        if len(word) <= WORD_BYTES:
-            if len(self) >= WORDS_KEPT:
-                self.clear()
-            self[word] = digest
-        return digest
 
+_BYTES = _random(256, 0)
+_FACTORS = [_random(1024, 1)]
 
-_WORDS = _Words()
-CACHES["words"] = _WORDS.clear
+
+def _factors(n: int) -> np.ndarray:
+    if len(_FACTORS[0]) < n:
+        _FACTORS[0] = _random(2 * n, 1)
+    return _FACTORS[0]
+
+
+def _word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of each word (run of bytes that are not space or line ends) of ``data``."""
+    codes = np.frombuffer(data, np.uint8)
+    solid = ~((codes == 32) | ((codes >= 9) & (codes <= 13)))
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]])))
+    first, last = edge[::2], edge[1::2]
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    length = last - first
+    place = np.arange(len(codes)) - np.repeat(np.append(0, first), np.diff(np.concatenate([[0], first, [len(codes)]])))
+    factors = _factors(int(length.max()) + 1)
+    terms = _BYTES[codes] * factors[np.minimum(place, len(factors) - 1)]
+    terms[~solid] = 0
+    return _mixed(np.add.reduceat(terms, first) + length.astype(np.uint64) * _M2)
 
 
 def shingles(text: str, size: int) -> np.ndarray:
     """Sorted hashes of the distinct ``size``-word shingles of the text with A-Z lower-cased; with fewer words the whole
     sequence is the only one, without words there is none."""
-    found = text.encode("utf-8", "surrogatepass").translate(_UPPER).split()  # at spaces and line ends, x20 and x09-x0D
-    if not found:
-        return np.zeros(0, np.uint64)
-    words = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
     with np.errstate(over="ignore"):
+        words = _word_hashes(text.encode("utf-8", "surrogatepass").translate(_UPPER))
+        if not len(words):
+            return words
         k = min(size, len(words))
         h = np.full(len(words) - k + 1, np.uint64(k))
         for i in range(k):
