@@ -32,18 +32,16 @@ def query(url: Column) -> Column:
     return _part(url, 4)
 
 
+def joined(scheme: Column, host: Column, path: Column) -> Column:
+    """A URL of its parts; an empty path is a slash."""
+    return F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")), F.when(host != "", F.concat(F.lit("//"), host)).otherwise(F.lit("")), F.when(path == "", F.lit("/")).otherwise(path))
+
+
 def canonical(url: Column) -> Column:
     """Scheme and host in lower case, no slashes at the path's end, no query or fragment; empty for an empty URL."""
 
     def made(raw: Column) -> Column:
-        return let(
-            F.struct(scheme(raw).alias("s"), host(raw).alias("h"), F.regexp_replace(path(raw), "/+$", "").alias("p")),
-            lambda x: F.concat(
-                F.when(x["s"] != "", F.concat(x["s"], F.lit(":"))).otherwise(F.lit("")),
-                F.when(x["h"] != "", F.concat(F.lit("//"), x["h"])).otherwise(F.lit("")),
-                F.when(x["p"] == "", F.lit("/")).otherwise(x["p"]),
-            ),
-        )
+        return let(F.struct(scheme(raw).alias("s"), host(raw).alias("h"), F.regexp_replace(path(raw), "/+$", "").alias("p")), lambda x: joined(x["s"], x["h"], x["p"]))
 
     return let(clean(url), lambda raw: F.when(raw == "", F.lit("")).otherwise(made(raw)))
 

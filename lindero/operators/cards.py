@@ -237,8 +237,7 @@ def candidates(read: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     value = numbers.price(F.col("price_text"), F.col("raw_text"))["value"]
     found = found.withColumn("external_id", own).withColumn("price_value", value)
     none = F.lit(None).cast("string")
-    who = ids.identity(F.col("source_domain"), F.col("candidate_url"), F.col("external_id"), F.col("title_text"), F.col("price_value"), F.col("price_text"), F.col("location_text"), none.cast("double"), F.col("surface_text"))
-    found = found.withColumn("_id", who)
+    found = ids.identified(found, F.col("source_domain"), F.col("candidate_url"), F.col("external_id"), F.col("title_text"), F.col("price_value"), F.col("price_text"), F.col("location_text"), none.cast("double"), F.col("surface_text"))
     return found.select(
         *read.columns[:3],
         "candidate_url",

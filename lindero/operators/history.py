@@ -29,25 +29,20 @@ def normalized(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         return clean(column_or_null(records, name))
 
     value, area = number_or_null(column_or_null(records, "price_value")), number_or_null(column_or_null(records, "surface_sqm"))
-    url = F.coalesce(filled(text("url_final")), text("url_original"))
-    who = ids.identity(text("source_domain"), url, text("external_id"), text("title"), value, text("price_text"), text("location_text"), area, text("surface_text"))
-    return records.withColumn("_id", who).select(
+    words = ("source_domain", "external_id", "title", "price_text", "location_text", "surface_text", "parser_key", "parse_status")
+    made = [text(c).alias(c) for c in words]
+    made += [F.coalesce(filled(text("url_final")), text("url_original")).alias("url_final"), value.alias("price_value"), area.alias("surface_sqm"), whole_or_null(column_or_null(records, "rooms_count")).alias("rooms_count")]
+    cleaned = records.select(*made, "seq", *[c for c in keep if c not in {*words, "url_final", "price_value", "surface_sqm", "rooms_count", "seq"}])
+    c = {n: F.col(n) for n in cleaned.columns}
+    who = ids.identified(cleaned, c["source_domain"], c["url_final"], c["external_id"], c["title"], c["price_value"], c["price_text"], c["location_text"], c["surface_sqm"], c["surface_text"])
+    return who.select(
         "_id.portal",
-        F.coalesce(filled(text("source_domain")), F.lit("unknown-domain")).alias("source_domain"),
+        F.coalesce(filled(F.col("source_domain")), F.lit("unknown-domain")).alias("source_domain"),
         "_id.external_id",
         "_id.canonical_url",
         "_id.dedupe_method",
         "_id.listing_key",
-        text("title").alias("title"),
-        text("price_text").alias("price_text"),
-        value.alias("price_value"),
-        text("location_text").alias("location_text"),
-        area.alias("surface_sqm"),
-        whole_or_null(column_or_null(records, "rooms_count")).alias("rooms_count"),
-        url.alias("url_final"),
-        text("parser_key").alias("parser_key"),
-        text("parse_status").alias("parse_status"),
-        F.col("seq"),
+        *("title", "price_text", "price_value", "location_text", "surface_sqm", "rooms_count", "url_final", "parser_key", "parse_status", "seq"),
         *keep,
     )
 

@@ -82,7 +82,7 @@ def test_identity(spark):
     df = spark.createDataFrame([(i, *k) for i, k in enumerate(ids)], "i int, d string, u string")
     assert [r[0] for r in df.orderBy("i").select(identity.external_id(F.col("d"), F.col("u"))).collect()] == list(ids.values())
     none = F.lit(None).cast("string")
-    key = spark.range(1).select(identity.identity(F.lit(""), F.lit(""), none, F.lit("A"), F.lit(130000.0), none, none, F.lit(None).cast("double"), none)["listing_key"]).first()[0]
+    key = identity.identified(spark.range(1), F.lit(""), F.lit(""), none, F.lit("A"), F.lit(130000.0), none, none, F.lit(None).cast("double"), none).select("_id.listing_key").first()[0]
     import hashlib
 
     assert key == "unknown-domain:fingerprint:" + hashlib.sha256(b"unknown-domain|a|130000.0||").hexdigest()[:16]
