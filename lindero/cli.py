@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import details, planning, viewer
+from .operators import details, older, planning, viewer
 from .operators import history as h
 from .plans import pipeline, publish
 from .sources import config
@@ -36,10 +36,21 @@ def _files(urls: DataFrame) -> DataFrame:
     if not there:
         return urls.select("url", none.alias("html"), none.alias("markdown"))
     plain = F.regexp_replace(F.col("path"), "^file:/*", "/")
-    got = spark.read.format("binaryFile").load(there).select(plain.alias("_path"), F.decode("content", "UTF-8").alias("html"))
+    got = spark.read.format("binaryFile").load(there).select(plain.alias("_path"), t.decoded(F.col("content")).alias("html"))
     return urls.select("url", F.regexp_replace("url", "^file:/*", "/").alias("_path")).join(got, "_path", "left").select("url", "html", none.alias("markdown"))
 
 
+#: Commands that run some of a job's steps on what its run has so far.
+STEPS = {
+    "run-job": ("archive", "index"),
+    "discover-job-run": ("discover",),
+    "harvest-listings": ("listing_pages", "listing_errors", "listing_cards", "harvest"),
+    "archive-discovered": ("archive_discovered",),
+    "parse-discovered": ("parse",),
+    "report-run": ("funnel",),
+}
+
+
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="lindero")
     out.add_argument("--root", default="data")
@@ -62,6 +73,11 @@ def parser() -> argparse.ArgumentParser:
     add("plan-job", "name")
     add("plan-pages", "name")
     add("run-job-full", "name", run_id="run", day="1970-01-01", resume=bool, force="")
+    for name in STEPS:
+        add(name, "name", run_id="run", day="1970-01-01")
+    add("archive", "url", day="1970-01-01")
+    add("list-runs", job=None)
+    add("legacy", "folder", out="legacy", day="1970-01-01")
     add("show-run", "run_id")
     add("list-snapshots", "run_id", domain=None, date=None, status=None)
     add("parse-pages", "glob", domain="unknown-domain")
@@ -100,6 +116,22 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
             done = pipeline.run_job(spark, args.name, jobs, sources, root, args.run_id, args.day, _files, args.resume, tuple(filter(None, args.force.split(","))))
             print(json.dumps({"status": done.status, "steps": done.statuses, "errors": done.errors}, indent=2))
             return 1 if done.status == "failed" else 0
+    elif name in STEPS:
+        jobs, sources = config.load_jobs(spark, args.jobs), config.load_sources(spark, args.sources)
+        config.by_key(jobs, "job_name", args.name)
+        done = pipeline.run_job(spark, args.name, jobs, sources, root, args.run_id, args.day, _files, only=STEPS[name])
+        print(json.dumps({"steps": {s: done.statuses[s] for s in STEPS[name]}, "errors": done.errors}, indent=2))
+        return 1 if done.errors else 0
+    elif name == "archive":
+        one = spark.createDataFrame([(args.url, 0)], "url string, seq int").withColumn("day", F.lit(args.day).cast("date"))
+        _show(pipeline.archived(one, _files), ["snapshot_id", "url", "status", "html_hash"])
+    elif name == "list-runs":
+        found = spark.read.schema("pipeline_run_id string, job_name string, status string").option("multiLine", True).option("pathGlobFilter", "manifest.json").option("recursiveFileLookup", True).json(root) if t.exists(spark, root) else t.empty(spark, "pipeline_run_id string, job_name string, status string")
+        _show(config.matching(found, job_name=args.job).orderBy("pipeline_run_id"))
+    elif name == "legacy":
+        saved = older.drops(spark, args.folder)
+        cards = older.list_cards(saved.select(F.col("place").alias("page_id"), "html", F.lit("N/D").alias("operation")), "https://www.inmoercilla.com", "Inmoercilla")
+        print(json.dumps(older.run([("Inmoercilla", cards.withColumn("seq", F.struct("page_id", "place")))], f"{root}/{args.out}", args.day), ensure_ascii=False))
     elif name == "show-run":
         path = f"{root}/{args.run_id}/manifest.json"
         if not t.exists(spark, path):

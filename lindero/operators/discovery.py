@@ -47,5 +47,10 @@ def slug(url, hint=None):
     return F.coalesce(filled(made), F.substring(F.sha2(F.trim(url), 256), 1, 16))
 
 
+def indexed(archived):
+    """What the index of snapshots takes up: pages that were read at least in part, without their texts."""
+    return archived.filter(F.col("status").isin("ok", "partial")).drop("html", "markdown")
+
+
 def archive_status(has_html, has_markdown):
     return F.when(has_html & has_markdown, F.lit("ok")).when(has_html | has_markdown, F.lit("partial")).otherwise(F.lit("error"))

@@ -21,14 +21,15 @@ STATE_PATTERNS = (r"(?s)__INITIAL_STATE__\s*=\s*(\{.*?\})\s*;", r"(?s)window\.ap
 LINKED_SITES = ("idealista.com", "indomio.es", "indomio.it", "indomio.com")
 
 
-def normalized(items: DataFrame, source: Column, day: Column) -> DataFrame:
-    """The eight columns with defaults where they are null or empty."""
+def normalized(items: DataFrame, source: Column, day: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The eight columns with defaults where they are null or empty, and ``keep``."""
+
     def text(name: str, default: Column) -> Column:
         own = filled(F.col(name).cast("string")) if name in items.columns else F.lit(None).cast("string")
         return F.coalesce(own, default).alias(name)
 
     blank = F.lit("")
-    return items.select(text("link", blank), text("localidad", blank), text("m2", blank), text("precio", blank), text("operacion", F.lit("N/D")), text("detalles", blank), text("fuente", source), text("fecha", day))
+    return items.select(text("link", blank), text("localidad", blank), text("m2", blank), text("precio", blank), text("operacion", F.lit("N/D")), text("detalles", blank), text("fuente", source), text("fecha", day), *keep)
 
 
 def first_links(sources: list[DataFrame], seq: str) -> DataFrame:
@@ -46,8 +47,8 @@ def is_rent(operation: Column) -> Column:
 
 
 def is_sale(operation: Column) -> Column:
-    low = F.lower(F.coalesce(operation, F.lit("")))
-    return F.contains(low, F.lit("venta")) | (low == "n/d") | (low == "")
+    """For sale, and whatever is not for rent."""
+    return F.contains(F.lower(F.coalesce(operation, F.lit(""))), F.lit("venta")) | ~is_rent(operation)
 
 
 def counts_by_source(items: DataFrame) -> DataFrame:

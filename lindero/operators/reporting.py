@@ -17,6 +17,16 @@ def status_counts(status: Column) -> list[Column]:
     return [F.count_if(status == "ok").alias("ok"), F.count_if(status == "partial").alias("partial"), F.count_if(~F.coalesce(status.isin("ok", "partial"), F.lit(False))).alias("error")]
 
 
+def detail_count(kind: str = "page_kind") -> Column:
+    return F.count_if(F.col(kind) == "detail")
+
+
+def page_errors(pages: DataFrame) -> DataFrame:
+    """(source_domain, listing_page_url, error) of the listing pages that are not read, as their status is not ok or partial."""
+    unread = pages.filter(~F.coalesce(F.col("status").isin("ok", "partial"), F.lit(False)))
+    return unread.select("source_domain", F.col("url").alias("listing_page_url"), F.concat(F.lit("listing_snapshot_status_"), F.coalesce(F.nullif("status", F.lit("")), F.lit("unknown"))).alias("error"))
+
+
 def reason_map(rows: DataFrame, by: str, reason: str) -> DataFrame:
     """(by, rejection_reasons map<string,long>)."""
     counted = rows.filter(F.col(reason).isNotNull()).groupBy(by, reason).agg(F.count("*").alias("n"))

@@ -17,7 +17,7 @@ from ..operators.ordered import latest_equal_before
 from ..sources import tables as t
 
 Fetch = Callable[[DataFrame], DataFrame]
-STEPS = ("archive", "discover", "listing_pages", "listing_cards", "harvest", "archive_discovered", "parse", "funnel")
+STEPS = ("archive", "index", "discover", "listing_pages", "listing_errors", "listing_cards", "harvest", "archive_discovered", "parse", "funnel")
 
 
 def archived(urls: DataFrame, fetch: Fetch) -> DataFrame:
@@ -40,8 +40,9 @@ def overall(statuses: dict[str, str], archive_errors: int) -> str:
     return "partial" if archive_errors else "completed"
 
 
-def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame, root: str, run_id: str, day: str, fetch: Fetch, resume: bool = False, force: tuple[str, ...] = ()) -> Run:
-    """All steps of a job's run below ``root/run_id``. A step that fails is noted and those that need it are skipped."""
+def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame, root: str, run_id: str, day: str, fetch: Fetch, resume: bool = False, force: tuple[str, ...] = (), only: tuple[str, ...] = ()) -> Run:
+    """All steps of a job's run below ``root/run_id``, or ``only`` some of them on what is there. A step that fails is noted
+    and those that need it are skipped."""
     base = f"{root}/{run_id}"
     statuses: dict[str, str] = {}
     errors: list[dict[str, str]] = []
@@ -50,7 +51,9 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
         return spark.read.parquet(f"{base}/{step}")
 
     def step(name: str, needs: tuple[str, ...], make: Callable[[], DataFrame]) -> None:
-        if any(statuses[n] == "failed" or (statuses[n] == "skipped" and not t.exists(spark, f"{base}/{n}")) for n in needs):
+        if only and name not in only:
+            statuses[name] = "skipped"
+        elif any(statuses[n] == "failed" or (statuses[n] == "skipped" and not t.exists(spark, f"{base}/{n}")) for n in needs):
             statuses[name] = "skipped"
         elif resume and name not in force and t.exists(spark, f"{base}/{name}/_SUCCESS"):
             statuses[name] = "skipped"
@@ -112,8 +115,10 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
         return reporting.funnel(reporting.harvested(table("listing_pages"), table("listing_cards"), table("harvest")), gone, read.filter("read_error is null"), faults)
 
     step("archive", (), seeds)
+    step("index", ("archive",), lambda: discovery.indexed(table("archive")))
     step("discover", ("archive",), links)
     step("listing_pages", (), listing_pages)
+    step("listing_errors", ("listing_pages",), lambda: reporting.page_errors(table("listing_pages")))
     step("listing_cards", ("listing_pages",), listing_cards)
     step("harvest", ("listing_cards",), found)
     step("archive_discovered", ("archive", "discover", "harvest"), listings)
@@ -125,5 +130,6 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
     reasons = {}
     if t.exists(spark, f"{base}/listing_cards/_SUCCESS"):
         reasons = {r["source_domain"]: r["rejection_reasons"] for r in reporting.reason_map(table("listing_cards"), "source_domain", "rejection_reason").toLocalIterator()}
-    t.write_document(spark, f"{base}/manifest.json", {"pipeline_run_id": run_id, "job_name": job, "status": status, "step_statuses": statuses, "page_statuses": pages, "rejection_reasons": reasons, "errors_summary": errors})
+    details_found = table("parse").agg(reporting.detail_count().alias("n")).first()["n"] if t.exists(spark, f"{base}/parse/_SUCCESS") else 0
+    t.write_document(spark, f"{base}/manifest.json", {"pipeline_run_id": run_id, "job_name": job, "status": status, "step_statuses": statuses, "page_statuses": pages, "detail_count": details_found, "rejection_reasons": reasons, "errors_summary": errors})
     return Run(statuses, status, errors)

@@ -7,7 +7,7 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,10 +66,15 @@ def read_export(spark: SparkSession, csv: str | None, jsonl: str | None, columns
     raise FileNotFoundError(f"neither {csv} nor {jsonl} is there")
 
 
+def decoded(content: Column) -> Column:
+    """Bytes as text; what is no UTF-8 is replaced."""
+    return F.make_valid_utf8(content.cast("string"))
+
+
 def read_pages(spark: SparkSession, glob: str) -> DataFrame:
     """(path, html) of whole files, sorted by nothing: order them by path where order matters. Bytes that are no UTF-8
     are replaced."""
-    return spark.read.format("binaryFile").load(glob).select("path", F.decode("content", "UTF-8").alias("html"))
+    return spark.read.format("binaryFile").load(glob).select("path", decoded(F.col("content")).alias("html"))
 
 
 def _pointers(spark: SparkSession, root: str) -> list[tuple[int, str]]:
@@ -80,6 +85,53 @@ def _pointers(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     return sorted((int(m[1]), m[2]) for n in names if (m := re.fullmatch(r"CURRENT-(\d+)-(v-[0-9a-f]+)", n)))
 
 
+def read_published(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """A published CSV with the types of ``schema``; whatever is wrong with it, an empty table of them."""
+    kind = schema_of(schema)
+    try:
+        df = spark.read.schema(kind).option("header", True).option("enforceSchema", False).option("multiLine", True).option("escape", '"').csv(path)
+        df.limit(1).collect()
+        return df
+    except Exception:  # not there, another header, not readable
+        return empty(spark, kind)
+
+
+def read_snapshots(spark: SparkSession, root: str, meta: str) -> DataFrame:
+    """Snapshots below ``root``: the columns ``meta`` of each ``meta.json``, its folder, and the html and markdown that its
+    ``files`` name (null where they are not there). Bytes that are no UTF-8 are replaced."""
+    kind = T.StructType([*schema_of(meta).fields, *schema_of("files struct<page_html: string, page_md: string>").fields])
+    told = spark.read.option("recursiveFileLookup", True).schema(kind).option("multiLine", True).option("pathGlobFilter", "meta.json").json(root)
+    told = told.select("*", F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("snapshot_path"))
+
+    def plain(c: Column) -> Column:
+        return F.regexp_replace(c, "^file:/*", "/")
+
+    def texts(glob: str, name: str) -> DataFrame:
+        files = spark.read.option("recursiveFileLookup", True).format("binaryFile").option("pathGlobFilter", glob).load(root)
+        return files.select(plain(F.col("path")).alias(f"_{name}"), decoded(F.col("content")).alias(name))
+
+    out = told.withColumn("_html", plain(F.col("files.page_html"))).withColumn("_markdown", plain(F.col("files.page_md")))
+    return out.join(texts("*.html", "html"), "_html", "left").join(texts("*.md", "markdown"), "_markdown", "left").drop("_html", "_markdown")
+
+
+def latest_modified(spark: SparkSession, glob: str) -> str | None:
+    """The path that was changed last (the later name of equals), or none."""
+    found = file_system(spark, glob).globStatus(_path(spark, glob)) or []
+    return max(((s.getModificationTime(), s.getPath().toString()) for s in found), default=(0, None))[1]
+
+
+def listed_paths(documents: DataFrame, column: str = "archived_snapshot_paths") -> DataFrame:
+    """(place, path): the paths that documents list, without empty ones."""
+    return documents.select(F.posexplode(column).alias("place", "path")).filter(F.coalesce(F.trim("path"), F.lit("")) != "")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A page or a table kept for a look, written by the driver."""
+    out = file_system(spark, path).create(_path(spark, path), True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def read_versioned(spark: SparkSession, root: str, schema: str | T.StructType) -> DataFrame:
     """The current version of a table of :func:`write_versioned`; empty if there is none."""
     found = _pointers(spark, root)
