@@ -535,11 +535,22 @@ def legacy_first_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- what SQL has no form for ---------------------------------------------------------------------------------------
 
 
-@query()
+#: How the links of the pages' cards begin instead of with a slash: two kinds of listings, one rejected, one of none.
+CARD_STARTS = ("/inmueble/7/", "/venta/7/", "/", "/nave-10000/")
+
+
+@query(f"""WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<li><a href="/([^"]*)">', 1)) AS word, generate_subscripts(regexp_extract_all(html, '<li><a href="/([^"]*)">', 1), 1) AS card_position FROM pages),
+    u AS (SELECT *, lower(regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1)) || ({_sql_list(CARD_STARTS)})[page_id % 4 + 1] || word AS full_url, page_id % 4 IN (0, 3) AS accepted FROM l)
+    SELECT page_id, CAST(card_position AS INTEGER) AS card_position, CASE page_id % 4 WHEN 1 THEN 'rejected_by_url_rules' WHEN 2 THEN 'non_detail_url' END AS rejection_reason, CASE WHEN accepted THEN full_url END AS candidate_url,
+    CASE WHEN accepted THEN 'Nave industrial ' || word END AS title_text, CASE WHEN accepted THEN (page_id % 90 + 10) || '.000 €' END AS price_text, CASE WHEN accepted THEN '40 m2' END AS surface_text FROM u""")
 def dom_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages").select("page_id", F.lit("yaencontre.com").alias("source_domain"), F.col("url").alias("base_url"), "html")
-    read = cards.cards(p)
-    return read.groupBy("page_id").agg(F.count("*").alias("cards"), F.count_if(F.col("rejection_reason").isNull()).alias("accepted"))
+    """The list items of the pages as cards with a price and a surface."""
+    page = F.col("page_id")
+    start = F.element_at(F.array(*map(F.lit, CARD_STARTS)), (page % 4 + 1).cast("int"))
+    made = F.concat(F.lit('<li><a href="'), start, F.lit('$1">Nave industrial $2</a> <span class="price">'), page % 90 + 10, F.lit(".000 €</span> 40 m2</li>"))
+    html = F.regexp_replace("html", F.lit('<li><a href="/([^"]*)">([^<]*)</a></li>'), made)
+    p = table(spark, sf_dir, "pages").select("page_id", F.lit("yaencontre.com").alias("source_domain"), F.col("url").alias("base_url"), html.alias("html"))
+    return cards.cards(p).select("page_id", "card_position", "rejection_reason", "candidate_url", "title_text", "price_text", "surface_text")
 
 
 @query()
