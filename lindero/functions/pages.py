@@ -48,7 +48,18 @@ def found(pattern: str, text: Column) -> Column:
     return compact(F.regexp_substr(text, F.lit(pattern)))
 
 
-def _has_any(text: Column, tokens: list[str]) -> Column:
+# Parts of URLs and titles that say what a page is, by parser (fixed values).
+GENERIC_LISTING = ("/buscar", "/alquiler", "/venta", "resultados", "/naves", "/inmobiliaria", "/agencia", "clientid=")
+GENERIC_DETAIL = ("/inmueble/", "/ficha", "/detalle", "id-", "/d?")
+PISOS_LISTING_PATH = r"/alquiler/|/venta/|/buscar/|/resultados/"
+PISOS_DETAIL_PATH = r"/alquilar/[^/]+-\d+(?:_\d+)?/?$"
+PISOS_DETAIL = ("/inmueble/", "/ficha", "/detalle")
+PISOS_LISTING = ("/alquiler", "/venta", "/buscar", "resultados")
+FOTOCASA_LISTING = ("/inmobiliaria", "/agencia", "/perfil", "clientid=", "/todas-las-zonas/l")
+FOTOCASA_DETAIL = ("/d?", "/d", "/inmueble/", "/detalle", "/ficha")
+
+
+def _has_any(text: Column, tokens: tuple[str, ...]) -> Column:
     return F.exists(F.array(*map(F.lit, tokens)), lambda t: F.contains(text, t))
 
 
@@ -57,8 +68,8 @@ def generic_kind(url: Column, links: Column, has_price: Column, has_surface: Col
     htm = low.rlike(r"\.htm(?:\?|$)")
     all3 = has_price & has_surface & has_rooms
     return (
-        F.when(_has_any(low, ["/buscar", "/alquiler", "/venta", "resultados", "/naves", "/inmobiliaria", "/agencia", "clientid="]) & (links >= 5), F.lit("listing"))
-        .when(_has_any(low, ["/inmueble/", "/ficha", "/detalle", "id-", "/d?"]), F.lit("detail"))
+        F.when(_has_any(low, GENERIC_LISTING) & (links >= 5), F.lit("listing"))
+        .when(_has_any(low, GENERIC_DETAIL), F.lit("detail"))
         .when(htm & has_price & has_surface, F.lit("detail"))
         .when(all3 & (links <= 12), F.lit("detail"))
         .when(F.contains(F.lower(F.coalesce(title, F.lit(""))), F.lit("nave")) & all3, F.lit("detail"))
@@ -71,10 +82,10 @@ def pisos_kind(url: Column, links: Column, has_price: Column, has_surface: Colum
     low = F.lower(F.coalesce(url, F.lit("")))
     p = urls.path(low)
     return (
-        F.when(p.rlike("/alquiler/|/venta/|/buscar/|/resultados/"), F.lit("listing"))
-        .when(p.rlike(r"/alquilar/[^/]+-\d+(?:_\d+)?/?$") | _has_any(low, ["/inmueble/", "/ficha", "/detalle"]), F.lit("detail"))
+        F.when(p.rlike(PISOS_LISTING_PATH), F.lit("listing"))
+        .when(p.rlike(PISOS_DETAIL_PATH) | _has_any(low, PISOS_DETAIL), F.lit("detail"))
         .when(has_price & (has_surface | has_description) & ((links <= 60) | F.contains(F.lower(F.coalesce(title, F.lit(""))), F.lit("en alquiler"))), F.lit("detail"))
-        .when(_has_any(low, ["/alquiler", "/venta", "/buscar", "resultados"]) & (links >= 8), F.lit("listing"))
+        .when(_has_any(low, PISOS_LISTING) & (links >= 8), F.lit("listing"))
         .otherwise(F.lit("unknown"))
     )
 
@@ -82,8 +93,8 @@ def pisos_kind(url: Column, links: Column, has_price: Column, has_surface: Colum
 def fotocasa_kind(url: Column, links: Column, has_price: Column, has_surface: Column, has_rooms: Column) -> Column:
     low = F.lower(F.coalesce(url, F.lit("")))
     return (
-        F.when(_has_any(low, ["/inmobiliaria", "/agencia", "/perfil", "clientid=", "/todas-las-zonas/l"]), F.lit("listing"))
-        .when(_has_any(low, ["/d?", "/d", "/inmueble/", "/detalle", "/ficha"]), F.lit("detail"))
+        F.when(_has_any(low, FOTOCASA_LISTING), F.lit("listing"))
+        .when(_has_any(low, FOTOCASA_DETAIL), F.lit("detail"))
         .when(has_price & has_surface & has_rooms & (links <= 10), F.lit("detail"))
         .when(links >= 15, F.lit("listing"))
         .otherwise(F.lit("unknown"))

@@ -40,6 +40,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _sql_list(values: tuple[str, ...]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
 # --- stand-ins for listings -----------------------------------------------------------------------------------------
 
 DOMAINS = ("fotocasa.es", "idealista.com", "milanuncios.com", "pisos.com", "yaencontre.com", "naves.example")
@@ -180,10 +184,6 @@ LINK_STARTS = ("/", "/inmueble/", "/es/d/", "/ficha/x?from=a&k=", "/agencia/inmu
 PARSER_KEYS = (*portals.LINK_RULES, "other")
 
 
-def _sql_list(values: tuple[str, ...]) -> str:
-    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
-
-
 def _sql_rules() -> str:
     rules = {k: f"NOT regexp_matches(lower(url), '{portals.any_of(no)}') AND regexp_matches(lower(url), '{portals.any_of(yes)}')" for k, (yes, no) in portals.LINK_RULES.items()}
     return "CASE parser_key " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in rules.items()) + f" ELSE {rules['generic']} END"
@@ -280,6 +280,41 @@ def kind_status_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", "page_kind", pages.generic_status(F.col("page_kind"), fields, has[0]).alias("parse_status"), score.alias("confidence"))
 
 
+CASCADE_URLS = ("/alquiler/nave", "/alquilar/nave-123_4/", "/inmueble/9", "/otra", "/a/todas-las-zonas/l", "/detalle/1", "/venta-x", "/perfil?d=1", "/resultados.htm", "/buscar/z", "/q?clientid=4")
+_SQL_MADE = f"""m AS (SELECT event_id, 'https://x.es' || ({_sql_list(CASCADE_URLS)})[event_id % 11 + 1] AS low, event_id % 70 AS links, event_id % 2 = 0 AS hp, event_id % 3 <> 0 AS hs, event_id % 5 < 2 AS hr, event_id % 7 < 4 AS hd, event_id % 17 < 8 AS place,
+    CASE event_id % 4 WHEN 0 THEN 'Nave EN alquiler' WHEN 1 THEN '' ELSE 'Nave' END AS title, event_id % 13 = 0 AS no_page, event_id % 6 AS f FROM events)"""
+
+
+def _made(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a parser found on made-up pages of all kinds."""
+    n = F.col("event_id")
+    url = F.concat(F.lit("https://X.es"), F.element_at(F.array(*map(F.lit, CASCADE_URLS)), (n % 11 + 1).cast("int")))
+    title = F.when(n % 4 == 0, "Nave EN alquiler").when(n % 4 != 1, "Nave")
+    return table(spark, sf_dir, "events").select("event_id", url.alias("url"), (n % 70).alias("links"), (n % 2 == 0).alias("hp"), (n % 3 != 0).alias("hs"), (n % 5 < 2).alias("hr"), (n % 7 < 4).alias("hd"), (n % 17 < 8).alias("place"), title.alias("title"), (n % 13 == 0).alias("no_page"), (n % 6).alias("f"))
+
+
+@query(f"""WITH {_SQL_MADE}, p AS (SELECT *, regexp_extract(low, '^https://[^/?#]*([^?#]*)', 1) AS path FROM m)
+    SELECT event_id, CASE WHEN regexp_matches(path, '/alquiler/|/venta/|/buscar/|/resultados/') THEN 'listing' WHEN regexp_matches(path, '/alquilar/[^/]+-\\d+(?:_\\d+)?/?$') OR regexp_matches(low, '/inmueble/|/ficha|/detalle') THEN 'detail'
+    WHEN hp AND (hs OR hd) AND (links <= 60 OR contains(lower(title), 'en alquiler')) THEN 'detail' WHEN regexp_matches(low, '/alquiler|/venta|/buscar|resultados') AND links >= 8 THEN 'listing' ELSE 'unknown' END AS page_kind,
+    CASE WHEN f >= 4 THEN 'ok' WHEN f >= 2 THEN 'partial' ELSE 'error' END AS parse_status, round(greatest(0.2, least(0.98, 0.35 + f * 0.1)) + 0.0000001, 2)::DOUBLE AS confidence FROM p""")
+def pisos_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _made(spark, sf_dir)
+    kind = pages.pisos_kind(F.col("url"), F.col("links"), F.col("hp"), F.col("hs"), F.col("hd"), F.col("title"))
+    return m.select("event_id", kind.alias("page_kind"), pages.pisos_status(F.col("f")).alias("parse_status"), pages.pisos_confidence(F.col("f")).alias("confidence"))
+
+
+@query(f"""WITH {_SQL_MADE}, k AS (SELECT *, CASE WHEN regexp_matches(low, '/inmobiliaria|/agencia|/perfil|clientid=|/todas-las-zonas/l') THEN 'listing' WHEN regexp_matches(low, '/d|/inmueble/|/ficha') THEN 'detail' WHEN hp AND hs AND hr AND links <= 10 THEN 'detail'
+    WHEN links >= 15 THEN 'listing' ELSE 'unknown' END AS page_kind FROM m), s AS (SELECT *, CASE WHEN no_page THEN 'error' WHEN page_kind <> 'detail' THEN CASE WHEN f >= 3 THEN 'partial' ELSE 'error' END WHEN hp AND (hs OR hr) AND place AND f >= 4 THEN 'ok'
+    WHEN (hp AND (hs OR hr) AND (place OR hd)) OR f >= 2 THEN 'partial' ELSE 'error' END AS parse_status, 0.2 + 0.2 * (page_kind = 'detail')::INT + 0.2 * hp::INT + 0.12 * hs::INT + 0.08 * hr::INT + 0.15 * place::INT + CASE WHEN hd THEN 0.1 ELSE -0.08 END AS score FROM k)
+    SELECT event_id, page_kind, parse_status, round(greatest(0.1, least(0.98, CASE parse_status WHEN 'partial' THEN least(score, 0.79) WHEN 'error' THEN least(score, 0.49) ELSE score END)) + 0.0000001, 2)::DOUBLE AS confidence FROM s""")
+def fotocasa_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _made(spark, sf_dir)
+    hp, hs, hr, hd, place = (F.col(c) for c in ("hp", "hs", "hr", "hd", "place"))
+    m = m.withColumn("page_kind", pages.fotocasa_kind(F.col("url"), F.col("links"), hp, hs, hr))
+    m = m.withColumn("parse_status", pages.fotocasa_status(F.col("page_kind"), F.col("f"), F.col("no_page"), hp, hs | hr, place, hd))
+    return m.select("event_id", "page_kind", "parse_status", pages.fotocasa_confidence(F.col("page_kind"), F.col("parse_status"), hp, hs, hr, place, hd).alias("confidence"))
+
+
 @query(r"SELECT page_id, regexp_matches(lower(html), 'pardon our interruption|geetest|captcha|access denied|noindex, nofollow') AS blocked FROM pages")
 def blocked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", portals.is_blocked(F.col("html"), F.lit("milanuncios.com")).alias("blocked"))
