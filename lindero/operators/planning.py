@@ -42,8 +42,3 @@ def page_plan(sources: DataFrame) -> DataFrame:
     each = sources.select("*", F.posexplode("listing_start_urls").alias("start_ordinal", "listing_start_url")).filter(filled(F.col("listing_start_url")).isNotNull())
     planned = each.select("*", F.explode(pages_of(F.col("listing_start_url"), first, count, F.col("listing_page_param"), F.col("listing_page_url_template"), F.col("listing_first_page_uses_start_url"))).alias("_p"))
     return planned.select("domain", "parser_key", "start_ordinal", "listing_start_url", F.col("_p.page_number").alias("page_number"), F.col("_p.page.url").alias("listing_page_url"), F.col("_p.page.strategy").alias("pagination_strategy"))
-
-
-def overlaid(value: Column, default: Column) -> Column:
-    """A configured value where it is not empty, else the portal's own."""
-    return F.coalesce(filled(F.trim(value)), default)

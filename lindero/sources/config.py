@@ -16,11 +16,19 @@ SOURCE_DEFAULTS = {"timeout_seconds": 20.0, "archiver_enabled": True, "harvest_e
 
 
 def with_defaults(sources: DataFrame) -> DataFrame:
-    return sources.na.fill({k: v for k, v in SOURCE_DEFAULTS.items() if k in sources.columns})
-
-
-def validated(df: DataFrame, required: tuple[str, ...]) -> DataFrame:
-    """``df``; ValueError if a required key is missing in any document (there are few of them)."""
+    """``sources`` with the defaults of what their documents leave out; listing pages start where the source does."""
+    out = sources.na.fill({k: v for k, v in SOURCE_DEFAULTS.items() if k in sources.columns})
+    if {"start_urls", "listing_start_urls"} <= set(out.columns):
+        out = out.withColumn("listing_start_urls", F.coalesce("listing_start_urls", "start_urls"))
+    return out
+
+
+def validated(df: DataFrame, required: tuple[str, ...], filled_lists: tuple[str, ...] = ()) -> DataFrame:
+    """``df``; ValueError if a required key is missing in any document, or a list that is there is empty (documents are few)."""
+    empty = F.filter(F.array(*[F.when(F.size(k) == 0, F.lit(k)) for k in filled_lists]), lambda k: k.isNotNull()) if filled_lists else F.array().cast("array<string>")
+    hollow = df.select(empty.alias("_empty")).filter(F.size("_empty") > 0).take(1)
+    if hollow:
+        raise ValueError(f"{', '.join(hollow[0][0])} must not be an empty list")
     missing = F.filter(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in required]), lambda k: k.isNotNull())
     bad = df.withColumn("_missing", missing).filter(F.size("_missing") > 0).select("_missing").take(1)
     if bad:
@@ -29,11 +37,11 @@ def validated(df: DataFrame, required: tuple[str, ...]) -> DataFrame:
 
 
 def load_sources(spark: SparkSession, path: str) -> DataFrame:
-    return validated(with_defaults(read_json(spark, path, SOURCE_DDL)), SOURCE_REQUIRED).orderBy("domain")
+    return validated(with_defaults(read_json(spark, path, SOURCE_DDL)), SOURCE_REQUIRED, ("start_urls", "listing_start_urls")).orderBy("domain")
 
 
 def load_jobs(spark: SparkSession, path: str) -> DataFrame:
-    return validated(read_json(spark, path, JOB_DDL), JOB_REQUIRED).orderBy("job_name")
+    return validated(read_json(spark, path, JOB_DDL), JOB_REQUIRED, ("sources",)).orderBy("job_name")
 
 
 def by_key(df: DataFrame, key: str, value: str) -> dict:

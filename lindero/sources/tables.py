@@ -47,6 +47,13 @@ def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType,
     return lines.select(F.from_json("line", schema_of(schema)).alias("o")).select("o.*")
 
 
+def read_keyed_lines(spark: SparkSession, path: str, schema: str | T.StructType, key: str) -> DataFrame:
+    """Objects of JSON lines by ``key``: of those with one key the last line counts, those without any go."""
+    rows = read_json_lines(spark, path, schema).filter(F.trim(F.coalesce(F.col(key).cast("string"), F.lit(""))) != "")
+    numbered = rows.withColumn("_line", F.monotonically_increasing_id())  # grows in the order of files and lines
+    return numbered.groupBy(key).agg(F.max_by(F.struct(*rows.columns), "_line").alias("_row")).select("_row.*")
+
+
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """One object per file, over as many lines as it has."""
     return spark.read.schema(schema_of(schema)).option("multiLine", True).json(path)

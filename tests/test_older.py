@@ -120,6 +120,28 @@ def test_snapshots_and_other_readers(spark, tmp_path):
     assert (tmp_path / "x.html").read_text() == "<p>ñ</p>"
 
 
+def test_documents_defaults_and_faults(spark, tmp_path):
+    from lindero.sources import config
+
+    document = {"domain": "d", "enabled": True, "mode": "m", "start_urls": ["u"], "rate_limit_seconds": 1.0, "login_allowed": False, "parser_key": "generic"}
+    (tmp_path / "s.json").write_text(json.dumps(document))
+    row = config.load_sources(spark, f"file://{tmp_path}/s.json").first()
+    assert (row["listing_start_urls"], row["max_listing_pages"], row["harvest_enabled"], row["timeout_seconds"]) == (["u"], 1, False, 20.0)
+    for fault in ({"start_urls": []}, {"listing_start_urls": []}, {"mode": None}):
+        (tmp_path / "s.json").write_text(json.dumps(document | fault))
+        with pytest.raises(ValueError):
+            config.load_sources(spark, f"file://{tmp_path}/s.json")
+    (tmp_path / "j.json").write_text(json.dumps({"job_name": "j", "sources": []}))
+    with pytest.raises(ValueError):
+        config.load_jobs(spark, f"file://{tmp_path}/j.json")
+
+
+def test_the_last_line_of_a_key_counts(spark, tmp_path):
+    path = tmp_path / "h.jsonl"
+    path.write_text("".join(json.dumps({"listing_key": k, "n": i}) + "\n" for i, k in enumerate(["a", "b", "", "a", None, "c", "b"])))
+    assert sorted(tuple(r) for r in t.read_keyed_lines(spark, f"file://{path}", "listing_key string, n int", "listing_key").collect()) == [("a", 3), ("b", 6), ("c", 5)]
+
+
 def test_page_errors_index_and_counts(spark):
     p = spark.createDataFrame([("a", "u1", "ok", "h", "m"), ("a", "u2", "error", None, None), ("b", "u3", None, None, None)], "source_domain string, url string, status string, html string, markdown string")
     assert sorted((r["listing_page_url"], r["error"]) for r in reporting.page_errors(p).collect()) == [("u2", "listing_snapshot_status_error"), ("u3", "listing_snapshot_status_unknown")]
