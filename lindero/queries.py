@@ -588,9 +588,46 @@ def dom_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cards.cards(p).select("page_id", "card_position", "rejection_reason", "candidate_url", "title_text", "price_text", "surface_text")
 
 
-@query()
+DETAIL_DOMAINS = ("pisos.com", "fotocasa.es", "otro.es")
+DETAIL_TEXT = "Una nave industrial muy amplia con oficinas y muelle de carga en el polígono"
+_SQL_DETAIL = f"""n AS (SELECT page_id AS n, page_id % 3 AS d, page_id % 25 AS links, page_id % 2 = 0 AS hp, page_id % 5 < 3 AS hs, page_id % 7 < 4 AS hr, page_id % 9 < 5 AS place, page_id % 4 < 3 AS hd, page_id % 13 = 0 AS no_page FROM pages),
+    t AS (SELECT *, 'https://www.x.es' || ({_sql_list(CASCADE_URLS)})[n % 11 + 1] AS low, CASE WHEN hp THEN (100 + n) || '.000 €' END AS price, CASE WHEN hs THEN (50 + n % 50) || ' m2' END AS area, CASE WHEN hr THEN (1 + n % 8) || ' habitaciones' END AS rooms FROM n),
+    h AS (SELECT *, '<html><body>' || array_to_string(list_transform(range(1, links + 1), lambda i: '<a href="/a' || i || '"></a>'), '') || '<h1>Nave ' || n || '</h1>' || coalesce('<span class="price">' || price || '</span>', '') || '<ul class="features">' || coalesce('<li>' || area || '</li>', '') || coalesce('<li>' || rooms || '</li>', '')
+        || '</ul>' || CASE WHEN place THEN '<div class="location">Bilbao</div>' ELSE '' END || CASE WHEN hd THEN '<div class="description">{DETAIL_TEXT}</div>' ELSE '' END || '</body></html>' AS html FROM t),
+    f AS (SELECT n, d, low, html, no_page, links * (NOT no_page)::INT AS links, hp AND NOT no_page AS hp, hs AND NOT no_page AS hs, hr AND NOT no_page AS hr, place AND NOT no_page AS place, hd, price, area, rooms FROM h),
+    k AS (SELECT *, CASE WHEN no_page THEN 0 ELSE 2 + hp::INT + hs::INT + hr::INT + place::INT END AS fields, CASE
+        WHEN d = 0 THEN CASE WHEN regexp_matches(low, '^https://[^/]+[^?]*(?:/alquiler/|/venta/|/buscar/|/resultados/)') THEN 'listing' WHEN regexp_matches(low, '/alquilar/[^/]+-[0-9]+(?:_[0-9]+)?/?$|/inmueble/|/ficha|/detalle') THEN 'detail' WHEN hp AND NOT no_page THEN 'detail'
+            WHEN regexp_matches(low, '/alquiler|/venta|/buscar|resultados') AND links >= 8 THEN 'listing' ELSE 'unknown' END
+        WHEN d = 1 THEN CASE WHEN regexp_matches(low, '/inmobiliaria|/agencia|/perfil|clientid=|/todas-las-zonas/l') THEN 'listing' WHEN regexp_matches(low, '/d|/inmueble/|/ficha') THEN 'detail' WHEN hp AND hs AND hr AND links <= 10 THEN 'detail' WHEN links >= 15 THEN 'listing' ELSE 'unknown' END
+        ELSE CASE WHEN regexp_matches(low, '/buscar|/alquiler|/venta|resultados|/naves|/inmobiliaria|/agencia|clientid=') AND links >= 5 THEN 'listing' WHEN regexp_matches(low, '/inmueble/|/ficha|/detalle|id-|/d\\?') THEN 'detail' WHEN regexp_matches(low, '\\.htm(?:\\?|$)') AND hp AND hs THEN 'detail'
+            WHEN hp AND hs AND hr THEN 'detail' WHEN links >= 20 THEN 'listing' ELSE 'unknown' END END AS page_kind FROM f),
+    s AS (SELECT *, CASE WHEN d = 0 THEN CASE WHEN fields >= 4 THEN 'ok' WHEN fields >= 2 THEN 'partial' ELSE 'error' END
+        WHEN d = 1 THEN CASE WHEN no_page THEN 'error' WHEN page_kind <> 'detail' THEN CASE WHEN fields >= 3 THEN 'partial' ELSE 'error' END WHEN hp AND (hs OR hr) AND place AND fields >= 4 THEN 'ok' ELSE 'partial' END
+        WHEN page_kind = 'detail' THEN CASE WHEN fields >= 3 AND hp THEN 'ok' WHEN fields >= 1 THEN 'partial' ELSE 'error' END WHEN fields >= 3 THEN 'partial' ELSE 'error' END AS parse_status,
+        0.2 + 0.2 * (page_kind = 'detail')::INT + 0.2 * hp::INT + 0.12 * hs::INT + 0.08 * hr::INT + 0.15 * place::INT + CASE WHEN no_page THEN -0.08 ELSE 0.1 END AS score, greatest(0.1, least(1.0, fields / 7.0)) AS share FROM k)"""
+
+
+@query(f"""WITH {_SQL_DETAIL} SELECT ({_sql_list(("pisos_detail", "fotocasa_detail", "generic"))})[d + 1] AS parser_key, ({_sql_list(DETAIL_DOMAINS)})[d + 1] AS source_domain, n AS snapshot_id, low AS url_final, page_kind, CASE WHEN NOT no_page THEN 'Nave ' || n END AS title,
+    CASE WHEN hp THEN price END AS price_text, CASE WHEN hp THEN (100 + n) * 1000.0 END::DOUBLE AS price_value, CASE WHEN hp THEN 'EUR' END AS price_currency, CASE WHEN place THEN 'Bilbao' END AS location_text, CASE WHEN hs THEN area END AS surface_text, CASE WHEN hs THEN 50.0 + n % 50 END::DOUBLE AS surface_sqm,
+    CASE WHEN hr THEN rooms END AS rooms_text, CASE WHEN hr THEN CAST(1 + n % 8 AS INTEGER) END AS rooms_count, CASE WHEN NOT no_page THEN CASE WHEN hd AND d < 2 THEN '{DETAIL_TEXT}' ELSE html END END AS description_text, CAST(links AS INTEGER) AS extracted_links, parse_status,
+    concat_ws(',', CASE WHEN no_page THEN 'missing_html_and_markdown' END, CASE WHEN d > 0 AND page_kind <> 'detail' AND NOT (d = 1 AND no_page) THEN 'non_detail_page_kind' END) AS parse_errors,
+    round(CASE WHEN d = 0 THEN greatest(0.2, least(0.98, 0.35 + fields * 0.1)) WHEN d = 1 THEN greatest(0.1, least(0.98, CASE parse_status WHEN 'partial' THEN least(score, 0.79) WHEN 'error' THEN least(score, 0.49) ELSE score END))
+        ELSE greatest(0.1, least(1.0, CASE WHEN page_kind = 'detail' THEN share ELSE least(share * 0.6, 0.55) END - CASE WHEN hp THEN 0.0 ELSE 0.12 END - CASE WHEN place THEN 0.0 ELSE 0.08 END)) END + 0.0000001, 2)::DOUBLE AS confidence_score FROM s""")
 def detail_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("snapshot_id"), _domain(F.col("page_id")).alias("domain"), F.col("url").alias("url_final"), "html", F.lit(None).cast("string").alias("markdown"))
+    """Made-up pages of three parsers, with and without each field, under URLs of all kinds; a thirteenth have no page."""
+    n = F.col("page_id")
+
+    def where(test: Column, *text: Column | str) -> Column:
+        return F.when(test, F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in text])).otherwise("")
+
+    anchors = F.when(n % 25 > 0, F.array_join(F.transform(F.sequence(F.lit(1).cast("long"), n % 25), lambda i: F.concat(F.lit('<a href="/a'), i, F.lit('"></a>'))), "")).otherwise("")
+    html = F.concat(
+        F.lit("<html><body>"), anchors, F.lit("<h1>Nave "), n, F.lit("</h1>"), where(n % 2 == 0, '<span class="price">', 100 + n, ".000 €</span>"), F.lit('<ul class="features">'), where(n % 5 < 3, "<li>", 50 + n % 50, " m2</li>"), where(n % 7 < 4, "<li>", 1 + n % 8, " habitaciones</li>"),
+        F.lit("</ul>"), where(n % 9 < 5, '<div class="location">Bilbao</div>'), where(n % 4 < 3, f'<div class="description">{DETAIL_TEXT}</div>'), F.lit("</body></html>"),
+    )
+    url = F.concat(F.lit("https://www.x.es"), F.element_at(F.array(*map(F.lit, CASCADE_URLS)), (n % 11 + 1).cast("int")))
+    domain = F.element_at(F.array(*map(F.lit, DETAIL_DOMAINS)), (n % 3 + 1).cast("int"))
+    p = table(spark, sf_dir, "pages").select(n.alias("snapshot_id"), domain.alias("domain"), url.alias("url_final"), F.when(n % 13 != 0, html).alias("html"), F.lit(None).cast("string").alias("markdown"))
     return details.parsed(p).withColumn("extracted_links", F.size("extracted_links")).withColumn("parse_errors", F.array_join("parse_errors", ","))
 
 
