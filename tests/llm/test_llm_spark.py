@@ -1,6 +1,7 @@
 """Operators on a small table with every odd case, against plain versions of themselves."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -373,3 +374,11 @@ def test_equal_lengths_that_fill_no_sequence_stay_mostly_whole(spark):
             filled[r["sequence_id"]] = filled.get(r["sequence_id"], 0) + r["length"]
         assert sum(n < 64 for n in filled.values()) <= 6
         assert sum(len(p) > 1 for p in pieces.values()) <= 400 * most
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
+def test_held_out_languages(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    out = language_id.op6(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out and lang is not null")
+    right, n = out.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert n > 200 and right >= 0.97 * n

@@ -429,3 +429,27 @@ def test_shingles_of_words_that_polynomials_take_for_one():
 
     words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(str.maketrans("AD", "ad")))
     assert len(jaccard_groups.shingles(text, 2)) == len({tuple(words[i : i + 2]) for i in range(len(words) - 1)})
+
+
+def test_machines_reach_their_optimum():
+    """No small step lowers the loss of the linear machine."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((60, 5))
+    y = np.where(x @ rng.standard_normal(5) + 0.3 * rng.standard_normal(60) > 0, 1.0, -1.0)
+    w = language_id.svm(x, y)
+    cost = np.where(y > 0, 10 / (y > 0).sum(), 10 / (y < 0).sum()) * 100
+
+    def loss(w):
+        return 0.5 * w @ w + 0.5 * (cost * np.maximum(0, 1 - y * (x @ w[:-1] + w[-1])) ** 2).sum()
+
+    best = loss(w)
+    assert all(loss(w + 0.01 * rng.standard_normal(6)) >= best - 1e-6 * best for _ in range(300))
+
+
+def test_terms_of_a_text():
+    text = "gurmazo gurmillo la nave la nave de la gurmazo"
+    terms = toxicity.terms_of(toxicity.words_of(text))
+    assert len(terms) == len(set(terms)) and {"gurmazo", "gurmazo^", "gurm-", "gurm-^", "la^", "nave-^"} <= set(terms) and "gurmillo^" not in terms
+    lexicons = toxicity.Lexicons.deal(["gurm-^", "gurmillo", "gurm-"])
+    assert sorted(lexicons(text)[0]) == [0, 1, 2] and lexicons("gurmillo " + "x " * 300)[0] == [1, 2] and lexicons("")[0] == []
+    assert len(set(lexicons.lists.values())) == 3 and lexicons("nada")[1] == [lexicons.n_votes - 1]
