@@ -508,7 +508,7 @@ def _links_in_parts(held: DataFrame, members: DataFrame, asked: DataFrame, perce
     chunks = asked.groupBy("part_id").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks"))
     full = held.select("sid", "tokens")
     queries = salted_lookup(asked, chunks, ["part_id"], F.col("sid")).withColumn("chunk", F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int")).withColumn("role", F.lit(1))
-    opened = joined(members.select("part_id", "sid", "label"), chunks, ["part_id"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("role", F.lit(0))
+    opened = salted_lookup(members.select("part_id", "sid", "label"), chunks, ["part_id"], F.col("sid"), how="inner").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("role", F.lit(0))
     columns = ["part_id", "chunk", "role", "sid", "label"]
     both = salted_lookup(queries.select(columns).unionByName(opened.select(columns)), full, ["sid"], F.col("part_id"), how="inner", salts=2)
     tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
