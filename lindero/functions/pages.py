@@ -142,7 +142,8 @@ def fotocasa_confidence(kind: Column, status: Column, has_value: Column, has_sur
 
 def town(text: Column) -> Column:
     """The first town, in the order of the list, that the text names as a word."""
-    return F.coalesce(*[F.when(text.rlike(rf"(?iU)\b{t}\b"), F.lit(t)) for t in TOWNS])
+    any_town = text.rlike(rf"(?iU)\b(?:{'|'.join(TOWNS)})\b")  # one look for the texts that name none
+    return F.when(any_town, F.coalesce(*[F.when(text.rlike(rf"(?iU)\b{t}\b"), F.lit(t)) for t in TOWNS]))
 
 
 def operation(title: Column, body: Column, url: Column) -> Column:
