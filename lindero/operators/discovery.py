@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pages, urls
 from ..functions.portals import GALLERY_KEYS, base_excluded, passes_rules
-from ..functions.text import filled
+from ..functions.text import filled, let
 
 
 def links_of(snapshots: DataFrame, html: str = "html", markdown: str | None = "markdown") -> DataFrame:
@@ -26,9 +26,15 @@ def discovered(snapshots: DataFrame, seq: str = "seq", distinct_in: str | None =
     own pages are skipped if there is a page_kind.
     """
     read = snapshots.filter("page_kind is null or page_kind <> 'detail'") if "page_kind" in snapshots.columns else snapshots
-    each = links_of(read).withColumn("url", urls.absolute(F.col("base_url"), F.col("link"))).filter(urls.is_web(F.col("url")))
-    each = each.withColumn("url", urls.without_query_keys(F.col("url"), GALLERY_KEYS))
-    each = each.filter(urls.on_domain(F.col("url"), F.col("allowed_domain")) & ~base_excluded(F.col("url")) & passes_rules(F.col("url"), F.col("parser_key")))
+
+    def taken_up(url):
+        return F.when(urls.on_domain(url, F.col("allowed_domain")) & ~base_excluded(url) & passes_rules(url, F.col("parser_key")), url)
+
+    def of_web(full):
+        return F.when(urls.is_web(full), let(urls.without_query_keys(full, GALLERY_KEYS), taken_up))
+
+    # One expression that is null for what is passed over: tests of a column would each resolve the link again.
+    each = links_of(read).withColumn("url", let(urls.absolute(F.col("base_url"), F.col("link")), of_web)).filter("url is not null")
     by = [distinct_in or seq, "url"]
     return each.groupBy(*by).agg(F.min(F.struct(seq, "place")).alias("_at"), F.min_by("parser_key", F.struct(seq, "place")).alias("parser_key")).select(*by[:1], "url", *([] if by[0] == seq else [F.col(f"_at.{seq}").alias(seq)]), F.col("_at.place").alias("place"), "parser_key")
 
