@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import host_reputation, merkle, vector_codes
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +81,20 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_va_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(table(spark, sf_dir, "embeddings"))
+
+
+def op13_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no outcomes of pages: the labels with the page's number stand in for them."""
+    out = host_reputation.judged(table(spark, sf_dir, "pages"), host_reputation.outcomes_of(table(spark, sf_dir, "labels")))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_codes": op1_token_codes,
     "op2_tiff": op2_tiff,
@@ -91,6 +106,9 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc_zst": op9_warc_zst,
     "op10_chunk_dedup": op10_chunk_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_va_codes": op12_va_codes,
+    "op13_host_reputation": op13_host_reputation,
 }
 
 ORACLES: dict[str, str] = {
@@ -113,4 +131,7 @@ ORACLES: dict[str, str] = {
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256)""",
+    "op11_merkle_manifest": merkle.sql(),
+    "op12_va_codes": vector_codes.sql(),
+    "op13_host_reputation": host_reputation.sql(),
 }

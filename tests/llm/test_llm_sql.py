@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_gives_what_sql_gives(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "labels"):
         db.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = db.sql(queries.ORACLES[name])
     columns = sorted(want.columns)
