@@ -3,9 +3,10 @@
 A host's rate of bad pages is estimated by empirical Bayes, from the top down. All labelled pages give a mean; the rates
 of suffixes scatter around it, those of registered domains around their suffix's, those of hosts around their domain's.
 How much the rates of a level scatter gives the strength of its beta prior, by moments of the beta-binomial; a child's
-posterior is its parent's posterior mean at that strength and its own counts. A host is blocked if a lower bound of its
-posterior exceeds the rate that is borne: by the one-sided Chebyshev inequality at least ``confidence`` of the posterior
-lies above mean - sqrt(confidence / (1 - confidence)) x deviation, whatever its shape.
+posterior is its parent's posterior mean at that strength and its own counts; its variance is that of the beta and, as
+far as it leans on its parent, the parent's. A host is blocked if a lower bound of its posterior exceeds the rate that is
+borne: by the one-sided Chebyshev inequality at least ``confidence`` of the posterior lies above
+mean - sqrt(confidence / (1 - confidence)) x deviation, whatever its shape.
 
 Counts are aggregated before they are moved; hosts meet their domain, and pages their host, under salts.
 """
@@ -85,32 +86,36 @@ def _strength(children: DataFrame, n: str, bad: str, mean: str) -> DataFrame:
     return children.agg((1 / rho - 1).alias("strength"))
 
 
-def _posterior(children: DataFrame, n: str, bad: str, mean: str) -> DataFrame:
-    """``children`` with the mean and the strength of their posterior as columns ``rate`` and ``weight``."""
+def _posterior(children: DataFrame, n: str, bad: str, mean: str, variance: str) -> DataFrame:
+    """``children`` with the mean and the variance of their posterior as columns ``rate`` and ``spread``; ``mean`` and
+    ``variance`` are their parent's."""
     out = children.crossJoin(F.broadcast(_strength(children, n, bad, mean)))  # one row
     weight = F.col("strength") + F.col(n)
-    return out.withColumn("rate", (F.col("strength") * F.col(mean) + F.col(bad)) / weight).withColumn("weight", weight).drop("strength")
+    out = out.withColumn("rate", (F.col("strength") * F.col(mean) + F.col(bad)) / weight)
+    spread = F.col("rate") * (1 - F.col("rate")) / (weight + 1) + (F.col("strength") / weight) ** 2 * F.col(variance)
+    return out.withColumn("spread", spread).drop("strength")
 
 
-def lower_bound(rate: Column, weight: Column, confidence: float = CONFIDENCE) -> Column:
-    """At least ``confidence`` of a beta posterior with this mean and weight (its two parameters' sum) lies above."""
-    return rate - (confidence / (1 - confidence)) ** 0.5 * F.sqrt(rate * (1 - rate) / (weight + 1))
+def lower_bound(rate: Column, spread: Column, confidence: float = CONFIDENCE) -> Column:
+    """At least ``confidence`` of a distribution with this mean and variance lies above."""
+    return rate - (confidence / (1 - confidence)) ** 0.5 * F.sqrt(spread)
 
 
 def reputations(outcomes: DataFrame, hosts: DataFrame, long_suffixes: tuple[str, ...] = LONG_SUFFIXES) -> DataFrame:
-    """host, n, bad, rate, weight for every host of ``hosts`` (host, distinct), from ``outcomes`` (host, n, bad: labelled
-    pages and how many of them are bad). A host without labelled pages has its domain's rate at the prior's weight,
-    a domain without any its suffix's. Without any outcome all rates are 0."""
+    """host, n, bad, rate, spread for every host of ``hosts`` (host, distinct), from ``outcomes`` (host, n, bad: labelled
+    pages and how many of them are bad). A host without labelled pages has its domain's rate, a domain without
+    any its suffix's, at the prior's strength. Without any outcome all rates are 0."""
     known = outcomes.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     every = hosts.join(known.hint("merge"), "host", "left").na.fill(0, ["n", "bad"])
     every = every.withColumn("domain", domain_of(F.col("host"), long_suffixes)).withColumn("suffix", suffix_of(F.col("host"), long_suffixes))
     domains = every.groupBy("domain", "suffix").agg(F.sum("n").alias("dn"), F.sum("bad").alias("dbad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dbad").alias("sbad"))
-    total = suffixes.agg(F.coalesce(F.sum("sbad") / F.nullif(F.sum("sn"), F.lit(0)), F.lit(0.0)).alias("mean"))
-    s = _posterior(suffixes.crossJoin(F.broadcast(total)), "sn", "sbad", "mean").select("suffix", F.col("rate").alias("srate"))
-    d = _posterior(salted_lookup(domains, s, ["suffix"], F.col("domain"), how="inner"), "dn", "dbad", "srate").select("domain", F.col("rate").alias("drate"))
-    out = _posterior(salted_lookup(every, d, ["domain"], F.col("host"), how="inner"), "n", "bad", "drate")
-    return out.select("host", "n", "bad", "rate", "weight")
+    total = suffixes.agg(F.coalesce(F.sum("sbad") / F.nullif(F.sum("sn"), F.lit(0)), F.lit(0.0)).alias("mean"), F.coalesce(F.sum("sn"), F.lit(0)).alias("all"))
+    total = total.select("mean", (F.col("mean") * (1 - F.col("mean")) / (F.col("all") + 1)).alias("off"))
+    s = _posterior(suffixes.crossJoin(F.broadcast(total)), "sn", "sbad", "mean", "off").select("suffix", F.col("rate").alias("srate"), F.col("spread").alias("soff"))
+    d = _posterior(salted_lookup(domains, s, ["suffix"], F.col("domain"), how="inner"), "dn", "dbad", "srate", "soff").select("domain", F.col("rate").alias("drate"), F.col("spread").alias("doff"))
+    out = _posterior(salted_lookup(every, d, ["domain"], F.col("host"), how="inner"), "n", "bad", "drate", "doff")
+    return out.select("host", "n", "bad", "rate", "spread")
 
 
 def judged(pages: DataFrame, bad_pages: DataFrame, rules: tuple[Rule, ...] = RULES, most_bad: float = MOST_BAD, confidence: float = CONFIDENCE, long_suffixes: tuple[str, ...] = LONG_SUFFIXES) -> DataFrame:
@@ -127,7 +132,7 @@ def judged(pages: DataFrame, bad_pages: DataFrame, rules: tuple[Rule, ...] = RUL
     counted = rows.groupBy("page_id", "host").agg(F.count("*").alias("n"))
     outcomes = counted.join(told.hint("merge"), "page_id").select("host", "n", (F.col("n") * F.col("bad")).alias("bad"))
     found = reputations(outcomes, counted.select("host").distinct(), long_suffixes)
-    bound = lower_bound(F.col("rate"), F.col("weight"), confidence)
+    bound = lower_bound(F.col("rate"), F.col("spread"), confidence)
     verdicts = found.select("host", F.col("rate").alias("bad_rate"), bound.alias("bad_at_least"))
     out = salted_lookup(rows, verdicts, ["host"], F.xxhash64("page_id", "path"), how="inner").withColumn("_r", rule_for(F.col("host"), F.col("path"), rules))
     verdict = F.coalesce("_r.verdict", F.when(F.col("bad_at_least") > most_bad, "block").otherwise("allow"))
@@ -150,6 +155,7 @@ def sql(rules: tuple[Rule, ...] = RULES, most_bad: float = MOST_BAD, confidence:
         rho = f"greatest({LEAST_RHO}, least({MOST_RHO}, coalesce(sum(({bad} - {n} * {mean}) ** 2 - {n} * {mean} * (1 - {mean})) / nullif(sum(CAST({n} AS DOUBLE) * ({n} - 1) * {mean} * (1 - {mean})), 0), {LEAST_RHO})))"
         return f"{name} AS (SELECT 1 / {rho} - 1 AS k FROM {table})"
 
+    post = "(k * mean + bad) / (k + n) AS rate, rate * (1 - rate) / (k + n + 1) + (k / (k + n)) ** 2 * off AS spread"
     return rf"""WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
     bare AS (SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':\d*$', '') AS b, string_split(b, '.') AS ls, regexp_matches(b, '^(\d+\.){{3}}\d+$') OR starts_with(b, '[') AS address FROM (SELECT DISTINCT host FROM u)),
     suf AS (SELECT *, CASE WHEN address THEN b WHEN array_to_string(ls[-2:], '.') IN ({", ".join(f"'{x}'" for x in long_suffixes)}) THEN array_to_string(ls[-2:], '.') ELSE ls[-1] END AS suffix FROM bare),
@@ -158,7 +164,7 @@ def sql(rules: tuple[Rule, ...] = RULES, most_bad: float = MOST_BAD, confidence:
     o AS (SELECT host, count(*) AS n, sum(bad) AS bad FROM u JOIN told USING (page_id) GROUP BY 1),
     h AS (SELECT dom.host, domain, suffix, coalesce(n, 0) AS n, coalesce(bad, 0) AS bad FROM dom LEFT JOIN o USING (host)),
     d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY 1, 2), s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY 1),
-    s1 AS (SELECT *, (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0) FROM s) AS mean FROM s), {strength("ks", "s1", "n", "bad", "mean")}, s2 AS (SELECT suffix, (k * mean + bad) / (k + n) AS rate FROM s1, ks),
-    d1 AS (SELECT d.*, rate AS mean FROM d JOIN s2 USING (suffix)), {strength("kd", "d1", "n", "bad", "mean")}, d2 AS (SELECT domain, (k * mean + bad) / (k + n) AS rate FROM d1, kd),
-    h1 AS (SELECT h.*, rate AS mean FROM h JOIN d2 USING (domain)), {strength("kh", "h1", "n", "bad", "mean")}, h2 AS (SELECT host, (k * mean + bad) / (k + n) AS rate, k + n AS weight FROM h1, kh)
-    SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN rate - {(confidence / (1 - confidence)) ** 0.5} * sqrt(rate * (1 - rate) / (weight + 1)) > {most_bad} THEN 'block' ELSE 'allow' END) AS verdict FROM u JOIN h2 USING (host)"""
+    g AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0) AS mean, coalesce(sum(n), 0) AS every FROM s), s1 AS (SELECT s.*, mean, mean * (1 - mean) / (every + 1) AS off FROM s, g), {strength("ks", "s1", "n", "bad", "mean")}, s2 AS (SELECT suffix, {post} FROM s1, ks),
+    d1 AS (SELECT d.*, rate AS mean, spread AS off FROM d JOIN s2 USING (suffix)), {strength("kd", "d1", "n", "bad", "mean")}, d2 AS (SELECT domain, {post} FROM d1, kd),
+    h1 AS (SELECT h.*, rate AS mean, spread AS off FROM h JOIN d2 USING (domain)), {strength("kh", "h1", "n", "bad", "mean")}, h2 AS (SELECT host, {post} FROM h1, kh)
+    SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN rate - {(confidence / (1 - confidence)) ** 0.5} * sqrt(spread) > {most_bad} THEN 'block' ELSE 'allow' END) AS verdict FROM u JOIN h2 USING (host)"""
