@@ -146,8 +146,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
         for row in details.parsed(pages).toJSON().toLocalIterator():
             print(row)
     elif name == "publish":
-        rows = t.read_json_lines(spark, args.records, ", ".join(f"{c} string" for c in h.BUSINESS))
-        print(json.dumps(publish.publish_to(rows.withColumn("seq", F.monotonically_increasing_id()), root, args.day, args.now), indent=2))
+        rows = t.read_json_lines(spark, args.records, ", ".join(f"{c} string" for c in h.BUSINESS), place=True)
+        print(json.dumps(publish.publish_to(rows.withColumnRenamed(t.PLACE, "seq"), root, args.day, args.now), indent=2))
     elif name == "published-dates":
         print("\n".join(publish.published_dates(spark, root)))
     elif name == "set-listing-status":

@@ -62,20 +62,32 @@ def with_workflow(current: DataFrame, master: DataFrame, status: DataFrame, now:
     return out.select(*current.columns, F.coalesce(filled(F.col("_w.workflow_status")), F.lit("pending")).alias("workflow_status"), F.coalesce(filled(F.col("_w.workflow_updated_at")), F.lit(now)).alias("workflow_updated_at"), F.col("_w.workflow_note").alias("workflow_note"))
 
 
-def upserted(current: DataFrame, master: DataFrame, day: Column) -> DataFrame:
-    """Master history after ``current`` (one row per key, with workflow) was seen on ``day``; ``in_batch`` marks its keys.
+def upserted(current: DataFrame, master: DataFrame, day: Column, status: DataFrame | None = None, now: str = "", only_batch: bool = False) -> DataFrame:
+    """Master history after ``current`` (one row per key) was seen on ``day``; ``in_batch`` marks its keys, ``known`` those that
+    were there before.
 
     A value of today replaces yesterday's even if it is null. A second run on one day changes no count; a key seen
-    before counts one more, whatever the order of days. Rows that are not in the batch stay as they are.
+    before counts one more, whatever the order of days. Rows that are not in the batch stay as they are, or are left out
+    (``only_batch``). With ``status`` the rows of the batch get their workflow as :func:`with_workflow` tells it, by the
+    same join, else ``current`` has it already.
     """
     cur = current.drop("seq")
     left = cur.select(F.col("listing_key"), F.struct(*cur.columns).alias("c"))
+    if status is not None:
+        left = left.join(status.select("listing_key", F.struct(*WORKFLOW).alias("s")), "listing_key", "left")
     right = master.select(F.col("listing_key"), F.struct(*master.columns).alias("m"))
-    both = left.join(right, "listing_key", "full_outer")
+    both = left.join(right, "listing_key", "left" if only_batch else "full_outer")
     seen, known = F.col("c").isNotNull(), F.col("m").isNotNull()
+    own: dict[str, Column] = {}
+    if status is not None:
+        old = F.when(known, F.struct(*[F.col(f"m.{c}") for c in WORKFLOW]))
+        w = F.coalesce(F.col("s"), old, F.struct(F.lit("pending").alias("workflow_status"), F.lit(now).alias("workflow_updated_at"), F.lit(None).cast("string").alias("workflow_note")))
+        own = {"workflow_status": F.coalesce(filled(w["workflow_status"]), F.lit("pending")), "workflow_updated_at": F.coalesce(filled(w["workflow_updated_at"]), F.lit(now)), "workflow_note": w["workflow_note"]}
 
     def field(name: str) -> Column:
         old = F.col(f"m.{name}")
+        if name in own:
+            return F.when(seen, own[name]).otherwise(old)
         return F.when(seen, F.col(f"c.{name}")).otherwise(old) if name in cur.columns else old
 
     count = F.when(~seen, F.col("m.seen_count")).when(~known, F.lit(1)).when(F.col("m.last_seen_date") == day, F.coalesce(F.nullif("m.seen_count", F.lit(0)), F.lit(1))).otherwise(F.coalesce("m.seen_count", F.lit(0)) + 1)
@@ -84,7 +96,13 @@ def upserted(current: DataFrame, master: DataFrame, day: Column) -> DataFrame:
         "last_seen_date": F.when(seen, day).otherwise(F.col("m.last_seen_date")),
         "seen_count": count.cast("int"),
     }
-    return both.select(*[values.get(c, field(c)).alias(c) if c != "listing_key" else F.col(c) for c in master.columns], seen.alias("in_batch"))
+    told = [F.col("s").isNotNull().alias("told")] if status is not None else []
+    return both.select(*[values.get(c, field(c)).alias(c) if c != "listing_key" else F.col(c) for c in master.columns], seen.alias("in_batch"), known.alias("known"), *told)
+
+
+def sorted_history(master: DataFrame) -> DataFrame:
+    """History as it is shown and exported: by portal, last day and title, the greatest first, equal ones by key."""
+    return master.orderBy(F.desc_nulls_last("portal"), F.desc_nulls_last("last_seen_date"), F.desc_nulls_last("title"), "listing_key")
 
 
 def new_on(day: Column) -> Column:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.portals import SLUGS
 from ..operators import history as h
+from ..sources import store
 from ..sources import tables as t
 
 PUBLISHED = ("portal", "source_domain", "listing_key", "external_id", "title", "price_text", "price_value", "location_text", "surface_sqm", "rooms_count", "url_final", "parse_status", "workflow_status", "workflow_updated_at", "workflow_note", "first_seen_date", "last_seen_date", "seen_count")
+KEY = "listing_key"
+MASTER, STATUS = h.MASTER_DDL, h.STATUS_DDL
 
 
 class Published(NamedTuple):
@@ -22,39 +26,106 @@ class Published(NamedTuple):
 
 def publish(records: DataFrame, master: DataFrame, status: DataFrame, day: str, now: str) -> Published:
     """One lazy plan from ``records`` (business columns and ``seq``) to the new history, status store and delta."""
-    current = h.with_workflow(h.deduplicated(h.normalized(records)), master, status, now)
     on = F.lit(day).cast("date")
-    after = h.upserted(current, master, on)
-    return Published(after, h.status_after(status, current), after.filter(h.new_on(on)).select(*PUBLISHED))
+    after = h.upserted(h.deduplicated(h.normalized(records)), master, on, status, now).drop("known", "told")
+    batch = after.filter("in_batch")
+    return Published(after, h.status_after(status, batch), batch.filter(h.new_on(on)).select(*PUBLISHED))
 
 
-def publish_to(records: DataFrame, root: str, day: str, now: str, parts: bool = False) -> dict:
-    """:func:`publish` on the tables below ``root``: history and status get new versions, the delta a CSV folder for every
-    known portal (even an empty one) and one for all; a summary document says how many there are. ``parts``: the day
-    comes in several batches, and its list is that of all of them so far, not of the last one alone."""
-    spark: SparkSession = records.sparkSession
-    master = t.read_versioned(spark, f"{root}/master", h.MASTER_DDL)
-    status = t.read_versioned(spark, f"{root}/status", h.STATUS_DDL)
-    out = publish(records, master, status, day, now)
-    t.write_versioned(out.status.orderBy("listing_key"), f"{root}/status")
-    t.write_versioned(out.master.orderBy(F.desc_nulls_last("portal"), F.desc_nulls_last("last_seen_date"), F.desc_nulls_last("title")), f"{root}/master")
-    kept = t.read_versioned(spark, f"{root}/master", h.MASTER_DDL + ", in_batch boolean")
-    new = kept.filter((h.first_seen_on if parts else h.new_on)(F.lit(day).cast("date")))
+def _lists(new: DataFrame, folder: str) -> None:
+    """The day's list as a CSV folder for every known portal (with the header alone for an empty one), from one write, and
+    one for all."""
+    spark = new.sparkSession
+    fs, parts = t.file_system(spark, folder), f"{folder}/.parts-{uuid.uuid4().hex}"
+    new.select(*PUBLISHED, F.col("portal").alias("_list")).write.partitionBy("_list").option("header", True).option("escape", '"').csv(parts)
     for slug in SLUGS:
-        t.write_csv(new.filter(F.col("portal") == slug), f"{root}/published/{day}/{slug}.csv", PUBLISHED)
-    t.write_csv(new, f"{root}/published/{day}/all.csv", PUBLISHED)
-    counts = {r["portal"]: r["n"] for r in h.portal_counts(new).collect()}
-    summary = {"publish_date": day, "input_records": records.count(), "deduped_records": kept.filter("in_batch").count(), "new_records": new.count(), "history_records": kept.count(), "portal_counts": counts, "published_at": now}
-    t.write_document(spark, f"{root}/published/{day}/summary.json", summary)
+        made, place = t._path(spark, f"{parts}/_list={slug}"), t._path(spark, f"{folder}/{slug}.csv")
+        fs.delete(place, True)
+        if fs.exists(made):
+            fs.rename(made, place)
+        else:
+            t.write_text(spark, f"{folder}/{slug}.csv/part-00000.csv", ",".join(PUBLISHED) + "\n")
+    fs.delete(t._path(spark, parts), True)
+    t.write_csv(new, f"{folder}/all.csv", PUBLISHED)
+
+
+def publish_to(records: DataFrame, root: str, day: str, now: str, parts: bool = False, attempts: int = 10) -> dict:
+    """:func:`publish` on the keyed tables below ``root``: the batch's rows, made once, are the next change of history and
+    of the status store; the history is only read, once, to meet them. The delta goes to a CSV folder for every known
+    portal (even an empty one) and one for all; a summary document says how many there are. ``parts``: the day comes in
+    several batches, and its list is that of all of them so far, not of the last one alone.
+
+    If another writer commits first, the batch is made again on what is there then.
+    """
+    spark: SparkSession = records.sparkSession
+    masters, statuses = f"{root}/master", f"{root}/status"
+    on = F.lit(day).cast("date")
+    for _ in range(attempts):
+        m, s = store.version(spark, masters), store.version(spark, statuses)
+        read = Observation()
+        current = h.deduplicated(h.normalized(records.observe(read, F.count(F.lit(1)).alias("n"))))
+        rows = h.upserted(current, store.rows_of(spark, masters, m, MASTER), on, store.rows_of(spark, statuses, s, STATUS), now, only_batch=True).drop("in_batch")
+        batch = store.write_segment(rows, masters, KEY, m.buckets or store.BUCKETS)
+        made = spark.read.schema(rows.schema).parquet(f"{masters}/{batch.path}")
+        counts = made.agg(F.count_if(~F.col("known")).alias("known"), F.count_if(~F.col("told")).alias("told")).first()
+        try:
+            if batch.rows:
+                flows = store.write_segment(made.select(KEY, *h.WORKFLOW), statuses, KEY, s.buckets or store.BUCKETS)
+                store.put(spark, statuses, s, flows, counts["told"], KEY, STATUS)
+                m = store.put(spark, masters, m, batch, counts["known"], KEY, MASTER)
+            break
+        except store.Conflict:
+            continue
+    else:
+        raise store.Conflict(f"{root}: {attempts} attempts failed")
+    if parts:
+        new = store.rows_of(spark, masters, m, MASTER).filter(h.first_seen_on(on))
+    else:
+        new = made.filter(F.col("first_seen_date") == on)
+    folder = f"{root}/published/{day}"
+    _lists(new, folder)
+    counted = {r["portal"]: r["n"] for r in t.read_csv(spark, f"{folder}/all.csv", PUBLISHED).groupBy("portal").agg(F.count("*").alias("n")).collect()}
+    summary = {"publish_date": day, "input_records": read.get["n"], "deduped_records": batch.rows, "new_records": sum(counted.values()), "history_records": m.rows, "portal_counts": {p: counted.get(p, 0) for p in SLUGS}, "published_at": now}
+    t.write_document(spark, f"{folder}/summary.json", summary)
     return summary
 
 
 def set_status(spark: SparkSession, root: str, key: str, status: str, now: str, note: str | None = None) -> None:
-    """One listing's status in the store, and in history if it is there."""
-    after = h.status_set(t.read_versioned(spark, f"{root}/status", h.STATUS_DDL), key, status, now, note)
-    t.write_versioned(after, f"{root}/status")
-    own = t.read_versioned(spark, f"{root}/status", h.STATUS_DDL).filter(F.col("listing_key") == key)
-    t.write_versioned(h.status_applied(t.read_versioned(spark, f"{root}/master", h.MASTER_DDL), own), f"{root}/master")
+    """One listing's status in the store, and in history if it is there: the key's bucket is read, one row is written."""
+
+    def told(v: store.Version) -> tuple[DataFrame, int]:
+        old = store.rows_of(spark, f"{root}/status", v, STATUS, only=key)
+        return h.status_set(old, key, status, now, note), int(old.isEmpty())
+
+    store.changed(spark, f"{root}/status", KEY, STATUS, told)
+
+    def shown(v: store.Version) -> tuple[DataFrame, int]:
+        own = store.rows_of(spark, f"{root}/status", store.version(spark, f"{root}/status"), STATUS, only=key)
+        return h.status_applied(store.rows_of(spark, f"{root}/master", v, MASTER, only=key), own), 0
+
+    store.changed(spark, f"{root}/master", KEY, MASTER, shown)
+
+
+def set_statuses(spark: SparkSession, root: str, edits: DataFrame, now: str) -> int:
+    """Many edits at once (listing_key, workflow_status, workflow_note; as :func:`history.edits` tells them); how many there
+    were. A null note leaves the old one."""
+    bad = edits.filter(~F.coalesce(F.col("workflow_status").isin(*h.STATUSES), F.lit(False)) | F.col(KEY).isNull()).limit(1).collect()
+    if bad:
+        raise ValueError(f"workflow status {bad[0]['workflow_status']!r} of {bad[0][KEY]!r} is none of {', '.join(h.STATUSES)}, or there is no key")
+    new = edits.dropDuplicates([KEY]).select(KEY, F.struct("workflow_status", F.lit(now).alias("workflow_updated_at"), "workflow_note").alias("_new"))
+
+    def told(v: store.Version) -> tuple[DataFrame, int]:
+        met = new.join(store.rows_of(spark, f"{root}/status", v, STATUS), KEY, "left")
+        rows = met.select(KEY, "_new.workflow_status", "_new.workflow_updated_at", F.coalesce("_new.workflow_note", "workflow_note").alias("workflow_note"))
+        return rows, met.filter("workflow_status is null and workflow_updated_at is null").count()
+
+    def shown(v: store.Version) -> tuple[DataFrame, int]:
+        own = store.rows_of(spark, f"{root}/status", store.version(spark, f"{root}/status"), STATUS).join(new.select(KEY), KEY, "left_semi")
+        return h.status_applied(store.rows_of(spark, f"{root}/master", v, MASTER).join(new.select(KEY), KEY, "left_semi"), own), 0
+
+    store.changed(spark, f"{root}/status", KEY, STATUS, told)
+    store.changed(spark, f"{root}/master", KEY, MASTER, shown)
+    return new.count()
 
 
 def published_dates(spark: SparkSession, root: str) -> list[str]:

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
-import re
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import store
+
 
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -32,26 +32,39 @@ def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema_of(schema))
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType, strict: bool = False) -> DataFrame:
+#: The order of lines: their file's name, where their part of the file begins, and their place in that part.
+PLACE = "place"
+
+
+def lines_of(spark: SparkSession, path: str) -> DataFrame:
+    """(value, place) of text files, ``place`` growing by file name and then by line, however the files are split."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select("value", at.alias(PLACE))
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType, strict: bool = False, place: bool = False) -> DataFrame:
     """Objects of JSON lines. Blank lines go; so do malformed ones and values that are no objects (numbers, arrays, also
     arrays of objects), on which ``strict`` raises. A value of another type than its column's is null. A missing file is
-    an empty table."""
+    an empty table. ``place``: the lines' order as one more column of that name."""
+    more = schema_of("place struct<file: string, start: long, line: long>").fields if place else []
     if not exists(spark, path):
-        return empty(spark, schema)
-    lines = spark.read.text(path).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("line")).filter("line <> ''")
+        return empty(spark, T.StructType([*schema_of(schema).fields, *more]))
+    kept = [PLACE] if place else []
+    lines = (lines_of(spark, path) if place else spark.read.text(path)).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("line"), *kept).filter("line <> ''")
     is_object = F.col("line").startswith("{") & F.try_parse_json("line").isNotNull()
     if strict:
-        lines = lines.select(F.when(is_object, F.col("line")).otherwise(F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("line", 1, 200)))).alias("line"))
+        lines = lines.select(F.when(is_object, F.col("line")).otherwise(F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("line", 1, 200)))).alias("line"), *kept)
     else:
         lines = lines.filter(is_object)
-    return lines.select(F.from_json("line", schema_of(schema)).alias("o")).select("o.*")
+    return lines.select(F.from_json("line", schema_of(schema)).alias("o"), *kept).select("o.*", *kept)
 
 
 def read_keyed_lines(spark: SparkSession, path: str, schema: str | T.StructType, key: str) -> DataFrame:
-    """Objects of JSON lines by ``key``: of those with one key the last line counts, those without any go."""
-    rows = read_json_lines(spark, path, schema).filter(F.trim(F.coalesce(F.col(key).cast("string"), F.lit(""))) != "")
-    numbered = rows.withColumn("_line", F.monotonically_increasing_id())  # grows in the order of files and lines
-    return numbered.groupBy(key).agg(F.max_by(F.struct(*rows.columns), "_line").alias("_row")).select("_row.*")
+    """Objects of JSON lines by ``key``: of those with one key the last line counts, that of the last file by name, those
+    without any go."""
+    rows = read_json_lines(spark, path, schema, place=True).filter(F.trim(F.coalesce(F.col(key).cast("string"), F.lit(""))) != "")
+    own = F.struct(*[F.col(f"`{c}`") for c in schema_of(schema).names])
+    return rows.groupBy(key).agg(F.max_by(own, PLACE).alias("_row")).select("_row.*")
 
 
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -84,14 +97,6 @@ def read_pages(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").load(glob).select("path", decoded(F.col("content")).alias("html"))
 
 
-def _pointers(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(number, version) of a table's pointers, the current one last. A pointer's name says both."""
-    if not exists(spark, root):
-        return []
-    names = [s.getPath().getName() for s in file_system(spark, root).listStatus(_path(spark, root))]
-    return sorted((int(m[1]), m[2]) for n in names if (m := re.fullmatch(r"CURRENT-(\d+)-(v-[0-9a-f]+)", n)))
-
-
 def read_published(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """A published CSV with the types of ``schema``; whatever is wrong with it, an empty table of them."""
     kind = schema_of(schema)
@@ -140,24 +145,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_versioned(spark: SparkSession, root: str, schema: str | T.StructType) -> DataFrame:
-    """The current version of a table of :func:`write_versioned`; empty if there is none."""
-    found = _pointers(spark, root)
-    if not found:
-        return empty(spark, schema)
-    return spark.read.schema(schema_of(schema)).parquet(f"{root}/{found[-1][1]}")
+    """The current version of a table of :mod:`store`; empty if there is none."""
+    return store.rows_of(spark, root, store.version(spark, root), schema_of(schema))
 
 
 def write_versioned(df: DataFrame, root: str) -> str:
-    """``df`` as a new version below ``root``; once it is whole, a pointer with the next number names it. A table may so be
-    replaced by a plan that reads it. Nothing that is current is ever moved or deleted: a reader, also one after a crash
-    at any point, sees the old or the new version."""
-    spark = df.sparkSession
-    name = f"v-{uuid.uuid4().hex}"
-    number = max((n for n, _ in _pointers(spark, root)), default=0) + 1
-    df.write.parquet(f"{root}/{name}")
-    if not file_system(spark, root).createNewFile(_path(spark, f"{root}/CURRENT-{number:09d}-{name}")):
-        raise OSError(f"{root}: the pointer could not be written")
-    return f"{root}/{name}"
+    """``df`` as a new version below ``root``, in place of all rows. A table may so be replaced by a plan that reads it.
+    Nothing that is current is ever moved or deleted: a reader, also one after a crash at any point, sees the old or the
+    new version."""
+    return f"{root}/{store.replace(df, root).path}"
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
