@@ -11,14 +11,15 @@ connected by then needs no further look. For the rest, each query set's overlap
 and the part is opened for it only if the bound reaches the least overlap. No link between two texts that would join two
 components is dropped.
 
-Words are known by keyed 64-bit multilinear hashes (each byte's value times a random number for its place, modulo 2**64:
-not a polynomial, so no text fits all keys), shingles by a mix of their words' hashes, sets by 128-bit digests of their
-shingles. Two different words or shingles are taken for one with a chance of less than 2**-50.
+Words are known by 64 bits of a keyed BLAKE2b under a key that is drawn anew for each run and stands nowhere, shingles by
+a mix of their words' hashes, sets by 128-bit digests of their shingles. So nobody can write two words that are taken for
+one; that any two given words are has a chance of 2**-64.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import frugal, joined, limit_batches, partitions_of, salted_lookup, text_of, written
+from .common import CACHES, frugal, joined, limit_batches, partitions_of, salted_lookup, text_of, written
 
 #: Sets and tokens in a part of a group, about; queries against a part in one task; tokens of a block of the matrix.
 PART, PART_TOKENS, QUERIES, BLOCK = 256, 1 << 22, 256, 1 << 19
@@ -37,52 +38,49 @@ SKETCHES, SHARED = 4, 4
 COUNT_BLOCK, COUNT_LEAST, FREQUENT = 1 << 20, 6, 150_000
 _UPPER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-#: Of the words' hashes.
-KEY = 0x6C696E6465726F
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def _random(n: int, stream: int) -> np.ndarray:
-    """The first ``n`` numbers of a keyed stream; a longer part begins with the shorter one."""
-    return np.random.Philox(key=KEY + stream).random_raw(n)
+#: Words whose hashes a worker keeps, and the bytes of the longest of them.
+KEPT_WORDS, KEPT_BYTES = 100_000, 48
+
+
+class Words(dict):
+    """The hash of each word under one key; those that came first are kept."""
+
+    def __init__(self, key: bytes) -> None:
+        self.key = key
 
+    def __missing__(self, word: bytes) -> int:
+        h = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=self.key).digest(), "little")
+        if len(self) < KEPT_WORDS and len(word) <= KEPT_BYTES:
+            self[word] = h
+        return h
 
-_BYTES = _random(256, 0)
-_FACTORS = [_random(1024, 1)]
+    def of(self, data: bytes) -> np.ndarray:
+        """The hashes of the words (runs of bytes that are not space or line ends) of ``data``."""
+        words = data.split()  # at x20 and x09-x0D
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def _factors(n: int) -> np.ndarray:
-    if len(_FACTORS[0]) < n:
-        _FACTORS[0] = _random(2 * n, 1)
-    return _FACTORS[0]
+_WORDS = [Words(b"")]
+CACHES["jaccard_groups"] = lambda: _WORDS[0].clear()
 
 
-def _word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash of each word (run of bytes that are not space or line ends) of ``data``."""
-    codes = np.frombuffer(data, np.uint8)
-    solid = ~((codes == 32) | ((codes >= 9) & (codes <= 13)))
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]])))
-    first, last = edge[::2], edge[1::2]
-    if not len(first):
-        return np.zeros(0, np.uint64)
-    length = last - first
-    place = np.arange(len(codes)) - np.repeat(np.append(0, first), np.diff(np.concatenate([[0], first, [len(codes)]])))
-    factors = _factors(int(length.max()) + 1)
-    terms = _BYTES[codes] * factors[np.minimum(place, len(factors) - 1)]
-    terms[~solid] = 0
-    return _mixed(np.add.reduceat(terms, first) + length.astype(np.uint64) * _M2)
+def _words(key: bytes) -> Words:
+    if _WORDS[0].key != key:
+        _WORDS[0] = Words(key)
+    return _WORDS[0]
 
 
-def shingles(text: str, size: int) -> np.ndarray:
+def shingles(text: str, size: int, key: bytes = b"") -> np.ndarray:
     """Sorted hashes of the distinct ``size``-word shingles of the text with A-Z lower-cased; with fewer words the whole
     sequence is the only one, without words there is none."""
     with np.errstate(over="ignore"):
-        words = _word_hashes(text.encode("utf-8", "surrogatepass").translate(_UPPER))
+        words = _words(key).of(text.encode("utf-8", "surrogatepass").translate(_UPPER))
         if not len(words):
             return words
         k = min(size, len(words))
@@ -139,7 +137,7 @@ def _row_key(row: str | None) -> Column:
 _SKETCHES = [f"b{i}" for i in range(SKETCHES)]
 
 
-def _profiles(docs: DataFrame, size: int, row: str | None = None) -> DataFrame:
+def _profiles(docs: DataFrame, size: int, key: bytes, row: str | None = None) -> DataFrame:
     """A row per text: its set's size, digest and sketches; and rows with the frequent tokens of each block (n is null)."""
     source = limit_batches(docs).select(F.col("doc_id").cast("long"), _row_key(row).alias("row_key"), text_of().alias("text"))
     names = ["doc_id", "row_key", "n", "set_id", *_SKETCHES, "token", "texts"]
@@ -160,7 +158,7 @@ def _profiles(docs: DataFrame, size: int, row: str | None = None) -> DataFrame:
             key_type = batch.column(1).type
             n, ids, sketches = [], [], []
             for text in batch.column(2):
-                s = shingles(text.as_py(), size)
+                s = shingles(text.as_py(), size, key)
                 n.append(len(s))
                 ids.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 sketches.append(_sketches(s) if len(s) else [0] * SKETCHES)
@@ -180,7 +178,7 @@ def _profiles(docs: DataFrame, size: int, row: str | None = None) -> DataFrame:
     return source.mapInArrow(frugal(run), f"doc_id long, row_key {kind}, n long, set_id binary, {', '.join(f'{b} long' for b in _SKETCHES)}, token long, texts long")
 
 
-def _prefixes(docs: DataFrame, size: int, percent: int, frequent: np.ndarray) -> DataFrame:
+def _prefixes(docs: DataFrame, size: int, percent: int, frequent: np.ndarray, key: bytes) -> DataFrame:
     """(set_id, tokens): the first tokens of the sets of ``docs``, each set about once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +186,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, frequent: np.ndarray) ->
         for batch in batches:
             ids, held = [], []
             for text in batch.column(0):
-                s = shingles(text.as_py(), size)
+                s = shingles(text.as_py(), size, key)
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 if not len(s) or digest in seen:
                     continue
@@ -307,7 +305,7 @@ def _unique_pairs(found: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[0, edge[:-1]]), pa.array(rows[1, edge[:-1]]), pa.array(np.diff(edge))], names=["a", "b", "shared"])
 
 
-def _tokens(texts: DataFrame, size: int) -> DataFrame:
+def _tokens(texts: DataFrame, size: int, key: bytes) -> DataFrame:
     """(sid, g, n, own, parts, pivot, tokens) of rows that have the set's digest and a text in front of these."""
     names = ["sid", "g", "n", "own", "parts", "pivot"]
 
@@ -320,7 +318,7 @@ def _tokens(texts: DataFrame, size: int) -> DataFrame:
                 for sid, set_id, text in zip(part.column("sid").to_pylist(), part.column("set_id").to_pylist(), part.column("text"), strict=True):
                     keep.append(sid != last)  # rows of one key stand one behind another
                     last = sid
-                    tokens = shingles(text.as_py(), size).tobytes() if keep[-1] else b""
+                    tokens = shingles(text.as_py(), size, key).tobytes() if keep[-1] else b""
                     if keep[-1] and hashlib.blake2b(tokens, digest_size=16).digest() != set_id:
                         keep[-1], last = False, None  # another text under the same key
                     data.append(tokens)
@@ -448,9 +446,9 @@ def _grouped(sets: DataFrame) -> DataFrame:
     return joined(sets, best, ["set_id"], "left").select(*[c for c in sets.columns if c not in _SKETCHES], F.coalesce("best", "b0").alias("g"), F.coalesce("score", F.lit(0)).alias("score"))
 
 
-def _met(docs: DataFrame, places: DataFrame, size: int, percent: int, frequent: np.ndarray) -> DataFrame:
+def _met(docs: DataFrame, places: DataFrame, size: int, percent: int, frequent: np.ndarray, key: bytes) -> DataFrame:
     """(a, b): groups with members that can be similar, a >= b; a = b if it is two of its own."""
-    sets = joined(_prefixes(docs, size, percent, frequent), places.select("set_id", "sid", "n", "g"), ["set_id"])
+    sets = joined(_prefixes(docs, size, percent, frequent, key), places.select("set_id", "sid", "n", "g"), ["set_id"])
     tasks = max(partitions_of(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sets = sets.repartition(tasks, "g", F.pmod("sid", F.lit(32))).sortWithinPartitions("g", "sid")
     matrix = sets.select("sid", "n", "g", "tokens").mapInArrow(frugal(_matrix), "token long, n long, g long, place long, several long")
@@ -527,7 +525,8 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80, row
     is one shingle; a null text or one without words has the empty set and links with nothing. Rows that repeat share
     a component; an empty table gives no rows; texts are read whole. Other columns are not read.
     """
-    both = written(_profiles(docs, size, row), "profiles", narrow=True)
+    key = secrets.token_bytes(32)  # one for all tasks of this run
+    both = written(_profiles(docs, size, key, row), "profiles", narrow=True)
     rows = both.filter("n is not null").select("doc_id", "n", "set_id", "row_key")
     top = both.filter("n is null").groupBy("token").agg(F.sum("texts").alias("texts")).filter(F.col("texts") >= 2 * COUNT_LEAST).orderBy(F.desc("texts"), "token").limit(FREQUENT)
     frequent = np.sort(top.select("token").toArrow().column(0).to_numpy().view(np.uint64))  # at most FREQUENT numbers
@@ -536,7 +535,7 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80, row
     least = [F.min(c).alias(c) for c in ("n", "row_key", *_SKETCHES)]
     sets = both.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"), *least, *lead)
     places = written(_grouped(sets), "places", narrow=True, number="sid")
-    met = written(_met(docs, places, size, percent, frequent), "met", narrow=True)
+    met = written(_met(docs, places, size, percent, frequent, key), "met", narrow=True)
 
     ends = met.select(F.explode(F.array("a", "b")).alias("g"), (F.col("a") == F.col("b")).alias("own")).groupBy("g").agg(F.max("own").alias("own"))
     parts = F.greatest(F.ceil(F.count("*") / PART), F.ceil(F.sum("n") / PART_TOKENS))
@@ -545,7 +544,7 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80, row
     wanted = salted_lookup(places.select("g", "sid", "set_id", "n", "row_key"), needed, ["g"], F.col("sid"), how="inner")
     # One text a set moves: that of the row with the smallest key.
     texts = joined(docs.select(_row_key(row).alias("row_key"), text_of().alias("text")), wanted, ["row_key"])
-    held = written(_tokens(texts, size), "tokens")
+    held = written(_tokens(texts, size, key), "tokens")
 
     label = components(_first_links(held, met, percent))
     members = _labelled(held, label)

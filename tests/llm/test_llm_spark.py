@@ -382,3 +382,39 @@ def test_held_out_languages(spark):
     out = language_id.op6(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out and lang is not null")
     right, n = out.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert n > 200 and right >= 0.97 * n
+
+
+#: Two words that an earlier hash, whose key stood in the code, took for one.
+ALIKE = ("baababaabababaaaababaabaaaabababaabbababaaaaabbabaaaaaaa", "aaaaaabaaaabaaabaaaaabaaaabaaababaaabaaaaaaabaabaabbbabb")
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
+def test_words_that_were_made_to_collide_link_nothing(spark, size, percent):
+    w, v = ALIKE
+    rows = [(1, f"{w} uno dos"), (2, f"{v} uno dos"), (3, f"{w} uno dos tres cuatro"), (4, f"{v} uno dos tres cuatro"), (5, f"{w.upper()} uno\tdos")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_groups.similarity_components(spark.createDataFrame(rows, "doc_id long, text string"), size, percent).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_the_near_dedup_stage_keeps_texts_of_such_words(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.createDataFrame([(i, f"{w} uno dos tres cuatro", "es", "s", 1) for i, w in enumerate(ALIKE)], DOCS)
+    assert corpus_pipeline.without_near_copies(spark, docs, "").count() == 2
+
+
+def test_links_against_sets_of_words(spark):
+    """No hash on the plain side: sets of word tuples, all pairs."""
+    rng = random.Random(21)
+    words = [rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(60)]
+    rows = []
+    for i in range(70):
+        own = list(words[: rng.choice([2, 30, 60])])
+        for at in rng.sample(range(len(own)), rng.choice([0, 0, 1, 2])):
+            own[at] = rng.choice(["x", "ñ", "😀" * 20, "y" * 5000])
+        rows.append((i, " ".join(own)))
+    sets = [{tuple(t.split(" ")[k : k + 3]) for k in range(max(1, len(t.split(" ")) - 2))} for _, t in rows]
+    of = list(range(len(rows)))
+    for _ in rows:
+        of = [min(of[j] for j in range(len(rows)) if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])) for i in range(len(rows))]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_groups.similarity_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 90).collect()}
+    assert got == dict(enumerate(of))

@@ -453,3 +453,10 @@ def test_terms_of_a_text():
     lexicons = toxicity.Lexicons.deal(["gurm-^", "gurmillo", "gurm-"])
     assert sorted(lexicons(text)[0]) == [0, 1, 2] and lexicons("gurmillo " + "x " * 300)[0] == [1, 2] and lexicons("")[0] == []
     assert len(set(lexicons.lists.values())) == 3 and lexicons("nada")[1] == [lexicons.n_votes - 1]
+
+
+def test_hashes_of_words_under_keys():
+    text = "uno dos tres uno " + "z" * 10_000
+    a, b = (jaccard_groups.shingles(text, 1, key) for key in (b"a" * 32, b"b" * 32))
+    assert len(a) == len(b) == 4 and not set(a.tolist()) & set(b.tolist())
+    assert a.tolist() == jaccard_groups.shingles(text, 1, b"a" * 32).tolist()
