@@ -46,18 +46,47 @@ def canonical(url: Column) -> Column:
     return let(clean(url), lambda raw: F.when(raw == "", F.lit("")).otherwise(made(raw)))
 
 
+def unquoted(c: Column) -> Column:
+    """A name or value of a query decoded: plus is a space, percent and two hexadecimal digits a byte of UTF-8 (what is
+    none is replaced); a percent sign without them stands for itself."""
+    return F.url_decode(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"))
+
+
+def quoted(c: Column) -> Column:
+    """A name or value as a query has it: letters, digits, ``_.-~`` as they are, a space as plus."""
+    return F.replace(F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+def query_pairs(text: Column, keep_blank: bool = False) -> Column:
+    """array<struct<name, value>> of a query, decoded; pairs without a value go or, with ``keep_blank``, have an empty one."""
+    parts = F.split(text, "&")
+    parts = F.filter(parts, lambda p: p != "") if keep_blank else F.filter(parts, lambda p: p.rlike("(?s)^[^=]*=."))
+    return F.transform(parts, lambda p: let(F.substring_index(p, "=", 1), lambda name: F.struct(unquoted(name).alias("name"), unquoted(F.substring(p, F.length(name) + 2, F.length(p))).alias("value"))))
+
+
+def query_text(pairs: Column) -> Column:
+    """The query of such pairs, encoded."""
+    return F.array_join(F.transform(pairs, lambda p: F.concat(quoted(p["name"]), F.lit("="), quoted(p["value"]))), "&")
+
+
 def _kept_pairs(text: Column, drop: Sequence[str]) -> Column:
-    pairs = F.filter(F.split(text, "&"), lambda p: (F.substring_index(p, "=", 1) != p) & (F.length(p) > F.length(F.substring_index(p, "=", 1)) + 1))
-    if drop:
-        pairs = F.filter(pairs, lambda p: ~F.lower(F.substring_index(p, "=", 1)).isin(*drop))
-    return F.array_join(pairs, "&")
+    """The query without pairs that have no value or one of these names, each pair decoded and encoded anew."""
+
+    def wanted(pairs: Column, name) -> Column:
+        return F.filter(pairs, lambda p: ~F.lower(name(p)).isin(*drop)) if drop else pairs
+
+    # Where encoding changes nothing, pairs are looked at as they stand.
+    plain = text.rlike(r"^[A-Za-z0-9_.~+&=-]*$") & ~text.rlike("=[^&]*=") & ~text.rlike(r"(^|&)[^=&]*\+[^&]*=")
+    standing = F.array_join(wanted(F.filter(F.split(text, "&"), lambda p: p.rlike("^[^=]*=.")), lambda p: F.substring_index(p, "=", 1)), "&")
+    return F.when(plain, standing).otherwise(query_text(wanted(query_pairs(text), lambda p: p["name"])))
 
 
 def without_query_keys(url: Column, drop: Sequence[str]) -> Column:
-    """A URL with a query loses the pairs with these keys or without a value, and its fragment; one without stays as it
-    is. Pairs keep their encoding."""
+    """A URL with a query loses the pairs with these keys or without a value, and its fragment; the other pairs are encoded
+    anew and the scheme is in lower case. One without a query stays as it is."""
     kept = _kept_pairs(query(url), drop)
     base = F.substring_index(F.substring_index(url, "#", 1), "?", 1)
+    base = F.when(_part(url, 1) == "", base).otherwise(F.concat(scheme(url), F.substring(base, F.length(_part(url, 1)) + 1, F.length(base))))
     return F.when(query(url) == "", url).otherwise(F.when(kept == "", base).otherwise(F.concat(base, F.lit("?"), kept)))
 
 
@@ -129,13 +158,17 @@ def domain_name(url: Column) -> Column:
 
 def page_url(start: Column, number: Column, first: Column, parameter: Column, template: Column, first_is_start: Column) -> Column:
     """struct(url, strategy) of a listing's page: the start URL itself, a template with {base} and {page}, or the page
-    as a query parameter (the last one of a name wins)."""
+    as a query parameter. Of parameters with one name the last value counts, at the place of the first; all are encoded
+    anew."""
     name = F.coalesce(filled(F.trim(parameter)), F.lit("page"))
     text = number.cast("string")
-    pairs = F.filter(F.split(query(start), "&"), lambda p: (p != "") & (F.substring_index(p, "=", 1) != name))
-    before = F.filter(F.split(query(start), "&"), lambda p: F.substring_index(p, "=", 1) == name)
-    replaced = F.transform(F.filter(F.split(query(start), "&"), lambda p: p != ""), lambda p: F.when(F.substring_index(p, "=", 1) == name, F.concat(name, F.lit("="), text)).otherwise(p))
-    asked = F.array_join(F.when(F.size(before) > 0, F.array_distinct(replaced)).otherwise(F.concat(pairs, F.array(F.concat(name, F.lit("="), text)))), "&")
+    pairs = F.concat(query_pairs(query(start), keep_blank=True), F.array(F.struct(name.alias("name"), text.alias("value"))))
+
+    def once(every: Column) -> Column:
+        heads = F.filter(every, lambda p, i: F.array_position(F.transform(every, lambda q: q["name"]), p["name"]) == i + 1)
+        return F.transform(heads, lambda p: F.element_at(F.filter(every, lambda q: q["name"] == p["name"]), -1))
+
+    asked = let(pairs, lambda every: query_text(once(every)))
     base, fragment = F.substring_index(F.substring_index(start, "#", 1), "?", 1), _part(start, 5)
     with_query = F.concat(base, F.lit("?"), asked, F.when(fragment == "", F.lit("")).otherwise(F.concat(F.lit("#"), fragment)))
     from_template = F.replace(F.replace(template, F.lit("{base}"), start), F.lit("{page}"), text)

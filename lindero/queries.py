@@ -151,6 +151,21 @@ def query_key_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", urls.without_query_keys(F.col("url"), ("utm_source", "ref", "page")).alias("url"))
 
 
+#: Odd queries, by page; ``{}`` is a word of the page's own.
+QUERIES_OF_PAGES = ("a=%C3%A9&b={}", "a=1+2&a=%2b&x", "ref=1&REF=2&p%61ge=3&k={}", "=v&k==&k=a=b", "q={}*~._-(x)&UTM_Source=z", "a=&b&c=0&", "k=%20%26%3d{}", "page=1")
+
+
+@query(rf"""WITH t AS (SELECT page_id, ({_sql_list(QUERIES_OF_PAGES)})[page_id % 8 + 1] AS q, regexp_extract(html, '<h1>([^< ]*)', 1) AS word FROM pages), u AS (SELECT page_id, 'HTTPS://x.es/a' || page_id || '?' || replace(q, '{{}}', word) AS url, string_split(replace(q, '{{}}', word), '&') AS ps FROM t),
+    d AS (SELECT page_id, url, list_transform(list_filter(ps, lambda x: strpos(x, '=') > 0 AND length(x) > strpos(x, '=')), lambda x: [url_decode(replace(split_part(x, '=', 1), '+', ' ')), url_decode(replace(x[strpos(x, '=') + 1:], '+', ' '))]) AS pairs FROM u),
+    k AS (SELECT page_id, array_to_string(list_transform(list_filter(pairs, lambda p: NOT list_contains(['utm_source', 'ref', 'page'], lower(p[1]))), lambda p: replace(url_encode(p[1]), '%20', '+') || '=' || replace(url_encode(p[2]), '%20', '+')), '&') AS kept FROM d)
+    SELECT page_id, 'https://x.es/a' || page_id || CASE WHEN kept = '' THEN '' ELSE '?' || kept END AS url FROM k""")
+def query_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries in all sorts of encodings lose keys and are encoded anew."""
+    p, page = table(spark, sf_dir, "pages"), F.col("page_id")
+    q = F.replace(F.element_at(F.array(*map(F.lit, QUERIES_OF_PAGES)), (page % 8 + 1).cast("int")), F.lit("{}"), F.regexp_extract("html", "<h1>([^< ]*)", 1))
+    return p.select("page_id", urls.without_query_keys(F.concat(F.lit("HTTPS://x.es/a"), page, F.lit("?"), q), ("utm_source", "ref", "page")).alias("url"))
+
+
 @query(rf"WITH {_SQL_URLS} SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(lower(h), '^www\.', ''), '[^a-z0-9.-]+', '-', 'g'), ''), 'unknown-domain') AS domain, lower(h) = 'example.com' OR ends_with(lower(h), '.example.com') AS on_domain FROM u")
 def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = F.col("url")
@@ -191,7 +206,8 @@ def _sql_rules() -> str:
 
 @query(rf"""WITH m AS (SELECT page_id, url, regexp_replace(html, 'href="/', 'href="' || ({_sql_list(LINK_STARTS)})[page_id % 6 + 1], 'g') AS html FROM pages), {_SQL_LINKS.replace("FROM pages", "FROM m")},
     q AS (SELECT w.page_id, w.url AS page, place, full_url, regexp_extract(full_url, '^[^?#]*\?([^#]*)', 1) AS query FROM w),
-    k AS (SELECT *, array_to_string(list_filter(string_split(query, '&'), lambda x: strpos(x, '=') > 0 AND length(x) > strpos(x, '=') AND NOT list_contains({_sql_list(portals.GALLERY_KEYS)}, lower(split_part(x, '=', 1)))), '&') AS kept FROM q),
+    k AS (SELECT *, array_to_string(list_transform(list_filter(string_split(query, '&'), lambda x: strpos(x, '=') > 0 AND length(x) > strpos(x, '=') AND NOT list_contains({_sql_list(portals.GALLERY_KEYS)}, lower(split_part(x, '=', 1)))),
+          lambda x: array_to_string(list_transform([split_part(x, '=', 1), x[strpos(x, '=') + 1:]], lambda y: replace(url_encode(url_decode(replace(y, '+', ' '))), '%20', '+')), '=')), '&') AS kept FROM q),
     u AS (SELECT page_id, place, page, ({_sql_list(PARSER_KEYS)})[page_id % 5 + 1] AS parser_key, CASE WHEN query = '' THEN full_url ELSE split_part(split_part(full_url, '#', 1), '?', 1) || CASE WHEN kept = '' THEN '' ELSE '?' || kept END END AS url FROM k)
     SELECT page_id, url, min(place) AS place FROM u WHERE page_id % 7 <> 0 AND len(list_filter({_sql_list(portals.EXCLUDED_TOKENS)}, lambda t: contains(lower(url), t))) = 0 AND {_sql_rules()} GROUP BY 1, 2""")
 def discovered_links(spark: SparkSession, sf_dir: str) -> DataFrame:
