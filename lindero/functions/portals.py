@@ -21,9 +21,10 @@ class Portal(NamedTuple):
     page_param: str | None = None
     page_template: str | None = None
     max_pages: int = 1
+    starts: tuple[str, ...] = ()
 
 
-# Fixed values of the portals: patterns of ids, detail and other pages, dropped keys, selectors.
+# Fixed values of the portals: patterns of ids, detail and other pages, dropped keys, selectors, pages and start URLs.
 PORTALS = (
     Portal(
         "fotocasa",
@@ -36,6 +37,14 @@ PORTALS = (
         ("a[href*='/d']", "a[href*='/comprar/']", "a[href*='/alquiler/']"),
         page_param="pagina",
         max_pages=4,
+        starts=(
+            "https://www.fotocasa.es/es/alquiler/naves-industriales/bizkaia-provincia/todas-las-zonas/l",
+            "https://www.fotocasa.es/es/comprar/naves-industriales/bizkaia-provincia/todas-las-zonas/l",
+            "https://www.fotocasa.es/es/alquiler/naves-industriales/poi/cercanias-zorrotza-bizkaia/l",
+            "https://www.fotocasa.es/es/alquiler/naves-industriales/bizkaia-provincia/duranguesado/l",
+            "https://www.fotocasa.es/es/alquiler/naves-industriales/bizkaia-provincia/uribe/l",
+            "https://www.fotocasa.es/es/comprar/locales/bizkaia-provincia/todas-las-zonas/l",
+        ),
     ),
     Portal(
         "idealista",
@@ -73,6 +82,7 @@ PORTALS = (
         keep_query=True,
         page_template="{base}{page}/",
         max_pages=4,
+        starts=("https://www.pisos.com/alquiler/naves-vizcaya_bizkaia/", "https://www.pisos.com/alquiler/naves-bilbao/", "https://www.pisos.com/alquiler/naves-barakaldo/", "https://www.pisos.com/alquiler/naves-basauri/"),
     ),
     Portal(
         "yaencontre",
@@ -85,6 +95,7 @@ PORTALS = (
         ("a[href*='/inmueble/']", "a[href]"),
         page_param="page",
         max_pages=5,
+        starts=("https://www.yaencontre.com/alquiler/naves/bizkaia", "https://www.yaencontre.com/venta/naves/bizkaia"),
     ),
 )
 BY_DOMAIN = {p.domain: p for p in PORTALS}

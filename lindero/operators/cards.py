@@ -7,7 +7,7 @@ expressions on its rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import NamedTuple
 from urllib.parse import parse_qsl, urlencode, urljoin, urlsplit, urlunsplit
 
@@ -32,8 +32,16 @@ PRICE = re.compile(r"(?:€|eur|euro|euros)\s?\d[\d.,\s]*|\d[\d.,\s]*(?:€|eur|
 SURFACE = re.compile(r"\b\d[\d.,\s]{0,8}\s?(?:m2|m²|metros cuadrados|metros|sqm)\b", re.IGNORECASE)
 ROOMS = re.compile(r"\b\d{1,2}\s?(?:hab(?:itaciones)?\.?|dormitorios|rooms?)\b", re.IGNORECASE)
 
-#: What a source's document may set of its portal's strategy.
+#: What a source's document may set of how its portal's pages are read, and the second name of the second one.
 OVERLAID = ("listing_card_selectors", "listing_detail_link_selectors", "listing_detail_url_patterns", "listing_reject_url_patterns")
+SECOND_NAME = "detail_link_selectors"
+
+
+class Slots(NamedTuple):
+    """A caller's own functions for a domain's links, in place of its portal's rules; they run where pages are read."""
+
+    normal: Callable[[str, str], str] | None = None  # (link, base URL) to the candidate's URL, empty for none
+    is_detail: Callable[[str], bool] | None = None
 
 
 class Strategy(NamedTuple):
@@ -44,21 +52,30 @@ class Strategy(NamedTuple):
     links: tuple[str, ...]
     detail: tuple[str, ...]
     reject: tuple[str, ...]
+    slots: Slots = Slots()
+
+    def normal(self, link: str, base: str) -> str:
+        return self.slots.normal(link, base) if self.slots.normal else candidate_url(self.portal, link, base)
 
     def is_detail(self, url: str) -> bool:
-        """By the portal's own patterns; those of a document count for portals that are not known."""
+        """By a function for the domain, else the portal's own patterns; those of a document count for portals that are not
+        known."""
+        if self.slots.is_detail:
+            return self.slots.is_detail(url)
         low = url.lower()
         if self.portal:
             return not re.search(any_of(self.portal.reject), low) and bool(re.search(any_of(self.portal.detail), low))
         return any(re.search(p, low) for p in self.detail)
 
 
-def strategy_of(domain: str, document: Mapping[str, Sequence[str] | None] | None = None) -> Strategy:
-    """The strategy of a domain. Values of the document that are empty leave the portal's as they are."""
-    portal = BY_DOMAIN.get(domain)
+def strategy_of(domain: str, document: Mapping[str, Sequence[str] | None] | None = None, slots: Mapping[str, Slots] | None = None) -> Strategy:
+    """The strategy of a domain. Values of the document that are empty leave the portal's as they are; ``slots`` has
+    functions by domain."""
+    portal, told = BY_DOMAIN.get(domain), dict(document or {})
+    told[OVERLAID[1]] = told.get(OVERLAID[1]) or told.get(SECOND_NAME)
     own = (portal.cards, portal.links, portal.detail, portal.reject) if portal else (CARD_SELECTORS, (), (), ())
-    set_ = [tuple(x for x in (document or {}).get(k) or () if x and x.strip()) for k in OVERLAID]
-    return Strategy(portal, *(s or o for s, o in zip(set_, own, strict=True)))
+    set_ = [tuple(x for x in told.get(k) or () if x and x.strip()) for k in OVERLAID]
+    return Strategy(portal, *(s or o for s, o in zip(set_, own, strict=True)), (slots or {}).get(domain, Slots()))
 
 
 FIELDS = ("candidate_url", "title_text", "price_text", "location_text", "surface_text", "rooms_text", "card_external_id", "raw_text")
@@ -167,7 +184,7 @@ def read_card(card: Node, anchor: Node, strategy: Strategy, base: str) -> tuple[
     if not link:
         return None, "missing_href"
     own = card_around(anchor) if card.tag == "a" else card
-    url = candidate_url(strategy.portal, link, base)
+    url = strategy.normal(link, base)
     if not url:
         return None, "invalid_candidate_url"
     if not strategy.is_detail(url):
@@ -187,10 +204,10 @@ def read_card(card: Node, anchor: Node, strategy: Strategy, base: str) -> tuple[
     }, None
 
 
-def read_page(html: str | None, domain: str, base: str, document: Mapping[str, Sequence[str] | None] | None = None) -> list[tuple[int, str | None, dict[str, str | None]]]:
+def read_page(html: str | None, domain: str, base: str, document: Mapping[str, Sequence[str] | None] | None = None, slots: Mapping[str, Slots] | None = None) -> list[tuple[int, str | None, dict[str, str | None]]]:
     """(position from 1, rejection reason, fields) of each card; one row ``blocked_listing_page`` at position 0 for a page
     that turns readers away. Of a card the first accepted link counts, else its last reason."""
-    strategy = strategy_of(domain, document)
+    strategy = strategy_of(domain, document, slots)
     if not html:
         return []
     if domain == "milanuncios.com" and re.search(any_of(BLOCKED), html.lower()):
@@ -207,11 +224,11 @@ def read_page(html: str | None, domain: str, base: str, document: Mapping[str, S
     return out
 
 
-def cards(pages: DataFrame) -> DataFrame:
+def cards(pages: DataFrame, slots: Mapping[str, Slots] | None = None) -> DataFrame:
     """(page_id, source_domain, card_position, rejection_reason, fields…) of ``pages`` (page_id, source_domain, base_url,
     html, and of OVERLAID what the sources' documents set). Null HTML has no cards; a page that can't be read is one row
-    with the error as its reason."""
-    set_ = [c for c in OVERLAID if c in pages.columns]
+    with the error as its reason. ``slots`` has a caller's functions by domain."""
+    set_ = [c for c in (*OVERLAID, SECOND_NAME) if c in pages.columns]
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +236,7 @@ def cards(pages: DataFrame) -> DataFrame:
             rows: list[tuple] = []
             for page, domain, base, html, *values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 try:
-                    found = read_page(html, domain or "", base or "", dict(zip(set_, values, strict=True)))
+                    found = read_page(html, domain or "", base or "", dict(zip(set_, values, strict=True)), slots)
                 except Exception as e:  # one page's fault stays with it
                     found = [(0, f"error: {type(e).__name__}", {})]
                 rows += [(page, domain, position, reason, *(fields.get(f) for f in FIELDS)) for position, reason, fields in found]

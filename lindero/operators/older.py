@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import numbers, pages
+from ..functions import numbers, pages, urls
 from ..functions.dom import Node, parse
 from ..functions.text import filled, squeezed
 from ..sources import tables as t
+from ..sources.shared import settled
 from . import legacy
+from .ordered import running
 
-# Selectors of cards, links, places and breadcrumbs; caps of texts and seeds; columns of the sheets (fixed values).
+# Selectors of cards, links, places, breadcrumbs and next pages; caps of texts, seeds and pages; columns of the sheets (fixed values).
 CARDS = ("div.card.custom-card-info", "div.card")
 LINKS = ("a[href*='/inmuebles/']", "a[href*='/property/']")
 PLACE = "i.fa-location-dot"
 CRUMBS = (".breadcrumb", ".breadcrumbs", "nav[aria-label*='breadcrumb']")
 TOPIC = r"(?iU)\b(nave|pabell[oó]n)\b"
 CARD_TEXT, DETAIL_TEXT, SEEDS = 700, 600, 50
+NEXT = ("a[rel='next']", ".pagination a.next", "a.page-next")
+MOST_PAGES = 8
 SHEET = {"Link": "link", "Ubicación": "localidad", "Detalles": "detalles", "m²": "m2", "Precio": "precio", "Fecha": "fecha", "Fuente": "fuente"}
 
 
@@ -121,8 +125,8 @@ def drops(spark: SparkSession, folder: str) -> DataFrame:
     if not t.exists(spark, folder):
         return t.empty(spark, "place int, path string, html string")
     files = t.read_pages(spark, f"{folder}/*.html")
-    names = files.select(F.sort_array(F.collect_list("path")).alias("names"))  # names alone, of a folder that is filled by hand
-    return files.crossJoin(F.broadcast(names)).select((F.array_position("names", F.col("path")) - 1).cast("int").alias("place"), "path", "html")
+    places = running(files.select("path"), [], "path", total=("place", F.lit(1)))  # names alone
+    return files.join(places, "path").select(F.col("place").cast("int").alias("place"), "path", "html")
 
 
 def first_filled(frames: Sequence[DataFrame]) -> DataFrame:
@@ -152,3 +156,67 @@ def run(sources: Sequence[tuple[str, DataFrame]], folder: str, day: str) -> dict
     for name, sheet in zip(("Alquiler", "Venta"), sheets(legacy.first_links(each, "seq"), day), strict=True):
         t.write_csv(sheet, f"{folder}/{name}")
     return counts
+
+
+Reader = Callable[[DataFrame], DataFrame]
+
+
+def next_links(read: DataFrame) -> DataFrame:
+    """(source, url, next_url) of pages ``read`` (source, url, html): where the first link to the next page leads, for those
+    that have one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for html in batch.column(2).to_pylist():
+                try:
+                    node = _first(parse(html or ""), NEXT)
+                    found.append(node.get("href") if node is not None else None)
+                except Exception:  # one page's fault stays with it
+                    found.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], names=["source", "url", "link"])
+
+    linked = read.select("source", "url", "html").mapInArrow(run, "source string, url string, link string").filter(filled(F.col("link")).isNotNull())
+    return linked.select("source", "url", urls.absolute(F.col("url"), F.trim("link")).alias("next_url"))
+
+
+def crawled(starts: DataFrame, fetch: Callable[[DataFrame], DataFrame], readers: Mapping[str, Reader], most: int = MOST_PAGES) -> DataFrame:
+    """The items of the pages that ``starts`` (source, url, template) lead to, with ``source``, ``hop`` (the number of the
+    page, from 1) and ``page_url``.
+
+    A source with a template ({page}) is read page by page until one has no items (the first one may have none) or can't
+    be fetched; one without follows the links to next pages; both for at most ``most`` pages, each page once. ``readers``
+    by source take pages (page_id, source, url, hop, html) to items with the column page_id. A round fetches one page of every
+    source that goes on, and is a table, so that nothing is fetched twice.
+    """
+    front = settled(starts.select("source", "url", filled(F.col("template")).alias("template"), F.lit(1).alias("hop")).dropDuplicates(["source", "url"]), "front")
+    seen, rounds = front.select("source", "url"), []
+    for hop in range(1, most + 1):
+        got = fetch(front.select("url").distinct()).select("url", "html")
+        read = settled(front.join(got, "url").filter("html is not null").select(F.concat_ws(" ", "source", "url").alias("page_id"), "source", "url", "template", "hop", "html"), "pages")
+        each = [reader(read.filter(F.col("source") == name)) for name, reader in readers.items()]
+        items = settled(reduce(DataFrame.unionByName, each), "items")
+        rounds.append(read.select("page_id", "source", "hop", F.col("url").alias("page_url")).join(items, "page_id"))
+        if hop == most:
+            break
+        going = read.filter("template is not null")
+        going = going if hop == 1 else going.join(items.select("page_id").distinct(), "page_id", "left_semi")
+        numbered = going.select("source", F.replace("template", F.lit("{page}"), F.lit(str(hop + 1))).alias("url"), "template")
+        followed = next_links(read.filter("template is null")).select("source", F.col("next_url").alias("url"), F.lit(None).cast("string").alias("template"))
+        front = settled(numbered.unionByName(followed).dropDuplicates(["source", "url"]).join(seen, ["source", "url"], "left_anti").withColumn("hop", F.lit(hop + 1)), "front")
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front.select("source", "url"))
+    return reduce(DataFrame.unionByName, rounds)
+
+
+def crawl(starts: DataFrame, fetch: Callable[[DataFrame], DataFrame], readers: Mapping[str, Reader], folder: str, day: str, most: int = MOST_PAGES) -> dict[str, int]:
+    """All sources crawled, in the order of ``readers``, into both sheets: of a link the first one stays. How many items each
+    source has is returned."""
+    items = settled(crawled(starts, fetch, readers, most).withColumn("seq", F.struct("hop", "page_url", "place")), "crawl")
+    return run([(name, items.filter(F.col("source") == name)) for name in readers], folder, day)
+
+
+def card_reader(base: str, source: str, operation: str = "N/D") -> Reader:
+    """A reader of pages with cards, for :func:`crawled`."""
+    return lambda read: list_cards(read.select("page_id", "html", F.lit(operation).alias("operation")), base, source)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls
+from ..functions.portals import PORTALS
 from ..functions.text import filled
 
 MISSING, DISABLED, NO_ARCHIVER, NO_HARVEST, NO_START = "missing_source", "disabled", "archiver_disabled", "harvest_disabled", "missing_listing_start_urls"
@@ -42,3 +43,24 @@ def page_plan(sources: DataFrame) -> DataFrame:
     each = sources.select("*", F.posexplode("listing_start_urls").alias("start_ordinal", "listing_start_url")).filter(filled(F.col("listing_start_url")).isNotNull())
     planned = each.select("*", F.explode(pages_of(F.col("listing_start_url"), first, count, F.col("listing_page_param"), F.col("listing_page_url_template"), F.col("listing_first_page_uses_start_url"))).alias("_p"))
     return planned.select("domain", "parser_key", "start_ordinal", "listing_start_url", F.col("_p.page_number").alias("page_number"), F.col("_p.page.url").alias("listing_page_url"), F.col("_p.page.strategy").alias("pagination_strategy"))
+
+
+def with_strategy(sources: DataFrame) -> DataFrame:
+    """``sources`` with what their documents leave open filled in from their portal, if it is known: start URLs of listing
+    pages, how many pages, page parameter, page template. A list without a filled entry, an empty text and a number that is
+    null count as left open (a zero number of pages is one); a source of no known portal has one page."""
+    known = sources.sparkSession.createDataFrame([(p.domain, list(p.starts), p.max_pages, p.page_param, p.page_template) for p in PORTALS], "domain string, _starts array<string>, _most int, _param string, _template string")
+    out = sources.join(F.broadcast(known), "domain", "left")  # one row a portal
+    columns = {f.name: f.dataType.simpleString() for f in sources.schema}
+
+    def own(name: str, kind: str) -> Column:
+        return F.col(name) if name in columns else F.lit(None).cast(kind)
+
+    starts = F.filter(own("listing_start_urls", "array<string>"), lambda u: filled(F.trim(u)).isNotNull())
+    made = {
+        "listing_start_urls": F.when(F.size(starts) > 0, starts).otherwise(F.coalesce("_starts", F.array().cast("array<string>"))),
+        "max_listing_pages": F.coalesce(F.nullif(F.coalesce(own("max_listing_pages", "int"), F.col("_most")), F.lit(0)), F.lit(1)),
+        "listing_page_param": filled(F.trim(F.coalesce(filled(own("listing_page_param", "string")), F.col("_param")))),
+        "listing_page_url_template": filled(F.trim(F.coalesce(filled(own("listing_page_url_template", "string")), F.col("_template")))),
+    }
+    return out.withColumns(made).select(*dict.fromkeys([*sources.columns, *made]))

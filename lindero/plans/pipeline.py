@@ -6,7 +6,7 @@ connection by itself.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +15,19 @@ from pyspark.sql import functions as F
 from ..operators import aliases, cards, details, discovery, history, planning, reporting
 from ..operators.ordered import latest_equal_before
 from ..sources import tables as t
+from ..sources.shared import settled
 
 Fetch = Callable[[DataFrame], DataFrame]
 STEPS = ("archive", "index", "discover", "listing_pages", "listing_errors", "listing_cards", "harvest", "archive_discovered", "parse", "funnel")
 
 
 def archived(urls: DataFrame, fetch: Fetch) -> DataFrame:
-    """Fetched pages with ids, hashes, status, and whether their content equals an earlier page of the URL and day."""
-    got = discovery.snapshot_keys(urls.join(fetch(urls).select("url", "html", "markdown"), "url", "left"))
+    """Fetched pages with ids, hashes, status, and whether their content equals an earlier page of the URL and day. Each URL
+    is fetched once; what the fetcher tells of it besides its texts stays."""
+    found = fetch(urls.dropDuplicates(["url"]))
+    told = [c for c in ("fetch_status", "http_status", "attempts", "fetch_error") if c in found.columns]
+    pages = settled(found.select("url", "html", "markdown", *told), "fetched")
+    got = discovery.snapshot_keys(urls.join(pages, "url", "left"))
     got = got.withColumn("status", discovery.archive_status(F.col("html").isNotNull(), F.coalesce(F.length("markdown") > 0, F.lit(False))))
     return latest_equal_before(got, ["url", "day"], "seq", [("content_hash_preferred", "content_hash_match"), ("markdown_hash", "markdown_hash_match"), ("html_hash", "html_hash_match")])
 
@@ -40,9 +45,11 @@ def overall(statuses: dict[str, str], archive_errors: int) -> str:
     return "partial" if archive_errors else "completed"
 
 
-def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame, root: str, run_id: str, day: str, fetch: Fetch, resume: bool = False, force: tuple[str, ...] = (), only: tuple[str, ...] = ()) -> Run:
+def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame, root: str, run_id: str, day: str, fetch: Fetch, resume: bool = False, force: tuple[str, ...] = (), only: tuple[str, ...] = (), parsers: Sequence[details.Parser] = (), slots: Mapping[str, cards.Slots] | None = None, portal_defaults: bool = False) -> Run:
     """All steps of a job's run below ``root/run_id``, or ``only`` some of them on what is there. A step that fails is noted
-    and those that need it are skipped."""
+    and those that need it are skipped. ``parsers`` of detail pages and ``slots`` with functions for links are the
+    caller's own; with ``portal_defaults`` what sources leave open of their listing pages comes from their portal."""
+    sources = planning.with_strategy(sources) if portal_defaults else sources
     base = f"{root}/{run_id}"
     statuses: dict[str, str] = {}
     errors: list[dict[str, str]] = []
@@ -74,9 +81,13 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
     def seq(*order: str) -> F.Column:
         return F.xxhash64(*order).alias("seq")
 
+    def gaps() -> DataFrame:
+        """The seconds that a source's document asks for between two requests."""
+        return sources.select("domain", history.column_or_null(sources, "rate_limit_seconds", "double").cast("double").alias("gap"))
+
     def seeds() -> DataFrame:
         first = planning.seed_urls(eligible, (limit or [None])[0])
-        return archived(first.select("url", F.col("domain").alias("source_domain"), F.struct("place", "ordinal").alias("seq"), today), fetch)
+        return archived(first.join(gaps(), "domain", "left").select("url", F.col("domain").alias("source_domain"), F.struct("place", "ordinal").alias("seq"), today, "gap"), fetch)
 
     def links() -> DataFrame:
         pages = table("archive").filter("status <> 'error'").join(sources.select(F.col("domain").alias("source_domain"), "parser_key"), "source_domain")
@@ -84,13 +95,13 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
 
     def listing_pages() -> DataFrame:
         plan = planning.page_plan(harvested).withColumnRenamed("listing_page_url", "url")
-        return archived(plan.select("url", F.col("domain").alias("source_domain"), F.struct("start_ordinal", "page_number").alias("seq"), today), fetch)
+        return archived(plan.join(gaps(), "domain", "left").select("url", F.col("domain").alias("source_domain"), F.struct("start_ordinal", "page_number").alias("seq"), today, "gap"), fetch)
 
     def listing_cards() -> DataFrame:
         rows = table("listing_pages").filter("status in ('ok', 'partial')").select(F.col("snapshot_id").alias("page_id"), "seq", "source_domain", F.col("url").alias("base_url"), "html")
-        document = sources.select(F.col("domain").alias("source_domain"), *[c for c in cards.OVERLAID if c in sources.columns])
+        document = sources.select(F.col("domain").alias("source_domain"), *[c for c in (*cards.OVERLAID, cards.SECOND_NAME) if c in sources.columns])
         place = rows.select("page_id", F.concat_ws("/", F.lpad("seq.start_ordinal", 6, "0"), F.lpad("seq.page_number", 6, "0")).alias("page_place")).groupBy("page_id").agg(F.min("page_place").alias("page_place"))
-        return cards.cards(rows.join(document, "source_domain", "left")).join(place, "page_id")
+        return cards.cards(rows.join(document, "source_domain", "left"), slots).join(place, "page_id")
 
     def found() -> DataFrame:
         each = table("listing_cards").withColumn("order", F.concat_ws("/", "source_domain", "page_place", F.lpad("card_position", 6, "0")))
@@ -99,14 +110,16 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
         return history.with_relevance(best, master, F.lit(day).cast("date")).withColumn("url", F.col("candidate_url")).withColumn("run", F.lit(run_id))
 
     def listings() -> DataFrame:
-        more = aliases.merge_aliases(table("harvest").filter("selected"), "run", "order").select("url", "source_domain")
-        linked = table("discover").join(table("archive").select("seq", "source_domain"), "seq").select("url", "source_domain")
-        every = more.unionByName(linked).groupBy("url").agg(F.min("source_domain").alias("source_domain"))
-        return archived(every.select("url", "source_domain", seq("url"), today), fetch)
+        shown_on = table("listing_pages").select(F.col("snapshot_id").alias("page_id"), F.col("url").alias("referer")).groupBy("page_id").agg(F.min("referer").alias("referer"))
+        more = aliases.merge_aliases(table("harvest").filter("selected"), "run", "order").join(shown_on, "page_id", "left").select("url", "source_domain", "referer")
+        linked = table("discover").join(table("archive").select("seq", "source_domain"), "seq").select("url", "source_domain", F.lit(None).cast("string").alias("referer"))
+        every = more.unionByName(linked).groupBy("url").agg(F.min("source_domain").alias("source_domain"), F.min("referer").alias("referer"))
+        every = every.join(gaps().withColumnRenamed("domain", "source_domain"), "source_domain", "left")
+        return archived(every.select("url", "source_domain", seq("url"), today, "referer", "gap"), fetch)
 
     def records() -> DataFrame:
         rows = table("archive_discovered").filter("status in ('ok', 'partial')")
-        return details.parsed(rows.select("snapshot_id", F.col("source_domain").alias("domain"), F.col("url").alias("url_final"), "html", "markdown"), faults=True)
+        return details.parsed(rows.select("snapshot_id", F.col("source_domain").alias("domain"), F.col("url").alias("url_final"), "html", "markdown"), faults=True, parsers=parsers)
 
     def report() -> DataFrame:
         gone = table("archive_discovered").select("source_domain", "status", F.col("url").alias("snapshot_path"))
@@ -129,7 +142,7 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
     status = overall(statuses, pages.get("archive", {}).get("error", 0))
     reasons = {}
     if t.exists(spark, f"{base}/listing_cards/_SUCCESS"):
-        reasons = {r["source_domain"]: r["rejection_reasons"] for r in reporting.reason_map(table("listing_cards"), "source_domain", "rejection_reason").toLocalIterator()}
+        reasons = {r["source_domain"]: r["rejection_reasons"] for r in reporting.reason_map(table("listing_cards"), "source_domain", "rejection_reason").orderBy("source_domain").toLocalIterator()}
     details_found = table("parse").agg(reporting.detail_count().alias("n")).first()["n"] if t.exists(spark, f"{base}/parse/_SUCCESS") else 0
     t.write_document(spark, f"{base}/manifest.json", {"pipeline_run_id": run_id, "job_name": job, "status": status, "step_statuses": statuses, "page_statuses": pages, "detail_count": details_found, "rejection_reasons": reasons, "errors_summary": errors})
     return Run(statuses, status, errors)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .tables import read_json
 
-SOURCE_DDL = "domain string, enabled boolean, mode string, start_urls array<string>, rate_limit_seconds double, login_allowed boolean, parser_key string, notes string, timeout_seconds double, archiver_enabled boolean, harvest_enabled boolean, listing_start_urls array<string>, max_listing_pages int, listing_page_start int, listing_page_param string, listing_page_url_template string, listing_first_page_uses_start_url boolean, listing_card_selectors array<string>, listing_detail_link_selectors array<string>, listing_detail_url_patterns array<string>, listing_reject_url_patterns array<string>, listing_block_patterns array<string>"
+SOURCE_DDL = "domain string, enabled boolean, mode string, start_urls array<string>, rate_limit_seconds double, login_allowed boolean, parser_key string, notes string, timeout_seconds double, archiver_enabled boolean, harvest_enabled boolean, listing_start_urls array<string>, max_listing_pages int, listing_page_start int, listing_page_param string, listing_page_url_template string, listing_first_page_uses_start_url boolean, listing_card_selectors array<string>, listing_detail_link_selectors array<string>, listing_detail_url_patterns array<string>, listing_reject_url_patterns array<string>, listing_block_patterns array<string>, detail_link_selectors array<string>"
 JOB_DDL = "job_name string, sources array<string>, filters map<string,string>, max_urls int, notes string"
 # Keys that a document must have, and what others default to (fixed values).
 SOURCE_REQUIRED = ("domain", "enabled", "mode", "start_urls", "rate_limit_seconds", "login_allowed", "parser_key")
