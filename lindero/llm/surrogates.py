@@ -24,8 +24,9 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import CACHES, frugal, limit_batches, salted_lookup, text_of, written
+from .common import CACHES, frugal, joined, limit_batches, salted_lookup, schema_of, text_of, written
 
 DEFAULT_KEY = b"lindero-surrogates"
 #: Attempts after which a replacement may be longer than its original (its format has too few free strings).
@@ -45,6 +46,10 @@ SYLLABLES = {
 }
 ENDINGS = {"latin": ("n ro s do k".split(), "na la ra ne ta".split(), "son ley mann ez er".split()), "cyrillic": ("н р й м".split(), "на ля ра та".split(), "енко ский".split()), "greek": ("ς νος ρης".split(), "να ρα λια".split(), "ίδης όπουλος".split())}
 
+# Calling codes of one and two digits; all others have three (fixed values).
+SHORT_CODES = set("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+#: Digits that may stand for each other where a number that is not international begins.
+BEGINNINGS = ("01", "2345", "6789")
 CONTROL_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
 _LOCAL = [ip_network(x) for x in ("0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.168.0.0/16", "224.0.0.0/3")]
 
@@ -120,7 +125,12 @@ def _canon(kind: str, raw: str) -> str | None:
         if kind == "card":
             return digits if (digits[0] in "3456" or _two_series(digits)) and not luhn(digits) and len(set(digits)) > 1 else None
         if kind == "phone":
-            return ("+" + re.match(r"\+(\d{1,3})", raw)[1] + "-" if raw[0] == "+" else "") + (digits[len(re.match(r"\+(\d{1,3})", raw)[1]) :] if raw[0] == "+" else digits) if len(digits) >= 8 else None
+            if len(digits) < 8:
+                return None
+            if raw[0] != "+":
+                return digits
+            code = next((digits[:k] for k in (1, 2) if digits[:k] in SHORT_CODES), digits[:3])
+            return f"+{code}-{digits[len(code):]}"
         return digits
     if kind == "national":
         return raw if raw[-1] == _control_letter(raw[:-1]) else None
@@ -231,10 +241,12 @@ def permuted(x: int, n: int, key: bytes, tweak: str) -> int:
             return x
 
 
-def permuted_text(text: str, key: bytes, tweak: str, alphabet: str | None = None) -> str:
+def permuted_text(text: str, key: bytes, tweak: str, alphabet: str | None = None, first: str | None = None) -> str:
     """A permutation of all strings that have ``text``'s format: each letter or digit stays of its class; the rest is
-    kept. With ``alphabet`` every character is one of it."""
+    kept. With ``alphabet`` every character is one of it, with ``first`` the first one is one of that."""
     alphabets = [alphabet if alphabet else _ALPHABETS[k] if (k := _CLASS.get(c)) is not None else None for c in text]
+    if first:
+        alphabets[0] = first
     x, n, shape = 0, 1, []
     for c, a in zip(text, alphabets, strict=True):
         shape.append(c if a is None else str(len(a)) + a[0])
@@ -266,6 +278,17 @@ def _host_bits(value: int) -> int:
     return next((32 - n.prefixlen for n in _LOCAL if value >> 32 - n.prefixlen == int(n.network_address) >> 32 - n.prefixlen), 32)
 
 
+def format_of(kind: str, canon: str) -> str:
+    """The set of strings that an entity's first replacement is a permutation of; names have none."""
+    if ":" in kind:
+        return ""
+    if kind == "ip":
+        value = int(ip_address(canon))
+        bits = _host_bits(value)
+        return f"ip {bits} {value >> bits if bits < 32 else 0}"
+    return f"{kind} " + "".join(str(_CLASS.get(c, c)) for c in canon)
+
+
 @lru_cache(maxsize=100_000)
 def surrogate(kind: str, canon: str, key: bytes = DEFAULT_KEY, attempt: int = 0) -> str:
     """The replacement for an entity, in canonical spelling."""
@@ -281,7 +304,7 @@ def surrogate(kind: str, canon: str, key: bytes = DEFAULT_KEY, attempt: int = 0)
         return (permuted_text(f"{local}@{own}", key, tweak) if own else permuted_text(local, key, tweak) + "@").replace("@", extra + "@", 1) + ("." if own else "") + ".".join(labels[-kept:])
     if kind == "phone":
         head, dash, rest = canon.rpartition("-")
-        return head + dash + permuted_text(rest, key, tweak + head) + extra
+        return head + dash + permuted_text(rest, key, tweak + head, first=next(x for x in BEGINNINGS if rest[0] in x)) + extra
     if kind == "card":
         if _two_series(canon):  # stays in its range of prefixes
             low = 2221 * 10**11
@@ -381,26 +404,38 @@ def _space() -> Column:
     return F.when(F.col("kind").contains(":"), F.concat(F.lit("name:"), F.split("kind", ":")[2])).otherwise(F.col("kind")).alias("space")
 
 
-def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts: int = 64) -> DataFrame:
+def _with_format(entities: DataFrame) -> DataFrame:
+    """``entities`` (kind, canon, made) and ``format``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [format_of(k, c) for k, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=["kind", "canon", "made", "format"])
+
+    return entities.select("kind", "canon", "made").mapInArrow(frugal(run), "kind string, canon string, made string, format string")
+
+
+def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts: int = 24) -> DataFrame:
     """(kind, canon, made) of those ``entities`` (kind, canon, made) that need another replacement than their first.
 
     An entity keeps its replacement if that is no original of its space and no smaller one of the space has it, too; the
-    others draw again, against all that are taken, until none is left. Where a format has no free string after
-    ``attempts`` draws (a small block of addresses, say), what is left keeps its last draw, which is its own at least.
+    others draw again, against all that are taken, until none is left. Where a format is too full for that (a small block
+    of addresses, say: entities are left after ``attempts`` draws), all entities of the format go by its permutation, as
+    at first: they all differ, but one's replacement may be another one's original.
     """
     known = _held(entities.groupBy("kind", "canon").agg(F.min("made").alias("made")).withColumn("space", _space()))
     taken = known.select("space", F.col("canon").alias("made"))
 
     def settled(drawn: DataFrame, taken: DataFrame) -> tuple[DataFrame, DataFrame]:
         first = drawn.groupBy("space", "made").agg(F.min(F.struct("canon", "kind")).alias("owner"))
-        marked = drawn.join(first, ["space", "made"]).join(taken.distinct().withColumn("gone", F.lit(True)), ["space", "made"], "left")
+        marked = joined(joined(drawn, first, ["space", "made"]), taken.distinct().withColumn("gone", F.lit(True)), ["space", "made"], "left")
         fine = (F.col("owner.canon") == F.col("canon")) & (F.col("owner.kind") == F.col("kind")) & F.col("gone").isNull()
         marked = _held(marked.withColumn("fine", fine).select("kind", "canon", "made", "space", "fine"))
         return marked.filter("fine").drop("fine"), marked.filter("not fine").drop("fine")
 
     # Only replacements drawn twice or equal to an original are looked at again; the rest stays where it is.
     twice = known.groupBy("space", "made").agg(F.count("*").alias("n")).filter("n > 1").select("space", "made")
-    suspects = _held(known.join(twice.unionByName(taken).distinct(), ["space", "made"], "left_semi"))
+    suspects = _held(joined(known, twice.unionByName(taken).distinct(), ["space", "made"], "left_semi"))
     _, losers = settled(suspects, taken)
     taken = taken.unionByName(known.select("space", "made"))
     moved: DataFrame | None = None
@@ -412,8 +447,12 @@ def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts:
         moved = won if moved is None else moved.unionByName(won)
         taken = taken.unionByName(won.select("space", "made"))
     else:
-        left = losers.filter("made <> canon")
-        moved = left if moved is None else moved.unionByName(left)
+        named = F.col("kind").contains(":")  # names come from no permutation: what is left of them keeps its last draw
+        full = _with_format(losers.filter(~named)).select("format").distinct()
+        first = salted_lookup(_with_format(known), full.withColumn("full", F.lit(True)), ["format"], F.col("canon")).filter("full").select("kind", "canon", "made")
+        rest = losers.filter(named & (F.col("made") != F.col("canon"))).select("kind", "canon", "made")
+        rest = rest.unionByName(moved.select("kind", "canon", "made")) if moved is not None else rest
+        return joined(rest, first.select("kind", "canon"), ["kind", "canon"], "left_anti").unionByName(first)
     return (moved if moved is not None else losers.limit(0)).select("kind", "canon", "made")
 
 
@@ -433,7 +472,7 @@ def _one_kind(entities: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame | N
     resolved = named.groupBy("script", "canon").agg(*votes).select("script", "canon", kind.alias("kind"))
     made = _held(resolved.select("kind", "canon").mapInArrow(frugal(lambda b: _redrawn(b, key, 0)), "kind string, canon string, made string"))
     to = made.select(F.split("kind", ":")[2].alias("script"), "canon", F.col("kind").alias("resolved"), "made")
-    changed = named.select("script", "canon", "kind").join(to, ["script", "canon"]).filter("kind <> resolved").select("kind", "canon", "resolved", "made")
+    changed = joined(named.select("script", "canon", "kind"), to, ["script", "canon"]).filter("kind <> resolved").select("kind", "canon", "resolved", "made")
     return entities.filter(~of_name).unionByName(made), _held(changed)
 
 
@@ -448,26 +487,38 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
     special = _held(collisions_resolved(resolved, key))
     if changed is not None:
         other = special.select(F.col("kind").alias("resolved"), "canon", F.col("made").alias("again"))
-        moved = changed.join(other, ["resolved", "canon"], "left").select("kind", "canon", F.coalesce("again", "made").alias("made"))
+        moved = joined(changed, other, ["resolved", "canon"], "left").select("kind", "canon", F.coalesce("again", "made").alias("made"))
         special = _held(special.unionByName(moved))
+    # The caller's columns travel as one, whatever they are called.
     others = [c for c in docs.columns if c not in ("text", "n_entities", "kinds")]
-    source = docs.select(*others, F.col("text").cast("string").alias("text"))
+    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias(_none_of(others))).alias("own"), F.col("text").cast("string").alias("text"))
     if special.isEmpty():
-        source = source.withColumn("_special", F.lit(None).cast("map<string,string>"))
+        source = source.withColumn("special", F.lit(None).cast("map<string,string>"))
     else:
         per_text = salted_lookup(entities.select("text_key", "kind", "canon"), special, ["kind", "canon"], F.col("text_key")).filter("made is not null")
-        per_text = per_text.groupBy("text_key").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon"), "made"))).alias("_special"))
-        source = source.withColumn("text_key", F.xxhash64(text_of())).join(per_text, "text_key", "left").select(*others, "text", "_special")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+        per_text = per_text.groupBy("text_key").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon"), "made"))).alias("special"))
+        keyed = source.withColumn("text_key", F.xxhash64(text_of())).withColumn("spread", F.monotonically_increasing_id())
+        source = salted_lookup(keyed, per_text, ["text_key"], F.col("spread")).select("own", "text", "special")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n, kinds = [], [], []
-            for text, its in zip(batch.columns[-2], batch.columns[-1], strict=True):
+            for text, its in zip(batch.columns[1], batch.columns[2], strict=True):
                 new, done = (None, []) if not text.is_valid else replace(text.as_py(), key, dict(its.as_py()) if its.is_valid else None)
                 texts.append(new)
                 n.append(len(done))
                 kinds.append(",".join(f"{k}:{v}" for k, v in sorted(Counter(e.kind.split(":")[0] for e, _ in done).items())))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(texts, pa.string()), pa.array(n, pa.int32()), pa.array(kinds, pa.string())], names=[*others, "text", "n_entities", "kinds"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(n, pa.int32()), pa.array(kinds, pa.string())], names=["own", "text", "n_entities", "kinds"])
 
-    return source.mapInArrow(frugal(run), f"{fields}, n_entities int, kinds string").select(*[c for c in docs.columns if c not in ("n_entities", "kinds")], "n_entities", "kinds")
+    kind = T.StructType([source.schema["own"], *schema_of("text string, n_entities int, kinds string").fields])
+    done = source.mapInArrow(frugal(run), kind)
+    kept = [F.col("text") if c == "text" else F.col("own").getField(c).alias(c) for c in docs.columns if c not in ("n_entities", "kinds")]
+    return done.select(*kept, "n_entities", "kinds")
+
+
+def _none_of(names: list[str]) -> str:
+    """A name that is none of ``names``, so that a struct of them is never empty."""
+    out = "_"
+    while out in names:
+        out += "_"
+    return out
