@@ -121,10 +121,11 @@ def last_day(spark: SparkSession, sf_dir: str) -> str:
 def history_before(records: DataFrame, day: str) -> DataFrame:
     """Master history of all days before ``day``, replayed at once."""
     n = h.normalized(records.filter(F.col("day") < F.lit(day).cast("date")), keep=("day",))
-    last = ordered.last_by_key(n, ["listing_key"], "seq").drop("first_seq", "day", "seq")
-    days = n.groupBy("listing_key").agg(F.min("day").alias("first_seen_date"), F.max("day").alias("last_seen_date"), F.countDistinct("day").cast("int").alias("seen_count"))
+    own = F.struct(*[c for c in n.columns if c not in ("day", "seq")])
+    days = F.size(F.collect_set("day")).cast("int")  # a set of days
+    out = n.groupBy("listing_key").agg(F.max_by(own, "seq").alias("_r"), F.min("day").alias("first_seen_date"), F.max("day").alias("last_seen_date"), days.alias("seen_count")).select("_r.*", "first_seen_date", "last_seen_date", "seen_count")
     flow = F.when(F.crc32(F.col("listing_key").cast("binary")) % 4 == 0, "processed").when(F.crc32(F.col("listing_key").cast("binary")) % 4 == 1, "discarded").otherwise("pending")
-    out = last.join(days, "listing_key").withColumn("workflow_status", flow).withColumn("workflow_updated_at", F.lit("2024-01-01T00:00:00Z")).withColumn("workflow_note", F.lit(None).cast("string"))
+    out = out.withColumn("workflow_status", flow).withColumn("workflow_updated_at", F.lit("2024-01-01T00:00:00Z")).withColumn("workflow_note", F.lit(None).cast("string"))
     return out.select(*T.StructType.fromDDL(h.MASTER_DDL).names)
 
 
@@ -237,9 +238,9 @@ def listing_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("seq", "portal", "external_id", "canonical_url", "dedupe_method", "listing_key")
 
 
-@query(f"WITH {_SQL_LISTINGS}, d(portal) AS (VALUES ('fotocasa'), ('idealista'), ('milanuncios'), ('pisos'), ('yaencontre')) SELECT d.portal, coalesce(n, 0) AS n FROM d LEFT JOIN (SELECT portal, count(*) AS n FROM listings WHERE event_type = 'signup' GROUP BY 1) USING (portal)")
+@query(f"WITH {_SQL_LISTINGS}, d(portal) AS (VALUES ('fotocasa'), ('idealista'), ('milanuncios'), ('pisos'), ('yaencontre')) SELECT d.portal, coalesce(n, 0) AS n FROM d LEFT JOIN (SELECT portal, count(*) AS n FROM listings GROUP BY 1) USING (portal)")
 def portal_slug_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return h.portal_counts(listings(spark, sf_dir).filter("event_type = 'signup'").select(ids.portal_slug(F.col("source_domain")).alias("portal")))
+    return h.portal_counts(listings(spark, sf_dir).select(ids.portal_slug(F.col("source_domain")).alias("portal")))
 
 
 _SQL_PRICES = """p AS (SELECT o_orderkey, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS whole, o_orderkey % 8 AS k FROM orders),
@@ -554,10 +555,10 @@ def town_and_operation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", pages.town(F.col("t")).alias("town"), pages.operation(F.col("t"), F.lit(None).cast("string"), F.lit("")).alias("operation"))
 
 
-@query("""WITH l AS (SELECT conv_id, turn, substr(text, 1, 40) AS line, role = 'user' AS is_title FROM conversations), g AS (SELECT *, CAST(sum(is_title::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS record FROM l)
+@query("""WITH l AS (SELECT conv_id, turn, text AS line, role = 'user' AS is_title FROM conversations), g AS (SELECT *, CAST(sum(is_title::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS record FROM l)
     SELECT conv_id, record, trim(max(line) FILTER (WHERE is_title), ' ') AS title, count(*) FILTER (WHERE NOT is_title AND length(trim(line, ' ')) > 2) AS features FROM g WHERE record > 0 GROUP BY 1, 2""")
 def feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.substring("text", 1, 40).alias("line"), "role")
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("line"), "role")
     return legacy.feature_records(c, "conv_id", "turn", "line", F.col("role") == "user").select("conv_id", "record", "title", F.size("features").cast("long").alias("features"))
 
 
@@ -577,10 +578,10 @@ def legacy_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", m2.alias("m2"), numbers.listed_price(t, m2)["price"].alias("price"))
 
 
-@query(f"WITH {_SQL_LISTINGS}, u AS (SELECT 0 AS k, seq, url_final AS link, event_type FROM listings WHERE event_type = 'view' UNION ALL SELECT 1, seq, url_final, event_type FROM listings WHERE event_type <> 'error') SELECT link, event_type, seq FROM u WHERE link <> '' QUALIFY row_number() OVER (PARTITION BY link ORDER BY k, seq) = 1")
+@query(f"WITH {_SQL_LISTINGS}, u AS (SELECT 0 AS k, seq, url_final AS link, event_type FROM listings WHERE event_type = 'error' UNION ALL SELECT 1, seq, url_final, event_type FROM listings) SELECT link, event_type, seq FROM u WHERE link <> '' QUALIFY row_number() OVER (PARTITION BY link ORDER BY k, seq) = 1")
 def legacy_first_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = listings(spark, sf_dir).select("seq", F.col("url_final").alias("link"), "event_type")
-    return legacy.first_links([r.filter("event_type = 'view'"), r.filter("event_type <> 'error'")], "seq").select("link", "event_type", "seq")
+    return legacy.first_links([r.filter("event_type = 'error'"), r], "seq").select("link", "event_type", "seq")
 
 
 # --- what SQL has no form for ---------------------------------------------------------------------------------------
@@ -656,6 +657,45 @@ def alias_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_aliases(n, "run", "seq").select("seq", "portal", "external_id", "listing_key", "canonical_url", "url", "title_text", "location_text")
 
 
+_SQL_ALIASES = """e AS (SELECT CAST(ts AS DATE) AS run, event_id AS seq, CASE WHEN event_id % 10 = 0 THEN ' e' || user_id % 20 END AS external_id, CASE WHEN event_id % 3 <> 0 THEN 'k' || user_id % 200 ELSE ' ' END AS listing_key,
+        CASE WHEN event_id % 4 = 0 THEN 'u' || event_id * 31 % 1009 ELSE 'c' || event_id % 97 END AS canonical_url, CASE WHEN event_id % 7 <> 0 THEN 'u' || event_id * 17 % 1009 END AS url, CASE WHEN event_id % 5 = 0 THEN 't' END AS title_text, CASE WHEN event_id % 6 = 0 THEN 'p' ELSE '' END AS price_text FROM events)"""
+
+
+@query(f"""WITH RECURSIVE {_SQL_ALIASES}, a AS (SELECT run, seq, p, trim([external_id, listing_key, canonical_url, url][p]) AS key FROM e, range(1, 5) r(p)), o AS (SELECT run, seq, key, min(p) AS p FROM a WHERE key <> '' GROUP BY 1, 2, 3),
+    l AS (SELECT run, seq, p, lag(seq) OVER (PARTITION BY run, key ORDER BY seq) AS before FROM o), t AS (SELECT run, seq, arg_min(before, p) FILTER (WHERE before IS NOT NULL) AS up FROM l GROUP BY 1, 2),
+    g AS (SELECT run, seq, seq AS root FROM t WHERE up IS NULL UNION ALL SELECT t.run, t.seq, g.root FROM t JOIN g ON t.run = g.run AND t.up = g.seq)
+    SELECT run, seq, external_id, listing_key, canonical_url, url, title_text, price_text FROM g JOIN e USING (run, seq) QUALIFY row_number() OVER (PARTITION BY run, root ORDER BY (title_text IS NOT NULL)::INT + (price_text <> '')::INT DESC, seq) = 1""")
+def alias_merge_crossing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run is a day. Keys lead from one group to another and back; the SQL follows each row to the last one before it that
+    holds its first known key."""
+    n, user = F.col("event_id"), F.col("user_id")
+    made = [
+        F.when(n % 10 == 0, F.concat(F.lit(" e"), user % 20)).alias("external_id"), F.when(n % 3 != 0, F.concat(F.lit("k"), user % 200)).otherwise(" ").alias("listing_key"), F.when(n % 4 == 0, F.concat(F.lit("u"), n * 31 % 1009)).otherwise(F.concat(F.lit("c"), n % 97)).alias("canonical_url"),
+        F.when(n % 7 != 0, F.concat(F.lit("u"), n * 17 % 1009)).alias("url"), F.when(n % 5 == 0, "t").alias("title_text"), F.when(n % 6 == 0, "p").otherwise("").alias("price_text"),
+    ]
+    return merge_aliases(table(spark, sf_dir, "events").select(F.to_date("ts").alias("run"), n.alias("seq"), *made), "run", "seq")
+
+
+#: Ends of URLs that the portals' rules for a listing's own page tell apart; ``{}`` is a number.
+RULE_ENDS = ("/es/x/{}/d", "/inmueble/{}/", "/naves-{}.htm?x=1", "/alquilar/nave-{}_1/", "/es/alquiler/naves-industriales/l", "/pagina-{}.htm", "/agencia/inmueble/{}", "/alquilar/bilbao/{}", "/venta/nave-{}", "/l/{}", "/a-{}", "/SBuscador/a-{}.htm")
+_RULE_SQL = {
+    "fotocasa.es": (r"/\d+/d(\?|$)|/inmueble/\d+|/es/(alquiler|comprar)/naves-industriales/|/es/(alquiler|comprar)/locales/", r"/inmobiliaria|/agencia|/perfil|/l/\d+(\?|$)|/crear-alerta|/contactar|/contacto|/mapa|/favoritos|/share|/whatsapp|javascript:|mailto:|tel:"),
+    "idealista.com": (r"/inmueble/\d+/?$", r"/agencia|/obra-nueva|/perfil|/mapa|/inmobiliaria|/favoritos|/publicar|/login|/pagina-\d+\.htm$"),
+    "milanuncios.com": (r"-\d+\.htm(\?|$)", r"/inmobiliaria|/profesional|/mis-anuncios|/buscador|/s?buscador|/login|/registro"),
+    "pisos.com": (r"/alquilar/[^/]+/\d+(_[^/]+)?/?$|/alquilar/[^/]*-\d+(_[^/]+)?/?$|/inmueble/\d+/?$", r"/alquiler/?$|/venta/?$|/naves-vizcaya_bizkaia/\d+/?$|/inmobiliaria|/agencia|/mapa|/obra-nueva|/login"),
+    "yaencontre.com": (r"/inmueble/\d+(/|$)|/\d{5,}(/|$)|/[a-z0-9-]+-\d{5,}(\.htm)?(\?|/|$)", r"/alquiler/|/venta/|/obra-nueva|/inmobiliaria|/agencia|/perfil|/mapa|/buscador|/resultados|/filtros?|/contacto|/favoritos|/alertas|/login|javascript:|mailto:|tel:"),
+}
+
+
+@query("WITH u AS (SELECT event_id, 'https://www.x.es' || replace((" + _sql_list(RULE_ENDS) + ")[event_id % 12 + 1], '{}', CAST(event_id * 37 AS VARCHAR)) AS url FROM events), d(domain, yes, no) AS (VALUES " + ", ".join(f"('{d}', '{y}', '{n}')" for d, (y, n) in _RULE_SQL.items()) + ") SELECT event_id, domain, regexp_matches(lower(url), yes) AND NOT regexp_matches(lower(url), no) AS is_detail FROM u, d")
+def portal_detail_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs of all kinds under the rules of every portal; the SQL has patterns of its own."""
+    end = F.element_at(F.array(*map(F.lit, RULE_ENDS)), (F.col("event_id") % 12 + 1).cast("int"))
+    url = F.concat(F.lit("https://www.x.es"), F.replace(end, F.lit("{}"), (F.col("event_id") * 37).cast("string")))
+    each = table(spark, sf_dir, "events").select("event_id", url.alias("url"), F.explode(F.array(*map(F.lit, _RULE_SQL))).alias("domain"))
+    return each.select("event_id", "domain", portals.is_detail(F.col("url"), F.col("domain")).alias("is_detail"))
+
+
 @query(r"""WITH b AS (SELECT event_id, json_extract_string(props, '$.k') AS k, props, 'https://www.idealista.com/inmueble/' || event_id AS url FROM events),
     near AS (SELECT *, '{"detailUrl": "https://www.indomio.es/x", "title": "' || replace(props, '"', '\"') || '"}' AS inner_text FROM b),
     i AS (SELECT event_id, 0 AS place, url AS link, '{"url": "' || url || '", "near": [' || inner_text || ']}' AS text, '' AS title FROM near UNION ALL SELECT event_id, 1, 'https://www.indomio.es/x', inner_text, props FROM near)
