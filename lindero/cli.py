@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import sys
 from collections.abc import Sequence
@@ -15,6 +16,7 @@ from .operators import history as h
 from .plans import pipeline, publish
 from .sources import config
 from .sources import tables as t
+from .sources.fetch import polite
 
 
 def _session() -> SparkSession:
@@ -40,13 +42,21 @@ def _files(urls: DataFrame) -> DataFrame:
     return urls.select("url", F.regexp_replace("url", "^file:/*", "/").alias("_path")).join(got, "_path", "left").select("url", "html", none.alias("markdown"))
 
 
+def _fetcher(connect: str | None) -> pipeline.Fetch:
+    """Files, or pages over the connections that ``package.module:function`` opens."""
+    if not connect:
+        return _files
+    module, _, name = connect.partition(":")
+    return polite(getattr(importlib.import_module(module), name))
+
+
 #: Commands that run some of a job's steps on what its run has so far.
 STEPS = {
     "run-job": ("archive", "index"),
     "discover-job-run": ("discover",),
     "harvest-listings": ("listing_pages", "listing_errors", "listing_cards", "harvest"),
     "archive-discovered": ("archive_discovered",),
-    "parse-discovered": ("parse",),
+    "parse-discovered": ("parse", "export"),
     "report-run": ("funnel",),
 }
 
@@ -72,9 +82,9 @@ def parser() -> argparse.ArgumentParser:
     add("show-job", "name")
     add("plan-job", "name")
     add("plan-pages", "name")
-    add("run-job-full", "name", run_id="run", day="1970-01-01", resume=bool, force="")
+    add("run-job-full", "name", run_id="run", day="1970-01-01", resume=bool, force="", connect=None, portal_defaults=bool)
     for name in STEPS:
-        add(name, "name", run_id="run", day="1970-01-01")
+        add(name, "name", run_id="run", day="1970-01-01", connect=None, portal_defaults=bool)
     add("archive", "url", day="1970-01-01")
     add("list-runs", job=None)
     add("legacy", "folder", out="legacy", day="1970-01-01")
@@ -82,6 +92,9 @@ def parser() -> argparse.ArgumentParser:
     add("list-snapshots", "run_id", domain=None, date=None, status=None)
     add("parse-pages", "glob", domain="unknown-domain")
     add("publish", "records", day="1970-01-01", now="1970-01-01T00:00:00Z")
+    add("publish-latest", "name", run_id="run", day="1970-01-01", now="1970-01-01T00:00:00Z", connect=None, make=bool)
+    add("export-history", "path")
+    add("apply-edits", "edits", now="1970-01-01T00:00:00Z")
     add("published-dates")
     add("set-listing-status", "key", "status", now="1970-01-01T00:00:00Z", note=None)
     add("history", portal=None, status=None, day=None, text=None)
@@ -113,21 +126,20 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
         elif name == "plan-pages":
             _show(planning.page_plan(own.filter("reason is null")))
         else:
-            done = pipeline.run_job(spark, args.name, jobs, sources, root, args.run_id, args.day, _files, args.resume, tuple(filter(None, args.force.split(","))))
+            done = pipeline.run_job(spark, args.name, jobs, sources, root, args.run_id, args.day, _fetcher(args.connect), args.resume, tuple(filter(None, args.force.split(","))), portal_defaults=args.portal_defaults)
             print(json.dumps({"status": done.status, "steps": done.statuses, "errors": done.errors}, indent=2))
             return 1 if done.status == "failed" else 0
     elif name in STEPS:
         jobs, sources = config.load_jobs(spark, args.jobs), config.load_sources(spark, args.sources)
         config.by_key(jobs, "job_name", args.name)
-        done = pipeline.run_job(spark, args.name, jobs, sources, root, args.run_id, args.day, _files, only=STEPS[name])
+        done = pipeline.run_job(spark, args.name, jobs, sources, root, args.run_id, args.day, _fetcher(args.connect), only=STEPS[name], portal_defaults=args.portal_defaults)
         print(json.dumps({"steps": {s: done.statuses[s] for s in STEPS[name]}, "errors": done.errors}, indent=2))
         return 1 if done.errors else 0
     elif name == "archive":
         one = spark.createDataFrame([(args.url, 0)], "url string, seq int").withColumn("day", F.lit(args.day).cast("date"))
         _show(pipeline.archived(one, _files), ["snapshot_id", "url", "status", "html_hash"])
     elif name == "list-runs":
-        found = spark.read.schema("pipeline_run_id string, job_name string, status string").option("multiLine", True).option("pathGlobFilter", "manifest.json").option("recursiveFileLookup", True).json(root) if t.exists(spark, root) else t.empty(spark, "pipeline_run_id string, job_name string, status string")
-        _show(config.matching(found, job_name=args.job).orderBy("pipeline_run_id"))
+        _show(config.matching(publish.runs(spark, root), job_name=args.job).orderBy("pipeline_run_id"), ["pipeline_run_id", "job_name", "status"])
     elif name == "legacy":
         saved = older.drops(spark, args.folder)
         cards = older.list_cards(saved.select(F.col("place").alias("page_id"), "html", F.lit("N/D").alias("operation")), "https://www.inmoercilla.com", "Inmoercilla")
@@ -148,13 +160,27 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
     elif name == "publish":
         rows = t.read_json_lines(spark, args.records, ", ".join(f"{c} string" for c in h.BUSINESS), place=True)
         print(json.dumps(publish.publish_to(rows.withColumnRenamed(t.PLACE, "seq"), root, args.day, args.now), indent=2))
+    elif name == "publish-latest":
+        jobs, sources = config.load_jobs(spark, args.jobs), config.load_sources(spark, args.sources)
+        config.by_key(jobs, "job_name", args.name)
+
+        def make() -> str:
+            pipeline.run_job(spark, args.name, jobs, sources, root, args.run_id, args.day, _fetcher(args.connect))
+            return args.run_id
+
+        print(json.dumps(publish.publish_latest(spark, root, args.name, args.day, args.now, make if args.make else None), indent=2))
+    elif name == "export-history":
+        t.write_csv(h.sorted_history(t.read_versioned(spark, f"{root}/master", h.MASTER_DDL)), args.path)
+    elif name == "apply-edits":
+        edits = t.read_keyed_lines(spark, args.edits, "listing_key string, workflow_status string, workflow_note string", "listing_key")
+        print(publish.set_statuses(spark, root, edits, args.now))
     elif name == "published-dates":
         print("\n".join(publish.published_dates(spark, root)))
     elif name == "set-listing-status":
         publish.set_status(spark, root, args.key, args.status, args.now, args.note)
     elif name == "history":
         master = t.read_versioned(spark, f"{root}/master", h.MASTER_DDL)
-        _show(viewer.history_filtered(master, args.portal, args.status, args.day, args.text), ["listing_key", "title", "price_text", "workflow_status", "first_seen_date", "last_seen_date", "seen_count"])
+        _show(h.sorted_history(viewer.history_filtered(master, args.portal, args.status, args.day, args.text)), ["listing_key", "title", "price_text", "workflow_status", "first_seen_date", "last_seen_date", "seen_count"])
     elif name == "client-view":
         path = f"{root}/published/{args.day}/all.csv"
         if not t.exists(spark, path):

@@ -16,9 +16,10 @@ from ..operators import aliases, cards, details, discovery, history, planning, r
 from ..operators.ordered import latest_equal_before
 from ..sources import tables as t
 from ..sources.shared import settled
+from . import publish
 
 Fetch = Callable[[DataFrame], DataFrame]
-STEPS = ("archive", "index", "discover", "listing_pages", "listing_errors", "listing_cards", "harvest", "archive_discovered", "parse", "funnel")
+STEPS = ("archive", "index", "discover", "listing_pages", "listing_errors", "listing_cards", "harvest", "archive_discovered", "parse", "export", "funnel")
 
 
 def archived(urls: DataFrame, fetch: Fetch) -> DataFrame:
@@ -45,10 +46,12 @@ def overall(statuses: dict[str, str], archive_errors: int) -> str:
     return "partial" if archive_errors else "completed"
 
 
-def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame, root: str, run_id: str, day: str, fetch: Fetch, resume: bool = False, force: tuple[str, ...] = (), only: tuple[str, ...] = (), parsers: Sequence[details.Parser] = (), slots: Mapping[str, cards.Slots] | None = None, portal_defaults: bool = False) -> Run:
+def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame, root: str, run_id: str, day: str, fetch: Fetch, resume: bool = False, force: tuple[str, ...] = (), only: tuple[str, ...] = (), parsers: Sequence[details.Parser] = (), slots: Mapping[str, cards.Slots] | None = None, portal_defaults: bool = False, clock: Callable[[], str] | None = None) -> Run:
     """All steps of a job's run below ``root/run_id``, or ``only`` some of them on what is there. A step that fails is noted
     and those that need it are skipped. ``parsers`` of detail pages and ``slots`` with functions for links are the
-    caller's own; with ``portal_defaults`` what sources leave open of their listing pages comes from their portal."""
+    caller's own; with ``portal_defaults`` what sources leave open of their listing pages comes from their portal. ``clock``
+    tells the times of the manifest; without one they are the beginning of ``day``."""
+    began = clock() if clock else f"{day}T00:00:00Z"
     sources = planning.with_strategy(sources) if portal_defaults else sources
     base = f"{root}/{run_id}"
     statuses: dict[str, str] = {}
@@ -121,6 +124,12 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
         rows = table("archive_discovered").filter("status in ('ok', 'partial')")
         return details.parsed(rows.select("snapshot_id", F.col("source_domain").alias("domain"), F.col("url").alias("url_final"), "html", "markdown"), faults=True, parsers=parsers)
 
+    def export() -> DataFrame:
+        rows = table("parse").filter("read_error is null").orderBy("snapshot_id")
+        t.write_csv(publish.exported(rows), f"{base}/export.csv")
+        t.write_json_lines(publish.exported(rows), f"{base}/export.jsonl")
+        return publish.exported(rows).groupBy("source_domain", "parse_status").agg(F.count("*").alias("n"))
+
     def report() -> DataFrame:
         gone = table("archive_discovered").select("source_domain", "status", F.col("url").alias("snapshot_path"))
         read = table("parse")
@@ -136,6 +145,7 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
     step("harvest", ("listing_cards",), found)
     step("archive_discovered", ("archive", "discover", "harvest"), listings)
     step("parse", ("archive_discovered",), records)
+    step("export", ("parse",), export)
     step("funnel", ("harvest", "archive_discovered", "parse"), report)
     there = [s for s in ("archive", "archive_discovered") if t.exists(spark, f"{base}/{s}/_SUCCESS")]
     pages = {s: table(s).agg(*reporting.status_counts(F.col("status"))).first().asDict() for s in there}
@@ -144,5 +154,5 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
     if t.exists(spark, f"{base}/listing_cards/_SUCCESS"):
         reasons = {r["source_domain"]: r["rejection_reasons"] for r in reporting.reason_map(table("listing_cards"), "source_domain", "rejection_reason").orderBy("source_domain").toLocalIterator()}
     details_found = table("parse").agg(reporting.detail_count().alias("n")).first()["n"] if t.exists(spark, f"{base}/parse/_SUCCESS") else 0
-    t.write_document(spark, f"{base}/manifest.json", {"pipeline_run_id": run_id, "job_name": job, "status": status, "step_statuses": statuses, "page_statuses": pages, "detail_count": details_found, "rejection_reasons": reasons, "errors_summary": errors})
+    t.write_document(spark, f"{base}/manifest.json", {"pipeline_run_id": run_id, "job_name": job, "started_at": began, "ended_at": clock() if clock else began, "status": status, "export": {"csv": f"{base}/export.csv", "jsonl": f"{base}/export.jsonl"}, "step_statuses": statuses, "page_statuses": pages, "detail_count": details_found, "rejection_reasons": reasons, "errors_summary": errors})
     return Run(statuses, status, errors)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.portals import SLUGS
@@ -62,8 +63,7 @@ def publish_to(records: DataFrame, root: str, day: str, now: str, parts: bool =
     on = F.lit(day).cast("date")
     for _ in range(attempts):
         m, s = store.version(spark, masters), store.version(spark, statuses)
-        read = Observation()
-        current = h.deduplicated(h.normalized(records.observe(read, F.count(F.lit(1)).alias("n"))))
+        current = h.deduplicated(h.normalized(records))
         rows = h.upserted(current, store.rows_of(spark, masters, m, MASTER), on, store.rows_of(spark, statuses, s, STATUS), now, only_batch=True).drop("in_batch")
         batch = store.write_segment(rows, masters, KEY, m.buckets or store.BUCKETS)
         made = spark.read.schema(rows.schema).parquet(f"{masters}/{batch.path}")
@@ -85,11 +85,56 @@ def publish_to(records: DataFrame, root: str, day: str, now: str, parts: bool =
     folder = f"{root}/published/{day}"
     _lists(new, folder)
     counted = {r["portal"]: r["n"] for r in t.read_csv(spark, f"{folder}/all.csv", PUBLISHED).groupBy("portal").agg(F.count("*").alias("n")).collect()}
-    summary = {"publish_date": day, "input_records": read.get["n"], "deduped_records": batch.rows, "new_records": sum(counted.values()), "history_records": m.rows, "portal_counts": {p: counted.get(p, 0) for p in SLUGS}, "published_at": now}
+    summary = {"publish_date": day, "input_records": records.count(), "deduped_records": batch.rows, "new_records": sum(counted.values()), "history_records": m.rows, "portal_counts": {p: counted.get(p, 0) for p in SLUGS}, "published_at": now}
     t.write_document(spark, f"{folder}/summary.json", summary)
     return summary
 
 
+#: The columns of a run's exported records.
+EXPORTED = (*h.BUSINESS, "external_id", "surface_text")
+#: What is read of a run's manifest.
+RUN_DDL = "pipeline_run_id string, job_name string, status string, started_at string, ended_at string, export struct<csv: string, jsonl: string>"
+
+
+def exported(records: DataFrame) -> DataFrame:
+    """Parsed records as they are exported: the columns of EXPORTED, those that are missing null."""
+    return records.select(*[h.column_or_null(records, c).cast("string").alias(c) for c in EXPORTED])
+
+
+def runs(spark: SparkSession, root: str) -> DataFrame:
+    """The manifests of the runs below ``root``."""
+    if not t.exists(spark, root):
+        return t.empty(spark, RUN_DDL)
+    return spark.read.schema(t.schema_of(RUN_DDL)).option("multiLine", True).option("pathGlobFilter", "manifest.json").option("recursiveFileLookup", True).json(root)
+
+
+def latest_run(spark: SparkSession, root: str, job: str) -> dict | None:
+    """The manifest of a job's latest run (by its end, else its start) whose export can be read."""
+
+    def usable(run: dict) -> bool:
+        e = run["export"] or {}
+        return any(p and t.exists(spark, p) for p in (e.get("csv"), e.get("jsonl")))
+
+    return t.latest_usable(runs(spark, root).filter(F.col("job_name") == job), usable)
+
+
+def publish_latest(spark: SparkSession, root: str, job: str, day: str, now: str, run: Callable[[], str] | None = None) -> dict:
+    """Publish what a job's latest usable run has exported, the CSV before the JSON lines. If that run did not start on
+    ``day``, or there is none, ``run`` makes one (and returns its id); without it that is a FileNotFoundError. The summary
+    says which run it was, and whether it was made."""
+    found, made = latest_run(spark, root, job), False
+    if found is None or (found["started_at"] or "")[:10] != day:
+        if run is None:
+            raise FileNotFoundError(f"no usable run of {job} on {day}")
+        wanted, made = run(), True
+        found = next((r.asDict(True) for r in runs(spark, root).filter(F.col("pipeline_run_id") == wanted).toLocalIterator()), None)
+        if found is None:
+            raise FileNotFoundError(f"run {wanted} has no manifest")
+    e = found["export"] or {}
+    records = t.read_export(spark, e.get("csv"), e.get("jsonl"), EXPORTED, place=True).withColumnRenamed(t.PLACE, "seq")
+    return publish_to(records, root, day, now) | {"pipeline_run_id": found["pipeline_run_id"], "run_made": made}
+
+
 def set_status(spark: SparkSession, root: str, key: str, status: str, now: str, note: str | None = None) -> None:
     """One listing's status in the store, and in history if it is there: the key's bucket is read, one row is written."""
 

@@ -222,7 +222,7 @@ def rows_of(spark: SparkSession, root: str, v: Version, schema: str | T.StructTy
         return last
     changed = last.select(v.key)
     changed = F.broadcast(changed) if v.log_rows <= FEW_ROWS else changed.hint("merge")
-    return base.join(changed, v.key, "left_anti").unionByName(last)
+    return base.join(changed, v.key, "left_anti").select(*[f"`{c}`" for c in kind.names]).unionByName(last)
 
 
 def _tier(rows: int) -> int:

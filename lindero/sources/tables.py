@@ -38,8 +38,7 @@ PLACE = "place"
 
 def lines_of(spark: SparkSession, path: str) -> DataFrame:
     """(value, place) of text files, ``place`` growing by file name and then by line, however the files are split."""
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
-    return spark.read.text(path).select("value", at.alias(PLACE))
+    return spark.read.text(path).select("value", *_placed(True))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType, strict: bool = False, place: bool = False) -> DataFrame:
@@ -72,17 +71,23 @@ def read_json(spark: SparkSession, path: str, schema: str | T.StructType) -> Dat
     return spark.read.schema(schema_of(schema)).option("multiLine", True).json(path)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header, every column text."""
-    return spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def _placed(place: bool) -> list[Column]:
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    return [at.alias(PLACE)] if place else []
+
+
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str], place: bool = False) -> DataFrame:
+    """CSV with a header, every column text; with ``place`` the rows' order, as :func:`read_json_lines` has it."""
+    rows = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return rows.select("*", *_placed(place)) if place else rows
 
 
-def read_export(spark: SparkSession, csv: str | None, jsonl: str | None, columns: Sequence[str]) -> DataFrame:
+def read_export(spark: SparkSession, csv: str | None, jsonl: str | None, columns: Sequence[str], place: bool = False) -> DataFrame:
     """The CSV if it is there, else the JSON lines, else FileNotFoundError."""
     if csv and exists(spark, csv):
-        return read_csv(spark, csv, columns)
+        return read_csv(spark, csv, columns, place)
     if jsonl and exists(spark, jsonl):
-        return read_json_lines(spark, jsonl, T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+        return read_json_lines(spark, jsonl, T.StructType([T.StructField(c, T.StringType()) for c in columns]), place=place)
     raise FileNotFoundError(f"neither {csv} nor {jsonl} is there")
 
 
