@@ -160,29 +160,36 @@ def _matches(node: Node, chain: tuple) -> bool:
     return not left
 
 
+def _wrapped(node: Node, text: str) -> str:
+    """The Markdown of a node from that of what is in it."""
+    if node.tag == "a" and node.get("href"):
+        return f"[{text.strip()}]({node.get('href')})"
+    if node.tag in ("b", "strong"):
+        return f"**{text.strip()}**"
+    if re.fullmatch("h[1-6]", node.tag):
+        return f"\n\n{'#' * int(node.tag[1])} {text.strip()}\n\n"
+    if node.tag == "li":
+        return f"\n* {text.strip()}\n"
+    return f"\n\n{text.strip()}\n\n" if node.tag in BLOCKS else text
+
+
 def markdown(html: str) -> str:
-    """Headings, paragraphs, list items, links and emphasis as Markdown; images, scripts and styles are left out."""
-    def inline(node: Node) -> str:
-        out = []
-        for x in node.children:
+    """Headings, paragraphs, list items, links and emphasis as Markdown; images, scripts and styles are left out. Tags may
+    be nested to any depth."""
+    root = parse(html)
+    open_: list[tuple[Node, Iterator, list[str]]] = [(root, iter(root.children), [])]
+    while True:
+        node, rest, out = open_[-1]
+        for x in rest:
             if isinstance(x, str):
                 out.append(re.sub(r"\s+", " ", x))
-            elif x.tag in SILENT or x.tag in ("img", "noscript"):
-                continue
-            elif x.tag == "a" and x.get("href"):
-                out.append(f"[{inline(x).strip()}]({x.get('href')})")
-            elif x.tag in ("b", "strong"):
-                out.append(f"**{inline(x).strip()}**")
             elif x.tag == "br":
                 out.append("\n")
-            elif re.fullmatch("h[1-6]", x.tag):
-                out.append(f"\n\n{'#' * int(x.tag[1])} {inline(x).strip()}\n\n")
-            elif x.tag == "li":
-                out.append(f"\n* {inline(x).strip()}\n")
-            elif x.tag in BLOCKS:
-                out.append(f"\n\n{inline(x).strip()}\n\n")
-            else:
-                out.append(inline(x))
-        return "".join(out)
-
-    return re.sub(r"\n\s*\n+", "\n\n", inline(parse(html))).strip()
+            elif x.tag not in SILENT and x.tag not in ("img", "noscript"):
+                open_.append((x, iter(x.children), []))
+                break
+        else:
+            open_.pop()
+            if not open_:
+                return re.sub(r"\n\s*\n+", "\n\n", "".join(out)).strip()
+            open_[-1][2].append(_wrapped(node, "".join(out)))

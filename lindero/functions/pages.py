@@ -20,7 +20,7 @@ DETAIL_PRICE = r"(?iU)\d[\d.,\s]{2,}\s?€|€\s?\d[\d.,\s]{2,}"
 DETAIL_SURFACE = r"(?iU)\b\d{1,4}\s?(?:m2|m²|metros?)(?![\w²])"
 DETAIL_ROOMS = r"(?iU)\b\d{1,2}\s?(?:hab(?:itaciones)?\.?|dormitorios|rooms?)\b"
 #: Towns in the order in which they are looked for (fixed values).
-TOWNS = "Bilbao Barakaldo Getxo Santurtzi Sestao Portugalete Basauri Leioa Erandio Galdakao Durango Ermua Muskiz Zamudio Amorebieta Zalla Balmaseda Gernika Mungia Abadiño Etxebarri Derio Trapagaran Abanto Zierbena".split()
+TOWNS = ("Bilbao", "Barakaldo", "Getxo", "Santurtzi", "Sestao", "Portugalete", "Basauri", "Leioa", "Erandio", "Galdakao", "Durango", "Ermua", "Muskiz", "Zamudio", "Amorebieta", "Zalla", "Balmaseda", "Gernika", "Mungia", "Abadiño", "Etxebarri", "Derio", "Trapagaran", "Abanto", "Zierbena")
 
 
 def html_links(html: Column) -> Column:

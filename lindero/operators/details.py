@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numbers, pages
 from ..functions.dom import Node, parse
+from ..functions.portals import any_of
 from ..functions.text import filled, filled_count
 
 #: Parsers of domains; any other page is read by the generic one (fixed values).
@@ -36,11 +37,14 @@ SELECTORS = {
         "description": ("[data-testid*='description']", "[class*='detail-description']", "[class*='description']", "[id*='description']", "meta[property='og:description']", "meta[name='description']", "article", "main"),
     },
 }
+# Selectors of breadcrumbs; words that name no place; segments of a path before a place; towns and noise in texts (fixed values).
 CRUMBS = ("nav[aria-label*='miga'] a", "[class*='breadcrumb'] a", "[data-testid*='breadcrumb'] a")
 NOT_PLACES = ("espana", "españa", "todas las zonas", "comprar", "alquilar", "locales", "viviendas", "fotocasa")
 KIND_SEGMENTS = ("local-comercial", "vivienda", "piso", "nave", "locales-comerciales")
-NEAR_TOWNS = re.compile(r"\b(?:bilbao|bizkaia|sestao|barakaldo|getxo|durango)\b", re.IGNORECASE)
-NOISE = re.compile(r"conecta tu hogar|elige la fibra|comprueba cobertura|ver tarifas|ofrecido por|contactar|llamar|hace \d+ d[ií]as|top\+|que mejor se adapte a ti", re.IGNORECASE)
+NEAR = ("bilbao", "bizkaia", "sestao", "barakaldo", "getxo", "durango")
+NOISY = ("conecta tu hogar", "elige la fibra", "comprueba cobertura", "ver tarifas", "ofrecido por", "contactar", "llamar", r"hace \d+ d[ií]as", r"top\+", "que mejor se adapte a ti")
+NEAR_TOWNS = re.compile(rf"\b(?:{any_of(NEAR)})\b", re.IGNORECASE)
+NOISE = re.compile(any_of(NOISY), re.IGNORECASE)
 
 TEXTS = ("title", "price_text", "location_text", "info_text", "description_text")
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pages, urls
+from ..functions.dom import markdown
 from ..functions.portals import GALLERY_KEYS, base_excluded, passes_rules
 from ..functions.text import filled, let
 
@@ -39,10 +43,28 @@ def discovered(snapshots: DataFrame, seq: str = "seq", distinct_in: str | None =
     return each.groupBy(*by).agg(F.min(F.struct(seq, "place")).alias("_at"), F.min_by("parser_key", F.struct(seq, "place")).alias("parser_key")).select(*by[:1], "url", *([] if by[0] == seq else [F.col(f"_at.{seq}").alias(seq)]), F.col("_at.place").alias("place"), "parser_key")
 
 
-def snapshot_keys(df: DataFrame, url: str = "url", markdown: str = "markdown", html: str = "html") -> DataFrame:
+def with_markdown(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``markdown`` made of ``html`` where it is null or empty and there is HTML; a page that can't be read
+    stays without."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for html, own in zip(batch.column("html").to_pylist(), batch.column("markdown").to_pylist(), strict=True):
+                try:
+                    made.append(own or (markdown(html) if html else own))
+                except Exception:  # one page's fault stays with it
+                    made.append(own)
+            at = batch.schema.get_field_index("markdown")
+            yield batch.set_column(at, "markdown", pa.array(made, pa.string()))
+
+    return pages.mapInArrow(run, pages.schema)
+
+
+def snapshot_keys(df: DataFrame, url: str = "url", text: str = "markdown", html: str = "html") -> DataFrame:
     """``df`` with snapshot_id, domain and content hashes (the preferred one is that of the Markdown if there is one)."""
-    md, ht = F.sha2(F.col(markdown), 256), F.sha2(F.col(html), 256)
-    return df.select("*", F.substring(F.sha2(F.trim(url), 256), 1, 16).alias("snapshot_id"), urls.domain_name(F.col(url)).alias("domain"), md.alias("markdown_hash"), ht.alias("html_hash"), F.coalesce(F.when(filled(F.col(markdown)).isNotNull(), md), ht).alias("content_hash_preferred"))
+    md, ht = F.sha2(F.col(text), 256), F.sha2(F.col(html), 256)
+    return df.select("*", F.substring(F.sha2(F.trim(url), 256), 1, 16).alias("snapshot_id"), urls.domain_name(F.col(url)).alias("domain"), md.alias("markdown_hash"), ht.alias("html_hash"), F.coalesce(F.when(filled(F.col(text)).isNotNull(), md), ht).alias("content_hash_preferred"))
 
 
 def slug(url, hint=None):

@@ -6,12 +6,12 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers, pages
 from ..functions.text import filled, unaccented_upper
-from .ordered import first_by_key
+from .ordered import first_by_key, running
 
 COLUMNS = ("link", "localidad", "m2", "precio", "operacion", "detalles", "fuente", "fecha")
 # Beginnings of lines that open a record, and of lines that are passed over (fixed values).
@@ -65,11 +65,13 @@ def feature_records(lines: DataFrame, document: str, place: str, line: str, is_t
     """(document, record, title, features): a title line opens a record and the lines behind it are its features.
 
     Lines before the first title go, as do skipped ones and those of up to two characters; a leading ``- `` is cut.
-    A document's lines are put in order by a window, so a document is one unit of work.
+    Lines are told apart by (document, place). The titles before a line are counted by :func:`ordered.running`, so one
+    document may hold any share of the lines.
     """
     title = _starts(F.col(line), TITLE_STARTS) if is_title is None else is_title
-    w = Window.partitionBy(document).orderBy(place)
-    marked = lines.withColumn("_title", title).withColumn("record", F.sum(F.col("_title").cast("int")).over(w).cast("long")).filter("record > 0")
+    each = lines.withColumn("_title", F.coalesce(title, F.lit(False)))
+    counted = running(each, [document], place, total=("_before", F.col("_title").cast("int")))
+    marked = counted.withColumn("record", (F.col("_before") + F.col("_title").cast("int")).cast("long")).filter("record > 0")
     bare = F.trim(F.regexp_replace(F.trim(F.col(line)), r"^- ", ""))
     feature = F.when(~F.col("_title") & ~_starts(F.trim(F.col(line)), SKIPPED_STARTS) & (F.length(bare) > 2), F.struct(F.col(place), bare.alias("text")))
     out = marked.withColumn("_f", feature).groupBy(document, "record").agg(F.max(F.when(F.col("_title"), F.trim(F.col(line)))).alias("title"), F.sort_array(F.collect_list("_f")).alias("_fs"))

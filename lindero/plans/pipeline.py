@@ -22,12 +22,14 @@ Fetch = Callable[[DataFrame], DataFrame]
 STEPS = ("archive", "index", "discover", "listing_pages", "listing_errors", "listing_cards", "harvest", "archive_discovered", "parse", "export", "funnel")
 
 
-def archived(urls: DataFrame, fetch: Fetch) -> DataFrame:
+def archived(urls: DataFrame, fetch: Fetch, local_markdown: bool = False) -> DataFrame:
     """Fetched pages with ids, hashes, status, and whether their content equals an earlier page of the URL and day. Each URL
-    is fetched once; what the fetcher tells of it besides its texts stays."""
+    is fetched once; what the fetcher tells of it besides its texts stays. ``local_markdown``: pages that come without Markdown
+    get that of their HTML."""
     found = fetch(urls.dropDuplicates(["url"]))
     told = [c for c in ("fetch_status", "http_status", "attempts", "fetch_error") if c in found.columns]
-    pages = settled(found.select("url", "html", "markdown", *told), "fetched")
+    found = found.select("url", "html", "markdown", *told)
+    pages = settled(discovery.with_markdown(found) if local_markdown else found, "fetched")
     got = discovery.snapshot_keys(urls.join(pages, "url", "left"))
     got = got.withColumn("status", discovery.archive_status(F.col("html").isNotNull(), F.coalesce(F.length("markdown") > 0, F.lit(False))))
     return latest_equal_before(got, ["url", "day"], "seq", [("content_hash_preferred", "content_hash_match"), ("markdown_hash", "markdown_hash_match"), ("html_hash", "html_hash_match")])
@@ -46,10 +48,11 @@ def overall(statuses: dict[str, str], archive_errors: int) -> str:
     return "partial" if archive_errors else "completed"
 
 
-def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame, root: str, run_id: str, day: str, fetch: Fetch, resume: bool = False, force: tuple[str, ...] = (), only: tuple[str, ...] = (), parsers: Sequence[details.Parser] = (), slots: Mapping[str, cards.Slots] | None = None, portal_defaults: bool = False, clock: Callable[[], str] | None = None) -> Run:
+def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame, root: str, run_id: str, day: str, fetch: Fetch, resume: bool = False, force: tuple[str, ...] = (), only: tuple[str, ...] = (), parsers: Sequence[details.Parser] = (), slots: Mapping[str, cards.Slots] | None = None, portal_defaults: bool = False, local_markdown: bool = False, clock: Callable[[], str] | None = None) -> Run:
     """All steps of a job's run below ``root/run_id``, or ``only`` some of them on what is there. A step that fails is noted
     and those that need it are skipped. ``parsers`` of detail pages and ``slots`` with functions for links are the
-    caller's own; with ``portal_defaults`` what sources leave open of their listing pages comes from their portal. ``clock``
+    caller's own; with ``portal_defaults`` what sources leave open of their listing pages comes from their portal; with
+    ``local_markdown`` pages that come without Markdown get that of their HTML. ``clock``
     tells the times of the manifest; without one they are the beginning of ``day``."""
     began = clock() if clock else f"{day}T00:00:00Z"
     sources = planning.with_strategy(sources) if portal_defaults else sources
@@ -90,7 +93,7 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
 
     def seeds() -> DataFrame:
         first = planning.seed_urls(eligible, (limit or [None])[0])
-        return archived(first.join(gaps(), "domain", "left").select("url", F.col("domain").alias("source_domain"), F.struct("place", "ordinal").alias("seq"), today, "gap"), fetch)
+        return archived(first.join(gaps(), "domain", "left").select("url", F.col("domain").alias("source_domain"), F.struct("place", "ordinal").alias("seq"), today, "gap"), fetch, local_markdown)
 
     def links() -> DataFrame:
         pages = table("archive").filter("status <> 'error'").join(sources.select(F.col("domain").alias("source_domain"), "parser_key"), "source_domain")
@@ -98,7 +101,7 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
 
     def listing_pages() -> DataFrame:
         plan = planning.page_plan(harvested).withColumnRenamed("listing_page_url", "url")
-        return archived(plan.join(gaps(), "domain", "left").select("url", F.col("domain").alias("source_domain"), F.struct("start_ordinal", "page_number").alias("seq"), today, "gap"), fetch)
+        return archived(plan.join(gaps(), "domain", "left").select("url", F.col("domain").alias("source_domain"), F.struct("start_ordinal", "page_number").alias("seq"), today, "gap"), fetch, local_markdown)
 
     def listing_cards() -> DataFrame:
         rows = table("listing_pages").filter("status in ('ok', 'partial')").select(F.col("snapshot_id").alias("page_id"), "seq", "source_domain", F.col("url").alias("base_url"), "html")
@@ -118,7 +121,7 @@ def run_job(spark: SparkSession, job: str, jobs: DataFrame, sources: DataFrame,
         linked = table("discover").join(table("archive").select("seq", "source_domain"), "seq").select("url", "source_domain", F.lit(None).cast("string").alias("referer"))
         every = more.unionByName(linked).groupBy("url").agg(F.min("source_domain").alias("source_domain"), F.min("referer").alias("referer"))
         every = every.join(gaps().withColumnRenamed("domain", "source_domain"), "source_domain", "left")
-        return archived(every.select("url", "source_domain", seq("url"), today, "referer", "gap"), fetch)
+        return archived(every.select("url", "source_domain", seq("url"), today, "referer", "gap"), fetch, local_markdown)
 
     def records() -> DataFrame:
         rows = table("archive_discovered").filter("status in ('ok', 'partial')")
