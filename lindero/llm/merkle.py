@@ -208,7 +208,8 @@ def manifest(docs: DataFrame) -> DataFrame:
     whole = forest(subroots, ["source"], "merkle-top")
     none = F.array().cast(_SIDES)
     tops = with_paths(whole, roots(whole).select("tree", "leaves", none.alias("path"), F.col("hash").alias("root")))
-    tops = tops.select(F.col("source").alias("tree"), F.col("size").alias("leaves"), "path", F.col("hash").alias("subroot"), "root")
+    # A row a source, which every level looks for its roots in.
+    tops = written(tops.select(F.col("source").alias("tree"), F.col("size").alias("leaves"), "path", F.col("hash").alias("subroot"), "root"), "merkle-tops", narrow=True)
     out = with_paths(sources, tops).withColumn("folded_root", folded(F.coalesce("tampered", "hash"), F.col("path")))
     proof = F.sha2(F.array_join(F.transform("path", lambda s: F.concat(s["left"], s["right"])), ""), 256)
     return out.select("doc_id", F.col("hash").alias("leaf"), "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
