@@ -76,7 +76,7 @@ def _kept_pairs(text: Column, drop: Sequence[str]) -> Column:
         return F.filter(pairs, lambda p: ~F.lower(name(p)).isin(*drop)) if drop else pairs
 
     # Where encoding changes nothing, pairs are looked at as they stand.
-    plain = text.rlike(r"^[A-Za-z0-9_.~+&=-]*$") & ~text.rlike("=[^&]*=") & ~text.rlike(r"(^|&)[^=&]*\+[^&]*=")
+    plain = text.rlike(r"^[A-Za-z0-9_.~+&=-]*\z") & ~text.rlike("=[^&]*=") & ~text.rlike(r"(^|&)[^=&]*\+[^&]*=")
     standing = F.array_join(wanted(F.filter(F.split(text, "&"), lambda p: p.rlike("^[^=]*=.")), lambda p: F.substring_index(p, "=", 1)), "&")
     return F.when(plain, standing).otherwise(query_text(wanted(query_pairs(text), lambda p: p["name"])))
 

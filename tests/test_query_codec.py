@@ -3,8 +3,10 @@
 import random
 from urllib.parse import parse_qsl, urlencode, urlparse, urlunparse
 
+import duckdb
 from pyspark.sql import functions as F
 
+from lindero import queries
 from lindero.functions import urls
 
 ODD = ["a=%C3%A9&b=ñ", "a=1+2&a=%2b&x", "=v&k==&k=a=b", "q=*~._-(x)", "a=&b&c=0&", "k=%20%26%3d", "%zz=%4&%=%25&a=%", "a=%ff%fe", "a=%e2%82", "p%61ge=2&Page=3", "a=b;c=d", "a=%F0%9F%98%80", "", "&&", "=", "a=%0A", "+=+", "page=1&page=2&x=", "é=%E9x", "x+y=1&z=2"]
@@ -54,3 +56,19 @@ def test_pages_of_start_urls(spark):
     got = [r[0] for r in df.select(urls.page_url(F.col("u"), F.lit(3), F.lit(1), F.lit("page"), none, F.lit(True))["url"]).collect()]
     for u, g in zip(each, got, strict=True):
         assert g == paged(u, "page", 3), u
+
+
+def test_words_of_pages_that_have_signs_of_urls(spark, tmp_path):
+    words = ["Heble###", "#", "#a=b", "a#b#c", "x&y=1#z", "%23", "%#", "%4#1", "a\n", "a\n#", "a?b", "a+b#", "ñ#é", "~*#", ""]
+    rows = [(i * 8 + k, f"<html><h1>{w} more</h1></html>") for i, w in enumerate(words) for k in range(8)] + [(8 * len(words) + k, None) for k in range(8)]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    db = duckdb.connect()
+    db.sql(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    want = dict(db.sql(queries.ORACLES["query_codec"]).fetchall())
+    got = {r["page_id"]: r["url"] for r in queries.query_codec(spark, str(tmp_path)).collect()}
+    assert got == want and want[0] == "https://x.es/a0?a=%C3%A9&b=Heble%23%23%23"
+
+
+def test_line_feeds_at_a_querys_end_are_encoded(spark):
+    got = spark.createDataFrame([("https://x.es/l?a=b\n",)], "u string").select(urls.without_query_keys(F.col("u"), ("page",))).first()[0]
+    assert got == "https://x.es/l?a=b%0A"
