@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 from .common import CACHES, frugal, joined, limit_batches, salted_lookup, schema_of, text_of, written
 
 DEFAULT_KEY = b"lindero-surrogates"
+#: Bits that tell which texts have a replacement of their own: 4 MB that every task gets.
+PLACES = 1 << 25
 #: Attempts after which a replacement may be longer than its original (its format has too few free strings).
 RELAXED = 16
 
@@ -456,6 +458,26 @@ def collisions_resolved(entities: DataFrame, key: bytes = DEFAULT_KEY, attempts:
     return (moved if moved is not None else losers.limit(0)).select("kind", "canon", "made")
 
 
+def _asking(rows: DataFrame, per_text: DataFrame) -> DataFrame:
+    """``rows`` with ``asks``: true if their text_key is one of ``per_text``, and for few others. The keys are marked in a
+    bitmap of a fixed size, so that no row has to move for the answer."""
+    place = F.pmod("text_key", F.lit(PLACES))
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    marks = per_text.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("marks"))
+    byte = F.conv(F.hex(F.substring("marks", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = F.call_function("getbit", byte, (bit % 8).cast("int")) == 1
+    return rows.join(F.broadcast(marks), bucket == F.col("bucket"), "left").select(*rows.columns, F.coalesce(marked, F.lit(False)).alias("asks"))
+
+
+def _with_special(source: DataFrame, per_text: DataFrame) -> DataFrame:
+    """``source`` (own, text) with the ``special`` of its text_key in ``per_text``, else null. Only texts that ask for it
+    are dealt out by their key; all others stay in the tasks that read them."""
+    rows = _asking(source.withColumn("text_key", F.xxhash64(text_of())), per_text)
+    asking = rows.filter("asks").drop("asks").withColumn("spread", F.monotonically_increasing_id())
+    others = rows.filter("not asks").drop("asks").withColumn("special", F.lit(None).cast(per_text.schema["special"].dataType))
+    return others.unionByName(salted_lookup(asking, per_text, ["text_key"], F.col("spread")).drop("spread"))
+
+
 def _one_kind(entities: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame | None]:
     """``entities`` (kind, canon, made) with each word of a name under one kind, that of most texts; and (kind, canon,
     resolved, made) of the words that some text has under another one (None if there are no names)."""
@@ -497,8 +519,7 @@ def with_surrogates(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
     else:
         per_text = salted_lookup(entities.select("text_key", "kind", "canon"), special, ["kind", "canon"], F.col("text_key")).filter("made is not null")
         per_text = per_text.groupBy("text_key").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "kind", "canon"), "made"))).alias("special"))
-        keyed = source.withColumn("text_key", F.xxhash64(text_of())).withColumn("spread", F.monotonically_increasing_id())
-        source = salted_lookup(keyed, per_text, ["text_key"], F.col("spread")).select("own", "text", "special")
+        source = _with_special(source, written(per_text, "special", narrow=True)).select("own", "text", "special")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -50,3 +50,30 @@ def test_callers_columns_keep_their_values(spark):
     assert [r[k] for r in rows for k in names if k != "kinds"] == [v for k, v in names.items() if k != "kinds"] * 3
     assert rows[0]["text"].count(",") == 2 and "Smith" not in rows[0]["text"] and rows[1]["text"] is None and rows[0]["n_entities"] == 4
     assert surrogates.with_surrogates(df).columns == [*[c for c in df.columns if c != "kinds"], "n_entities", "kinds"]
+
+
+def shuffled(spark):
+    sc = spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_texts_move_only_if_a_replacement_in_them_is_not_the_first(spark, tmp_path):
+    """Two texts hold one's replacement as the other's original; 2 MB of other texts stay where they are."""
+    first = "mail@example.org"
+    rng = random.Random(4)
+    texts = [f"an {first}", f"an {surrogates.surrogate('email', first)}", *["".join(rng.choices("abcdefgh ", k=10_000)) for _ in range(200)], "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    before = shuffled(spark)
+    got = [r["text"] for r in sorted(surrogates.with_surrogates(spark.read.parquet(str(tmp_path / "docs"))).collect())]
+    assert shuffled(spark) - before < 100_000
+    assert got[2:] == texts[2:] and len({*got[:2], *texts[:2]}) == 4
+
+
+def test_texts_that_ask_for_replacements(spark):
+    rows = spark.range(5000).selectExpr("xxhash64(id) AS text_key", "id").unionByName(spark.sql("SELECT explode(array(0L, -1L, 32767L, 32768L, 33554431L, 33554432L, -9223372036854775808L)) AS text_key, -1L AS id"))
+    per_text = rows.filter("id % 10 = 0 OR id = -1").select("text_key")
+    got = surrogates._asking(rows, per_text)
+    assert got.columns == ["text_key", "id", "asks"] and got.count() == 5007
+    assert got.filter("(id % 10 = 0 OR id = -1) AND NOT asks").count() == 0 and got.filter("id % 10 <> 0 AND id <> -1 AND asks").count() < 50
+    assert surrogates._asking(rows, per_text.limit(0)).filter("asks").count() == 0
