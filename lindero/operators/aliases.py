@@ -25,7 +25,9 @@ SALTS = 8
 
 
 def _stripped(c: Column) -> Column:
-    return F.regexp_replace(c.cast("string"), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    text = c.cast("string")
+    bare = F.left(text, F.lit(1)).between("!", "~") & F.right(text, F.lit(1)).between("!", "~")
+    return F.when(bare, text).otherwise(F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
 
 
 def pointers(rows: DataFrame, run: str, at: str, keys: str) -> DataFrame:
@@ -35,9 +37,9 @@ def pointers(rows: DataFrame, run: str, at: str, keys: str) -> DataFrame:
     Rows that pass a key on from one to the next all point to the row that brought the group to that key, so that trees
     are as deep as groups were led over from key to key, not as rows follow each other.
     """
-    each = rows.filter(F.size(keys) > 0).select(F.col(run).alias("run"), F.col(at).alias("at"), F.posexplode(keys).alias("pos", "key"))
-    seen = running(each, ["run", "key"], "at", last={"before": F.col("at")})
-    told = seen.groupBy("run", "at").agg(F.min_by("key", F.when(F.col("before").isNotNull(), F.col("pos"))).alias("via"), F.collect_list("key").alias("keys"))
+    short = settled(rows.filter(F.size(keys) > 0).select(F.col(run).alias("run"), F.col(at).alias("at"), F.col(keys).alias("keys")), "keys")
+    seen = running(short.select("run", "at", F.posexplode("keys").alias("pos", "key")), ["run", "key"], "at", last={"before": F.col("at")})
+    told = seen.groupBy("at").agg(F.first("run").alias("run"), F.min_by("key", F.when(F.col("before").isNotNull(), F.col("pos"))).alias("via"), F.collect_list("key").alias("keys"))
     # A row brings its group to a key unless it got its group from there.
     held = told.select("run", "at", "via", F.explode("keys").alias("key")).withColumn("comes", F.when(~F.col("key").eqNullSafe(F.col("via")), F.col("at")))
     led = running(held, ["run", "key"], "at", last={"from": F.col("comes")})

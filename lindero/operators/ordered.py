@@ -63,7 +63,7 @@ def running(df: DataFrame, keys: Sequence[str], seq: str, last: Mapping[str, Col
     ``keys`` and ``seq`` tell rows apart; null keys are a key. Two passes, so that one key may hold any share of the rows:
     rows are dealt by ranges of (keys, seq), each part is looked at for itself, and what a key brings along from the
     parts before is added. A part's border cuts one key at most, so there are fewer such carries than parts, and they
-    are broadcast.
+    are broadcast; nothing else is summed up by key.
     """
     values = {f"_run_v{i}": v for i, v in enumerate((last or {}).values())}
     names = dict(zip(values, last or {}, strict=True))
@@ -72,7 +72,11 @@ def running(df: DataFrame, keys: Sequence[str], seq: str, last: Mapping[str, Col
     inside = Window.partitionBy("_run_part", *keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     here = rows.select("*", *[F.last(k, ignorenulls=True).over(inside).alias(f"{k}h") for k in values], *([F.sum("_run_n").over(inside).alias("_run_nh")] if total else []))
     ends = [F.max_by(k, F.when(F.col(k).isNotNull(), F.col(seq))).alias(k) for k in values] + ([F.sum("_run_n").alias("_run_n")] if total else [])
-    parts = rows.groupBy("_run_part", *keys).agg(F.count("*").alias("_run_rows"), *ends)
+    # Only the first and the last key of a part can go on in another one.
+    whole = F.struct(F.lit(0).alias("_run_none"), *[F.col(k) for k in keys])
+    borders = rows.groupBy(F.col("_run_part").alias("_run_of")).agg(F.min(whole).alias("_run_low"), F.max(whole).alias("_run_high"))
+    cut = (F.col("_run_part") == F.col("_run_of")) & (whole.eqNullSafe(F.col("_run_low")) | whole.eqNullSafe(F.col("_run_high")))
+    parts = rows.join(F.broadcast(borders), cut, "left_semi").groupBy("_run_part", *keys).agg(F.count("*").alias("_run_rows"), *ends)
     earlier = Window.partitionBy(*keys).orderBy("_run_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.last(k, ignorenulls=True).over(earlier).alias(f"{k}c") for k in values] + ([F.sum("_run_n").over(earlier).alias("_run_nc")] if total else [])
     carry = parts.select(F.col("_run_part").alias("_run_at"), *[F.col(k).alias(f"_run_k{i}") for i, k in enumerate(keys)], F.sum("_run_rows").over(earlier).alias("_run_before"), *carried).filter("_run_before is not null")

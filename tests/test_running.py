@@ -103,3 +103,18 @@ def test_rows_without_keys_or_columns(spark):
     assert [r["seq"] for r in aliases.merge_aliases(df, "run", "seq").collect()] == [3]
     assert aliases.merge_aliases(df.limit(0), "run", "seq").count() == 0
     assert aliases.merge_aliases(df.drop("url"), "run", "seq").count() == 0
+
+
+def test_only_keys_at_the_borders_of_parts_are_summed_up(many_parts):
+    """Rows are dealt out twice, by ranges and by parts; there is no third shuffle that grows with the number of keys."""
+    sc = many_parts.sparkContext
+
+    def dealt():
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    df = many_parts.range(20_000).select(F.concat(F.lit("key"), (F.col("id") / 2).cast("long")).alias("k"), F.col("id").alias("seq"))
+    before = dealt()
+    got = ordered.running(df, ["k"], "seq", last={"last": F.col("seq")}).select(F.count("last"), F.sum("last")).first()
+    assert tuple(got) == (10_000, sum(range(0, 20_000, 2)))
+    assert dealt() - before < 45_000
